@@ -1 +1,142 @@
-"""placeholder"""
+"""Learning jobs: split, three models, evaluation, selection, batch scoring (rows-only checks except the split)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskframe.functions import scalar as S
+from riskframe.operators import metrics as M
+from riskframe.plans import ml as ML
+from riskframe.plans.catalog_features import batch_features
+from riskframe.plans.registry import register
+from riskframe.session import scratch_path
+from riskframe.sources import fixtures as X
+
+W = X.with_ctes
+_CACHE: dict = {}
+
+
+def _prepared(spark, d):
+    """Engineered features of the labeled rows, split 80/20 per class, matrix nulls = 0."""
+    key = ("prep", d, id(spark))
+    if key not in _CACHE:
+        bf = batch_features(spark, d)
+        train = bf.where(F.col("split") == "train").drop("split")
+        test = bf.where(F.col("split") == "test").drop("split", "isFraud")
+        cols = ML.matrix_columns(train, test, "isFraud", "TransactionID")
+        train = train.select("TransactionID", "isFraud", *cols).na.fill(0)
+        test = test.select("TransactionID", *cols).na.fill(0)
+        s = ML.stratified_split(train, "isFraud", "TransactionID").cache()
+        _CACHE[key] = (s, test, cols)
+    return _CACHE[key]
+
+
+def _model(spark, d, name):
+    key = (name, d, id(spark))
+    if key not in _CACHE:
+        s, _, cols = _prepared(spark, d)
+        tr = s.where(F.col("split") == "train")
+        if name == "gbt_a":
+            tm = ML.fit_gbt(tr, cols, "isFraud", ML.GBT_A, "gbt_depthwise")
+        elif name == "gbt_b":
+            tm = ML.fit_gbt(tr, cols, "isFraud", ML.GBT_B, "gbt_leafwise")
+        else:
+            tm = ML.fit_iforest(tr, cols, "TransactionID")
+        tm.order = {"gbt_a": 0, "gbt_b": 1, "iforest": 2}[name]
+        _CACHE[key] = tm
+    return _CACHE[key]
+
+
+def _run(spark, d, name):
+    s, _, _ = _prepared(spark, d)
+    tm = _model(spark, d, name)
+    val = s.where(F.col("split") == "validation")
+    pred = ML.predict(tm, val, ["TransactionID", "isFraud"])
+    return ML.evaluate(pred, "isFraud", tm.name, tm.params, tm.order)
+
+
+def _runs(spark, d):
+    return _run(spark, d, "gbt_a").unionByName(_run(spark, d, "gbt_b")).unionByName(_run(spark, d, "iforest"))
+
+
+@register("ml_01_stratified_split", W("train") + """
+, r AS (SELECT TransactionID, isFraud,
+               row_number() OVER (PARTITION BY isFraud ORDER BY md5(CAST(TransactionID AS VARCHAR) || ':42'), TransactionID) AS rk,
+               count(*) OVER (PARTITION BY isFraud) AS n FROM train)
+SELECT TransactionID, isFraud, CASE WHEN rk <= floor(n * 0.2 + 0.5) THEN 'validation' ELSE 'train' END AS split FROM r""")
+def ml_01_stratified_split(spark, d):
+    """Stratified 80/20 split, seed 42: per class the first 20% in md5(id:seed) order validate."""
+    train, _ = X.train_test(spark, d)
+    s = ML.stratified_split(train.select("TransactionID", "isFraud"), "isFraud", "TransactionID")
+    return s.select("TransactionID", "isFraud", "split")
+
+
+@register("ml_02_gbt_depthwise")
+def ml_02_gbt_depthwise(spark, d):
+    """Boosted trees A (depth 6, rate 0.1, 100 rounds, row and column sampling 0.8): validation metrics."""
+    return _run(spark, d, "gbt_a")
+
+
+@register("ml_03_gbt_leafwise")
+def ml_03_gbt_leafwise(spark, d):
+    """Boosted trees B (<= 32 leaves as depth 5, rate 0.1, 100 rounds): validation metrics."""
+    return _run(spark, d, "gbt_b")
+
+
+@register("ml_04_isolation_forest")
+def ml_04_isolation_forest(spark, d):
+    """Isolation forest (100 trees, 256 rows each, contamination 0.1): validation metrics of the anomaly score."""
+    return _run(spark, d, "iforest")
+
+
+@register("fun_17_outlier_flag")
+def fun_17_outlier_flag(spark, d):
+    """Anomaly score above the contamination threshold -> 1 for every test transaction."""
+    _, test, cols = _prepared(spark, d)
+    return ML.predict(_model(spark, d, "iforest"), test, ["TransactionID"])
+
+
+@register("ml_05_runs")
+def ml_05_runs(spark, d):
+    """Runs table: model, params, AUC, precision, recall, F1 for all three models."""
+    return _runs(spark, d)
+
+
+@register("snk_05_runs_json")
+def snk_05_runs_json(spark, d):
+    """Runs written as JSON records and read back."""
+    path = scratch_path(spark, "runs-json")
+    _runs(spark, d).write.json(path)
+    return spark.read.json(path)
+
+
+@register("top_02_best_by_f1")
+def top_02_best_by_f1(spark, d):
+    """Best run by F1 (first on ties)."""
+    return ML.best_run(_runs(spark, d))
+
+
+@register("ml_06_model_versions")
+def ml_06_model_versions(spark, d):
+    """Versions of the registered model; latest production version compared as an integer."""
+    runs = _runs(spark, d).cache()
+    v = ML.model_versions(runs, ML.best_run(runs))
+    return ML.latest_version(v, "Production").unionByName(ML.latest_version(v))
+
+
+@register("ml_07_batch_scoring")
+def ml_07_batch_scoring(spark, d):
+    """The best model scores every test transaction once: class, probability, decision, tier."""
+    best = ML.best_run(_runs(spark, d)).first()["model"]
+    name = {"gbt_depthwise": "gbt_a", "gbt_leafwise": "gbt_b"}.get(best, "iforest")
+    _, test, _ = _prepared(spark, d)
+    p = ML.predict(_model(spark, d, name), test, ["TransactionID"])
+    return p.withColumns({"is_fraud": S.is_fraud("prediction"), "risk_level": S.risk_level("probability")})
+
+
+@register("ml_07_batch_summary")
+def ml_07_batch_summary(spark, d):
+    """Summary of the batch: total, fraud and legitimate counts."""
+    s = ml_07_batch_scoring(spark, d)
+    return s.agg(F.count(F.lit(1)).alias("total"), F.count_if("is_fraud").alias("fraud_count"),
+                 F.count_if(~F.col("is_fraud")).alias("legitimate_count"))
