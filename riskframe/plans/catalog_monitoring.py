@@ -151,13 +151,16 @@ def agg_16_label_latency_hist(spark, d):
 
 
 # ---------------------------------------------------------------- WIN-04
-@register("win_04_count_windows", W("pred") + f"""
+ORACLE_WIN04 = W("pred") + f"""
 , lab AS (SELECT *, row_number() OVER (ORDER BY label_ts, transaction_id) AS i, count(*) OVER () AS n
           FROM pred WHERE ground_truth IS NOT NULL)
 , w AS (SELECT *, (i - 1) // 100 AS window_no FROM lab WHERE i <= (n // 100) * 100)
 , cm AS (SELECT window_no, {_CM_SQL} FROM w GROUP BY window_no)
 SELECT cm.window_no, tp, fp, tn, fn, {_RATES_SQL}, a.auc
-FROM cm LEFT JOIN {_auc_sql('w', 'window_no')} a ON cm.window_no = a.window_no""")
+FROM cm LEFT JOIN {_auc_sql('w', 'window_no')} a ON cm.window_no = a.window_no"""
+
+
+@register("win_04_count_windows", ORACLE_WIN04)
 def win_04_count_windows(spark, d):
     """Metrics every 100 labels in arrival order; the incomplete tail is not emitted."""
     return _round_rates(MO.count_windows(_labeled(spark, d)))

@@ -62,6 +62,20 @@ def train_test(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return train, test
 
 
+def predictions_of(docs: DataFrame) -> DataFrame:
+    """M3 prediction rows (no labels) over any documents frame (table or stream)."""
+    prob = ((F.col("n_chars") % 100) / F.lit(100.0))
+    return docs.select(F.col("doc_id").alias("transaction_id"), (prob >= 0.5).cast("int").alias("prediction"),
+                       prob.alias("probability"),
+                       F.expr(f"timestampadd(MINUTE, doc_id, TIMESTAMP_NTZ'{PRED_EPOCH}')").alias("pred_ts"))
+
+
+def labels_of(lab: DataFrame) -> DataFrame:
+    """M3 label rows (final answer at label time) over any labels frame (table or stream)."""
+    t = F.expr(f"timestampadd(HOUR, doc_id % 200, timestampadd(MINUTE, doc_id, TIMESTAMP_NTZ'{PRED_EPOCH}'))")
+    return lab.select(F.col("doc_id").alias("transaction_id"), F.col("quality").alias("label"), t.alias("label_ts"))
+
+
 def prediction_log(spark: SparkSession, d: str) -> DataFrame:
     """M3: logged predictions with their (late) ground truth."""
     docs = load(spark, d, "documents").select("doc_id", "n_chars")
@@ -117,7 +131,11 @@ def _service():
 
 def log_lines(spark: SparkSession, d: str) -> DataFrame:
     """M5: one formatted service log line per event (milliseconds on even ids only)."""
-    ev = load(spark, d, "events")
+    return log_lines_of(load(spark, d, "events"))
+
+
+def log_lines_of(ev: DataFrame) -> DataFrame:
+    """M5 over any events frame (table or stream)."""
     ms = F.lpad(((epoch_micros(F.col("ts")) / 1000).cast("bigint") % 1000).cast("string"), 3, "0")
     ts_text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
                        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(","), ms)).otherwise(F.lit("")))
@@ -151,7 +169,11 @@ def spans(spark: SparkSession, d: str) -> DataFrame:
 
 def requests(spark: SparkSession, d: str) -> DataFrame:
     """M7: one API request per event with status, latency and predicted probability."""
-    ev = load(spark, d, "events")
+    return requests_of(load(spark, d, "events"))
+
+
+def requests_of(ev: DataFrame) -> DataFrame:
+    """M7 over any events frame (table or stream)."""
     return ev.select(
         "event_id", "user_id", "ts",
         _method().alias("method"),

@@ -1 +1,103 @@
-"""placeholder"""
+"""Streaming queries: each runs availableNow into a fresh sink and returns the sink read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskframe.plans.catalog_monitoring import ORACLE_WIN04
+from riskframe.plans.registry import register
+from riskframe.session import scratch_path
+from riskframe.sources import fixtures as X
+from riskframe.sources.tables import load
+from riskframe.streaming import jobs as J
+from riskframe.streaming.runner import run_available_now, run_foreach_batch, stream_table
+
+W = X.with_ctes
+_TIER = ("CASE WHEN probability < 0.3 THEN 'LOW' WHEN probability < 0.6 THEN 'MEDIUM' "
+         "WHEN probability < 0.8 THEN 'HIGH' ELSE 'CRITICAL' END")
+
+
+@register("str_01_stream_scoring", W("req") + f"""
+SELECT event_id, probability, probability >= 0.5 AS is_fraud, {_TIER} AS risk_level,
+       'TXN_' || strftime(ts, '%Y%m%d%H%M%S%f') || '_' || CAST(event_id AS VARCHAR) AS transaction_code
+FROM req WHERE status <> 500""")
+def str_01_stream_scoring(spark, d):
+    """Arriving requests scored one by one into an append-only log."""
+    out = run_available_now(J.score_stream(stream_table(spark, d, "events")), "scoring")
+    return spark.read.parquet(out)
+
+
+_LE = ", ".join(f"count_if(duration_s <= {b}) AS le_{str(b).replace('.', '_')}" for b in J.PREDICTION_SECONDS)
+
+
+@register("str_02_windowed_metrics", W("req") + f"""
+, g AS (SELECT (epoch_us(ts) // 300000000) * 300000000 AS window_start_us, count(*) AS n,
+               count_if(status >= 500) AS errors, count_if(status <> 500) AS scored,
+               count_if(status <> 500 AND probability >= 0.5) AS frauds, {_LE}
+        FROM req GROUP BY 1)
+SELECT * FROM g WHERE window_start_us + 300000000 <= (SELECT epoch_us(max(ts)) FROM req) - 600000000""")
+def str_02_windowed_metrics(spark, d):
+    """5-minute windows with a 10-minute watermark (append mode: windows closed by the watermark)."""
+    out = run_available_now(J.request_metrics(stream_table(spark, d, "events")), "req-metrics")
+    return spark.read.parquet(out)
+
+
+@register("str_03_count_windows", None)
+def str_03_count_windows(spark, d):
+    """Metrics every 100 labels from a label stream; state = open-window rows and an offset only."""
+    preds = X.predictions_of(load(spark, d, "documents").select("doc_id", "n_chars"))
+    lab = J.labeled_stream(stream_table(spark, d, "labels"), preds)
+    out = scratch_path(spark, "count-windows-out")
+    run_foreach_batch(lab, "count-windows", J.CountWindows(scratch_path(spark, "count-windows-state"), out))
+    rep = spark.read.parquet(out)
+    return rep.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1", "accuracy", "auc")})
+
+
+@register("str_04_online_table", """SELECT user_id, arg_max(value, ts) AS view_value, epoch_us(max(ts)) AS ts_us
+FROM events WHERE event_type = 'view' GROUP BY user_id""")
+def str_04_online_table(spark, d):
+    """Latest-value online table kept fresh from a stream of view rows (versioned overwrite per batch)."""
+    ev = stream_table(spark, d, "events").where(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("event_timestamp"), F.col("ts").alias("created"), F.col("value").alias("view_value"))
+    path = scratch_path(spark, "online-stream")
+    run_foreach_batch(ev, "online", J.OnlineTable(path, "user_id", "event_timestamp", "created", ["view_value"]))
+    cur = J.current_version(spark, path)
+    return cur.select("user_id", "view_value", J.epoch_us(F.col("event_timestamp")).alias("ts_us"))
+
+
+@register("str_05_label_join", W("pred") + f"""
+SELECT transaction_id, ground_truth AS label, round((epoch_us(label_ts) - epoch_us(pred_ts)) / 3.6e9, 6) AS latency_h
+FROM pred WHERE ground_truth IS NOT NULL AND label_ts <= pred_ts + INTERVAL {J.LABEL_HORIZON_HOURS} HOURS""")
+def str_05_label_join(spark, d):
+    """Stream-stream join of labels to predictions within 7 days, with label latency."""
+    p = X.predictions_of(stream_table(spark, d, "documents").select("doc_id", "n_chars"))
+    lab = X.labels_of(stream_table(spark, d, "labels"))
+    out = run_available_now(J.label_join(p, lab), "label-join")
+    return spark.read.parquet(out).withColumn("latency_h", F.round("latency_h", 6))
+
+
+@register("str_06_first_label_only", "SELECT doc_id AS transaction_id FROM labels")
+def str_06_first_label_only(spark, d):
+    """Each labeled id counted once although its label was submitted twice."""
+    sub = J.label_submissions(stream_table(spark, d, "labels"))
+    out = run_available_now(J.first_label_only(sub), "dedup")
+    return spark.read.parquet(out)
+
+
+@register("str_07_log_level_counts", W("logs") + """
+, p AS (SELECT regexp_extract(value, ' - ([A-Z]+) - ', 1) AS level,
+               epoch_us(strptime(regexp_extract(value, '^(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2})', 1), '%Y-%m-%d %H:%M:%S')
+                        + to_milliseconds(COALESCE(TRY_CAST(NULLIF(regexp_extract(value, '^\\S+ \\S+,(\\d{3})', 1), '') AS INTEGER), 0))) AS us
+        FROM logs)
+SELECT (us // 3600000000) * 3600000000 AS window_start_us, level, count(*) AS n FROM p
+WHERE (us // 3600000000) * 3600000000 + 3600000000 <= (SELECT max(us) FROM p) - 600000000
+GROUP BY ALL""")
+def str_07_log_level_counts(spark, d):
+    """Log lines from a stream parsed and counted per level and hour (watermark 10 minutes)."""
+    out = run_available_now(J.log_level_counts(stream_table(spark, d, "events")), "log-levels")
+    return spark.read.parquet(out)
+
+
+# the count-window stream has the same answer as the batch count windows
+from riskframe.plans.registry import ORACLE  # noqa: E402
+ORACLE["str_03_count_windows"] = ORACLE_WIN04
