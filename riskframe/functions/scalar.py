@@ -124,3 +124,16 @@ def trace_sampled(trace_id, ratio: float) -> Column:
 
 def micros_of(ts) -> Column:
     return epoch_micros(col_of(ts))
+
+
+def round_sig(c, digits: int = 7) -> Column:
+    """Round to ``digits`` significant digits (comparisons of large-magnitude float aggregates)."""
+    x = col_of(c)
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
+    return F.when(x.isNull() | (x == 0), x).otherwise(F.round(x / p, digits - 1) * p)
+
+
+def round_sig_sql(expr: str, digits: int = 7) -> str:
+    """DuckDB twin of ``round_sig``."""
+    p = f"pow(10.0, floor(log10(abs({expr}))))"
+    return f"CASE WHEN {expr} IS NULL OR {expr} = 0 THEN {expr} ELSE round({expr} / {p}, {digits - 1}) * {p} END"

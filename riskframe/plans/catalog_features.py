@@ -462,3 +462,57 @@ def set_03_column_intersection(spark, d):
     train, test = X.train_test(spark, d)
     common = [c for c in train.columns if c in set(test.columns)]
     return train.select(*common)
+
+
+# ---------------------------------------------------------------- AGG-12, AGG-13, TOP-05
+def _missing_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS missing FROM tx" for c in TX_COLS]
+    return W("tx") + f", m AS ({' UNION ALL '.join(parts)})\n" \
+        "SELECT column_name, missing FROM m WHERE missing > 0 UNION ALL SELECT '*', CAST(sum(missing) AS BIGINT) FROM m"
+
+
+@register("agg_12_missing_counts", _missing_sql())
+def agg_12_missing_counts(spark, d):
+    """Missing values per column (> 0 only) and in total."""
+    from riskframe.operators.profile import missing_counts
+    return missing_counts(X.transactions(spark, d))
+
+
+_PROFILE_COLS = ["TransactionID", "TransactionDT", "TransactionAmt", "card1", "addr1", "C1", "D1", "D2", "isFraud"]
+
+
+@register("agg_13_profile", W("tx") + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS count, {S.round_sig_sql(f'avg({c})')} AS mean,
+       {S.round_sig_sql(f'stddev_samp({c})')} AS std,
+       CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+       round(quantile_cont({c}, 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM tx""" for c in _PROFILE_COLS))
+def agg_13_profile(spark, d):
+    """Describe: count, mean, std, min, exact quartiles, max for every numeric column."""
+    from riskframe.operators.profile import describe
+    p = describe(X.transactions(spark, d))
+    p = p.withColumns({c: F.round(c, 6) for c in ("p25", "p50", "p75")})
+    return p.withColumns({c: S.round_sig(c) for c in ("mean", "std")})
+
+
+@register("top_05_first_per_class", W("tx") + """
+SELECT TransactionID, isFraud FROM (SELECT *, row_number() OVER (PARTITION BY isFraud ORDER BY TransactionID) AS r FROM tx)
+WHERE r <= 5""")
+def top_05_first_per_class(spark, d):
+    """Five example rows per class (lowest ids), ranked in salted sub-groups first (skew-safe)."""
+    from riskframe.operators.profile import top_k_per_group
+    tx = X.transactions(spark, d).select("TransactionID", "isFraud")
+    return top_k_per_group(tx, ["isFraud"], [F.col("TransactionID")], 5, salt_of=F.col("TransactionID"))
+
+
+@register("top_05_first_rows", W("tx") + "SELECT TransactionID, TransactionAmt FROM tx ORDER BY TransactionID LIMIT 100")
+def top_05_first_rows(spark, d):
+    """First 100 rows by id (the rows published to the store)."""
+    return X.transactions(spark, d).select("TransactionID", "TransactionAmt").orderBy("TransactionID").limit(100)
+
+
+@register("fun_18_iso_text", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS o_orderdate FROM orders")
+def fun_18_iso_text(spark, d):
+    """Timestamps to ISO-8601 text."""
+    from riskframe.functions.time import iso_text
+    o = load(spark, d, "orders")
+    return o.select("o_orderkey", iso_text(F.col("o_orderdate")).alias("o_orderdate"))

@@ -353,3 +353,11 @@ def prj_09_common_columns(spark, d):
     if not common:
         raise ValueError("no common columns between reference and current data")
     return test.select(*common)
+
+
+@register("fun_13_latency_hours", W("pred") + """
+SELECT transaction_id, round((epoch_us(label_ts) - epoch_us(pred_ts)) / 3.6e9, 6) AS latency_h FROM pred WHERE label_ts IS NOT NULL""")
+def fun_13_latency_hours(spark, d):
+    """Hours between prediction and label time (microsecond exact)."""
+    p = X.prediction_log(spark, d).where(F.col("label_ts").isNotNull())
+    return p.select("transaction_id", F.round(hours_between(F.col("pred_ts"), F.col("label_ts")), 6).alias("latency_h"))

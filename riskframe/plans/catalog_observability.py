@@ -511,3 +511,13 @@ def obs_07_quality_over_time(spark, d):
     lab = lab.withColumn("day", F.floor(epoch_micros(F.col("pred_ts")) / 86_400_000_000).cast("bigint"))
     r = M.classification_report(lab, "ground_truth", "prediction", groups=["day"])
     return r.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1", "accuracy")})
+
+
+@register("obs_01_rate_by_labels", REQ + """
+, b AS (SELECT *, epoch_us(ts) // 60000000 AS m FROM req)
+, x AS (SELECT method, status, (m - k) * 60000000 AS window_start_us FROM b, range(0, 5) t(k))
+SELECT method, status, window_start_us, count(*) AS n, round(count(*) / 300.0, 9) AS rate FROM x GROUP BY ALL""")
+def obs_01_rate_by_labels(spark, d):
+    """Requests per second over 5 minutes (1-minute step) for every (method, status) label set."""
+    r = SE.window_rate(X.requests(spark, d), "ts", 300, 60, ["method", "status"])
+    return r.select("method", "status", "window_start_us", "n", F.round("rate", 9).alias("rate"))

@@ -101,3 +101,22 @@ def str_07_log_level_counts(spark, d):
 # the count-window stream has the same answer as the batch count windows
 from riskframe.plans.registry import ORACLE  # noqa: E402
 ORACLE["str_03_count_windows"] = ORACLE_WIN04
+
+
+@register("src_09_transaction_stream", W("tx") + """
+SELECT CAST(TransactionAmt AS DOUBLE) AS TransactionAmt, CAST(card1 AS DOUBLE) AS card1, CAST(NULL AS DOUBLE) AS card2,
+       CAST(NULL AS DOUBLE) AS card3, card4, CAST(NULL AS DOUBLE) AS card5, card6, CAST(addr1 AS DOUBLE) AS addr1,
+       CAST(NULL AS DOUBLE) AS addr2, CAST(NULL AS VARCHAR) AS ProductCD, P_emaildomain, CAST(NULL AS VARCHAR) AS R_emaildomain
+FROM tx""")
+def src_09_transaction_stream(spark, d):
+    """Transactions arriving as a stream (orders stream joined to the static identity table) as typed records."""
+    from riskframe.sources.records import to_request_records
+    o = stream_table(spark, d, "orders")
+    c = load(spark, d, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    t = j.select(F.col("o_totalprice").alias("TransactionAmt"), F.col("o_custkey").alias("card1"),
+                 F.col("o_orderpriority").alias("card4"), F.col("o_orderstatus").alias("card6"),
+                 F.col("c_nationkey").alias("addr1"),
+                 F.expr(f"nullif(c_mktsegment, '{X.NULL_SEGMENT}')").alias("P_emaildomain"))
+    out = run_available_now(to_request_records(t), "tx-stream")
+    return spark.read.parquet(out)
