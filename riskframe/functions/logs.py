@@ -21,42 +21,67 @@ LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 
 
 def _x(c: Column, pattern: str, idx: int) -> Column:
-    v = F.regexp_extract(c, pattern, idx)
-    return F.when(v == "", F.lit(None).cast("string")).otherwise(v)
+    """One regex group; no match (empty string) becomes null. The regex runs once."""
+    return F.nullif(F.regexp_extract(c, pattern, idx), F.lit(""))
 
 
 def parse_log_line(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """FUN-14: split a line into time, logger, level, function, line number and message."""
+    """FUN-14: split a line into time, logger, level, function, line number and message.
+
+    One anchored ``rlike`` validates the whole line against ``LINE_PATTERN``;
+    the fields then come from a single ``split`` on " - " (logger, level and
+    function cannot contain that separator, so the fifth part is the whole
+    message). Lines that do not match give nulls, as a regex extract would.
+    """
     t = F.col(text_col)
-    ms = _x(t, LINE_PATTERN, 2)
-    base = F.to_timestamp(_x(t, LINE_PATTERN, 1), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
-    ts = F.when(ms.isNull(), base).otherwise(
-        F.timestamp_add("MILLISECOND", ms.cast("int"), base))
-    return df.select(
-        "*",
-        ts.alias("log_ts"),
-        _x(t, LINE_PATTERN, 3).alias("logger"),
-        _x(t, LINE_PATTERN, 4).alias("level"),
-        _x(t, LINE_PATTERN, 5).alias("function"),
-        _x(t, LINE_PATTERN, 6).try_cast("int").alias("line"),
-        _x(t, LINE_PATTERN, 7).alias("message"),
+    # lower projection: the regex check and the split run once per line (not per field)
+    staged = df.select("*", t.rlike(LINE_PATTERN).alias("__ok"), F.split(t, " - ", 5).alias("__p"))
+    ok, parts = F.col("__ok"), F.col("__p")
+
+    def field(i):
+        return F.when(ok, parts[i])
+
+    head = parts[0]
+    base = F.to_timestamp(F.substring(head, 1, 19), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+    ms = F.when(F.length(head) > 19, F.substring(head, 21, 3).cast("int")).otherwise(F.lit(0))
+    fl = parts[3]
+    return staged.select(
+        *df.columns,
+        F.when(ok, F.timestamp_add("MILLISECOND", ms, base)).alias("log_ts"),
+        field(1).alias("logger"),
+        field(2).alias("level"),
+        F.when(ok, F.substring_index(fl, ":", 1)).alias("function"),
+        F.when(ok, F.substring_index(fl, ":", -1).try_cast("int")).alias("line"),
+        field(4).alias("message"),
     )
 
 
 def parse_request_fields(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """FUN-15: trace id, kind, method, path, client, status, duration (seconds), probability."""
+    """FUN-15: trace id, kind, method, path, client, status, duration (seconds), probability.
+
+    Each pattern runs once per line (a lower projection holds the matches);
+    the request triple and the duration unit are then cut with string functions.
+    """
     t = F.col(text_col)
-    dur = _x(t, DURATION_PATTERN, 1).try_cast("double")
-    unit = _x(t, DURATION_PATTERN, 2)
-    return df.select(
-        "*",
+    staged = df.select("*",
+                       _x(t, REQUEST_PATTERN, 0).alias("__req"),
+                       _x(t, DURATION_PATTERN, 0).alias("__dur"))
+    req = F.split(F.col("__req"), " ")
+    dur_txt = F.regexp_replace(F.col("__dur"), "^Duration: ", "")
+    is_ms = dur_txt.endswith("ms")
+    num = F.when(is_ms, F.expr("substring(regexp_replace(__dur, '^Duration: ', ''), 1, "
+                               "length(regexp_replace(__dur, '^Duration: ', '')) - 2)")) \
+           .otherwise(F.expr("substring(regexp_replace(__dur, '^Duration: ', ''), 1, "
+                             "length(regexp_replace(__dur, '^Duration: ', '')) - 1)")).try_cast("double")
+    return staged.select(
+        *df.columns,
         _x(t, TRACE_PATTERN, 1).alias("trace_id"),
-        _x(t, REQUEST_PATTERN, 1).alias("kind"),
-        _x(t, REQUEST_PATTERN, 2).alias("method"),
-        _x(t, REQUEST_PATTERN, 3).alias("path"),
+        F.regexp_replace(req[0], ":$", "").alias("kind"),
+        req[1].alias("method"),
+        req[2].alias("path"),
         _x(t, CLIENT_PATTERN, 1).alias("client"),
         _x(t, STATUS_PATTERN, 1).try_cast("int").alias("status"),
-        F.when(unit == "ms", dur / 1000.0).otherwise(dur).alias("duration_s"),
+        F.when(is_ms, num / 1000.0).otherwise(num).alias("duration_s"),
         _x(t, PROBABILITY_PATTERN, 1).try_cast("double").alias("probability"),
     )
 
