@@ -92,6 +92,9 @@ def unpivot_keys(df: DataFrame, cols: Iterable[str], carry: Sequence[str] = (),
                  token: str | None = None) -> DataFrame:
     """Wide key columns to long ``(feature, key)`` text pairs; null keys dropped unless ``token``."""
     cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame([], f"{', '.join(f'{c} {df.schema[c].dataType.simpleString()}' for c in carry)}"
+                                               f"{', ' if carry else ''}feature string, key string")
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"),
                                (F.coalesce(F.col(c).cast("string"), F.lit(token)) if token is not None
                                 else F.col(c).cast("string")).alias("key")) for c in cols])

@@ -135,6 +135,13 @@ class FraudFeatures:
         measures = ["count", "id_count", "nunique"] + (["share"] if self.normalize else [])
         # one aggregate: card columns get all measures, combo columns their counts
         stats = K.key_stats(tr, card + combos, id_col=self.id_col, value_col=self.amount_col, measures=measures)
+        if not combos:
+            empty = tr.sparkSession.createDataFrame([], "feature string, key string, code bigint")
+            if self.checkpoint:
+                stats = cut_lineage(stats)
+            return FittedFeatures(stats=stats, sizes=K.stats_sizes(stats), codes=empty, code_sizes={},
+                                  card_cols=card, combo_cols=[], normalize=self.normalize, id_col=self.id_col,
+                                  amount_col=self.amount_col, cents_scale=self.cents_scale, fill=self.fill)
         dom = tr.select(*combos)
         if test is not None:
             te = add_combined_keys(test)
