@@ -123,4 +123,32 @@ def bucket_quantile(hist: DataFrame, q: float, groups: Sequence[str] = (), name:
 
 def exact_quantile(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence = ()) -> DataFrame:
     """Exact (interpolated) quantiles; named apart from the bucket estimate on purpose."""
-    return df.groupBy(*groups).agg(*[F.percentile(value, q).alias(f"p{int(round(q * 100))}") for q in qs])
+    return quantiles(df, value, qs, groups)
+
+
+def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
+              names: Sequence[str] | None = None) -> DataFrame:
+    """Exact interpolated quantiles (``quantile_cont`` semantics) without a per-group value buffer.
+
+    Rows are ranked with the H1 running count (range-partitioned, so a hot
+    group is spread over many tasks); only the rows at the interpolation
+    ranks ``floor(h)`` and ``ceil(h)``, ``h = q (n - 1)``, are kept and combined.
+    """
+    names = list(names or [f"p{int(round(q * 100))}" for q in qs])
+    v = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("__x"))
+    ranked = running_totals(v, ["__x"], {"__i": F.lit(1).cast("bigint")}, groups=groups)
+    n = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+    wanted = n.select(*groups, "__n", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("__q"), F.lit(float(q)).alias("__qv"),
+                 (F.floor(F.lit(float(q)) * (F.col("__n") - 1)) + 1).cast("bigint").alias("__lo"),
+                 (F.ceil(F.lit(float(q)) * (F.col("__n") - 1)) + 1).cast("bigint").alias("__hi"))
+        for i, q in enumerate(qs)])))
+    pick = wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__lo").alias("__i")).unionByName(
+        wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__hi").alias("__i"))).distinct()
+    hit = ranked.join(F.broadcast(pick) if not groups else pick, [*groups, "__i"])
+    per = hit.groupBy(*groups, "__q", "__qv", "__n").agg(
+        F.min_by("__x", "__i").alias("__xlo"), F.max_by("__x", "__i").alias("__xhi"), F.min("__i").alias("__ilo"))
+    h = F.col("__qv") * (F.col("__n") - 1)
+    val = F.col("__xlo") + (h - (F.col("__ilo") - 1)) * (F.col("__xhi") - F.col("__xlo"))
+    out = per.groupBy(*groups).pivot("__q", list(range(len(qs)))).agg(F.first(val))
+    return out.select(*groups, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])

@@ -26,20 +26,24 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, quartiles=(0.25, 0.5, 0.75)) -> DataFrame:
     """AGG-13: count, mean, std, min, exact quartiles and max per numeric column (one aggregate)."""
+    from riskframe.operators.metrics import quantiles
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     aggs = []
     for c in num:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, list(quartiles)).alias(f"{c}__q")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
                                F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                               F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("p25"),
-                               F.col(f"{c}__q")[1].alias("p50"), F.col(f"{c}__q")[2].alias("p75"),
-                               F.col(f"{c}__max").alias("max")) for c in num])
-    return one.select(F.inline(cells))
+                               F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in num])
+    moments = one.select(F.inline(cells))
+    # quartiles of all columns in one ranked pass over the unpivoted values
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                                        for c in num])))
+    q = quantiles(long, "x", list(quartiles), ["column_name"], ["p25", "p50", "p75"])
+    return moments.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min",
+                                                          "p25", "p50", "p75", "max")
 
 
 def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int,

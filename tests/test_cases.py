@@ -252,3 +252,11 @@ def test_isolation_forest_scores_outliers_higher(spark):
     top = sc.orderBy(F.col("anomaly_score").desc()).first()
     assert top["id"] == 10_000 and 0 < top["anomaly_score"] <= 1
     assert forest.groupBy("tree_id").count().count() == 20
+
+
+def test_distributed_quantiles_equal_percentile(spark):
+    df = spark.range(2001).select((F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 101).cast("double").alias("x"))
+    got = {r.g: (r.p25, r.p50, r.p99) for r in M.quantiles(df, "x", [0.25, 0.5, 0.99], ["g"]).collect()}
+    ref = {r.g: tuple(r.p) for r in df.groupBy("g").agg(F.percentile("x", [0.25, 0.5, 0.99]).alias("p")).collect()}
+    for g in ref:
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], ref[g]))
