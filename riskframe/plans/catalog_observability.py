@@ -174,7 +174,10 @@ SELECT pl.line_no, s.span_id FROM pl JOIN spans s ON CAST(pl.trace_id AS BIGINT)
 WHERE abs(pl.log_us - epoch_us(s.start_ts)) <= 60000000""")
 def jon_05_logs_spans(spark, d):
     """Log lines joined to spans of the same trace with log time within +-1 minute of the span start."""
-    p = _logs(spark, d).select("line_no", F.col("trace_id").try_cast("bigint").alias("trace_id"), "log_us")
+    # join keys made non-null (-1 never matches a span): otherwise Catalyst infers
+    # isnotnull(key) filters and pushes them into the scan, re-running the whole parse there
+    p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), F.lit(-1)).alias("trace_id"),
+                               F.coalesce(F.col("log_us"), F.lit(-1)).alias("log_us"))
     p = p.withColumn("bucket", F.floor(F.col("log_us") / 60_000_000).cast("bigint"))
     s = X.spans(spark, d).select("trace_id", "span_id", epoch_micros(F.col("start_ts")).alias("span_us"))
     b = F.floor(F.col("span_us") / 60_000_000).cast("bigint")
