@@ -178,7 +178,7 @@ def jon_05_logs_spans(spark, d):
     # isnotnull(key) filters and pushes them into the scan, re-running the whole parse there
     p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), F.lit(-1)).alias("trace_id"),
                                F.coalesce(F.col("log_us"), F.lit(-1)).alias("log_us"))
-    p = p.withColumn("bucket", F.floor(F.col("log_us") / 60_000_000).cast("bigint"))
+    p = p.withColumn("bucket", F.coalesce(F.floor(F.col("log_us") / 60_000_000).cast("bigint"), F.lit(-1).cast("bigint")))
     s = X.spans(spark, d).select("trace_id", "span_id", epoch_micros(F.col("start_ts")).alias("span_us"))
     b = F.floor(F.col("span_us") / 60_000_000).cast("bigint")
     s = s.withColumn("bucket", F.explode(F.sequence(b - 1, b + 1)))
