@@ -255,7 +255,7 @@ def _align_sql() -> str:
         [f"{c}_{m}" for c in CARDS for m in ("freq", "count", "nunique")] + \
         ["card1_addr1_encoded", "card1_addr1_P_emaildomain_encoded", "TransactionAmt_to_mean",
          "TransactionCents", "card1_addr1_freq", "card1_addr1_P_emaildomain_freq"]
-    cols = [f"CAST(COALESCE({n}, 0) AS DOUBLE) AS {n}" if n in have else f"0.0 AS {n}"
+    cols = [f"CAST(COALESCE({n}, 0) AS DOUBLE) AS {n}" if n in have else f"CAST(0.0 AS DOUBLE) AS {n}"
             for n in FE.EXPECTED_FEATURES]
     return "WITH bf AS (" + _batch_sql() + ")\nSELECT " + ", ".join(cols) + " FROM bf WHERE split = 'test'"
 

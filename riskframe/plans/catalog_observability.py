@@ -346,11 +346,11 @@ def win_03_window_rate(spark, d):
 
 _COUNTER_SQL = REQ + """
 , pm AS (SELECT service, epoch_us(ts) // 60000000 AS minute, count(*) AS k FROM req GROUP BY ALL)
-, samples AS (SELECT service, minute, sum(k) OVER (PARTITION BY service, minute // 1440 ORDER BY minute) AS counter FROM pm)
+, samples AS (SELECT service, minute, CAST(sum(k) OVER (PARTITION BY service, minute // 1440 ORDER BY minute) AS BIGINT) AS counter FROM pm)
 , d AS (SELECT *, CASE WHEN lag(counter) OVER w IS NULL THEN 0 WHEN counter < lag(counter) OVER w THEN counter
                        ELSE counter - lag(counter) OVER w END AS delta
         FROM samples WINDOW w AS (PARTITION BY service ORDER BY minute))
-SELECT service, minute, counter, sum(delta) OVER (PARTITION BY service ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS increase
+SELECT service, minute, counter, CAST(sum(delta) OVER (PARTITION BY service ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW) AS BIGINT) AS increase
 FROM d"""
 
 

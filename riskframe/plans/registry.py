@@ -16,6 +16,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """Type alignment for the DuckDB twins: ``count_if`` returns HUGEINT there, bigint in Spark."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +43,7 @@ def register(name: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = bigint_counts(sql)
         return run
     return deco
 

@@ -99,8 +99,8 @@ def str_07_log_level_counts(spark, d):
 
 
 # the count-window stream has the same answer as the batch count windows
-from riskframe.plans.registry import ORACLE  # noqa: E402
-ORACLE["str_03_count_windows"] = ORACLE_WIN04
+from riskframe.plans.registry import ORACLE, bigint_counts  # noqa: E402
+ORACLE["str_03_count_windows"] = bigint_counts(ORACLE_WIN04)
 
 
 @register("src_09_transaction_stream", W("tx") + """

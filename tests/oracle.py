@@ -18,6 +18,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def _norm(v):
     if v is None:
         return "None"
@@ -41,11 +45,17 @@ def rows_hash(cols, rows):
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
-    rel = con.execute(sql)
-    d_cols = [c[0] for c in rel.description]
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
     res = {"spark_rows": len(s_rows), "duck_rows": len(d_rows),
-           "cols_match": sorted(s_cols) == sorted(d_cols)}
+           "cols_match": sorted(s_cols) == sorted(d_cols),
+           "types_match": all(s_types[c] == d_types.get(c) for c in s_cols)}
+    if not res["types_match"]:
+        res["type_diff"] = [(c, s_types[c], d_types.get(c)) for c in s_cols if s_types[c] != d_types.get(c)][:5]
     hs, ls = rows_hash(s_cols, s_rows)
     hd, ld = rows_hash(d_cols, d_rows)
     res["hash_match"] = hs == hd

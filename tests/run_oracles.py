@@ -26,7 +26,7 @@ for name, fn in QUERIES.items():
         df = fn(spark, sf)
         if name in ORACLE:
             r = compare(df, con, ORACLE[name])
-            ok = r["hash_match"] and r["cols_match"] and r["spark_rows"] == r["duck_rows"]
+            ok = r["hash_match"] and r["cols_match"] and r["types_match"] and r["spark_rows"] == r["duck_rows"]
         else:
             r = {"spark_rows": df.count(), "rows_only": True}
             ok = True

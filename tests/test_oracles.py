@@ -15,6 +15,7 @@ def test_query_matches_oracle(spark, duck_small, name):
     df = QUERIES[name](spark, SF_SMALL)
     r = compare(df, duck_small, ORACLE[name])
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["duck_rows"], r
     assert r["hash_match"], r
 
