@@ -19,7 +19,6 @@ it is a shuffle join (AQE splits skewed partitions of the big side).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -169,11 +168,3 @@ def apply_stats(df: DataFrame, stats: DataFrame, cols: Iterable[str], measure_na
         df = lookup(df, per, key, "key", {m: f"{c}_{suffix}" for m, suffix in measure_names.items()},
                     rows=(sizes or {}).get(c), fill=fill)
     return df
-
-
-def ceil_div(a: int, b: int) -> int:
-    return -(-a // b) if b else 0
-
-
-def log2_ranges(n: int) -> int:
-    return max(1, int(math.log2(max(n, 1))))

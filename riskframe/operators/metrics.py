@@ -147,8 +147,13 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[s
         wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__hi").alias("__i"))).distinct()
     hit = ranked.join(F.broadcast(pick) if not groups else pick, [*groups, "__i"])
     per = hit.groupBy(*groups, "__q", "__qv", "__n").agg(
-        F.min_by("__x", "__i").alias("__xlo"), F.max_by("__x", "__i").alias("__xhi"), F.min("__i").alias("__ilo"))
-    h = F.col("__qv") * (F.col("__n") - 1)
-    val = F.col("__xlo") + (h - (F.col("__ilo") - 1)) * (F.col("__xhi") - F.col("__xlo"))
+        F.min_by("__x", "__i").alias("__xlo"), F.max_by("__x", "__i").alias("__xhi"),
+        F.min("__i").alias("__ilo"), F.max("__i").alias("__ihi"))
+    # weighted form (ceil(h) - h) * lo + (h - floor(h)) * hi, the same float operations as
+    # Spark's percentile and DuckDB's quantile_cont
+    h = (F.col("__n") - 1) * F.col("__qv")
+    lo_pos, hi_pos = F.col("__ilo") - 1, F.col("__ihi") - 1
+    val = F.when(lo_pos == hi_pos, F.col("__xlo")).otherwise(
+        (hi_pos - h) * F.col("__xlo") + (h - lo_pos) * F.col("__xhi"))
     out = per.groupBy(*groups).pivot("__q", list(range(len(qs)))).agg(F.first(val))
     return out.select(*groups, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
