@@ -67,7 +67,9 @@ def running_totals(df: DataFrame, order: Sequence[str], measures: Mapping[str, C
     wo = (Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))) \
         .orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("__r", *groups, *[F.sum(f"__t_{tmp[n]}").over(wo).alias(f"__o_{tmp[n]}") for n in measures])
-    j = local.join(F.broadcast(off), ["__r", *groups], "left")
+    # without groups the offsets table has at most ``ranges`` rows (safe to broadcast);
+    # with groups it grows with the number of groups, so the planner decides
+    j = local.join(F.broadcast(off) if not groups else off, ["__r", *groups], "left")
     res = j.select(*[c for c in df.columns],
                    *[(F.coalesce(F.col(f"__o_{tmp[n]}"), F.lit(0)) +
                       F.coalesce(F.col(f"__l_{tmp[n]}"), F.lit(0))).alias(n) for n in measures])

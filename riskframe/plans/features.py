@@ -107,11 +107,15 @@ class FittedFeatures:
         for c in self.combo_cols:
             if c not in df.columns:
                 continue
-            cd = self.codes.where(F.col("feature") == c)
-            df = K.lookup(df, cd, F.col(c), "key", {"code": f"{c}_encoded"}, rows=self.code_sizes.get(c))
-            st = self.stats.where(F.col("feature") == c)
-            df = K.lookup(df, st, F.col(c), "key", {freq_name: f"{c}_freq"}, rows=self.sizes.get(c),
-                          fill=self.fill)
+            # code and frequency share the key: join the two small tables first, so the
+            # large frame is joined (and, beyond the broadcast bound, shuffled) once per key
+            cd = self.codes.where(F.col("feature") == c).select("key", "code")
+            st = self.stats.where(F.col("feature") == c).select("key", freq_name)
+            table = cd.join(st, "key", "left")
+            df = K.lookup(df, table, F.col(c), "key", {"code": f"{c}_encoded", freq_name: f"{c}_freq"},
+                          rows=self.code_sizes.get(c))
+            if self.fill is not None:
+                df = df.fillna({f"{c}_freq": self.fill})
         if self.drop_final:
             df = drop_columns(df)
         return df
