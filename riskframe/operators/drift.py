@@ -83,7 +83,7 @@ def ks(reference: DataFrame, current: DataFrame) -> DataFrame:
     both = (reference.select("feature", "x", F.lit(1).alias("r"), F.lit(0).alias("c"))
             .unionByName(current.select("feature", "x", F.lit(0).alias("r"), F.lit(1).alias("c"))))
     g = both.groupBy("feature", "x").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    cum = running_totals(g, ["x"], {"cr": F.col("nr"), "cc": F.col("nc")}, groups=["feature"])
+    cum = running_totals(g, ["x"], {"cr": F.col("nr"), "cc": F.col("nc")}, groups=["feature"], few_groups=True)
     tot = g.groupBy("feature").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
     j = cum.join(F.broadcast(tot), "feature")
     out = j.groupBy("feature", "n_ref", "n_cur").agg(

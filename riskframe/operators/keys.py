@@ -41,11 +41,13 @@ def shuffle_partitions(spark) -> int:
 
 def running_totals(df: DataFrame, order: Sequence[str], measures: Mapping[str, Column],
                    groups: Sequence[str] = (), ranges: int | None = None,
-                   inclusive: bool = True) -> DataFrame:
+                   inclusive: bool = True, few_groups: bool = False) -> DataFrame:
     """Add, for each measure, its running total in ``order`` (restarting per ``groups``).
 
     ``inclusive=True`` counts the current row. Output keeps every input column
-    plus one column per measure name.
+    plus one column per measure name. ``few_groups`` tells that the groups are
+    few by construction (features, classes), so the offsets table
+    (ranges x groups rows) may be broadcast.
     """
     spark = df.sparkSession
     k = ranges or shuffle_partitions(spark)
@@ -69,7 +71,7 @@ def running_totals(df: DataFrame, order: Sequence[str], measures: Mapping[str, C
     off = tot.select("__r", *groups, *[F.sum(f"__t_{tmp[n]}").over(wo).alias(f"__o_{tmp[n]}") for n in measures])
     # without groups the offsets table has at most ``ranges`` rows (safe to broadcast);
     # with groups it grows with the number of groups, so the planner decides
-    j = local.join(F.broadcast(off) if not groups else off, ["__r", *groups], "left")
+    j = local.join(F.broadcast(off) if (not groups or few_groups) else off, ["__r", *groups], "left")
     res = j.select(*[c for c in df.columns],
                    *[(F.coalesce(F.col(f"__o_{tmp[n]}"), F.lit(0)) +
                       F.coalesce(F.col(f"__l_{tmp[n]}"), F.lit(0))).alias(n) for n in measures])
@@ -143,6 +145,11 @@ def stats_sizes(stats: DataFrame) -> dict[str, int]:
     return {r["feature"]: r["n"] for r in stats.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def broadcastable(rows: int | None) -> bool:
+    """True when a lookup table of ``rows`` rows is under the broadcast bound."""
+    return rows is not None and rows * BYTES_PER_STATS_ROW <= BROADCAST_BYTES
+
+
 def lookup(df: DataFrame, table: DataFrame, df_key: Column, table_key: str,
            values: Mapping[str, str], rows: int | None = None, fill=None) -> DataFrame:
     """JON-02: LEFT join ``df`` to ``table`` on a key; unseen and null keys give null (or ``fill``).
@@ -151,7 +158,7 @@ def lookup(df: DataFrame, table: DataFrame, df_key: Column, table_key: str,
     caller) decides broadcast vs shuffle join.
     """
     t = table.select(F.col(table_key).alias("__lk"), *[F.col(s).alias(o) for s, o in values.items()])
-    if rows is not None and rows * BYTES_PER_STATS_ROW <= BROADCAST_BYTES:
+    if broadcastable(rows):
         t = F.broadcast(t)
     out = df.withColumn("__lk", df_key).join(t, "__lk", "left").drop("__lk")
     if fill is not None:

@@ -127,7 +127,7 @@ def exact_quantile(df: DataFrame, value: str, qs: Sequence[float], groups: Seque
 
 
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, few_groups: bool = False) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont`` semantics) without a per-group value buffer.
 
     Rows are ranked with the H1 running count (range-partitioned, so a hot
@@ -136,7 +136,7 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[s
     """
     names = list(names or [f"p{int(round(q * 100))}" for q in qs])
     v = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("__x"))
-    ranked = running_totals(v, ["__x"], {"__i": F.lit(1).cast("bigint")}, groups=groups)
+    ranked = running_totals(v, ["__x"], {"__i": F.lit(1).cast("bigint")}, groups=groups, few_groups=few_groups)
     n = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
     wanted = n.select(*groups, "__n", F.inline(F.array(*[
         F.struct(F.lit(i).alias("__q"), F.lit(float(q)).alias("__qv"),
@@ -145,7 +145,7 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[s
         for i, q in enumerate(qs)])))
     pick = wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__lo").alias("__i")).unionByName(
         wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__hi").alias("__i"))).distinct()
-    hit = ranked.join(F.broadcast(pick) if not groups else pick, [*groups, "__i"])
+    hit = ranked.join(F.broadcast(pick) if (not groups or few_groups) else pick, [*groups, "__i"])
     per = hit.groupBy(*groups, "__q", "__qv", "__n").agg(
         F.min_by("__x", "__i").alias("__xlo"), F.max_by("__x", "__i").alias("__xhi"),
         F.min("__i").alias("__ilo"), F.max("__i").alias("__ihi"))

@@ -41,7 +41,7 @@ def describe(df: DataFrame, quartiles=(0.25, 0.5, 0.75)) -> DataFrame:
     # quartiles of all columns in one ranked pass over the unpivoted values
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
                                         for c in num])))
-    q = quantiles(long, "x", list(quartiles), ["column_name"], ["p25", "p50", "p75"])
+    q = quantiles(long, "x", list(quartiles), ["column_name"], ["p25", "p50", "p75"], few_groups=True)
     return moments.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min",
                                                           "p25", "p50", "p75", "max")
 

@@ -250,7 +250,7 @@ def agg_20_span_stats(spark, d):
     """Span count, mean and P95 duration by service and operation."""
     s = X.spans(spark, d)
     g = s.groupBy("service", "name").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("duration_ms"), 6).alias("mean_ms"))
-    q = M.quantiles(s, "duration_ms", [0.95], ["service", "name"], ["p95_ms"])
+    q = M.quantiles(s, "duration_ms", [0.95], ["service", "name"], ["p95_ms"], few_groups=True)
     return g.join(q, ["service", "name"]).withColumn("p95_ms", F.round("p95_ms", 6))
 
 
@@ -271,7 +271,7 @@ def agg_21_transaction_perf(spark, d):
     r = X.requests(spark, d)
     sat, tol = SE.apdex(F.col("duration_s"), APDEX_T)
     us = epoch_micros(F.col("ts"))
-    qs = M.quantiles(r, "duration_s", [0.5, 0.75, 0.95, 0.99], ["endpoint"])
+    qs = M.quantiles(r, "duration_s", [0.5, 0.75, 0.95, 0.99], ["endpoint"], few_groups=True)
     qs = qs.select("endpoint", *[F.round(c, 6).alias(c) for c in ("p50", "p75", "p95", "p99")])
     return qs.join(r.groupBy("endpoint").agg(
         F.count(F.lit(1)).alias("n"),

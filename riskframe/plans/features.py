@@ -107,13 +107,17 @@ class FittedFeatures:
         for c in self.combo_cols:
             if c not in df.columns:
                 continue
-            # code and frequency share the key: join the two small tables first, so the
-            # large frame is joined (and, beyond the broadcast bound, shuffled) once per key
             cd = self.codes.where(F.col("feature") == c).select("key", "code")
             st = self.stats.where(F.col("feature") == c).select("key", freq_name)
-            table = cd.join(st, "key", "left")
-            df = K.lookup(df, table, F.col(c), "key", {"code": f"{c}_encoded", freq_name: f"{c}_freq"},
-                          rows=self.code_sizes.get(c))
+            if K.broadcastable(self.code_sizes.get(c)) and K.broadcastable(self.sizes.get(c)):
+                # both tables broadcast: two map-side lookups, no shuffle of the large frame
+                df = K.lookup(df, cd, F.col(c), "key", {"code": f"{c}_encoded"}, rows=self.code_sizes.get(c))
+                df = K.lookup(df, st, F.col(c), "key", {freq_name: f"{c}_freq"}, rows=self.sizes.get(c))
+            else:
+                # beyond the bound: join the two small tables first, so the large frame is
+                # shuffled once for this key instead of twice
+                df = K.lookup(df, cd.join(st, "key", "left"), F.col(c), "key",
+                              {"code": f"{c}_encoded", freq_name: f"{c}_freq"}, rows=self.code_sizes.get(c))
             if self.fill is not None:
                 df = df.fillna({f"{c}_freq": self.fill})
         if self.drop_final:
@@ -152,7 +156,7 @@ class FraudFeatures:
             dom = dom.unionByName(te.select(*combos))
         long = K.unpivot_keys(dom, combos)
         codes = K.running_totals(long.select("feature", "key").distinct(), ["key"],
-                                 {"code": F.lit(1).cast("bigint")}, groups=["feature"])
+                                 {"code": F.lit(1).cast("bigint")}, groups=["feature"], few_groups=True)
         codes = codes.withColumn("code", F.col("code") - 1)
         if self.checkpoint:
             stats = cut_lineage(stats)

@@ -45,7 +45,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: floa
     and the same md5 makes the split reproducible in SQL.
     """
     h = df.withColumn("__h", split_hash(id_col, seed))
-    ranked = running_totals(h, ["__h", id_col], {"__rank": F.lit(1).cast("bigint")}, groups=[label])
+    ranked = running_totals(h, ["__h", id_col], {"__rank": F.lit(1).cast("bigint")}, groups=[label], few_groups=True)
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     j = ranked.join(F.broadcast(sizes), label)
     test = F.col("__rank") <= F.floor(F.col("__n") * test_fraction + 0.5)
