@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.time import epoch_micros
+from riskframe.session import cut_lineage
 
 
 def edges(spans: DataFrame) -> DataFrame:
@@ -32,15 +33,18 @@ def depths(spans: DataFrame, max_depth: int = 64) -> DataFrame:
 
     Levels are expanded until a level is empty (a one-row ``isEmpty`` probe);
     ``max_depth`` guards against parent cycles. Spans whose parent is missing
-    keep a null depth.
+    keep a null depth. Each level is checkpointed, so level d is computed
+    once (not re-derived from level 0 on every probe) and survives executor loss.
     """
     base = spans.select("trace_id", "span_id", "parent_span_id")
-    level = base.where(F.col("parent_span_id").isNull()).select("trace_id", "span_id", F.lit(0).alias("depth"))
+    kids = cut_lineage(base.where(F.col("parent_span_id").isNotNull()))
+    level = cut_lineage(base.where(F.col("parent_span_id").isNull())
+                        .select("trace_id", "span_id", F.lit(0).alias("depth")))
     out = level
-    kids = base.where(F.col("parent_span_id").isNotNull())
     for d in range(1, max_depth + 1):
         nxt = kids.join(level.select("trace_id", F.col("span_id").alias("parent_span_id")),
                         ["trace_id", "parent_span_id"]).select("trace_id", "span_id", F.lit(d).alias("depth"))
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         out = out.unionByName(nxt)
