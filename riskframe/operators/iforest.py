@@ -12,13 +12,19 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The tree builder and scorer run in Python workers: ship this module's code with the
+# tasks (pickled by value) so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EULER = 0.5772156649015329
 NODE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, left int, right int, size long"
 

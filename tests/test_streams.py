@@ -41,3 +41,27 @@ def test_replayed_batch_is_idempotent_for_online_table(spark):
     ot(rows.where("v >= 2"), 1)       # replay of batch 1
     cur = J.current_version(spark, path)
     assert sorted((r.user_id, r.v) for r in cur.collect()) == [(1, 2.0), (2, 5.0)]
+
+
+def test_python_workers_need_no_installed_package(tmp_path):
+    """The pandas functions ship by value: a driver started elsewhere still runs them."""
+    import os
+    import subprocess
+    import sys
+    from conftest import ROOT
+    script = tmp_path / "run_iforest.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {ROOT!r})          # driver-side import only; workers get no path
+from riskframe.session import get_spark
+from riskframe.operators import iforest as IF
+from pyspark.sql import functions as F
+spark = get_spark("local[2]", shuffle_partitions=2)
+df = spark.range(500).select(F.col("id"), (F.col("id") % 7).cast("double").alias("x"))
+forest = IF.fit(df, ["x"], "id", trees=5, sample_size=32)
+print("ROWS", IF.score(df, forest, ["x"], ["id"]).count())
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True, text=True,
+                       timeout=600)
+    assert "ROWS 500" in r.stdout, r.stderr[-2000:]
