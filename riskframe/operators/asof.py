@@ -28,8 +28,13 @@ from riskframe.functions.time import epoch_micros
 
 def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str, feature_ts: str,
               values: Sequence[str], created: str | None = None, ttl_seconds: float | None = None,
-              bucket_seconds: float = 86400.0, prefix: str = "") -> DataFrame:
-    """Each entity row plus the latest feature row with ``feature_ts <= entity_ts`` within the TTL."""
+              bucket_seconds: float = 3600.0, prefix: str = "") -> DataFrame:
+    """Each entity row plus the latest feature row with ``feature_ts <= entity_ts`` within the TTL.
+
+    ``bucket_seconds`` bounds the rows one task sees (one key's rows of one
+    bucket); the carried-over table grows with the number of active buckets per
+    key, not with the rows, so small buckets are cheap.
+    """
     width = int(bucket_seconds * 1_000_000)
     created = created or feature_ts
     fcols = list(values) + [feature_ts]

@@ -58,13 +58,13 @@ def jon_03_asof_join(spark, d):
     return out.select("event_id", "user_id", "feature_value")
 
 
-@register("win_02_asof_small_buckets", W("ent") + f"""
+@register("win_02_asof_day_buckets", W("ent") + f"""
 SELECT e.event_id, e.user_id, {_ttl('f')} AS feature_value
 FROM ent e {_asof_sql('e', 'view', 'f')}""")
-def win_02_asof_small_buckets(spark, d):
-    """Same carry-forward with hour buckets (earlier-bucket matches carried over many buckets)."""
+def win_02_asof_day_buckets(spark, d):
+    """Same carry-forward with day buckets (the TTL width: at most one earlier bucket matters)."""
     out = asof_join(X.entity_rows(spark, d), X.feature_rows(spark, d), "user_id", "event_timestamp",
-                    "event_timestamp", ["feature_value"], created="created", ttl_seconds=TTL, bucket_seconds=3600)
+                    "event_timestamp", ["feature_value"], created="created", ttl_seconds=TTL, bucket_seconds=86400)
     return out.select("event_id", "user_id", "feature_value")
 
 

@@ -42,7 +42,7 @@ def source_rows(view: FeatureView, start=None, end=None) -> DataFrame:
 
 def historical_features(entities: DataFrame, views: Sequence[FeatureView], entity_ts: str = "event_timestamp",
                         on_demand: Mapping[str, Callable[[], Column]] | None = None,
-                        bucket_seconds: float = 86400.0) -> DataFrame:
+                        bucket_seconds: float = 3600.0) -> DataFrame:
     """FST-01: point-in-time join of every view (as-of, backward, TTL), then on-demand columns."""
     out = entities
     for v in views:

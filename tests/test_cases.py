@@ -260,3 +260,26 @@ def test_distributed_quantiles_equal_percentile(spark):
     ref = {r.g: tuple(r.p) for r in df.groupBy("g").agg(F.percentile("x", [0.25, 0.5, 0.99]).alias("p")).collect()}
     for g in ref:
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], ref[g]))
+
+
+def test_asof_matches_brute_force_across_many_buckets(spark):
+    import random
+    rnd = random.Random(7)
+    seen, feats = set(), []
+    while len(feats) < 300:          # unique (key, time): the tie rule is tested elsewhere
+        k, s = rnd.randint(0, 3), rnd.randint(0, 20000)
+        if (k, s) not in seen:
+            seen.add((k, s))
+            feats.append((k, s, float(len(feats))))
+    ents = [(i, rnd.randint(0, 4), rnd.randint(0, 20000)) for i in range(200)]
+    f = spark.createDataFrame(feats, "k long, s long, v double").withColumn(
+        "ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    e = spark.createDataFrame(ents, "id long, k long, s long").withColumn(
+        "ets", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    for ttl in (None, 3000.0):
+        got = dict(rows(asof_join(e.select("id", "k", "ets"), f.select("k", "ts", "v"), "k", "ets", "ts", ["v"],
+                                  ttl_seconds=ttl, bucket_seconds=60), "id", "v"))
+        for i, k, s in ents:
+            cand = [(fs, v) for fk, fs, v in feats if fk == k and fs <= s and (ttl is None or s - fs <= ttl)]
+            want = max(cand)[1] if cand else None
+            assert got[i] == want, (i, k, s, ttl)
