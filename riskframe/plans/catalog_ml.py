@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as S
-from riskframe.operators import metrics as M
 from riskframe.plans import ml as ML
 from riskframe.plans.catalog_features import batch_features
 from riskframe.plans.registry import register
