@@ -366,7 +366,7 @@ def win_03_counter_increase(spark, d):
     return SE.counter_increase(samples, ["service"], "minute", "counter", 5)
 
 
-@register("obs_02_bucket_quantiles", REQ + f"""
+OBS02_SQL = REQ + f"""
 , h AS ({_hist_sql("(SELECT *, (epoch_us(ts) // 300000000) * 300000000 AS window_start_us FROM req)",
                    "duration_s", M.PREDICTION_SECONDS, "window_start_us")})
 , l AS (SELECT *, lag(upper) OVER w AS lower, lag(cumulative_count) OVER w AS prev FROM h
@@ -379,7 +379,10 @@ def win_03_counter_increase(spark, d):
                COALESCE(b.lower, 0) + (b.upper - COALESCE(b.lower, 0)) * (b.n * qq - COALESCE(b.prev, 0)) / (b.cum - COALESCE(b.prev, 0)) END AS v
         FROM q)
 SELECT window_start_us, round(max(v) FILTER (WHERE qq = 0.5), 6) AS p50, round(max(v) FILTER (WHERE qq = 0.95), 6) AS p95,
-       round(max(v) FILTER (WHERE qq = 0.99), 6) AS p99 FROM r GROUP BY window_start_us""")
+       round(max(v) FILTER (WHERE qq = 0.99), 6) AS p99 FROM r GROUP BY window_start_us"""
+
+
+@register("obs_02_bucket_quantiles", OBS02_SQL)
 def obs_02_bucket_quantiles(spark, d):
     """P50 / P95 / P99 of request duration per 5-minute window, estimated from the fixed buckets."""
     r = X.requests(spark, d).withColumn(

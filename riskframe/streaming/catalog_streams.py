@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.plans.catalog_monitoring import ORACLE_WIN04
+from riskframe.plans.catalog_observability import OBS02_SQL
 from riskframe.plans.registry import register
 from riskframe.session import scratch_path
 from riskframe.sources import fixtures as X
@@ -120,3 +121,23 @@ def src_09_transaction_stream(spark, d):
                  F.expr(f"nullif(c_mktsegment, '{X.NULL_SEGMENT}')").alias("P_emaildomain"))
     out = run_available_now(to_request_records(t), "tx-stream")
     return spark.read.parquet(out)
+
+
+@register("str_02_window_quantiles", "SELECT * FROM (" + OBS02_SQL + """)
+WHERE window_start_us + 300000000 <= (SELECT epoch_us(max(ts)) FROM events) - 600000000""")
+def str_02_window_quantiles(spark, d):
+    """P50 / P95 / P99 latency per 5-minute stream window, from the window's bucket counts."""
+    from riskframe.operators import metrics as M
+    out = spark.read.parquet(run_available_now(J.request_metrics(stream_table(spark, d, "events")), "req-q"))
+    bounds = list(J.PREDICTION_SECONDS)
+    cells = F.array(*[F.struct(F.lit(M.bound_label(b)).alias("le"), F.lit(float(b)).alias("upper"),
+                               F.col(f"le_{str(b).replace('.', '_')}").alias("cumulative_count")) for b in bounds],
+                    F.struct(F.lit("+Inf").alias("le"), F.lit(None).cast("double").alias("upper"),
+                             F.col("n").alias("cumulative_count")))
+    h = out.select("window_start_us", F.col("n").alias("count"), F.inline(cells))
+    res = None
+    for q in (0.5, 0.95, 0.99):
+        name = f"p{int(round(q * 100))}"
+        part = M.bucket_quantile(h, q, ["window_start_us"], name=name).withColumn(name, F.round(name, 6))
+        res = part if res is None else res.join(part, "window_start_us", "full")
+    return res
