@@ -76,3 +76,24 @@ def test_asof_not_partitioned_by_key_alone(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # the row-level window is partitioned by (key, time bucket)
     assert "hashpartitioning(__k" in p and ", __b" in p
+
+
+def _single_partition_inputs(p: str) -> int:
+    return p.count("Exchange SinglePartition")
+
+
+def test_asof_and_quantiles_have_no_single_partition_over_rows(spark):
+    from conftest import SF_SMALL
+    from riskframe.operators import metrics as M
+    from riskframe.plans.registry import QUERIES, load_all
+    from riskframe.sources import fixtures as X
+    load_all()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        asof = plan(QUERIES["jon_03_asof_join"](spark, SF_SMALL))
+        q = plan(M.quantiles(X.requests(spark, SF_SMALL), "duration_s", [0.5, 0.95], ["endpoint"], few_groups=True))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert _single_partition_inputs(asof) == 0
+    # grouped quantiles: the only single-partition step is over the per-range totals table
+    assert _single_partition_inputs(q) <= 1
