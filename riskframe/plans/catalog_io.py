@@ -156,9 +156,9 @@ def snk_06_json_safe(spark, d):
     return SK.json_safe(o, order=["o_orderkey"], limit=100)
 
 
-@register("snk_09_key_layout")
+@register("snk_09_key_layout", W("tx") + "SELECT * FROM tx")
 def snk_09_key_layout(spark, d):
-    """Rows laid out by TransactionID (hash files, sorted inside) for key lookups; read back (rows-only)."""
+    """Rows laid out by TransactionID (hash files, sorted inside) for key lookups; read back whole."""
     path = scratch_path(spark, "by-key")
     SK.write_key_layout(X.transactions(spark, d), path, "TransactionID", 8)
     return spark.read.parquet(path)

@@ -198,9 +198,9 @@ def src_04_feature_source(spark, d):
     return ST.source_rows(v, MAT_START, MAT_END).select("user_id", "view_value")
 
 
-@register("fst_06_feature_log")
+@register("fst_06_feature_log", _FST01_SQL + "SELECT event_id, user_views__view_value FROM h2")
 def fst_06_feature_log(spark, d):
-    """Served features appended to the service's feature log, read back (rows-only check)."""
+    """Served features appended to the service's feature log, read back."""
     h, views = _historical(spark, d)
     served = ST.resolve_service(h, ["user_views"], views, keep=["event_id"])
     path = scratch_path(spark, "feature-log")

@@ -283,3 +283,16 @@ def test_asof_matches_brute_force_across_many_buckets(spark):
             cand = [(fs, v) for fk, fs, v in feats if fk == k and fs <= s and (ttl is None or s - fs <= ttl)]
             want = max(cand)[1] if cand else None
             assert got[i] == want, (i, k, s, ttl)
+
+
+def test_survey_probed_figures(spark):
+    """Figures probed independently in SURVEY / FIXTURES at sf0.01."""
+    from conftest import SF_MID
+    from riskframe.plans.registry import QUERIES, load_all
+    load_all()
+    asof = QUERIES["jon_03_asof_join"](spark, SF_MID)
+    assert asof.count() == 1981 and asof.where("feature_value IS NOT NULL").count() == 709
+    cm = QUERIES["agg_08_confusion"](spark, SF_MID).first()
+    assert (cm.tp, cm.fp, cm.tn, cm.fn) == (166, 20, 38, 175)
+    tx = QUERIES["jon_01_identity_join"](spark, SF_MID)
+    assert tx.count() == 15000 and tx.where("is_train").count() == 11326
