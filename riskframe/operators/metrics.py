@@ -66,7 +66,7 @@ def classification_report(df: DataFrame, label: str, pred: str, score: str | Non
     out = cm.select(*groups, "tp", "fp", "tn", "fn", *[v.alias(k) for k, v in r.items()])
     if score is not None:
         a = auc(df, label, score, groups)
-        out = out.join(a, list(groups), "left") if groups else out.crossJoin(a)
+        out = out.join(a, list(groups), "left") if groups else out.withColumn("auc", a.select("auc").scalar())
     return out
 
 

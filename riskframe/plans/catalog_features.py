@@ -308,9 +308,8 @@ FROM tx, m""")
 def fun_04_ratio_to_mean(spark, d):
     """Guarded ratio to the mean amount (0 when the mean is not positive)."""
     tx = X.transactions(spark, d)
-    m = tx.agg(F.avg("TransactionAmt").alias("mean"))
-    return tx.crossJoin(F.broadcast(m)).select(
-        "TransactionID", F.round(S.ratio_to_mean("TransactionAmt", "mean"), 6).alias("ratio"))
+    mean = tx.agg(F.avg("TransactionAmt")).scalar()       # scalar subquery, evaluated once
+    return tx.select("TransactionID", F.round(S.ratio_to_mean("TransactionAmt", mean), 6).alias("ratio"))
 
 
 @register("fun_05_combined_keys", W("tx") + f"""

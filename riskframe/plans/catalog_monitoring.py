@@ -123,10 +123,10 @@ def jon_04_label_join(spark, d):
 def jon_04_unmatched_count(spark, d):
     """Labels with and without a logged prediction (left join + anti join count)."""
     lat = MO.latest_labels(X.label_events(spark, d))
-    p = X.predictions_only(spark, d).select("transaction_id")
-    matched = lat.join(p, "transaction_id", "left_semi").agg(F.count(F.lit(1)).alias("matched"))
-    unmatched = lat.join(p, "transaction_id", "left_anti").agg(F.count(F.lit(1)).alias("unmatched"))
-    return matched.crossJoin(unmatched)
+    p = X.predictions_only(spark, d).select("transaction_id", F.lit(True).alias("__p"))
+    j = lat.join(p, "transaction_id", "left")
+    return j.agg(F.count_if(F.col("__p").isNotNull()).alias("matched"),
+                 F.count_if(F.col("__p").isNull()).alias("unmatched"))
 
 
 def _hist_sql(src: str, value: str, bounds, groups: str = "") -> str:
@@ -329,9 +329,9 @@ def drf_05_drift_summary(spark, d):
     ref, cur = MO.drift_samples(spark, d)
     r = ref.agg(F.count_if(F.col("feature") == "TransactionAmt").alias("reference_samples"),
                 F.count_distinct("feature").alias("reference_features"))
-    c = cur.agg(F.count_if(F.col("feature") == "TransactionAmt").alias("current_samples"))
-    return r.crossJoin(c).withColumn("status", F.when(F.col("reference_samples") > 0, "ok")
-                                     .otherwise("no_reference_data"))
+    c = cur.agg(F.count_if(F.col("feature") == "TransactionAmt")).scalar()
+    return r.withColumn("current_samples", c).withColumn(
+        "status", F.when(F.col("reference_samples") > 0, "ok").otherwise("no_reference_data"))
 
 
 @register("top_01_drift_top10", _KS_SQL + """

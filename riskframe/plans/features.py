@@ -86,12 +86,11 @@ class FittedFeatures:
         """Apply the fitted tables to ``df`` (a lazy plan; no action runs)."""
         amt = self.amount_col
         if amt in df.columns:
-            # AGG-06: mean of the frame being transformed (per split): a one-row
-            # aggregate over the pruned amount column, broadcast to every row
-            mean = df.agg(F.avg(amt).alias("__mean"))
-            df = df.crossJoin(F.broadcast(mean))
-            df = df.withColumn(f"{amt}_to_mean", S.ratio_to_mean(amt, "__mean", guard=False)) \
-                   .withColumn("TransactionCents", S.cents(amt, self.cents_scale)).drop("__mean")
+            # AGG-06: mean of the frame being transformed (per split): a scalar
+            # subquery over the pruned amount column, evaluated once
+            mean = df.agg(F.avg(amt)).scalar()
+            df = df.withColumn(f"{amt}_to_mean", S.ratio_to_mean(amt, mean, guard=False)) \
+                   .withColumn("TransactionCents", S.cents(amt, self.cents_scale))
         df = normalize_d_columns(df)
         df = add_combined_keys(df)
         freq_name = "share" if self.normalize else "count"

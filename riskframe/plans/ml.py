@@ -116,10 +116,10 @@ def best_run(runs: DataFrame) -> DataFrame:
 
 def model_versions(runs: DataFrame, best: DataFrame) -> DataFrame:
     """Registered versions (text numbers) with the best run staged for production."""
-    b = best.select(F.col("model").alias("__best"))
-    v = runs.crossJoin(F.broadcast(b)).select(
+    best_model = best.select("model").scalar()          # scalar subquery over a one-row result
+    v = runs.select(
         F.lit("fraud_detector").alias("name"), (F.col("run_order") + 1).cast("string").alias("version"),
-        F.when(F.col("model") == F.col("__best"), "Production").otherwise("None").alias("stage"), "model")
+        F.when(F.col("model") == best_model, "Production").otherwise("None").alias("stage"), "model")
     return v
 
 

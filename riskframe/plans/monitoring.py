@@ -33,9 +33,8 @@ def count_windows(labeled: DataFrame, size: int = 100, order=("label_ts", "trans
                   label="ground_truth", pred="prediction", score="probability") -> DataFrame:
     """WIN-04: metrics over consecutive windows of ``size`` labels; the incomplete tail is not emitted."""
     idx = row_index(labeled, list(order), name="__i")
-    n = labeled.agg(F.count(F.lit(1)).alias("__n"))
-    w = (idx.crossJoin(F.broadcast(n))
-         .where(F.col("__i") <= F.floor(F.col("__n") / size) * size)
+    n = labeled.agg(F.count(F.lit(1))).scalar()          # scalar subquery: the total label count
+    w = (idx.where(F.col("__i") <= F.floor(n / size) * size)
          .withColumn("window_no", F.floor((F.col("__i") - 1) / size)))
     return classification_report(w, label, pred, score, groups=["window_no"])
 
