@@ -97,3 +97,20 @@ def test_asof_and_quantiles_have_no_single_partition_over_rows(spark):
     assert _single_partition_inputs(asof) == 0
     # grouped quantiles: the only single-partition step is over the per-range totals table
     assert _single_partition_inputs(q) <= 1
+
+
+def test_fitted_transform_does_not_shuffle_the_frame(spark):
+    from conftest import SF_SMALL
+    from riskframe.plans import features as FE
+    from riskframe.sources import fixtures as X
+    train, test = X.train_test(spark, SF_SMALL)
+    fitted = FE.FraudFeatures().fit(train, test)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(fitted.transform(test))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # every fitted table arrives by broadcast; the only exchanges are the broadcasts and the
+    # one-row mean subquery's final step
+    assert "Exchange hashpartitioning" not in p
+    assert p.count("BroadcastHashJoin") >= 8
