@@ -7,7 +7,6 @@ the UI server off.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,13 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when the session names none (a test or a laptop) is a private folder made
-    and registered as the checkpoint dir.
+    in local mode (a test or a laptop) is a private folder made and registered
+    when the session names none; elsewhere that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -67,14 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder (never reused, never cleared)."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    p = f"{base}/riskframe/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-    return p
+    """A fresh, unique path under the shared folder (never reused); Spark's writers create it, whatever the file system."""
+    return f"{shared_dir(spark)}/riskframe/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df):
