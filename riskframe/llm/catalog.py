@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from riskframe.llm import quality
+from riskframe.llm import bpe, langid, lm, packing, pii, quality, toxicity
 from riskframe.sources.tables import load
 
 QUERIES = {
+    "op1_toxicity": lambda spark, d: toxicity.op1(load(spark, d, "documents"), load(spark, d, "labels")),
+    "op5_lm_scoring": lambda spark, d: lm.op5(load(spark, d, "documents")),
+    "op6_pii": lambda spark, d: pii.op6(load(spark, d, "documents")),
+    "op7_language_id": lambda spark, d: langid.op7(load(spark, d, "documents")),
+    "op8_bpe": lambda spark, d: bpe.op8(load(spark, d, "documents")),
+    "op10_packing": lambda spark, d: packing.op10(load(spark, d, "documents")),
     "op9_quality_rules": lambda spark, d: quality.op9(load(spark, d, "documents")),
 }
 ORACLE: dict[str, str] = {}
