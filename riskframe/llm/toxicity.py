@@ -31,7 +31,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_TRAIN = 8000
 MAX_FEATURES = 4000
 MIN_TEXTS = 3
-STEPS, RATE, L2, FAIRNESS = 400, 0.05, 0.5, 1.0
+#: Least evidence for a feature: its log odds ratio in standard errors.
+MIN_STRENGTH = 3.5
+STEPS, RATE, L2, FAIRNESS = 400, 0.05, 0.2, 1.0
 WORD = re.compile(r"[^\W\d_]+")
 
 # Names of groups that may be exchanged for one another in a neutral sentence.
@@ -95,7 +97,7 @@ def fit(rows: list[tuple[set[str], int]]) -> tuple[dict[str, float], float]:
         if c0 + c1 >= MIN_TEXTS:
             odds = np.log((c1 + 0.5) / (n1 - c1 + 0.5)) - np.log((c0 + 0.5) / (n0 - c0 + 0.5))
             strength[x] = abs(odds) / np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-    chosen = sorted(sorted(strength), key=strength.get, reverse=True)[:MAX_FEATURES]
+    chosen = sorted((x for x in sorted(strength) if strength[x] >= MIN_STRENGTH), key=strength.get, reverse=True)[:MAX_FEATURES]
     at = {x: k for k, x in enumerate(chosen)}
     r = np.array([i for i, f in enumerate(sets) for x in f if x in at], np.int64)
     c = np.array([at[x] for f in sets for x in f if x in at], np.int64)
