@@ -6,6 +6,7 @@ value, so executors need no installed copy.
 
 from __future__ import annotations
 
+import gc
 import sys
 
 import numpy as np
@@ -20,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Code points that end a word in every contract of this package: space, and \t to \r.
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: Arrow batches are cut by rows; long texts make them large, so numpy work goes through slices of this many bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Rows per Arrow batch handed to Python: bounds a batch by rows times the longest text.
 ARROW_ROWS = 1000
 
@@ -51,6 +52,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark) -> None:
+    """Let go of finished stages' shuffle files now (Spark's cleaner drops what the driver's garbage collector has found)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_parts(spark) -> int:
     """The session's number of shuffle partitions (the default parallelism where it is not a number)."""
     v = spark.conf.get("spark.sql.shuffle.partitions", "200")

@@ -12,8 +12,8 @@ How the counts move: each task turns its texts into blocks of at most about ``BL
 block's distinct words and word pairs. The counts, keyed by hash, are dealt into buckets; one task per bucket adds
 them up and answers every block with the totals that differ from the block's own. So a word or pair travels once per
 block that has it, however often it occurs there, and a frequent one is no hot key. The number of buckets grows with
-the tokens, so a bucket's size does not. Words and pairs are told apart by 64-bit hashes (48 bits besides the
-bucket).
+the tokens, so a bucket's size does not. Words are told apart by 64-bit hashes, pairs by their bucket and 40 bits more
+(about one pair in three million shares both with another).
 
 Cases: a null text counts as empty; an empty text is its end token; null ids are in fold 0; repeated rows count as
 often as they occur; without training texts all counts are 0 and every token gets 1 / (V + 1) = 1; an empty table
@@ -30,11 +30,11 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import fold, mix, shuffle_parts, small_batches, stored, text_slices, word_hashes
+from riskframe.llm.common import fold, mix, release, shuffle_parts, small_batches, stored, text_slices, word_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Tokens for which one more bucket of counts is made.
 BUCKET_TOKENS = 2_000_000
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -111,13 +111,17 @@ def _rows(b: pa.RecordBatch):
         yield b.slice(i, 1).to_pylist()[0]
 
 
-def _pack48(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+#: Bytes of a key by order: words, pairs.
+KEY_BYTES = (8, 5)
 
 
-def _unpack48(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+def _pack(keys: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpack(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
     return out.view("<u8").ravel()
 
 
@@ -130,7 +134,7 @@ def _totals(blocks: DataFrame, n: int) -> DataFrame:
         for b in batches:
             for row in _rows(b):
                 g = _grams(row)
-                out = [(order, k, _pack48(g.keys[order][at]), g.local[order][at].astype(np.uint32).tobytes()) for order, k, at in g.buckets(n)]
+                out = [(order, k, _pack(g.keys[order][at], KEY_BYTES[order]), g.local[order][at].astype(np.uint32).tobytes()) for order, k, at in g.buckets(n)]
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(out), pa.int64()), pa.array(cols[0], pa.int32()),
                                                   pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
@@ -141,7 +145,7 @@ def _totals(blocks: DataFrame, n: int) -> DataFrame:
         order = np.array(table["ord"].to_pylist())
         for o in (0, 1):
             rows = np.flatnonzero(order == o).tolist()
-            keys = [_unpack48(table["keys"][i].as_py()) for i in rows]
+            keys = [_unpack(table["keys"][i].as_py(), KEY_BYTES[o]) for i in rows]
             own = [np.frombuffer(table["counts"][i].as_py(), np.uint32) for i in rows]
             if not keys:
                 continue
@@ -242,8 +246,10 @@ def score_corpus(df: DataFrame, trained: Column) -> DataFrame:
     tokens, total = sums.agg(F.coalesce(F.sum("all"), F.lit(0)), F.coalesce(F.sum("own"), F.lit(0))).first()
     n = max(shuffle_parts(spark), tokens // BUCKET_TOKENS)
     totals = stored(_totals(blocks, n), "lm-totals")
+    release(spark)
     distinct = sum(int(np.frombuffer(r["n"], np.uint32)[0]) for r in totals.where("block = -1").select("n").collect())  # one number a bucket
     ready = stored(_joined(blocks, totals, n, total), "lm-ready")
+    release(spark)
     hist = ready.select(F.explode(F.arrays_zip("cells", "times")).alias("x")).groupBy("x.cells").agg(F.sum("x.times").alias("times"))
     got = hist.toPandas()  # at most CONTEXTS * CELLS ** 2 rows
     weights = fit_weights(got["cells"].to_numpy(np.int64), got["times"].to_numpy(float), distinct)
