@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskframe.llm import bpe, langid, lm, packing, pii, quality, toxicity
+from riskframe.llm import bpe, jaccard, langid, lm, packing, pii, quality, toxicity
 from riskframe.sources.tables import load
 
 QUERIES = {
     "op1_toxicity": lambda spark, d: toxicity.op1(load(spark, d, "documents"), load(spark, d, "labels")),
+    "op2_ngram_jaccard": lambda spark, d: jaccard.op2(load(spark, d, "documents")),
     "op5_lm_scoring": lambda spark, d: lm.op5(load(spark, d, "documents")),
     "op6_pii": lambda spark, d: pii.op6(load(spark, d, "documents")),
     "op7_language_id": lambda spark, d: langid.op7(load(spark, d, "documents")),

@@ -159,7 +159,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: every larger neighbour of u goes to u's minimum
         large = both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u <> v").distinct()
-        large = stored(large, "cc")
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         # small star: a node and its smaller neighbours go to the smallest of them
         small = (large.join(low, "v").select(F.col("m").alias("p"), "u", "v")
