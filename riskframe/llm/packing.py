@@ -18,7 +18,7 @@ columns are not carried.
 
 from __future__ import annotations
 
-import re
+import os
 import sys
 import zlib
 from collections import deque
@@ -42,7 +42,10 @@ SMALLEST_POWER = 256
 RUN_TOKENS = 1 << 19
 #: Words that a worker remembers with their ids.
 MEMORY = 400_000
-TAIL = re.compile(r"(.*\w)([.,;:!?]+)", re.S)
+#: Stands for the end of a text among its words.
+CLOSE = b""
+#: Characters tokenised at a time.
+SLICE = 1 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -54,6 +57,7 @@ class WordIds:
     """
 
     def __init__(self, spec: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_buffer(spec)
         self.tok.no_truncation()
@@ -67,58 +71,46 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[bytes, int] = {}
+        self.code: dict[bytes, int] = {CLOSE: 0}
         self.flat, self.n = np.array([END_ID], np.uint32), 1
-        self.start, self.size, self.k = np.zeros(1024, np.int64), np.zeros(1024, np.int64), 1
-        self.size[0] = 1
-
-    def _ids(self, k: int) -> np.ndarray:
-        return self.flat[self.start[k]:self.start[k] + self.size[k]]
-
-    def _add(self, word: bytes, ids) -> None:
-        ids = np.asarray(ids, np.uint32)
-        if self.k == len(self.start):
-            self.start, self.size = np.resize(self.start, 2 * self.k), np.resize(self.size, 2 * self.k)
-        while self.n + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat) + 1024)
-        self.flat[self.n:self.n + len(ids)] = ids
-        self.start[self.k], self.size[self.k] = self.n, len(ids)
-        self.code[word] = self.k
-        self.n, self.k = self.n + len(ids), self.k + 1
-
-    def learn(self, words: set[bytes]) -> None:
-        """Remember the ids of new words; a word's closing punctuation is a piece of its own and split off before."""
-        parts, plain = {}, set()
-        for w in words:
-            m = None if b"<|" in w else TAIL.fullmatch(w.decode())
-            if m and (m[1][-1].isalpha() or m[1][-1].isdigit() and m[1][-1].isascii()):
-                core = m[1].encode().lower()  # the vocabulary is lower case
-                parts[w] = core, m[2].encode()
-                plain.update(parts[w])
-            else:
-                plain.add(w)
-        plain = [w for w in plain if w not in self.code]
-        for w, e in zip(plain, self.batch([w.decode() for w in plain], add_special_tokens=False)):
-            self._add(w, e.ids)
-        for w, (core, tail) in parts.items():
-            if w not in self.code:
-                self._add(w, np.concatenate([self._ids(self.code[core]), self._ids(self.code[tail])]))
+        self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words."""
+        got = [e.ids for e in self.batch([w.decode() for w in words], add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        self.start = np.concatenate([self.start, self.n + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        need = self.n + int(size.sum())
+        if need > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * need)
+        self.flat[self.n:need] = np.fromiter(chain.from_iterable(got), np.uint32, need - self.n)
+        self.n = need
+        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each closed by END_ID; ids per text)."""
-        words = [t.encode().split() for t in texts]
-        if len(self.code) > MEMORY:
-            self.forget()
-        new = set().union(*words).difference(self.code)
-        if new:
-            self.learn(new)
-        get = self.code.__getitem__
-        code = np.fromiter(chain.from_iterable(chain(map(get, w), (0,)) for w in words), np.int64)
-        size = self.size[code]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[code] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum([len(w) + 1 for w in words]) - 1
-        return ids, np.diff(np.concatenate([[0], ends[last]]))
+        """(ids of all texts, each closed by END_ID; ids per text), SLICE characters at a time."""
+        ids, sizes, i = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        while i < len(texts):
+            words, ends, held = [], [], 0
+            while i < len(texts) and held < SLICE:
+                raw = texts[i].encode()
+                # the vocabulary is lower case; only the special tokens, which hold "<|", tell cases apart
+                words += (raw if b"<|" in raw else raw.lower()).split()
+                words.append(CLOSE)
+                ends.append(len(words))
+                held, i = held + len(raw), i + 1
+            if len(self.code) > MEMORY:
+                self.forget()
+            new = set(words).difference(self.code)
+            if new:
+                self.learn(list(new))
+            code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+            size = self.size[code]
+            total = np.cumsum(size)
+            ids.append(self.flat[np.repeat(self.start[code] - (total - size), size) + np.arange(total[-1])])
+            sizes.append(np.diff(np.concatenate([[0], total[np.array(ends) - 1]])))
+        return np.concatenate(ids), np.concatenate(sizes)
 
 
 def boundaries(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
