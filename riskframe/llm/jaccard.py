@@ -40,8 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 PERCENT = 80
 #: Shingles of a block (memory of a task), and postings of a bucket of lists.
-BLOCK_SHINGLES = 2_000_000
-BUCKET_POSTINGS = 1_000_000
+BLOCK_SHINGLES = 500_000
+BUCKET_POSTINGS = 250_000
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 24
 #: Shingles in at least this many texts are ordered last; a hint that is bounded by MAX_FREQUENT and changes no result.
