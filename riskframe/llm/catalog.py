@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from riskframe.llm import bpe, jaccard, langid, lm, packing, pii, pq, quality, toxicity
+from riskframe.llm import bpe, jaccard, langid, license, lm, packing, pii, pq, quality, toxicity
 from riskframe.sources.tables import load
 
 QUERIES = {
     "op1_toxicity": lambda spark, d: toxicity.op1(load(spark, d, "documents"), load(spark, d, "labels")),
     "op2_ngram_jaccard": lambda spark, d: jaccard.op2(load(spark, d, "documents")),
+    "op3_license_scan": lambda spark, d: license.op3(load(spark, d, "documents")),
     "op4_embedding_pq": lambda spark, d: pq.op4(load(spark, d, "embeddings")),
     "op5_lm_scoring": lambda spark, d: lm.op5(load(spark, d, "documents")),
     "op6_pii": lambda spark, d: pii.op6(load(spark, d, "documents")),
