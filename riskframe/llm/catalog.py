@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import bpe, jaccard, langid, license, lm, packing, pii, pq, quality, toxicity
+from riskframe.llm import bpe, jaccard, langid, license, lm, oracles, packing, pii, pq, quality, toxicity
 from riskframe.sources.tables import load
 
 QUERIES = {
@@ -17,4 +17,4 @@ QUERIES = {
     "op10_packing": lambda spark, d: packing.op10(load(spark, d, "documents")),
     "op9_quality_rules": lambda spark, d: quality.op9(load(spark, d, "documents")),
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracles.ORACLE
