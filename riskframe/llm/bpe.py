@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import small_batches
+from riskframe.llm.common import remembered, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,7 +38,6 @@ PART_CHARS = 1 << 18
 CUT = re.compile(r"\S ")
 #: The splitting pattern of byte-level BPE vocabularies (fixed value, published with them).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_CODECS: dict[str, "Codec"] = {}
 
 
 class Codec:
@@ -146,10 +145,7 @@ class Codec:
 
 def codec(spec: bytes) -> Codec:
     """The codec of a vocabulary file's content, built once per worker."""
-    key = hashlib.sha256(spec).hexdigest()
-    if key not in _CODECS:
-        _CODECS[key] = Codec(spec)
-    return _CODECS[key]
+    return remembered("bpe", spec, Codec)
 
 
 def vocabulary(path: str | None = None) -> bytes:

@@ -7,7 +7,9 @@ value, so executors need no installed copy.
 from __future__ import annotations
 
 import gc
+import hashlib
 import sys
+import types
 
 import numpy as np
 from pyspark import cloudpickle
@@ -52,6 +54,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
+
+
+def remembered(kind: str, spec: bytes, make):
+    """``make(spec)``, built once per worker process: code sent by value gets new globals with every task, modules stay."""
+    held = sys.modules.setdefault("riskframe_worker_memory", types.ModuleType("riskframe_worker_memory")).__dict__
+    key = kind + hashlib.sha256(spec).hexdigest()
+    if key not in held:
+        held[key] = make(spec)
+    return held[key]
+
+
 def release(spark) -> None:
     """Let go of finished stages' shuffle files now (Spark's cleaner drops what the driver's garbage collector has found)."""
     gc.collect()

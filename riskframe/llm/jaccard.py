@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import (components, mix, release, shingle_hashes, shuffle_parts, small_batches, stored, text_slices,
-                                  word_hashes)
+                                  unused, word_hashes)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -300,8 +300,9 @@ def keep_one(df: DataFrame) -> DataFrame:
 
     Rows of one id are one document; rows without an id are kept.
     """
-    kept = groups(df).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return df.join(kept, F.col("doc_id") == F.col("__keep"), "left").where("doc_id IS NULL OR __keep IS NOT NULL").drop("__keep")
+    keep = unused(df, "__keep")
+    kept = groups(df).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    return df.join(kept, F.col("doc_id") == F.col(keep), "left").where(F.col("doc_id").isNull() | F.col(keep).isNotNull()).drop(keep)
 
 
 def op2(documents: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import shuffle_parts, small_batches
+from riskframe.llm.common import remembered, shuffle_parts, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,7 +41,7 @@ FORCED_EVERY = 1024
 SMALLEST_POWER = 256
 RUN_TOKENS = 1 << 19
 #: Words that a worker remembers with their ids.
-MEMORY = 400_000
+MEMORY = 800_000
 #: Stands for the end of a text among its words.
 CLOSE = b""
 #: Characters tokenised at a time.
@@ -235,7 +235,7 @@ def pack(df: DataFrame, path: str | None = None) -> DataFrame:
     shared = spark.sparkContext.broadcast(vocabulary(path))
 
     def run(batches):
-        yield from pack_stream(batches, WordIds(shared.value), TaskContext.get().partitionId() << 40)
+        yield from pack_stream(batches, remembered("words", shared.value, WordIds), TaskContext.get().partitionId() << 40)
 
     d = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = d.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import stored
+from riskframe.llm.common import stored, unused
 
 # Frequent function words of four languages (general knowledge).
 COMMON_WORDS = {
@@ -129,7 +129,7 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang", prefix: str = "
 
 def keep_good(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows that the rules keep, with the input's columns."""
-    p = "__q_"
+    p = unused(df, "__q_")
     return judge(df, text, lang, p).where(f"{p}kept").select(*[F.col(f"`{c}`") for c in df.columns])
 
 

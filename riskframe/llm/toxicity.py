@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import fold, small_batches
+from riskframe.llm.common import fold, small_batches, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -169,7 +169,8 @@ def score(df: DataFrame, model: tuple[dict[str, float], float], text: str = "tex
 
 def keep_clean(df: DataFrame, model: tuple[dict[str, float], float], text: str = "text") -> DataFrame:
     """The rows whose score is below 0.5, with the input's columns."""
-    return score(df, model, text, "__tox").where("__tox < 0.5").drop("__tox")
+    out = unused(df, "__tox")
+    return score(df, model, text, out).where(F.col(out) < 0.5).drop(out)
 
 
 def op1(documents: DataFrame, labels: DataFrame) -> DataFrame:
