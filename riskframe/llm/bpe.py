@@ -124,23 +124,29 @@ class Codec:
             yield False, text[done:].encode()
 
     def _leaves(self, text: str):
+        """Parts of a text without safe cuts: runs of whole pieces, and leaves of pieces longer than a part."""
+        def flush(held):
+            k = len(held)
+            while k and held[k - 1][-1].isspace():  # white space at the end of a run would be split otherwise than before more text
+                k -= 1
+            for run in (["".join(held[:k])] if k else []) + held[k:]:
+                yield False, run.encode()
+
         for k, part in enumerate(self.marks.split(text) if self.marks else [text]):
-            held: list[str] = []
+            held, size = [], 0
             for m in ([part] if k % 2 else (m[0] for m in self.pieces.finditer(part))):
                 if len(m) > PART_CHARS:
-                    if held:
-                        yield False, "".join(held).encode()
-                        held = []
-                    data = m.encode()
+                    yield from flush(held)
+                    held, size, data = [], 0, m.encode()
                     for at in range(0, len(data), PART_CHARS):
                         yield (at > 0), data[at:at + PART_CHARS]
                 elif m:
                     held.append(m)
-                    if sum(map(len, held[-64:])) + len(held) > PART_CHARS:
-                        yield False, "".join(held).encode()
-                        held = []
-            if held:
-                yield False, "".join(held).encode()
+                    size += len(m)
+                    if size > PART_CHARS:
+                        yield from flush(held)
+                        held, size = [], 0
+            yield from flush(held)
 
 
 def codec(spec: bytes) -> Codec:

@@ -92,6 +92,7 @@ def test_bpe_trees_and_spread_texts(spark):
     rng = np.random.default_rng(5)
     parts = ["a", "the", "ing", "é", "中", "1", "23", "##", ".", "\n", "  ", " ", "'s", "<|endoftext|>", "lololo", "\x1c", "\xa0"]
     made = ["".join(rng.choice(parts, rng.integers(1, 900))) for _ in range(40)]
+    made += ["\n\n".join("w%d" % k for k in range(n)) + "\n\n" + "q" * 900 for n in (60, 231, 500)]
     made += ["".join(rng.choice(list("abc"), 6000)) for _ in range(5)] + ["ab" * 4000, "z" * 3000, "\n" * 2000, "中" * 2000]
     for x in made:
         assert c.encode(x) == t.encode(x, add_special_tokens=False).ids
