@@ -42,7 +42,7 @@ def parse_log_line(df: DataFrame, text_col: str = "value") -> DataFrame:
         return F.when(ok, parts[i])
 
     head = parts[0]
-    base = F.to_timestamp(F.substring(head, 1, 19), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
+    base = F.try_to_timestamp(F.substring(head, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
     ms = F.when(F.length(head) > 19, F.substring(head, 21, 3).cast("int")).otherwise(F.lit(0))
     fl = parts[3]
     return staged.select(

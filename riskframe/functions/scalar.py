@@ -58,7 +58,7 @@ def cents(amount, scale: int = 1) -> Column:
 def ratio_to_mean(amount, mean, guard: bool = True) -> Column:
     """FUN-04: amount / mean; with ``guard`` 0 when the mean is not positive."""
     a, m = col_of(amount), col_of(mean)
-    return F.when(m > 0, a / m).otherwise(F.lit(0.0)) if guard else a / m
+    return F.when(m > 0, a / m).otherwise(F.lit(0.0)) if guard else F.try_divide(a, m)
 
 
 def key_text(c, token: str | None = "nan") -> Column:

@@ -44,8 +44,9 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
         epoch_micros(F.col(created)).alias("__c"),
         F.struct(*[F.col(c).alias(c) for c in values], epoch_micros(F.col(feature_ts)).alias("__t"),
                  epoch_micros(F.col(created)).alias("__c")).alias("__v"))
-    feat = feat.withColumn("__b", F.floor(F.col("__t") / width))
-    ent = entities.withColumn("__k", F.col(key)).withColumn("__t", epoch_micros(F.col(entity_ts))) \
+    feat = feat.where(F.col("__k").isNotNull() & F.col("__t").isNotNull()).withColumn("__b", F.floor(F.col("__t") / width))
+    lost = entities.where(F.col(key).isNull() | F.col(entity_ts).isNull())   # never matched: past the join, no shuffle
+    ent = entities.where(F.col(key).isNotNull() & F.col(entity_ts).isNotNull()).withColumn("__k", F.col(key)).withColumn("__t", epoch_micros(F.col(entity_ts))) \
                   .withColumn("__b", F.floor(F.col("__t") / width))
 
     # (1) inside the bucket
@@ -74,4 +75,5 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
     if ttl_seconds is not None:
         m = F.when(F.col("__t") - m["__t"] <= F.lit(int(ttl_seconds * 1_000_000)), m)
     out = j.select("__e.*", m.alias("__x"))
-    return out.select(*entities.columns, *[F.col(f"__x.{c}").alias(f"{prefix}{c}") for c in values])
+    out = out.select(*entities.columns, *[F.col(f"__x.{c}").alias(f"{prefix}{c}") for c in values])
+    return out.unionByName(lost.select("*", *[F.lit(None).cast(features.schema[c].dataType).alias(f"{prefix}{c}") for c in values]))

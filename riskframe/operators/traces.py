@@ -28,28 +28,34 @@ def service_graph(spans: DataFrame) -> DataFrame:
         (F.count_if(F.col("child_status") == "error") / F.count(F.lit(1))).alias("error_rate"))
 
 
-def depths(spans: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Depth of every span (root = 0), one equi-join per tree level.
+def depths(spans: DataFrame) -> DataFrame:
+    """Depth of every span (root = 0) by pointer doubling: rounds grow with the logarithm of the deepest tree.
 
-    Levels are expanded until a level is empty (a one-row ``isEmpty`` probe);
-    ``max_depth`` guards against parent cycles. Spans whose parent is missing
-    keep a null depth. Each level is checkpointed, so level d is computed
-    once (not re-derived from level 0 on every probe) and survives executor loss.
+    Every span keeps a pointer to an ancestor and the distance to it. A round
+    replaces the ancestor by the ancestor's ancestor and adds the distances, so
+    pointers double until all stand at a root. Spans whose chain leads out of
+    the table, or into a cycle, keep a null depth; a cycle of parents never
+    reaches a root and stops growing the count of finished spans, which ends
+    the loop. Each round is checkpointed: it is computed once and survives
+    executor loss.
     """
-    base = spans.select("trace_id", "span_id", "parent_span_id")
-    kids = cut_lineage(base.where(F.col("parent_span_id").isNotNull()))
-    level = cut_lineage(base.where(F.col("parent_span_id").isNull())
-                        .select("trace_id", "span_id", F.lit(0).alias("depth")))
-    out = level
-    for d in range(1, max_depth + 1):
-        nxt = kids.join(level.select("trace_id", F.col("span_id").alias("parent_span_id")),
-                        ["trace_id", "parent_span_id"]).select("trace_id", "span_id", F.lit(d).alias("depth"))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+    base = spans.select("trace_id", "span_id", "parent_span_id").dropDuplicates(["trace_id", "span_id"])
+    state = cut_lineage(base.select("trace_id", "span_id", F.col("parent_span_id").alias("up"),
+                                    F.when(F.col("parent_span_id").isNull(), 0).otherwise(1).alias("depth")))
+    # an open span's ``up`` is the ancestor still to follow; null means that the root is reached
+    left = state.where("up IS NOT NULL").count()
+    reach = 1
+    while left:
+        above = state.select("trace_id", F.col("span_id").alias("up"), F.col("up").alias("__up2"), F.col("depth").alias("__d2"))
+        open_rows = state.where("up IS NOT NULL").join(above, ["trace_id", "up"]).select(
+            "trace_id", "span_id", F.col("__up2").alias("up"), (F.col("depth") + F.col("__d2")).alias("depth"))
+        state = cut_lineage(state.where("up IS NULL").unionByName(open_rows))   # orphans fall out of the inner join
+        now = state.where("up IS NOT NULL").count()
+        reach *= 2
+        if now == left and reach > now:   # what is left only goes round in cycles
             break
-        out = out.unionByName(nxt)
-        level = nxt
-    return spans.join(out, ["trace_id", "span_id"], "left")
+        left = now
+    return spans.join(state.where("up IS NULL").select("trace_id", "span_id", "depth"), ["trace_id", "span_id"], "left")
 
 
 def offsets(spans: DataFrame) -> DataFrame:

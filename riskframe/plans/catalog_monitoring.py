@@ -293,8 +293,9 @@ _KS_SQL = W("train", "test") + MO.DRIFT_SQL + """
           WINDOW w AS (PARTITION BY feature ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 , tot AS (SELECT feature, CAST(sum(nr) AS BIGINT) AS n_ref, CAST(sum(nc) AS BIGINT) AS n_cur FROM g GROUP BY feature)
 , ks0 AS (SELECT feature, n_ref, n_cur, max(abs(cr / n_ref - cc / n_cur)) AS ks_d FROM cum JOIN tot USING (feature) GROUP BY ALL)
-, ks AS (SELECT *, CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(greatest(2.0 * list_sum(
-              [pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam) for k in range(1, 101)]), 0.0), 1.0) END AS p_value
+, ks AS (SELECT *, CASE WHEN lam < 0.05 THEN 1.0
+              WHEN lam < 1 THEN 1 - sqrt(2 * pi()) / lam * list_sum([exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * lam * lam)) for k in range(1, 9)])
+              ELSE 2.0 * list_sum([pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam) for k in range(1, 31)]) END AS p_value
          FROM (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * ks_d AS lam FROM ks0))
 """
 
@@ -319,6 +320,12 @@ def drf_04_drift_flags(spark, d):
     return DR.drift_flags(_ks(spark, d))
 
 
+@register("drf_04_feature_flags", _KS_SQL + "SELECT feature, p_value < 0.05 AS drift_detected FROM ks")
+def drf_04_feature_flags(spark, d):
+    """Drift flag of every feature."""
+    return DR.feature_flags(_ks(spark, d)).select("feature", "drift_detected")
+
+
 @register("drf_05_drift_summary", W("train", "test") + MO.DRIFT_SQL + """
 SELECT (SELECT count(*) FROM ref WHERE feature = 'TransactionAmt') AS reference_samples,
        (SELECT count(DISTINCT feature) FROM ref) AS reference_features,

@@ -261,7 +261,7 @@ APDEX_T = 0.1
 SELECT endpoint, count(*) AS n,
        round(quantile_cont(duration_s, 0.5), 6) AS p50, round(quantile_cont(duration_s, 0.75), 6) AS p75,
        round(quantile_cont(duration_s, 0.95), 6) AS p95, round(quantile_cont(duration_s, 0.99), 6) AS p99,
-       round(count(*) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6), 9) AS throughput_per_s,
+       round(count(*) / NULLIF((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6, 0), 9) AS throughput_per_s,
        round(count_if(status >= 500) / count(*), 6) AS failure_rate,
        round((count_if(duration_s <= {APDEX_T}) + count_if(duration_s > {APDEX_T} AND duration_s <= {4 * APDEX_T}) / 2.0)
              / count(*), 6) AS apdex
@@ -275,7 +275,7 @@ def agg_21_transaction_perf(spark, d):
     qs = qs.select("endpoint", *[F.round(c, 6).alias(c) for c in ("p50", "p75", "p95", "p99")])
     return qs.join(r.groupBy("endpoint").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.count(F.lit(1)) / ((F.max(us) - F.min(us)) / 1e6), 9).alias("throughput_per_s"),
+        F.round(F.try_divide(F.count(F.lit(1)), (F.max(us) - F.min(us)) / 1e6), 9).alias("throughput_per_s"),
         F.round(F.count_if(F.col("status") >= 500) / F.count(F.lit(1)), 6).alias("failure_rate"),
         F.round((F.sum(sat) + F.sum(tol) / 2.0) / F.count(F.lit(1)), 6).alias("apdex")), "endpoint")
 
@@ -413,44 +413,63 @@ def obs_03_ratios(spark, d):
                     F.round(F.col("er") / F.col("n"), 6).alias("error_rate"))
 
 
-_ALERT_SQL = REQ + """
+# The rules by their text: error rate over 5% in 5 minutes for 2 minutes, fraud rate over 50% in 10 minutes for 10 minutes,
+# P95 over 1 s in 5 minutes for 5 minutes; evaluated every minute, also in minutes without requests.
+_MINUTES_SQL = REQ + f"""
 , pm AS (SELECT epoch_us(ts) // 60000000 AS minute, count(*) AS n, count_if(status >= 500) AS errors,
                 count_if(status <> 500) AS scored, count_if(status <> 500 AND probability >= 0.5) AS frauds
          FROM req GROUP BY 1)
-, tw AS (SELECT minute, sum(n) OVER w AS n_w, sum(errors) OVER w AS errors_w, sum(scored) OVER w AS scored_w,
-                sum(frauds) OVER w AS frauds_w FROM pm WINDOW w AS (ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW))
-, conds AS (SELECT 'HighErrorRate' AS alert, 2 AS for_m, minute FROM tw WHERE errors_w / n_w > 0.05
-            UNION ALL SELECT 'HighFraudRate', 10, minute FROM tw WHERE frauds_w / NULLIF(scored_w, 0) > 0.5)
+, mm AS (SELECT unnest(generate_series(min(minute), max(minute))) AS minute FROM pm)
+, dm AS (SELECT minute, COALESCE(n, 0) AS n, COALESCE(errors, 0) AS errors, COALESCE(scored, 0) AS scored, COALESCE(frauds, 0) AS frauds
+         FROM mm LEFT JOIN pm USING (minute))
+, tw AS (SELECT minute, sum(errors) OVER w5 / NULLIF(sum(n) OVER w5, 0) AS error_rate, sum(frauds) OVER w10 / NULLIF(sum(scored) OVER w10, 0) AS fraud_rate
+         FROM dm WINDOW w5 AS (ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW), w10 AS (ORDER BY minute RANGE BETWEEN 9 PRECEDING AND CURRENT ROW))
+, ub AS (SELECT unnest([{', '.join(map(str, M.PREDICTION_SECONDS))}, 'inf'::DOUBLE]) AS upper)
+, pb AS (SELECT epoch_us(ts) // 60000000 AS minute, upper, count_if(duration_s <= upper) AS k, count(duration_s) AS n FROM req, ub GROUP BY ALL)
+, hb AS (SELECT minute, upper, sum(COALESCE(k, 0)) OVER w AS cum, sum(COALESCE(n, 0)) OVER w AS n
+         FROM (SELECT * FROM mm, ub) LEFT JOIN pb USING (minute, upper) WINDOW w AS (PARTITION BY upper ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW))
+, lb AS (SELECT *, COALESCE(lag(upper) OVER w, 0) AS lower, COALESCE(lag(cum) OVER w, 0) AS prev FROM hb WINDOW w AS (PARTITION BY minute ORDER BY upper))
+, p95 AS (SELECT minute, arg_min(CASE WHEN isinf(upper) THEN lower ELSE lower + (upper - lower) * (n * 0.95 - prev) / NULLIF(cum - prev, 0) END, upper) AS p95
+          FROM lb WHERE n > 0 AND cum >= n * 0.95 GROUP BY minute)
+"""
+_ALERT_SQL = _MINUTES_SQL + """
+, conds AS (SELECT 'HighErrorRate' AS alert, 2 AS for_m, minute FROM tw WHERE error_rate > 0.05
+            UNION ALL SELECT 'HighFraudRate', 10, minute FROM tw WHERE fraud_rate > 0.5
+            UNION ALL SELECT 'SlowPredictions', 5, minute FROM p95 WHERE p95 > 1.0)
 , g AS (SELECT *, minute - row_number() OVER (PARTITION BY alert ORDER BY minute) AS grp FROM conds)
 SELECT alert, min(minute) AS start_step, max(minute) AS end_step, count(*) AS steps, min(minute) + any_value(for_m) AS fired_step
 FROM g GROUP BY alert, grp HAVING count(*) >= any_value(for_m) + 1"""
 
 
+def _runs(req, held: bool):
+    """Runs of every rule; ``held``: only those that last for the rule's hold time."""
+    out = None
+    minutes = OB.rule_minutes(req)
+    for name, _, _, hold in OB.RULES:
+        series, cond = minutes[name]
+        runs = SE.islands(series, [], "minute", cond, hold + 1 if held else 1).select(
+            F.lit(name).alias("alert"), "start_step", "end_step", "steps", (F.col("start_step") + hold).alias("fired_step"))
+        out = runs if out is None else out.unionByName(runs)
+    return out
+
+
 @register("obs_04_alerts", _ALERT_SQL)
 def obs_04_alerts(spark, d):
-    """Alert runs: error rate > 5% for 2m, fraud rate > 50% for 10m, P95 > 1 s for 5m (5-minute windows)."""
-    r = X.requests(spark, d)
-    tw = OB.trailing(OB.minute_series(r), 5, ["n", "errors", "scored", "frauds"])
-    a = OB.alert_runs(tw, "HighErrorRate", F.col("errors_w") / F.col("n_w") > 0.05, 2)
-    b = OB.alert_runs(tw, "HighFraudRate", F.try_divide(F.col("frauds_w"), F.col("scored_w")) > 0.5, 10)
-    p95 = OB.p95_trailing(r, 5)
-    c = OB.alert_runs(p95, "SlowPredictions", F.col("p95") > 1.0, 5)
-    return a.unionByName(b).unionByName(c)
+    """Alert runs of the three rules: error rate, fraud rate, P95 of predictions."""
+    return _runs(X.requests(spark, d), held=True)
 
 
 @register("win_05_islands", _ALERT_SQL.replace("HAVING count(*) >= any_value(for_m) + 1", "HAVING true"))
 def win_05_islands(spark, d):
     """Gaps-and-islands: every run of consecutive minutes where an alert condition holds."""
-    r = X.requests(spark, d)
-    tw = OB.trailing(OB.minute_series(r), 5, ["n", "errors", "scored", "frauds"])
-    from riskframe.operators.series import islands
-    out = []
-    for name, cond, fm in (("HighErrorRate", F.col("errors_w") / F.col("n_w") > 0.05, 2),
-                           ("HighFraudRate", F.try_divide(F.col("frauds_w"), F.col("scored_w")) > 0.5, 10)):
-        i = islands(tw, [], "minute", cond, 1)
-        out.append(i.select(F.lit(name).alias("alert"), "start_step", "end_step", "steps",
-                            (F.col("start_step") + fm).alias("fired_step")))
-    return out[0].unionByName(out[1])
+    return _runs(X.requests(spark, d), held=False)
+
+
+@register("obs_05_slow_requests", _MINUTES_SQL + "SELECT minute, round(p95, 6) AS p95 FROM p95 WHERE p95 > 0.5")
+def obs_05_slow_requests(spark, d):
+    """Minutes whose trailing 5-minute P95 is over half a second."""
+    p = OB.p95_trailing(X.requests(spark, d), 5)
+    return p.where(F.col("p95") > OB.SLOW_REQUEST_SECONDS).select("minute", F.round("p95", 6).alias("p95"))
 
 
 @register("obs_05_error_bursts", REQ + """

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskframe.functions.logs import parse_log_line, parse_request_fields
 from riskframe.functions.time import epoch_micros
 from riskframe.operators import metrics as M
-from riskframe.operators.series import islands
 from riskframe.sources import fixtures as X
 
 MINUTE_US = 60_000_000
@@ -20,15 +19,33 @@ def parsed_logs(spark: SparkSession, d: str) -> DataFrame:
     return p.withColumn("log_us", epoch_micros(F.col("log_ts")))
 
 
+# The alert rules (window and hold time in minutes).
+RULES = (
+    # name, window, threshold, hold
+    ("HighErrorRate", 5, 0.05, 2),
+    ("HighFraudRate", 10, 0.5, 10),
+    ("SlowPredictions", 5, 1.0, 5),
+)
+#: P95 of a request above this many seconds (5-minute window) is an alert without hold time.
+SLOW_REQUEST_SECONDS = 0.5
+
+
+def every_minute(series: DataFrame) -> DataFrame:
+    """The minutes from the first to the last of ``series`` (one row each; the span in minutes, whatever the rows)."""
+    return series.agg(F.min("minute").alias("lo"), F.max("minute").alias("hi")).where("lo IS NOT NULL") \
+                 .select(F.explode(F.sequence("lo", "hi")).alias("minute"))
+
+
 def minute_series(req: DataFrame) -> DataFrame:
-    """Per-minute request aggregates (the evaluation grid of the alert rules)."""
+    """Request aggregates of every minute, 0 in minutes without requests (the evaluation grid of the alert rules)."""
     m = F.floor(epoch_micros(F.col("ts")) / MINUTE_US).cast("bigint")
     scored = F.col("status") != 500
-    return req.groupBy(m.alias("minute")).agg(
+    seen = req.groupBy(m.alias("minute")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("status") >= 500).alias("errors"),
         F.count_if(scored).alias("scored"),
         F.count_if(scored & (F.col("probability") >= 0.5)).alias("frauds"))
+    return every_minute(seen).join(seen, "minute", "left").fillna(0)
 
 
 def trailing(series: DataFrame, minutes: int, cols) -> DataFrame:
@@ -41,18 +58,27 @@ def trailing(series: DataFrame, minutes: int, cols) -> DataFrame:
     return series.select("minute", *[F.sum(c).over(w).alias(f"{c}_w") for c in cols])
 
 
-def alert_runs(series: DataFrame, name: str, cond, for_minutes: int) -> DataFrame:
-    """WIN-05: minutes where ``cond`` held for at least ``for_minutes`` -> one row per firing run."""
-    r = islands(series, [], "minute", cond, min_steps=for_minutes + 1)
-    return r.select(F.lit(name).alias("alert"), "start_step", "end_step", "steps",
-                    (F.col("start_step") + for_minutes).alias("fired_step"))
+def rule_minutes(req: DataFrame) -> dict[str, tuple[DataFrame, object]]:
+    """Per rule of RULES: its evaluated minutes and the condition (null where its window has no data)."""
+    by = {name: (window, limit) for name, window, limit, _ in RULES}
+    s = minute_series(req)
+    window, limit = by["HighErrorRate"]
+    errors = trailing(s, window, ["n", "errors"]), F.try_divide("errors_w", "n_w") > limit
+    window, limit = by["HighFraudRate"]
+    frauds = trailing(s, window, ["scored", "frauds"]), F.try_divide("frauds_w", "scored_w") > limit
+    window, limit = by["SlowPredictions"]
+    return {"HighErrorRate": errors, "HighFraudRate": frauds, "SlowPredictions": (p95_trailing(req, window), F.col("p95") > limit)}
 
 
 def p95_trailing(req: DataFrame, minutes: int, q: float = 0.95) -> DataFrame:
-    """Histogram-bucket P95 over the trailing window, per minute (what a bucket-quantile rule sees)."""
+    """Histogram-bucket P95 over the trailing window, for every minute whose window has requests."""
     m = F.floor(epoch_micros(F.col("ts")) / MINUTE_US).cast("bigint")
     h = M.histogram(req.withColumn("minute", m), "duration_s", M.PREDICTION_SECONDS, ["minute"])
-    w = Window.partitionBy("le").orderBy("minute").rangeBetween(-(minutes - 1), 0)
-    hw = h.select("minute", "le", "upper", F.sum("cumulative_count").over(w).alias("cumulative_count"),
-                  F.sum("count").over(w).alias("count"))
+    bounds = [*M.PREDICTION_SECONDS, None]
+    grid = every_minute(h).select("minute", F.explode(F.array(*[F.lit(b).cast("double") for b in bounds])).alias("upper"))
+    h = grid.alias("g").join(h.alias("h"), F.expr("g.minute = h.minute AND g.upper <=> h.upper"), "left").select(
+        "g.minute", "g.upper", F.coalesce("h.cumulative_count", F.lit(0)).alias("cumulative_count"),
+        F.coalesce("h.count", F.lit(0)).alias("count"))
+    w = Window.partitionBy("upper").orderBy("minute").rangeBetween(-(minutes - 1), 0)
+    hw = h.select("minute", "upper", F.sum("cumulative_count").over(w).alias("cumulative_count"), F.sum("count").over(w).alias("count"))
     return M.bucket_quantile(hw, q, ["minute"], name="p95")

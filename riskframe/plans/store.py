@@ -56,8 +56,8 @@ def historical_features(entities: DataFrame, views: Sequence[FeatureView], entit
 def latest_per_key(df: DataFrame, key: str, ts: str, created: str | None = None,
                    cols: Sequence[str] = ()) -> DataFrame:
     """WIN-01: newest row per key by ``(ts, created)``; ``max_by`` aggregate, no sort or window."""
-    order = F.struct(F.col(ts), F.col(created or ts))
-    keep = list(cols) + [ts]
+    keep = list(cols) + [ts] + [created] * bool(created and created not in (ts, *cols))
+    order = F.struct(F.col(ts), F.col(created or ts), F.xxhash64(*keep))   # the hash only decides full ties, always alike
     return df.groupBy(key).agg(F.max_by(F.struct(*keep), order).alias("__r")).select(key, "__r.*")
 
 
@@ -66,11 +66,11 @@ def materialize(view: FeatureView, start, end) -> DataFrame:
     return latest_per_key(source_rows(view, start, end), view.key, view.event_ts, view.created_ts, view.features)
 
 
-def merge_online(previous: DataFrame, fresh: DataFrame, key: str, ts: str) -> DataFrame:
-    """Newer of the stored and the freshly computed row per key."""
+def merge_online(previous: DataFrame, fresh: DataFrame, key: str, ts: str, created: str | None = None) -> DataFrame:
+    """Newer of the stored and the freshly computed row per key, by ``(ts, created)``."""
     both = previous.unionByName(fresh)
-    return both.groupBy(key).agg(F.max_by(F.struct(*[c for c in both.columns if c != key]), F.col(ts)).alias("__r")) \
-               .select(key, "__r.*")
+    return latest_per_key(both, key, ts, created if created in both.columns else None,
+                          [c for c in both.columns if c not in (key, ts, created)])
 
 
 def materialize_incremental(view: FeatureView, previous: DataFrame | None, last_end, end) -> DataFrame:
@@ -81,7 +81,7 @@ def materialize_incremental(view: FeatureView, previous: DataFrame | None, last_
                                  (F.col(view.event_ts) < F.lit(end).cast("timestamp_ntz")))
         return latest_per_key(rows, view.key, view.event_ts, view.created_ts, view.features)
     fresh = materialize(view, last_end, end)
-    return merge_online(previous, fresh, view.key, view.event_ts)
+    return merge_online(previous, fresh, view.key, view.event_ts, view.created_ts)
 
 
 def online_lookup(entities: DataFrame, online: DataFrame, view: FeatureView, now: Column) -> DataFrame:

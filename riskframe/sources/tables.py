@@ -16,8 +16,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table as a DataFrame (lazy; nothing is read here)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One input table as a DataFrame, NaN as null (lazy; nothing is read here)."""
+    return clean_nan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def clean_nan(df: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def str_03_count_windows(spark, d):
     lab = J.labeled_stream(stream_table(spark, d, "labels"), preds)
     out = scratch_path(spark, "count-windows-out")
     run_foreach_batch(lab, "count-windows", J.CountWindows(scratch_path(spark, "count-windows-state"), out))
-    rep = spark.read.parquet(out)
+    rep = spark.read.parquet(out).drop("b")
     return rep.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1", "accuracy", "auc")})
 
 
@@ -67,22 +67,26 @@ def str_04_online_table(spark, d):
 
 
 @register("str_05_label_join", W("pred") + f"""
-SELECT transaction_id, ground_truth AS label, round((epoch_us(label_ts) - epoch_us(pred_ts)) / 3.6e9, 6) AS latency_h
-FROM pred WHERE ground_truth IS NOT NULL AND label_ts <= pred_ts + INTERVAL {J.LABEL_HORIZON_HOURS} HOURS""")
+, l AS (SELECT * FROM pred WHERE ground_truth IS NOT NULL)
+SELECT transaction_id, ground_truth AS label, round((epoch_us(label_ts) - epoch_us(pred_ts)) / 3.6e9, 6) AS latency_h,
+       CASE WHEN pred_ts IS NULL THEN 'unmatched' WHEN label_ts BETWEEN pred_ts AND pred_ts + INTERVAL {J.LABEL_HORIZON_HOURS} HOURS
+            THEN 'in_time' ELSE 'outside_horizon' END AS status FROM l""")
 def str_05_label_join(spark, d):
-    """Stream-stream join of labels to predictions within 7 days, with label latency."""
+    """Stream-stream join of labels to predictions, then every label that the stream's horizon left out, with a status."""
     p = X.predictions_of(stream_table(spark, d, "documents").select("doc_id", "n_chars"))
     lab = X.labels_of(stream_table(spark, d, "labels"))
-    out = run_available_now(J.label_join(p, lab), "label-join")
-    return spark.read.parquet(out).withColumn("latency_h", F.round("latency_h", 6))
+    joined = spark.read.parquet(run_available_now(J.label_join(p, lab), "label-join"))
+    out = J.reconciled_labels(joined, X.predictions_of(load(spark, d, "documents").select("doc_id", "n_chars")),
+                              X.labels_of(load(spark, d, "labels")))
+    return out.withColumn("latency_h", F.round("latency_h", 6))
 
 
 @register("str_06_first_label_only", "SELECT doc_id AS transaction_id FROM labels")
 def str_06_first_label_only(spark, d):
-    """Each labeled id counted once although its label was submitted twice."""
-    sub = J.label_submissions(stream_table(spark, d, "labels"))
-    out = run_available_now(J.first_label_only(sub), "dedup")
-    return spark.read.parquet(out)
+    """Each prediction id is counted once although it is submitted twice, whatever lies between."""
+    out = scratch_path(spark, "first-labels")
+    run_foreach_batch(J.label_submissions(stream_table(spark, d, "labels")), "first-labels", J.FirstLabels(out))
+    return spark.read.parquet(out).drop("b")
 
 
 @register("str_07_log_level_counts", W("logs") + """

@@ -58,9 +58,10 @@ class CountWindows:
     Per micro-batch: the batch rows get global positions after the stored
     offset (H1 row index, in ``order`` inside the batch), rows of the open
     window from the state are added, complete windows are evaluated and
-    appended to the output, and the rows of the still-open window (fewer
-    than ``size``) plus the new offset become the next state version. Each
-    batch writes its own state version, so a replayed batch is idempotent.
+    written, and the rows of the still-open window (fewer than ``size``) plus
+    the new offset become the next state version. Each batch overwrites its own
+    output folder and state version, so a replayed batch is idempotent; a
+    missing state of the batch before is an error.
     """
 
     def __init__(self, state_path: str, out_path: str, size: int = 100,
@@ -70,8 +71,10 @@ class CountWindows:
     def _prev(self, spark: SparkSession, batch_id: int):
         fs = spark._jvm.org.apache.hadoop.fs
         p = fs.Path(f"{self.state}/b={batch_id - 1}/meta")
-        if batch_id == 0 or not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        if batch_id == 0:
             return None, 0
+        if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            raise FileNotFoundError(f"no state of batch {batch_id - 1} in {self.state}")
         meta = spark.read.parquet(f"{self.state}/b={batch_id - 1}/meta").first()
         return spark.read.parquet(f"{self.state}/b={batch_id - 1}/open"), int(meta["consumed"])
 
@@ -85,22 +88,36 @@ class CountWindows:
         full = rows.groupBy("window_no").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") == self.size)
         done = rows.join(full.select("window_no"), "window_no", "left_semi")
         rep = classification_report(done, "ground_truth", "prediction", "probability", groups=["window_no"])
-        rep.write.mode("append").parquet(self.out)
+        rep.write.mode("overwrite").parquet(f"{self.out}/b={batch_id}")
         rows.join(full.select("window_no"), "window_no", "left_anti").drop("window_no") \
             .write.mode("overwrite").parquet(f"{self.state}/b={batch_id}/open")
         spark.range(1).select(F.lit(consumed + n).cast("bigint").alias("consumed")) \
             .write.mode("overwrite").parquet(f"{self.state}/b={batch_id}/meta")
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names below ``path`` (empty where there is none), by the path's own file system."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in fs.listStatus(hp)] if fs.exists(hp) else []
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed manifest versions, ascending (Spark writes ``_SUCCESS`` last, so a half-written one doesn't count)."""
+    names = [n for n in _children(spark, f"{path}/manifest") if n.startswith("b=")]
+    return sorted(int(n[2:]) for n in names if "_SUCCESS" in _children(spark, f"{path}/manifest/{n}"))
+
+
 class OnlineTable:
     """STR-04: latest row per key kept fresh by pushes, as ``foreachBatch``.
 
     The table is hash-bucketed on the key. A micro-batch reduces its rows to
-    the latest per key, reads only the buckets it touches (partition pruning),
-    merges and rewrites just those buckets (dynamic partition overwrite). The
-    merge takes the latest row per key, so a replayed batch gives the same
-    table; a key lives in one bucket, so a partly committed batch is repaired
-    by its replay.
+    the latest per key and merges them with the buckets it touches; the merged
+    buckets go to a folder of the batch's own (``table_version=<batch>/bucket=<n>``). Then a
+    manifest (one row per bucket: the version that holds it) is written under
+    the batch's number: that is the commit. Nothing that a manifest names is
+    ever overwritten, so a crash before the commit leaves the table as it was,
+    readers see whole versions, and a replay starts from the manifest before.
     """
 
     def __init__(self, path: str, key: str, ts: str, created: str, cols, buckets: int = 64):
@@ -108,33 +125,41 @@ class OnlineTable:
         self.buckets = buckets
 
     def _latest(self, df: DataFrame) -> DataFrame:
-        order = F.struct(F.col(self.ts), F.col(self.created))
         keep = [*self.cols, self.ts, self.created]
+        order = F.struct(F.col(self.ts), F.col(self.created), F.xxhash64(*keep))   # the hash decides full ties, always alike
         return df.groupBy(self.key).agg(F.max_by(F.struct(*keep), order).alias("__r")).select(self.key, "__r.*")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from riskframe.session import cut_lineage
         spark = batch.sparkSession
-        fresh = cut_lineage(self._latest(batch).withColumn(
-            "bucket", F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")))
+        bucket = F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+        fresh = cut_lineage(self._latest(batch).withColumn("bucket", bucket))
         touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]   # <= buckets ints
-        if not touched:
-            return
-        fs = spark._jvm.org.apache.hadoop.fs
-        hp = fs.Path(self.path)
+        before = [v for v in _versions(spark, self.path) if v < batch_id]
+        held = manifest(spark, self.path, before[-1]) if before else {}
         merged = fresh
-        if hp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hp):
-            prev = spark.read.parquet(self.path).where(F.col("bucket").isin(touched))
-            merged = self._latest(prev.drop("bucket").unionByName(fresh.drop("bucket"))).withColumn(
-                "bucket", F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int"))
-        merged = cut_lineage(merged)          # the write below replaces the files read above
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket").parquet(self.path))
+        old = {b: v for b, v in held.items() if b in set(touched)}
+        if old:
+            merged = self._latest(_buckets(spark, self.path, old).drop("bucket").unionByName(fresh.drop("bucket"))).withColumn("bucket", bucket)
+        if touched:
+            merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/table_version={batch_id}")
+        rows = sorted((held | {b: batch_id for b in touched}).items())
+        spark.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/b={batch_id}")
+
+
+def manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """The version that holds each bucket (at most one row per bucket)."""
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{path}/manifest/b={version}").collect()}
+
+
+def _buckets(spark: SparkSession, path: str, held: dict[int, int]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*[f"{path}/table_version={v}/bucket={b}" for b, v in sorted(held.items())]).drop("table_version")
 
 
 def current_version(spark: SparkSession, path: str) -> DataFrame:
-    """The online table as it stands (bucket column dropped)."""
-    return spark.read.parquet(path).drop("bucket")
+    """The online table of the last committed manifest (bucket column dropped)."""
+    held = manifest(spark, path, _versions(spark, path)[-1])
+    return _buckets(spark, path, held).drop("bucket")
 
 
 def label_join(predictions: DataFrame, labels: DataFrame, delay: str = "1 hour",
@@ -142,7 +167,8 @@ def label_join(predictions: DataFrame, labels: DataFrame, delay: str = "1 hour",
     """STR-05: stream-stream join of labels to predictions within ``horizon`` hours, latency in hours.
 
     Both sides carry a watermark, so Spark can drop join state older than the
-    horizon; labels later than that are handled by the batch view (SNK-04).
+    horizon; ``reconciled_labels`` adds the labels outside it and those without
+    a prediction.
     """
     p = predictions.withColumn("pt", F.col("pred_ts").cast("timestamp")).withWatermark("pt", delay) \
                    .withColumnRenamed("transaction_id", "pid")
@@ -152,10 +178,39 @@ def label_join(predictions: DataFrame, labels: DataFrame, delay: str = "1 hour",
     return j.select("transaction_id", "label", hours_between(F.col("pred_ts"), F.col("label_ts")).alias("latency_h"))
 
 
-def first_label_only(label_events: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """STR-06: each prediction id counted once (``dropDuplicatesWithinWatermark``)."""
-    e = label_events.withColumn("lt", F.col("label_ts").cast("timestamp")).withWatermark("lt", delay)
-    return e.dropDuplicatesWithinWatermark(["transaction_id"]).select("transaction_id")
+def reconciled_labels(joined: DataFrame, predictions: DataFrame, labels: DataFrame) -> DataFrame:
+    """STR-05, whole: the stream's joined labels plus, from the stored tables, every label that it left out.
+
+    ``status`` is ``in_time`` for the stream's rows, ``outside_horizon`` for labels that came too late (or before the
+    prediction) for the stream's bounded state, and ``unmatched`` for labels without a prediction.
+    """
+    rest = labels.join(joined.select("transaction_id", "label").distinct(), ["transaction_id", "label"], "left_anti")
+    rest = rest.join(predictions.select("transaction_id", "pred_ts"), "transaction_id", "left")
+    late = hours_between(F.col("pred_ts"), F.col("label_ts"))
+    return joined.withColumn("status", F.lit("in_time")).unionByName(rest.select(
+        "transaction_id", "label", late.alias("latency_h"),
+        F.when(F.col("pred_ts").isNull(), "unmatched").otherwise("outside_horizon").alias("status")))
+
+
+class FirstLabels:
+    """STR-06: each prediction id counted once, however late it is submitted again, as ``foreachBatch``.
+
+    The counted ids are the output itself: a batch's new ids are those that no
+    earlier batch's folder has (an anti-join on the id). A replay overwrites its
+    own folder.
+    """
+
+    def __init__(self, out_path: str):
+        self.out = out_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ids = batch.select("transaction_id").distinct()
+        before = [n for n in _children(spark, self.out) if n.startswith("b=") and int(n[2:]) < batch_id]
+        if before:
+            seen = spark.read.parquet(*[f"{self.out}/{n}" for n in sorted(before)])
+            ids = ids.join(seen, "transaction_id", "left_anti")
+        ids.write.mode("overwrite").parquet(f"{self.out}/b={batch_id}")
 
 
 def log_level_counts(events: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
