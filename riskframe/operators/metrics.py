@@ -121,39 +121,35 @@ def bucket_quantile(hist: DataFrame, q: float, groups: Sequence[str] = (), name:
     return first.select(*groups, F.when(F.col("b.upper").isNull(), F.col("b.lower")).otherwise(inside).alias(name))
 
 
-def exact_quantile(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence = ()) -> DataFrame:
-    """Exact (interpolated) quantiles; named apart from the bucket estimate on purpose."""
-    return quantiles(df, value, qs, groups)
-
-
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
               names: Sequence[str] | None = None, few_groups: bool = False) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont`` semantics) without a per-group value buffer.
 
-    Rows are ranked with the H1 running count (range-partitioned, so a hot
-    group is spread over many tasks); only the rows at the interpolation
-    ranks ``floor(h)`` and ``ceil(h)``, ``h = q (n - 1)``, are kept and combined.
+    Rows are first counted per value (partial aggregation: a hot value is one
+    row from then on), the counts get running totals (H1, range-partitioned, so
+    a hot group is spread over many tasks), and a value is picked when one of
+    the ranks ``floor(h)`` and ``ceil(h)``, ``h = q (n - 1)``, lies among its
+    rows. ``few_groups``: see ``running_totals``.
     """
     names = list(names or [f"p{int(round(q * 100))}" for q in qs])
-    v = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("__x"))
-    ranked = running_totals(v, ["__x"], {"__i": F.lit(1).cast("bigint")}, groups=groups, few_groups=few_groups)
-    n = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
-    wanted = n.select(*groups, "__n", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("__q"), F.lit(float(q)).alias("__qv"),
-                 (F.floor(F.lit(float(q)) * (F.col("__n") - 1)) + 1).cast("bigint").alias("__lo"),
-                 (F.ceil(F.lit(float(q)) * (F.col("__n") - 1)) + 1).cast("bigint").alias("__hi"))
-        for i, q in enumerate(qs)])))
-    pick = wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__lo").alias("__i")).unionByName(
-        wanted.select(*groups, "__q", "__qv", "__n", "__lo", F.col("__hi").alias("__i"))).distinct()
-    hit = ranked.join(F.broadcast(pick) if (not groups or few_groups) else pick, [*groups, "__i"])
-    per = hit.groupBy(*groups, "__q", "__qv", "__n").agg(
-        F.min_by("__x", "__i").alias("__xlo"), F.max_by("__x", "__i").alias("__xhi"),
-        F.min("__i").alias("__ilo"), F.max("__i").alias("__ihi"))
-    # weighted form (ceil(h) - h) * lo + (h - floor(h)) * hi, the same float operations as
-    # Spark's percentile and DuckDB's quantile_cont
-    h = (F.col("__n") - 1) * F.col("__qv")
-    lo_pos, hi_pos = F.col("__ilo") - 1, F.col("__ihi") - 1
-    val = F.when(lo_pos == hi_pos, F.col("__xlo")).otherwise(
-        (hi_pos - h) * F.col("__xlo") + (h - lo_pos) * F.col("__xhi"))
-    out = per.groupBy(*groups).pivot("__q", list(range(len(qs)))).agg(F.first(val))
-    return out.select(*groups, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
+    v = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+    ranked = running_totals(v, ["__x"], {"__to": F.col("__c")}, groups=groups, few_groups=few_groups)
+    n = v.groupBy(*groups).agg(F.sum("__c").alias("__n"))
+    if groups:
+        ranked = ranked.join(F.broadcast(n) if few_groups else n, list(groups))
+    else:
+        ranked = ranked.withColumn("__n", n.scalar())
+    last, first = F.col("__to"), F.col("__to") - F.col("__c")
+    aggs = [F.max("__n").alias("__n")]
+    for i, q in enumerate(qs):
+        h = (F.col("__n") - 1) * F.lit(float(q))
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((rank >= first) & (rank < last), F.col("__x"))).alias(f"__{side}{i}"))
+    got = ranked.groupBy(*groups).agg(*aggs)
+    out = []
+    for i, (q, name) in enumerate(zip(qs, names)):
+        # weighted form (ceil(h) - h) * lo + (h - floor(h)) * hi, the same float operations as
+        # Spark's percentile and DuckDB's quantile_cont
+        h, lo, hi = (F.col("__n") - 1) * F.lit(float(q)), F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        out.append(F.when(F.floor(h) == F.ceil(h), lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi).alias(name))
+    return got.select(*groups, *out)
