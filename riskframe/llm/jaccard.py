@@ -4,8 +4,9 @@ A text's set is its distinct five-word shingles. Two sets link when 100 * |a & b
 
 1. One pass gives every text its set's size and signature and, per block of texts, the shingles that several of them
    have. Texts with equal sets are one set from here on, known by its signature.
-2. All shingles have one global order: rare before frequent (by the counts of step 1, a bounded table that only
-   orders), then by hash. Linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each (the prefix). The
+2. All shingles have one global order: rare before frequent, then by hash. The counts behind it are those of step 1
+   and, over all texts, those of each set's shingles of lowest hash, which are its prefix as long as none is frequent;
+   the table of frequent ones is bounded and only orders. Linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each (the prefix). The
    prefixes go to inverted lists, dealt by hash. A list is ordered by position and cut into blocks; a set skips the
    blocks whose positions and sizes leave too few shingles for a link.
 3. Short lists give all their pairs; a long list first gives the pairs with its centre only, the set that holds the
@@ -170,29 +171,61 @@ def _candidates(table: pa.Table) -> pa.Table:
     return pa.concat_tables([pairs, lists])
 
 
+def _lowest(buckets: int):
+    """Rows (bucket, keys, counts) of the shingles of lowest hash of every set, one and a half prefixes of each."""
+    def run(batches):
+        for _, sets in _sets(batches):
+            one = {signature(g): g for g in sets if len(g)}
+            if not one:
+                continue
+            key, n = np.unique(np.concatenate([g[:3 * (len(g) - (-(-PERCENT * len(g) // 100)) + 1) // 2] for g in one.values()]), return_counts=True)
+            cut = np.searchsorted((key >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24), np.arange(buckets + 1, dtype=np.uint64))
+            full = np.flatnonzero(np.diff(cut)).tolist()
+            cols = [[x[cut[k]:cut[k + 1]].tobytes() for k in full] for x in (key, np.minimum(n, 255).astype(np.uint8))]
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)], names=["bucket", "keys", "counts"])
+
+    return run
+
+
+def _frequent(table: pa.Table) -> pa.Table:
+    """(keys, n) of one bucket's shingles that reach FREQUENT."""
+    key, where = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]), return_inverse=True)
+    n = np.bincount(where, np.concatenate([np.frombuffer(x, np.uint8) for x in table["counts"].to_pylist()])).astype(np.int64)
+    often = n >= FREQUENT
+    return pa.table({"keys": key[often].view(np.int64), "n": n[often]})
+
+
 PAIR = "key long, a long, b long, na long, nb long, pa long, pb long"
 
 
+def buckets(docs: DataFrame, total: int) -> int:
+    """Buckets of lists for so many shingles: a bucket's size stays the same."""
+    return max(shuffle_parts(docs.sparkSession), total // (5 * BUCKET_POSTINGS))
+
+
 def survey(docs: DataFrame) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray], int]:
     """(documents with size and signature, frequent shingles with their rank, shingles in all)."""
     p1 = stored(docs.mapInArrow(_survey, "ids array<long>, sizes array<long>, sigs array<long>, keys array<long>, counts array<long>"), "jaccard-sets")
     sized = p1.selectExpr("inline(arrays_zip(ids, sizes, sigs))").toDF("doc_id", "n", "sig")
-    often = p1.selectExpr("inline(arrays_zip(keys, counts))").groupBy("keys").agg(F.sum("counts").alias("n")).where(F.col("n") >= FREQUENT)
+    total = p1.select(F.sum(F.expr("aggregate(sizes, 0L, (s, x) -> s + x)"))).first()[0] or 0
+    lowest = docs.mapInArrow(_lowest(buckets(docs, total)), "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(
+        _frequent, "keys long, n long")
+    local = p1.selectExpr("inline(arrays_zip(keys, counts))").groupBy("keys").agg(F.sum("counts").alias("n")).where(F.col("n") >= FREQUENT)
+    often = lowest.unionByName(local).groupBy("keys").agg(F.max("n").alias("n"))
     got = often.orderBy(F.desc("n"), "keys").limit(MAX_FREQUENT).toPandas()
     keys, n = got["keys"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
     by = np.argsort(keys)
     rank = np.empty(len(keys), np.int64)
     rank[np.lexsort((keys[by], n[by]))] = np.arange(len(keys))
-    total = p1.select(F.sum(F.expr("aggregate(sizes, 0L, (s, x) -> s + x)"))).first()[0] or 0
+    release(docs.sparkSession)
     return sized, (keys[by], rank), total
 
 
 def candidates(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], total: int) -> DataFrame:
     """Rows of PAIR: pairs that may link (key null), and the postings of long lists (b unused)."""
     spark = docs.sparkSession
-    buckets = max(shuffle_parts(spark), total // (5 * BUCKET_POSTINGS))
     shared = spark.sparkContext.broadcast(often)
-    posted = docs.mapInArrow(_postings(shared, buckets), "bucket int, key binary, sig binary, n binary, pos binary")
+    posted = docs.mapInArrow(_postings(shared, buckets(docs, total)), "bucket int, key binary, sig binary, n binary, pos binary")
     return posted.groupBy("bucket").applyInArrow(_candidates, PAIR)
 
 
@@ -236,15 +269,11 @@ def _need(a: str, b: str):
     return F.ceil(PERCENT * (F.col(a) + F.col(b)) / (100 + PERCENT))
 
 
-#: Positions of a block of a long list.
-POSITIONS = 16
-
-
 def cross_pairs(lists: DataFrame, found: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs in long lists that first components leave open: (a, b, na, nb, settled), settled where bounds prove a link.
 
-    The larger set of a pair probes the list: it asks for the blocks of (size class, position) that can hold a
-    partner, so blocks that can't are never read.
+    The larger set of a pair probes the list: it asks for the two size classes that can hold a partner, and of those
+    only the block of low positions: a smaller partner that holds the shingle beyond is skipped without being read.
     """
     p = lists.select("key", F.col("a").alias("sig"), F.col("na").alias("n"), F.col("pa").alias("pos"))
     p = p.join(parts.select(F.col("node").alias("sig"), "component"), "sig", "left").withColumn("part", F.coalesce("component", "sig"))
@@ -252,15 +281,16 @@ def cross_pairs(lists: DataFrame, found: DataFrame, parts: DataFrame) -> DataFra
     p = p.join(many.where("lo <> hi").select("key", F.col("c.sig").alias("centre"), F.col("c.n").alias("nc")), "key")
     both = found.select(F.col("a").alias("centre"), F.col("b").alias("sig"), "common").unionByName(
         found.select(F.col("b").alias("centre"), F.col("a").alias("sig"), "common"))
-    p = p.join(both, ["centre", "sig"], "left").withColumns({"class": F.floor(F.log("n") / F.log(F.lit(1.26))), "block": F.expr(f"pos DIV {POSITIONS}")})
-    index = p.select("key", "class", "block", *[F.col(c).alias(f"{c}2") for c in ("sig", "n", "pos", "part", "common")])
-    probe = (p.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1)))
-             .withColumn("block", F.explode(F.expr(f"sequence(0L, CAST(floor((n - ceil(2 * {PERCENT} * n / {100 + PERCENT}) + 1) / {POSITIONS}) AS BIGINT))"))))
+    p = p.join(both, ["centre", "sig"], "left").withColumn("class", F.floor(F.log("n") / F.log(F.lit(1.26))))
+    # the smaller set of a linked pair has the shingle among its first n - ceil(2 * 0.8 / 1.8 * n) + 1
+    low = F.col("pos") <= F.col("n") - F.ceil(2 * PERCENT * F.col("n") / (100 + PERCENT))
+    index = p.where(low).select("key", "class", *[F.col(c).alias(f"{c}2") for c in ("sig", "n", "pos", "part", "common")])
+    probe = p.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") - 1)))
     order = F.struct("n2", "sig2") < F.struct("n", "sig")
     can = (F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) >= _need("n", "n2")) & (F.col("part") != F.col("part2"))
     most = F.least("common", "common2") + F.least(F.col("n") - F.col("common"), F.col("n2") - F.col("common2"))
     can = can & F.coalesce(most >= _need("n", "n2"), F.lit(True))
-    j = probe.join(index, (probe["key"] == index["key"]) & (probe["class"] == index["class"]) & (probe["block"] == index["block"]) & order & can)
+    j = probe.join(index, (probe["key"] == index["key"]) & (probe["class"] == index["class"]) & order & can)
     least = F.coalesce(F.col("common") + F.col("common2") - F.col("nc") >= _need("n", "n2"), F.lit(False))
     first = F.col("sig") < F.col("sig2")
     return j.select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b"), F.when(first, F.col("n")).otherwise(F.col("n2")).alias("na"),
