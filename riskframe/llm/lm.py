@@ -10,7 +10,7 @@ from the counts, and its probability is that of the counts without it.
 
 How the counts move: each task turns its texts into blocks of at most about ``BLOCK_TOKENS`` tokens and counts the
 block's distinct words and word pairs. The counts, keyed by hash, are dealt into buckets; one task per bucket adds
-them up and answers every block with the totals that differ from the block's own. So a word or pair travels once per
+them up and answers every block with the totals of its words and pairs. So a word or pair travels once per
 block that has it, however often it occurs there, and a frequent one is no hot key. The number of buckets grows with
 the tokens, so a bucket's size does not. Words are told apart by 64-bit hashes, pairs by their bucket and 40 bits more
 (about one pair in three million shares both with another).
@@ -53,8 +53,8 @@ def _block(number: int, ids, trained, sizes, tokens) -> pa.RecordBatch:
     rank[order] = np.arange(len(order), dtype=np.int32)
     return pa.RecordBatch.from_arrays([
         pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([trained], pa.list_(pa.bool_())),
-        pa.array([sizes], pa.list_(pa.int32())), pa.array([words[order].tobytes()], pa.binary()),
-        pa.array([rank[code].tobytes()], pa.binary())], names=[c.split()[0] for c in BLOCK.split(", ")])
+        pa.array([sizes], pa.list_(pa.int32())), pa.array([_packed(words[order])], pa.binary()),
+        pa.array([_packed(rank[code])], pa.binary())], names=[c.split()[0] for c in BLOCK.split(", ")])
 
 
 def _blocks(batches):
@@ -94,16 +94,17 @@ class Grams:
         self.keys = [words, mix(known[pairs // (u + 1)] * np.uint64(0x9E3779B97F4A7C15) + known[pairs % (u + 1)])]
 
     def buckets(self, n: int):
-        """Yield (order, bucket, indices of its grams by key)."""
+        """Yield (order, bucket, indices of its grams by the key that travels)."""
         for order, keys in enumerate(self.keys):
-            by = np.argsort(keys, kind="stable")
-            cut = np.searchsorted(((keys[by] >> np.uint64(40)) * np.uint64(n)) >> np.uint64(24), np.arange(n + 1, dtype=np.uint64))
+            bucket = ((keys >> np.uint64(40)) * np.uint64(n)) >> np.uint64(24)
+            by = np.lexsort((keys & PAIR_MASK if order else keys, bucket))
+            cut = np.searchsorted(bucket[by], np.arange(n + 1, dtype=np.uint64))
             for k in np.flatnonzero(np.diff(cut)).tolist():
                 yield order, k, by[cut[k]:cut[k + 1]]
 
 
 def _grams(row: dict) -> Grams:
-    return Grams(np.frombuffer(row["words"], np.uint64), np.frombuffer(row["codes"], np.int32), row["sizes"], row["trained"])
+    return Grams(_unpacked(row["words"]), _unpacked(row["codes"]), row["sizes"], row["trained"])
 
 
 def _rows(b: pa.RecordBatch):
@@ -111,30 +112,46 @@ def _rows(b: pa.RecordBatch):
         yield b.slice(i, 1).to_pylist()[0]
 
 
-#: Bytes of a key by order: words, pairs.
-KEY_BYTES = (8, 5)
+def _packed(a: np.ndarray) -> bytes:
+    """An integer array, compressed byte plane by byte plane."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
+    return len(a).to_bytes(8, "little") + a.dtype.str.encode() + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-def _pack(keys: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def _unpacked(raw: bytes) -> np.ndarray:
+    n, kind = int.from_bytes(raw[:8], "little"), np.dtype(raw[8:11].decode())
+    data = pa.decompress(raw[11:], n * kind.itemsize, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
 
 
-def _unpack(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view("<u8").ravel()
+#: Bits that are kept of a pair's key, besides its bucket.
+PAIR_MASK = np.uint64((1 << 40) - 1)
+
+
+def _pack_keys(keys: np.ndarray, order: int) -> bytes:
+    """Keys of one bucket, ascending: words whole, pairs as differences of their low bits."""
+    if order == 0:
+        return _packed(keys)
+    keys = keys & PAIR_MASK
+    gap = np.diff(keys, prepend=np.uint64(0))
+    return _packed(gap.astype(np.uint32) if gap.max(initial=0) < 1 << 32 else gap)
+
+
+def _unpack_keys(raw: bytes, order: int) -> np.ndarray:
+    out = _unpacked(raw)
+    return out if order == 0 else np.cumsum(out, dtype=np.uint64)
 
 
 def _totals(blocks: DataFrame, n: int) -> DataFrame:
-    """(block, bucket, ord, at, n): totals of a block's grams where they differ from its own counts.
+    """(block, bucket, ord, n): the totals of a block's grams in a bucket, in the order of their keys.
 
-    A row with block -1 for each bucket has in ``n`` the number of distinct training words of that bucket.
+    A row with block -1 for each bucket has the number of distinct training words of that bucket.
     """
     def ask(batches):
         for b in batches:
             for row in _rows(b):
                 g = _grams(row)
-                out = [(order, k, _pack(g.keys[order][at], KEY_BYTES[order]), g.local[order][at].astype(np.uint32).tobytes()) for order, k, at in g.buckets(n)]
+                out = [(order, k, _pack_keys(g.keys[order][at], order), _packed(g.local[order][at].astype(np.uint32))) for order, k, at in g.buckets(n)]
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(out), pa.int64()), pa.array(cols[0], pa.int32()),
                                                   pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
@@ -145,26 +162,22 @@ def _totals(blocks: DataFrame, n: int) -> DataFrame:
         order = np.array(table["ord"].to_pylist())
         for o in (0, 1):
             rows = np.flatnonzero(order == o).tolist()
-            keys = [_unpack(table["keys"][i].as_py(), KEY_BYTES[o]) for i in rows]
-            own = [np.frombuffer(table["counts"][i].as_py(), np.uint32) for i in rows]
+            keys = [_unpack_keys(table["keys"][i].as_py(), o) for i in rows]
             if not keys:
                 continue
+            own = [_unpacked(table["counts"][i].as_py()) for i in rows]
             distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(where, np.concatenate(own), len(distinct))
+            total = np.bincount(where, np.concatenate(own), len(distinct)).astype(np.uint32)
             if o == 0:
-                out.append((-1, bucket, o, b"", np.array([(total > 0).sum()], np.uint32).tobytes()))
-            done = 0
-            for i, k, c in zip(rows, keys, own):
-                t = total[where[done:done + len(k)]]
-                done += len(k)
-                at = np.flatnonzero(t != c)
-                out.append((table["block"][i].as_py(), bucket, o, at.astype(np.uint32).tobytes(), t[at].astype(np.uint32).tobytes()))
+                out.append((-1, bucket, o, _packed(np.array([(total > 0).sum()], np.uint32))))
+            cuts = np.cumsum([0, *map(len, keys)])
+            out += [(table["block"][i].as_py(), bucket, o, _packed(total[where[a:b]])) for i, a, b in zip(rows, cuts, cuts[1:])]
         cols = list(zip(*out))
         return pa.table({"block": pa.array(cols[0], pa.int64()), "bucket": pa.array(cols[1], pa.int32()), "ord": pa.array(cols[2], pa.int32()),
-                         "at": pa.array(cols[3], pa.binary()), "n": pa.array(cols[4], pa.binary())})
+                         "n": pa.array(cols[3], pa.binary())})
 
     asked = blocks.mapInArrow(ask, "block long, ord int, bucket int, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "block long, bucket int, ord int, at binary, n binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "block long, bucket int, ord int, n binary")
 
 
 def _bin(p: np.ndarray) -> np.ndarray:
@@ -191,27 +204,26 @@ def _joined(blocks: DataFrame, totals: DataFrame, n: int, total: int) -> DataFra
         rows = []
         for row in (left.slice(i, 1).to_pylist()[0] for i in range(left.num_rows)):
             g = _grams(row)
-            counts = [c.copy() for c in g.local]
+            counts = [np.zeros(len(k), np.int64) for k in g.keys]
             answers = {(o, k): i for i, (o, k) in enumerate(zip(right["ord"].to_pylist(), right["bucket"].to_pylist()))}
             for o, k, at in g.buckets(n):
-                i = answers[o, k]
-                counts[o][at[np.frombuffer(right["at"][i].as_py(), np.uint32)]] = np.frombuffer(right["n"][i].as_py(), np.uint32)
-            words = np.frombuffer(row["words"], np.uint64)
+                counts[o][at] = _unpacked(right["n"][answers[o, k]].as_py())
+            words = _unpacked(row["words"])
             end = int(counts[0][words == END][0])
             b, p2, p1 = _probabilities(g, counts[0], counts[1], end, total, 1)
             learn = np.repeat(np.asarray(row["trained"], bool), g.sizes)
             cell, times = np.unique(((b * CELLS + _bin(p2)) * CELLS + _bin(p1))[learn], return_counts=True)
-            rows.append((row["block"], row["doc_ids"], row["trained"], row["sizes"], row["codes"], end, counts[0].astype(np.uint32).tobytes(),
-                         counts[1].astype(np.uint32).tobytes(), cell.tolist(), times.tolist()))
+            rows.append((row["block"], row["doc_ids"], row["trained"], row["sizes"], row["codes"], end, _packed(counts[0].astype(np.uint32)),
+                         _packed(counts[1].astype(np.uint32)), cell.tolist(), times.tolist()))
         cols = list(zip(*rows)) if rows else [[]] * 10
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.int64(), pa.binary(), pa.binary(),
-                 pa.list_(pa.int64()), pa.list_(pa.int64())]
+                 pa.list_(pa.int32()), pa.list_(pa.int32())]
         names = ["block", "doc_ids", "trained", "sizes", "codes", "end", "one", "two", "cells", "times"]
         return pa.table({m: pa.array(c, t) for m, c, t in zip(names, cols, kinds)})
 
     return blocks.groupBy("block").cogroup(totals.where("block >= 0").groupBy("block")).applyInArrow(
         run, "block long, doc_ids array<long>, trained array<boolean>, sizes array<int>, codes binary, end long, one binary, two binary, "
-             "cells array<long>, times array<long>")
+             "cells array<int>, times array<int>")
 
 
 def fit_weights(cells: np.ndarray, times: np.ndarray, distinct: int) -> np.ndarray:
@@ -247,7 +259,7 @@ def score_corpus(df: DataFrame, trained: Column) -> DataFrame:
     n = max(shuffle_parts(spark), tokens // BUCKET_TOKENS)
     totals = stored(_totals(blocks, n), "lm-totals")
     release(spark)
-    distinct = sum(int(np.frombuffer(r["n"], np.uint32)[0]) for r in totals.where("block = -1").select("n").collect())  # one number a bucket
+    distinct = sum(int(_unpacked(r["n"])[0]) for r in totals.where("block = -1").select("n").collect())  # one number a bucket
     ready = stored(_joined(blocks, totals, n, total), "lm-ready")
     release(spark)
     hist = ready.select(F.explode(F.arrays_zip("cells", "times")).alias("x")).groupBy("x.cells").agg(F.sum("x.times").alias("times"))
@@ -257,8 +269,8 @@ def score_corpus(df: DataFrame, trained: Column) -> DataFrame:
     def run(batches):
         for b in batches:
             for row in _rows(b):
-                one, two = np.frombuffer(row["one"], np.uint32).astype(np.int64), np.frombuffer(row["two"], np.uint32).astype(np.int64)
-                g = Grams(np.zeros(len(one), np.uint64), np.frombuffer(row["codes"], np.int32), row["sizes"], row["trained"])
+                one, two = _unpacked(row["one"]).astype(np.int64), _unpacked(row["two"]).astype(np.int64)
+                g = Grams(np.zeros(len(one), np.uint64), _unpacked(row["codes"]), row["sizes"], row["trained"])
                 ctx, p2, p1 = _probabilities(g, one, two, row["end"], total, 0)
                 w = weights[ctx]
                 p = w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (distinct + 1)
