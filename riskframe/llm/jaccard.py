@@ -132,7 +132,7 @@ def _postings(often_rank, buckets: int):
 
 def fits(n1, p1, n2, p2):
     """Whether sets of these sizes that share the shingle at these positions (0-based) can link."""
-    return 1 + np.minimum(n1 - p1, n2 - p2) - 1 >= need(n1, n2)
+    return np.minimum(n1 - p1, n2 - p2) >= need(n1, n2)
 
 
 def _candidates(table: pa.Table) -> pa.Table:
