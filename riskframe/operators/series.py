@@ -25,8 +25,18 @@ def window_counts(df: DataFrame, ts: str, size: str, slide: str | None = None, g
 
 
 def window_rate(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int, groups: Sequence = ()) -> DataFrame:
-    """OBS-01 / WIN-03 on raw events: events per second over a sliding window."""
-    g = window_counts(df, ts, f"{size_seconds} seconds", f"{slide_seconds} seconds", groups)
+    """OBS-01 / WIN-03 on raw events: events per second over a sliding window.
+
+    Events are counted per slide step first; only those counts are copied to
+    the windows that hold the step (``size`` must be a multiple of ``slide``).
+    """
+    if size_seconds % slide_seconds:
+        raise ValueError("the window must be a multiple of its slide")
+    step = F.floor(F.unix_micros(as_instant(ts)) / F.lit(slide_seconds * 1_000_000)).cast("bigint")
+    g = df.where(F.col(ts).isNotNull()).groupBy(step.alias("__step"), *groups).agg(F.count(F.lit(1)).alias("__n"))
+    g = g.withColumn("__w", F.explode(F.sequence(F.col("__step") - (size_seconds // slide_seconds - 1), F.col("__step"))))
+    g = g.groupBy("__w", *groups).agg(F.sum("__n").alias("n"))
+    g = g.withColumn("window_start_us", F.col("__w") * F.lit(slide_seconds * 1_000_000)).drop("__w")
     return g.withColumn("rate", F.col("n") / F.lit(float(size_seconds)))
 
 

@@ -8,6 +8,7 @@ from riskframe.functions import scalar as S
 from riskframe.operators import keys as K
 from riskframe.plans import features as FE
 from riskframe.plans.registry import register
+from riskframe.session import cut_lineage
 from riskframe.sources import fixtures as X
 from riskframe.sources.tables import load
 
@@ -161,9 +162,9 @@ FROM tx LEFT JOIN codes ON tx.P_emaildomain = codes.key""")
 def fun_08_category_codes(spark, d):
     """Category codes of a text column; missing = -1."""
     tx = X.transactions(spark, d)
-    codes = K.dense_codes(tx, "P_emaildomain")
+    codes = cut_lineage(K.dense_codes(tx, "P_emaildomain"))
     out = K.lookup(tx, codes, F.col("P_emaildomain"), "P_emaildomain", {"code": "P_emaildomain_code"},
-                   rows=None, fill=-1)
+                   rows=codes.count(), fill=-1)
     return out.select("TransactionID", F.col("P_emaildomain_code").cast("bigint").alias("P_emaildomain_code"))
 
 

@@ -12,13 +12,44 @@ from riskframe.session import scratch_path
 from riskframe.sources import fixtures as X
 
 W = X.with_ctes
-_CACHE: dict = {}
+TABLES = ("orders", "customer", "lineitem", "documents", "labels", "events")
+
+
+class _Learned:
+    """What the learning queries of one application share: the prepared frames and fitted models of one state of the data.
+
+    Another application, folder or change of the files (name, length or time) starts anew and lets the cached frame go.
+    """
+
+    def __init__(self):
+        self.state, self.held = None, {}
+
+    def of(self, spark, d) -> dict:
+        state = (spark.sparkContext.applicationId, d, _files(spark, d))
+        if state != self.state:
+            if "prep" in self.held and self.state[0] == state[0]:
+                self.held["prep"][0].unpersist()
+            self.state, self.held = state, {}
+        return self.held
+
+
+_LEARNED = _Learned()
+
+
+def _files(spark, d) -> tuple:
+    """(name, length, modification time) of the input tables."""
+    out = []
+    for t in TABLES:
+        hp = spark._jvm.org.apache.hadoop.fs.Path(f"{d.rstrip('/')}/{t}.parquet")
+        fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
+        out += [(x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(hp)] if fs.exists(hp) else []
+    return tuple(out)
 
 
 def _prepared(spark, d):
     """Engineered features of the labeled rows, split 80/20 per class, matrix nulls = 0."""
-    key = ("prep", d, id(spark))
-    if key not in _CACHE:
+    held, key = _LEARNED.of(spark, d), "prep"
+    if key not in held:
         bf = batch_features(spark, d)
         train = bf.where(F.col("split") == "train").drop("split")
         test = bf.where(F.col("split") == "test").drop("split", "isFraud")
@@ -26,13 +57,13 @@ def _prepared(spark, d):
         train = train.select("TransactionID", "isFraud", *cols).na.fill(0)
         test = test.select("TransactionID", *cols).na.fill(0)
         s = ML.stratified_split(train, "isFraud", "TransactionID").cache()
-        _CACHE[key] = (s, test, cols)
-    return _CACHE[key]
+        held[key] = (s, test, cols)
+    return held[key]
 
 
 def _model(spark, d, name):
-    key = (name, d, id(spark))
-    if key not in _CACHE:
+    held, key = _LEARNED.of(spark, d), name
+    if key not in held:
         s, _, cols = _prepared(spark, d)
         tr = s.where(F.col("split") == "train")
         if name == "gbt_a":
@@ -42,8 +73,8 @@ def _model(spark, d, name):
         else:
             tm = ML.fit_iforest(tr, cols, "TransactionID")
         tm.order = {"gbt_a": 0, "gbt_b": 1, "iforest": 2}[name]
-        _CACHE[key] = tm
-    return _CACHE[key]
+        held[key] = tm
+    return held[key]
 
 
 def _run(spark, d, name):

@@ -174,9 +174,9 @@ SELECT pl.line_no, s.span_id FROM pl JOIN spans s ON CAST(pl.trace_id AS BIGINT)
 WHERE abs(pl.log_us - epoch_us(s.start_ts)) <= 60000000""")
 def jon_05_logs_spans(spark, d):
     """Log lines joined to spans of the same trace with log time within +-1 minute of the span start."""
-    # join keys made non-null (-1 never matches a span): otherwise Catalyst infers
+    # join keys made non-null (a negative key of its own never matches a span): otherwise Catalyst infers
     # isnotnull(key) filters and pushes them into the scan, re-running the whole parse there
-    p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), F.lit(-1)).alias("trace_id"),
+    p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), -1 - F.col("line_no")).alias("trace_id"),
                                F.coalesce(F.col("log_us"), F.lit(-1)).alias("log_us"))
     p = p.withColumn("bucket", F.coalesce(F.floor(F.col("log_us") / 60_000_000).cast("bigint"), F.lit(-1).cast("bigint")))
     s = X.spans(spark, d).select("trace_id", "span_id", epoch_micros(F.col("start_ts")).alias("span_us"))
@@ -195,15 +195,16 @@ WHERE abs(mw.window_start_us - epoch_us(s.start_ts)) <= 60000000""")
 def jon_06_spans_metrics(spark, d):
     """Spans joined to per-minute metric windows of the same service within +-1 minute.
 
-    Equi-join on (service, minute bucket) with the span side exploded to its
-    three neighbouring buckets, then the exact range test: no range join.
+    Equi-join on (service, minute bucket) with the windows, one row per service
+    and minute, exploded to their three neighbouring buckets, then the exact
+    range test: no range join, and every span is read once.
     """
     mw = SE.window_counts(X.requests(spark, d), "ts", "1 minute", groups=["service"])
-    mw = mw.withColumn("bucket", F.floor(F.col("window_start_us") / 60_000_000).cast("bigint"))
+    at = F.floor(F.col("window_start_us") / 60_000_000).cast("bigint")
+    mw = mw.withColumn("bucket", F.explode(F.sequence(at - 1, at + 1)))
     s = X.spans(spark, d).select("span_id", F.regexp_replace("service", "-", "_").alias("service"),
                                   epoch_micros(F.col("start_ts")).alias("span_us"))
-    s = s.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("span_us") / 60_000_000).cast("bigint") - 1,
-                                                    F.floor(F.col("span_us") / 60_000_000).cast("bigint") + 1)))
+    s = s.withColumn("bucket", F.floor(F.col("span_us") / 60_000_000).cast("bigint"))
     j = s.join(mw, ["service", "bucket"]).where(F.abs(F.col("window_start_us") - F.col("span_us")) <= 60_000_000)
     return j.select("span_id", "window_start_us", "n")
 
