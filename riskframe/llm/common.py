@@ -9,6 +9,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import sys
+import time
 import types
 
 import numpy as np
@@ -72,8 +73,10 @@ def remembered(kind: str, spec: bytes, make):
 
 def release(spark) -> None:
     """Let go of finished stages' shuffle files now (Spark's cleaner drops what the driver's garbage collector has found)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the cleaner works on its own thread; what its first round frees can hold more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def shuffle_parts(spark) -> int:
