@@ -368,3 +368,52 @@ def fun_13_latency_hours(spark, d):
     """Hours between prediction and label time (microsecond exact)."""
     p = X.prediction_log(spark, d).where(F.col("label_ts").isNotNull())
     return p.select("transaction_id", F.round(hours_between(F.col("pred_ts"), F.col("label_ts")), 6).alias("latency_h"))
+
+
+# ---------------------------------------------------------------- runs over given data: ML-05, TOP-02, ML-06
+# Three classifiers that need no training: the logged probability cut at three heights.
+CUTS = (0.3, 0.5, 0.7)
+_RUNS_SQL = W("pred") + f"""
+, lab AS ({LAB})
+, cuts AS (SELECT unnest([{', '.join(map(str, CUTS))}]) AS cut, unnest(range({len(CUTS)})) AS run_order)
+, cm AS (SELECT cut, run_order, count_if(ground_truth = 1 AND probability >= cut) AS tp, count_if(ground_truth = 0 AND probability >= cut) AS fp,
+                count_if(ground_truth = 0 AND probability < cut) AS tn, count_if(ground_truth = 1 AND probability < cut) AS fn
+         FROM cuts, lab GROUP BY ALL)
+, runs AS (SELECT 'cut_' || CAST(CAST(cut * 100 AS INTEGER) AS VARCHAR) AS model, CAST(run_order AS INTEGER) AS run_order,
+                  (SELECT auc FROM {_auc_sql('lab')}) AS auc, {_RATES_SQL}, tp, fp, tn, fn FROM cm)
+, best AS (SELECT * FROM runs ORDER BY f1 DESC, run_order LIMIT 1)
+"""
+
+
+def _cut_runs(spark, d):
+    from riskframe.plans import ml as ML
+    lab = _labeled(spark, d)
+    out = None
+    for k, cut in enumerate(CUTS):
+        p = lab.withColumn("prediction", (F.col("probability") >= cut).cast("int"))
+        r = _round_rates(ML.evaluate(p, "ground_truth", f"cut_{round(cut * 100)}", {"cut": cut}, k))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("ml_05_runs_of_cuts", _RUNS_SQL + "SELECT model, run_order, auc, precision, recall, f1, tp, fp, tn, fn FROM runs")
+def ml_05_runs_of_cuts(spark, d):
+    """Runs table of three cuts of the logged probability over the labeled predictions."""
+    return _cut_runs(spark, d).drop("params")
+
+
+@register("top_02_best_cut", _RUNS_SQL + "SELECT model, run_order, f1 FROM best")
+def top_02_best_cut(spark, d):
+    """Best of these runs by F1 (first on ties)."""
+    from riskframe.plans import ml as ML
+    return ML.best_run(_cut_runs(spark, d)).select("model", "run_order", "f1")
+
+
+@register("ml_06_versions_of_cuts", _RUNS_SQL + """
+SELECT 'fraud_detector' AS name, CAST(run_order + 1 AS VARCHAR) AS version,
+       CASE WHEN model = (SELECT model FROM best) THEN 'Production' ELSE 'None' END AS stage, model FROM runs""")
+def ml_06_versions_of_cuts(spark, d):
+    """Versions of the registered model, the best run staged for production."""
+    from riskframe.plans import ml as ML
+    runs = _cut_runs(spark, d)
+    return ML.model_versions(runs, ML.best_run(runs))
