@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from riskframe.functions.time import epoch_micros
 from riskframe.operators.keys import shuffle_partitions
 
 
@@ -61,3 +62,11 @@ def top_k_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column
     cand = df.withColumn("__salt", salt).withColumn("__r", F.row_number().over(w1)).where(F.col("__r") <= k)
     w2 = Window.partitionBy(*groups).orderBy(*order)
     return cand.withColumn("__r", F.row_number().over(w2)).where(F.col("__r") <= k).drop("__salt", "__r")
+
+
+def shape(df: DataFrame, ts: str) -> DataFrame:
+    """AGG-13: one row with the table's row and column counts, its columns as ``name:type`` and its time range."""
+    us = epoch_micros(F.col(ts))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(us).alias("first_us"), F.max(us).alias("last_us")).withColumns({
+        "n_columns": F.lit(len(df.columns)).cast("bigint"),
+        "columns": F.lit(",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields))})

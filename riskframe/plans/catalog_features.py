@@ -481,6 +481,16 @@ def agg_12_missing_counts(spark, d):
 _PROFILE_COLS = ["TransactionID", "TransactionDT", "TransactionAmt", "card1", "addr1", "C1", "D1", "D2", "isFraud"]
 
 
+@register("agg_13_shape", """
+SELECT count(*) AS n_rows, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us,
+       (SELECT count(*) FROM (DESCRIBE events)) AS n_columns,
+       'event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string' AS columns FROM events""")
+def agg_13_shape(spark, d):
+    """Row and column counts, column types and time range of the event table."""
+    from riskframe.operators.profile import shape
+    return shape(X.load(spark, d, "events"), "ts")
+
+
 @register("agg_13_profile", W("tx") + "\nUNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count({c}) AS count, {S.round_sig_sql(f'avg({c})')} AS mean,
        {S.round_sig_sql(f'stddev_samp({c})')} AS std,

@@ -83,6 +83,23 @@ def agg_11_label_status(spark, d):
     return M.label_status(X.prediction_log(spark, d), "ground_truth")
 
 
+# Fixed colour bands of the quality panels.
+QUALITY_BANDS = ((0.7, "red"), (0.9, "yellow"))
+
+
+@register("obs_06_quality_bands", W("pred") + f"""
+, q AS (SELECT {_RATES_SQL} FROM (SELECT {_CM_SQL} FROM ({LAB})))
+SELECT metric, value, CASE WHEN value < 0.7 THEN 'red' WHEN value < 0.9 THEN 'yellow' ELSE 'green' END AS band
+FROM (UNPIVOT q ON precision, recall, f1, accuracy INTO NAME metric VALUE value)""")
+def obs_06_quality_bands(spark, d):
+    """Quality gauges with their colour bands."""
+    r = _round_rates(M.classification_report(_labeled(spark, d), "ground_truth", "prediction"))
+    names = ("precision", "recall", "f1", "accuracy")
+    g = r.select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names])))
+    v = F.col("value")
+    return g.withColumn("band", F.when(v < QUALITY_BANDS[0][0], QUALITY_BANDS[0][1]).when(v < QUALITY_BANDS[1][0], QUALITY_BANDS[1][1]).otherwise("green"))
+
+
 # ---------------------------------------------------------------- SNK-04, JON-04, FUN-13, AGG-16
 @register("snk_04_label_attach", W("pred", "label_events") + """
 , lat AS (SELECT transaction_id, arg_max(label, label_ts) AS label, max(label_ts) AS label_ts

@@ -82,6 +82,20 @@ def _historical(spark, d):
     return ST.historical_features(ent, views, on_demand=ON_DEMAND), views
 
 
+SCORING_TIME = "2024-01-15 12:00:00"
+
+
+@register("fst_01_scoring", f"""
+WITH ent AS (SELECT DISTINCT user_id, TIMESTAMP '{SCORING_TIME}' AS event_timestamp FROM events)
+, h AS (SELECT e.user_id, {_ttl('v')} AS user_views__view_value, e.event_timestamp FROM ent e {_asof_sql('e', 'view', 'v')})
+SELECT h.user_id, h.user_views__view_value, {_ttl('c', 'h')} AS user_clicks__click_value FROM h {_asof_sql('h', 'click', 'c')}""")
+def fst_01_scoring(spark, d):
+    """Scoring retrieval: the features of every user as of one given time."""
+    users = X.load(spark, d, "events").select("user_id").distinct()
+    h = ST.scoring_features(users, _views(spark, d), SCORING_TIME)
+    return h.select("user_id", "user_views__view_value", "user_clicks__click_value")
+
+
 @register("fst_01_historical", _FST01_SQL + """
 SELECT event_id, user_id, amount, user_views__view_value, user_clicks__click_value,
        round(user_views__view_value + amount, 6) AS view_plus_amount,

@@ -53,6 +53,12 @@ def historical_features(entities: DataFrame, views: Sequence[FeatureView], entit
     return out
 
 
+def scoring_features(keys: DataFrame, views: Sequence[FeatureView], now, entity_ts: str = "event_timestamp",
+                     on_demand: Mapping[str, Callable[[], Column]] | None = None) -> DataFrame:
+    """FST-01 for batch scoring: every entity key as it stands at ``now`` (entity time = now, given by the caller)."""
+    return historical_features(keys.withColumn(entity_ts, F.lit(now).cast("timestamp_ntz")), views, entity_ts, on_demand)
+
+
 def latest_per_key(df: DataFrame, key: str, ts: str, created: str | None = None,
                    cols: Sequence[str] = ()) -> DataFrame:
     """WIN-01: newest row per key by ``(ts, created)``; ``max_by`` aggregate, no sort or window."""
