@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import fold, small_batches, unused
+from riskframe.llm.common import fold, small_batches, stored, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -79,51 +79,36 @@ def swaps(words: set[str]) -> list[tuple[set[str], set[str]]]:
     return out
 
 
-def fit(rows: list[tuple[set[str], int]]) -> tuple[dict[str, float], float]:
-    """(weights, bias) from (words, label) rows, at most MAX_TRAIN of them."""
-    y = np.array([t for _, t in rows], float)
-    if len(y) == 0 or y.min() == y.max():
-        share = y.mean() if len(y) else 0.0
-        return {}, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    seen: dict[str, list[float]] = {}
-    sets = [features(w) for w, _ in rows]
-    for f, t in zip(sets, y):
-        for x in f:
-            c = seen.setdefault(x, [0.0, 0.0])
-            c[int(t)] += 1
-    n1, n0 = y.sum(), len(y) - y.sum()
-    strength = {}
-    for x, (c0, c1) in seen.items():
-        if c0 + c1 >= MIN_TEXTS:
-            odds = np.log((c1 + 0.5) / (n1 - c1 + 0.5)) - np.log((c0 + 0.5) / (n0 - c0 + 0.5))
-            strength[x] = abs(odds) / np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
-    chosen = sorted((x for x in sorted(strength) if strength[x] >= MIN_STRENGTH), key=strength.get, reverse=True)[:MAX_FEATURES]
-    at = {x: k for k, x in enumerate(chosen)}
-    r = np.array([i for i, f in enumerate(sets) for x in f if x in at], np.int64)
-    c = np.array([at[x] for f in sets for x in f if x in at], np.int64)
-    pairs = [p for w, _ in rows for p in swaps(w)]
-    pr = np.array([i for i, (a, b) in enumerate(pairs) for x in (*a, *b) if x in at], np.int64)
-    pc = np.array([at[x] for a, b in pairs for x in (*a, *b) if x in at], np.int64)
-    pv = np.array([s for a, b in pairs for s, side in ((-1.0, a), (1.0, b)) for x in side if x in at])
-    weight = np.where(y > 0, 0.5 / n1, 0.5 / n0) * len(y)  # both classes count alike
-    w, b = np.zeros(len(chosen)), 0.0
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+def descend(y: np.ndarray, texts: list[list[int]], pairs: list[tuple[list[int], list[int]]], size: int) -> tuple[np.ndarray, float]:
+    """(weights, bias) of the penalised fit; texts and swaps (lost, gained) as lists of feature numbers."""
+    r = np.array([i for i, f in enumerate(texts) for _ in f], np.int64)
+    c = np.array([x for f in texts for x in f], np.int64)
+    pr = np.array([i for i, (a, b) in enumerate(pairs) for _ in (*a, *b)], np.int64)
+    pc = np.array([x for a, b in pairs for x in (*a, *b)], np.int64)
+    pv = np.array([s for a, b in pairs for s, side in ((-1.0, a), (1.0, b)) for _ in side])
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())) * len(y)  # both classes count alike
+    w, b = np.zeros(size), 0.0
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
         z = np.bincount(r, w[c], minlength=len(y)) + b
         g = weight * (1 / (1 + np.exp(-z)) - y) / len(y)
-        grad = np.bincount(c, g[r], minlength=len(chosen)) + L2 * w / len(y)
+        grad = np.bincount(c, g[r], minlength=size) + L2 * w / len(y)
         if len(pc):  # the counterfactual penalty: squared change of the score, mean over the swaps
             change = np.bincount(pr, pv * w[pc], minlength=len(pairs))
-            grad += FAIRNESS * 2 / len(pairs) * np.bincount(pc, pv * change[pr], minlength=len(chosen))
+            grad += FAIRNESS * 2 / len(pairs) * np.bincount(pc, pv * change[pr], minlength=size)
         grad = np.append(grad, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return {x: float(w[k]) for x, k in at.items()}, float(b)
+    return w, float(b)
 
 
 def train(documents: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]:
-    """Fit on the labelled documents outside fold 0 of 5, at most MAX_TRAIN of them."""
+    """Fit on the labelled documents outside fold 0 of 5, at most MAX_TRAIN of them.
+
+    Spark extracts and counts the features of the sample; the driver gets the chosen ones (at most MAX_FEATURES) and,
+    per document, the numbers of those it has.
+    """
     small_batches(documents)
     lab = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("y"))
     lab = lab.where((fold(F.col("id"), 5) != 0) & F.col("y").isNotNull() & F.col("id").isNotNull())
@@ -132,12 +117,40 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[dict[str, float], fl
 
     def extract(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["id"], b["y"], pa.array([sorted(words_of(t)) for t in b["text"].to_pylist()],
-                                                                      pa.list_(pa.string()))], names=["id", "y", "words"])
-
-    got = d.select("id", "y", "text").mapInArrow(extract, "id long, y int, words array<string>").toArrow()
-    rows = sorted(zip(got["id"].to_pylist(), got["y"].to_pylist(), got["words"].to_pylist()))
-    return fit([(set(w), t) for _, t, w in rows])
+            words = [sorted(words_of(t)) for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["id"], b["y"], pa.array(words, pa.list_(pa.string())),
+                                              pa.array([sorted(features(w)) for w in words], pa.list_(pa.string()))],
+                                             names=["id", "y", "words", "features"])
+
+    sample = stored(d.select("id", "y", "text").mapInArrow(extract, "id long, y int, words array<string>, features array<string>"), "toxicity-sample")
+    n, n1 = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    n0 = n - n1
+    if not n0 or not n1:
+        share = n1 / n if n else 0.0
+        return {}, float(np.log((share + 1e-6) / (1 - share + 1e-6)))
+    c1, c0 = F.col("c1"), F.col("c0")
+    odds = F.log((c1 + 0.5) / (n1 - c1 + 0.5)) - F.log((c0 + 0.5) / (n0 - c0 + 0.5))
+    strength = F.abs(odds) / F.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
+    counts = sample.select("y", F.explode("features").alias("f")).groupBy("f").agg(F.sum("y").alias("c1"), F.sum(1 - F.col("y")).alias("c0"))
+    best = counts.where(c1 + c0 >= MIN_TEXTS).select("f", strength.alias("s")).where(F.col("s") >= MIN_STRENGTH)
+    chosen = [r["f"] for r in best.orderBy(F.desc("s"), "f").limit(MAX_FEATURES).collect()]
+    at = {f: k for k, f in enumerate(chosen)}
+
+    def number(batches):
+        for b in batches:
+            texts = [[at[f] for f in fs if f in at] for fs in b["features"].to_pylist()]
+            pairs = [[([at[x] for x in sorted(lost) if x in at], [at[x] for x in sorted(gained) if x in at]) for lost, gained in swaps(set(ws))]
+                     for ws in b["words"].to_pylist()]
+            kind = pa.list_(pa.struct([("lost", pa.list_(pa.int32())), ("gained", pa.list_(pa.int32()))]))
+            yield pa.RecordBatch.from_arrays([b["id"], b["y"], pa.array(texts, pa.list_(pa.int32())),
+                                              pa.array([[{"lost": x, "gained": y} for x, y in p] for p in pairs], kind)],
+                                             names=["id", "y", "has", "pairs"])
+
+    got = sample.mapInArrow(number, "id long, y int, has array<int>, pairs array<struct<lost: array<int>, gained: array<int>>>").toArrow()
+    rows = sorted(zip(got["id"].to_pylist(), got["y"].to_pylist(), got["has"].to_pylist(), got["pairs"].to_pylist()), key=lambda x: x[:3])
+    w, bias = descend(np.array([x[1] for x in rows], float), [x[2] for x in rows],
+                      [(p["lost"], p["gained"]) for x in rows for p in x[3]], len(chosen))
+    return {f: float(w[k]) for f, k in at.items()}, bias
 
 
 def score(df: DataFrame, model: tuple[dict[str, float], float], text: str = "text", out: str = "score") -> DataFrame:

@@ -203,19 +203,21 @@ def test_toxicity_held_out(spark):
     assert np.mean([q >= 0.5 for q in neg]) < 0.05
 
 
-def test_toxicity_counterfactual_penalty():
+def test_toxicity_counterfactual_penalty(spark):
     from riskframe.llm import toxicity
     rng = np.random.default_rng(1)
-    filler = [f"word{k}" for k in range(40)]
-    data = []
+    filler = [f"word{chr(97 + k)}x" for k in range(26)]
+    texts, labels = [], []
     for k in range(300):
         toxic = k % 3 == 0
-        words = set(rng.choice(filler, 6)) | ({"scum"} if toxic else set()) | ({"muslim"} if rng.random() < (0.6 if toxic else 0.1) else set())
-        data.append((words, int(toxic)))
+        words = [*rng.choice(filler, 6), *["scum"] * toxic, *["muslim"] * bool(rng.random() < (0.6 if toxic else 0.1))]
+        texts.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    d, lab = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     def gap(strength):
         old, toxicity.FAIRNESS = toxicity.FAIRNESS, strength
         try:
-            w, _ = toxicity.fit(data)
+            w, _ = toxicity.train(d, lab)
         finally:
             toxicity.FAIRNESS = old
         value = lambda x: sum(w.get(f, 0) for f in toxicity.features({x}))
