@@ -199,11 +199,12 @@ FROM k JOIN m ON k.split = m.split
 
 
 def batch_features(spark, d):
-    train, test = X.train_test(spark, d)
-    fitted = FE.FraudFeatures().fit(train, test)
-    a = fitted.transform(train).withColumn("split", F.lit("train"))
-    b = fitted.transform(test).withColumn("split", F.lit("test"))
-    out = a.unionByName(b, allowMissingColumns=True)
+    # the identity join runs once, into a written table; both splits are fitted and transformed from it
+    tx = cut_lineage(X.transactions(spark, d).where("is_train IS NOT NULL"))
+    fitted = FE.FraudFeatures().fit(tx.where("is_train"), tx.where("NOT is_train"))
+    tx = tx.withColumns({"split": F.when(F.col("is_train"), "train").otherwise("test"),
+                         "isFraud": F.when(F.col("is_train"), F.col("isFraud"))}).drop("is_train")
+    out = fitted.transform(tx, mean_by="split")
     return out.withColumns({"TransactionAmt_to_mean": F.round("TransactionAmt_to_mean", 6),
                             "TransactionCents": F.round("TransactionCents", 6)})
 

@@ -82,15 +82,23 @@ class FittedFeatures:
     drop_final: bool = True
     fill: float | None = None
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Apply the fitted tables to ``df`` (a lazy plan; no action runs)."""
+    def transform(self, df: DataFrame, mean_by: str | None = None) -> DataFrame:
+        """Apply the fitted tables to ``df`` (a lazy plan; no action runs).
+
+        ``mean_by`` names a column of few values (train, test): the mean amount
+        is then that of each value's rows, so several splits take one pass.
+        """
         amt = self.amount_col
         if amt in df.columns:
             # AGG-06: mean of the frame being transformed (per split): a scalar
             # subquery over the pruned amount column, evaluated once
-            mean = df.agg(F.avg(amt)).scalar()
+            if mean_by is None:
+                mean = df.agg(F.avg(amt)).scalar()
+            else:
+                means = df.groupBy(F.col(mean_by).alias("__split")).agg(F.avg(amt).alias("__mean"))   # one row per split
+                df, mean = df.join(F.broadcast(means), F.col(mean_by) == F.col("__split"), "left"), F.col("__mean")
             df = df.withColumn(f"{amt}_to_mean", S.ratio_to_mean(amt, mean, guard=False)) \
-                   .withColumn("TransactionCents", S.cents(amt, self.cents_scale))
+                   .withColumn("TransactionCents", S.cents(amt, self.cents_scale)).drop("__split", "__mean")
         df = normalize_d_columns(df)
         df = add_combined_keys(df)
         freq_name = "share" if self.normalize else "count"
