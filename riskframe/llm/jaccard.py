@@ -20,7 +20,8 @@ one component already.
 
 Cases: null and empty texts and texts without words have an empty set and are linked with nothing; fewer than five
 words are one shingle; texts with equal sets are linked; rows with one id are one document each, in the component of
-their own set; an empty table gives an empty result; other columns are not carried.
+their own set; rows without an id don't lend their id and have their set's component, null where no row with an id
+has that set; an empty table gives an empty result; other columns are not carried.
 """
 
 from __future__ import annotations
