@@ -2,11 +2,12 @@
 
 Both sides are word sequences (lower case, letters and digits). Words that occur once in the template and once in the
 part of the text under test are anchors; the longest increasing run of them fixes the alignment, and the gaps between
-anchors are aligned the same way. The coverage is the share of template words that found their place.
+anchors are aligned the same way; a gap without anchors gets its longest common subsequence, whatever its size. The
+coverage is the share of template words that found their place.
 
 Parts under test come from the template's own words: where enough of its less common words stand close together, a
-window of the text around them is aligned. Texts without such words cost one pass over their words. The templates (a
-small parameter) go to every task; nothing is shuffled.
+window of the text around them is cut into one part per copy, and each part is aligned. Texts without such words cost
+one pass over their words. The templates (a small parameter) go to every task; nothing is shuffled.
 
 Cases: null and empty texts hold no license; a license that occurs several times is reported with every place; of
 licenses with the same coverage the first by name is the text's license; repeated rows are scanned one by one; an
@@ -15,6 +16,7 @@ empty table gives an empty result; other columns are not carried.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from bisect import bisect_left
@@ -32,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORD = re.compile(r"[^\W_]+")
 #: Least coverage of a reported license, and of less common words before a window is aligned.
 COVERAGE, PROMISE = 0.8, 0.6
-#: Largest gap (template words times text words) that is aligned word by word when it has no anchor.
+#: Larger gaps without an anchor (template words times text words) are aligned by bits, not by a table.
 SMALL_GAP = 4096
 
 # Notices and license texts as published.
@@ -104,6 +106,43 @@ def _word_by_word(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def _masks(a: list[str]) -> dict[str, int]:
+    """Per word, its positions in a sequence as bits."""
+    out: dict[str, int] = {}
+    for i, w in enumerate(a):
+        out[w] = out.get(w, 0) | 1 << i
+    return out
+
+
+def _lcs_rows(masks: dict[str, int], size: int, b):
+    """After every word of b, the bit-parallel row of the longest common subsequence: its zero bits count the matches."""
+    full = row = (1 << size) - 1
+    for w in b:
+        u = row & masks.get(w, 0)
+        row = ((row + u) | (row - u)) & full
+        yield row
+
+
+def _by_bits(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Longest common subsequence of two sequences of any size (one bit per pair of words)."""
+    rows = [(1 << len(a)) - 1, *_lcs_rows(_masks(a), len(a), b)]
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[j] >> (i - 1) & 1:
+            i -= 1
+            continue
+        j -= 1
+        if rows[j] >> (i - 1) & 1:
+            i -= 1
+            out.append((i, j))
+    return out[::-1]
+
+
+def _reach(masks: dict[str, int], size: int, b, need: int) -> int | None:
+    """Fewest first words of b that have ``need`` words in common, in order, with the masked sequence."""
+    return next((k for k, row in enumerate(_lcs_rows(masks, size, b), 1) if size - row.bit_count() >= need), None)
+
+
 def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
     """Matched positions (template, text), increasing in both: anchors, then the gaps between them."""
     out: list[tuple[int, int]] = []
@@ -126,8 +165,9 @@ def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
             out += anchors
             edges = [(a - 1, c - 1), *anchors, (b, d)]
             todo += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(edges, edges[1:])]
-        elif (b - a) * (d - c) <= SMALL_GAP:
-            out += [(a + i, c + j) for i, j in _word_by_word(template[a:b], text[c:d])]
+        else:
+            exact = _word_by_word if (b - a) * (d - c) <= SMALL_GAP else _by_bits
+            out += [(a + i, c + j) for i, j in exact(template[a:b], text[c:d])]
     return sorted(out)
 
 
@@ -137,6 +177,7 @@ class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.coverage = coverage
         self.words = {k: WORD.findall(t.lower()) for k, t in sorted(templates.items())}
+        self.masks = {k: (_masks(w), _masks(w[::-1])) for k, w in self.words.items()}
         self.rare = {k: set(w) - COMMON for k, w in self.words.items()}
         self.by_word: dict[str, list[str]] = {}
         for k, ws in self.rare.items():
@@ -187,21 +228,42 @@ class Scanner:
             out += [found for lo, hi in windows for found in self._places(name, words, spans, max(0, lo), min(len(words), hi))]
         return out
 
-    def _places(self, name: str, words, spans, lo: int, hi: int):
-        """Alignments in a window; what is left before and after a place is tried again."""
-        template, out, todo = self.words[name], [], [(lo, hi)]
-        while todo:
-            lo, hi = todo.pop()
-            end = min(hi, lo + 4 * len(template))
-            pairs = align(template, words[lo:end])
-            share = len(pairs) / len(template)
-            if share >= self.coverage:
-                a, b = lo + pairs[0][1], lo + pairs[-1][1] + 1
-                out.append((name, round(share, 6), spans[a][0], spans[b - 1][1]))
-                todo += [x for x in ((lo, a), (b, hi)) if (x[1] - x[0]) >= self.coverage * len(template)]
+    def _tight(self, name: str, words, lo: int, hi: int, need: int) -> tuple[int, int] | None:
+        """The range of the earliest end, and of these the latest start, with ``need`` template words in order."""
+        size, (ahead, back) = len(self.words[name]), self.masks[name]
+        n = _reach(ahead, size, words[lo:hi], need)
+        return n and (lo + n - _reach(back, size, words[lo:lo + n][::-1], need), lo + n)
+
+    def _cores(self, name: str, words, lo: int, hi: int) -> list[tuple[int, int]]:
+        """Most disjoint ranges that reach the coverage, each within four template lengths: one per copy."""
+        size, out = len(self.words[name]), []
+        need = max(1, math.ceil(self.coverage * size - 1e-9))
+        while hi - lo >= need:
+            end = min(hi, lo + 4 * size)
+            core = self._tight(name, words, lo, end, need)
+            if core:
+                out.append(core)
+                lo = core[1]
             elif end < hi:
-                todo.append((lo + len(template), hi))
-        return sorted(out, key=lambda x: x[2])
+                lo += size
+            else:
+                break
+        return out
+
+    def _places(self, name: str, words, spans, lo: int, hi: int):
+        """Alignments in a window: of each core with the words around it, up to the place before and the core behind."""
+        template, out, cores = self.words[name], [], self._cores(name, words, lo, hi)
+        size, (masks, _) = len(template), self.masks[name]
+        for k, (s, e) in enumerate(cores):
+            a, b = max(lo, e - 4 * size), min(cores[k + 1][0] if k + 1 < len(cores) else hi, s + 4 * size)
+            *_, row = _lcs_rows(masks, size, words[a:b])
+            a, b = self._tight(name, words, a, b, size - row.bit_count())
+            pairs = align(template, words[a:b])
+            if len(pairs) < self.coverage * size:  # anchors out of order
+                pairs = _by_bits(template, words[a:b])
+            first, lo = a + pairs[0][1], a + pairs[-1][1] + 1
+            out.append((name, round(len(pairs) / size, 6), spans[first][0], spans[lo - 1][1]))
+        return out
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
