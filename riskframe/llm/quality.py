@@ -2,8 +2,12 @@
 
 Native: DataFrame functions only. One pass over the texts takes the measures and both histograms of every text
 and writes them to the shared folder. From that table come, per language, the summed histograms of all texts of at
-least the minimum length (the references: one row per language, at most ``MAX_LANGS``) and then every text's
-Jensen-Shannon distance to the nearest reference. Texts below the minimum length are judged by the base rules only.
+least the minimum length (the references: one row per language) and then every text's Jensen-Shannon distance to the
+nearest reference. Texts below the minimum length are judged by the base rules only.
+
+The references of the ``MAX_LANGS`` languages with most texts are part of the plan. Those of all other languages stay a
+table: texts that the first ones do not settle are compared with their own language's by an equi-join, and what is
+still open with all of them, in blocks of about ``MAX_LANGS`` languages.
 
 Cases: null and empty texts have no words and fail; null languages take no part in the references; an empty table
 gives no references and no rows; repeated rows are judged one by one; other input columns are kept as they are
@@ -31,6 +35,7 @@ BINS = [WORDS[i:i + 4] for i in range(0, len(WORDS), 4)]
 CLASSES = ("\\p{Lu}", "0-9", "#*$%&|<>", ".,;:!?'\"()-")
 MIN_CHARS, MIN_WORDS = 200, 40
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.34, 0.34
+#: References held in the plan, and languages in a block of the others (the SQL twin knows the first ones only).
 MAX_LANGS = 64
 WINDOW = 5
 
@@ -85,45 +90,79 @@ def _histograms(df: DataFrame, p: str) -> DataFrame:
     }).drop(f"{p}c", f"{p}f")
 
 
-def references(measured: DataFrame, lang: str, p: str) -> list[dict]:
-    """Per language, the summed histograms of all measured texts of at least the minimum lengths."""
+def references(measured: DataFrame, lang: str, p: str) -> DataFrame:
+    """Per language (l), the number of texts of at least the minimum lengths and their summed histograms."""
     d = measured.where(F.col(lang).isNotNull() & (F.col(f"{p}chars") >= MIN_CHARS) & (F.col(f"{p}n_words") >= MIN_WORDS))
     n, m = len(CLASSES) + 2, len(BINS) + 1
     sums = d.groupBy(F.col(lang).alias("l")).agg(
         F.count(F.lit(1)).alias("texts"), *[F.sum(F.col(f"{p}cc")[i]).alias(f"c{i}") for i in range(n)],
         *[F.sum(F.col(f"{p}cw")[i]).alias(f"w{i}") for i in range(m)])
-    rows = sums.orderBy(F.desc("texts"), "l").limit(MAX_LANGS).collect()  # one row per language
-    return [{"lang": r["l"], "classes": [r[f"c{i}"] for i in range(n)], "words": [r[f"w{i}"] for i in range(m)]} for r in rows]
+    return sums.select("l", "texts", F.array(*[f"c{i}" for i in range(n)]).alias("classes"), F.array(*[f"w{i}" for i in range(m)]).alias("words"))
 
 
-def js_distance(counts: str, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of a count array to a reference of the same length."""
-    total = sum(reference) or 1.0
-    q = F.array(*[F.lit(x / total) for x in reference])
+def js_distance(counts: str, reference: list[float] | Column) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of a count array to a reference of the same length (counts, or a column of shares)."""
+    if isinstance(reference, Column):
+        q = reference
+    else:
+        total = sum(reference) or 1.0
+        q = F.array(*[F.lit(x / total) for x in reference])
     p = F.expr(f"transform({counts}, x -> x / aggregate({counts}, 0D, (s, y) -> s + y))")
     parts = F.zip_with(p, q, lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
                        + F.when(b > 0, b * F.log2(2 * b / (a + b))).otherwise(0.0))
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def judge(df: DataFrame, text: str = "text", lang: str = "lang", prefix: str = "__q_", refs: list[dict] | None = None,
-          drop_text: bool = False) -> DataFrame:
+def _near(dc: Column, dw: Column) -> Column:
+    """Both distances within their limits (a text below a minimum length has no such distance)."""
+    return F.coalesce(dc <= MAX_CLASS_DISTANCE, F.lit(True)) & F.coalesce(dw <= MAX_WORD_DISTANCE, F.lit(True))
+
+
+def _with_others(d: DataFrame, others: DataFrame, lang: str, p: str) -> DataFrame:
+    """``d`` with the distances of texts that are not yet settled taken to the references of ``others`` too."""
+    share = lambda c: F.expr(f"transform({c}, x -> x / greatest(aggregate({c}, 0D, (s, y) -> s + y), 1D))")
+    others = stored(others.select("l", share("classes").alias("classes"), share("words").alias("words")), "quality-others")
+    closer = lambda c, by: F.when(F.col(c).isNotNull(), F.least(c, by)).alias(c)
+    known = lambda x: F.when(F.col("l").isNotNull(), x)
+    still = ~_near(F.col("dc"), F.col("dw"))
+    d = stored(d.withColumn(f"{p}row", F.monotonically_increasing_id()), "quality-rows")
+    left = (d.where(~F.col(f"{p}base_failed")).select(F.col(f"{p}row").alias("row"), F.col(lang).alias("own"), F.col(f"{p}cc").alias("cc"),
+            F.col(f"{p}cw").alias("cw"), F.col(f"{p}dc").alias("dc"), F.col(f"{p}dw").alias("dw")).where(still))
+    own = stored(left.join(others, F.col("own") == F.col("l"), "left").select(
+        "row", "cc", "cw", closer("dc", known(js_distance("cc", F.col("classes")))), closer("dw", known(js_distance("cw", F.col("words"))))),
+        "quality-own")
+    blocks = -(-others.count() // MAX_LANGS)
+    block = others.groupBy(F.pmod(F.xxhash64("l"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("classes", "words")).alias("refs"))
+    least = lambda c, k: F.array_min(F.transform("refs", lambda r: js_distance(c, r[k])))
+    rest = (own.where(still).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(block, "block")
+            .select("row", closer("dc", least("cc", "classes")), closer("dw", least("cw", "words"))))
+    best = own.select("row", "dc", "dw").unionByName(rest).groupBy("row").agg(F.min("dc").alias("dc"), F.min("dw").alias("dw"))
+    best = best.select(F.col("row").alias(f"{p}row"), F.col("dc").alias(f"{p}dc2"), F.col("dw").alias(f"{p}dw2"))
+    return (d.join(best, f"{p}row", "left").withColumns({f"{p}{c}": F.coalesce(f"{p}{c}2", f"{p}{c}") for c in ("dc", "dw")})
+            .drop(f"{p}row", f"{p}dc2", f"{p}dw2"))
+
+
+def judge(df: DataFrame, text: str = "text", lang: str = "lang", prefix: str = "__q_", drop_text: bool = False) -> DataFrame:
     """The input plus, under ``prefix``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, dc, dw, kept.
 
     A text is kept when the base rules pass and, from the minimum lengths on, both histograms are within the
     distance limits (``dc``, ``dw``) of some language's reference. Without references only the base rules decide.
+    ``dc`` and ``dw`` are the distances to the nearest of the references that a text was compared with.
     """
     p = prefix
     d = _histograms(_measures(df, text, p), p).withColumn(f"{p}chars", F.length(f"{p}t"))
     d = stored(d.drop(f"{p}t", f"{p}w", *[text] * drop_text), "quality")
-    refs = references(d, lang, p) if refs is None else refs
+    every = references(d, lang, p)
+    first = every.orderBy(F.desc("texts"), "l").limit(MAX_LANGS + 1).collect()
+    refs, more = first[:MAX_LANGS], first[MAX_LANGS:]
     nearest = lambda c, k: F.least(F.lit(1.0), *[js_distance(c, r[k]) for r in refs]) if refs else F.lit(0.0)
     d = d.withColumns({
         f"{p}dc": F.when(F.col(f"{p}chars") >= MIN_CHARS, nearest(f"{p}cc", "classes")),
         f"{p}dw": F.when(F.col(f"{p}n_words") >= MIN_WORDS, nearest(f"{p}cw", "words")),
     })
-    good = (F.coalesce(F.col(f"{p}dc") <= MAX_CLASS_DISTANCE, F.lit(True))
-            & F.coalesce(F.col(f"{p}dw") <= MAX_WORD_DISTANCE, F.lit(True)))
+    if more:
+        d = _with_others(d, every.where(~F.col("l").isin([r["l"] for r in refs])), lang, p)
+    good = _near(F.col(f"{p}dc"), F.col(f"{p}dw"))
     return d.withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & good).drop(f"{p}cc", f"{p}cw", f"{p}chars")
 
 
