@@ -1,7 +1,8 @@
 """Operator 4, embedding near-dedup: product quantisation with coarse inverted lists and exact rerank.
 
-Equal vectors are one vector with a count. Coarse centroids and residual codebooks are fitted on a bounded sample
-(``MAX_SAMPLE`` vectors, by a hash of the id); every vector is then put into the list of its nearest centroid, with
+Equal vectors are one vector with a count. Vectors of different lengths never link: each length has a quantiser and
+lists of its own, in one pass over all. Coarse centroids and residual codebooks are fitted on a bounded sample
+(``MAX_SAMPLE`` vectors, by a hash of the id, and at least one of each length); every vector is then put into the list of its nearest centroid, with
 one code per subspace of its residual and the length of what the codes leave over. Every vector is also a query: it
 probes the ``PROBES`` nearest lists. There, distances come from lookup tables of the query against the codewords
 (asymmetric); as the left-over length of each indexed vector is known, no vector within the distance is lost by the
@@ -11,13 +12,13 @@ codes, and the survivors are compared by exact cosine in double precision. Only
 Lists are dealt in blocks of bounded size, and so are the queries of a list: no task holds more than one block of
 each. A task returns counts per query and a spanning forest of the links it found, never all pairs of a group.
 
-Cases: null, zero, other-length (than the most frequent length) and null or non-finite vectors and null ids link with
-nothing; copies link with each other and count as links; an empty table gives an empty result.
+Cases: null, zero and null or non-finite vectors and null ids link with nothing; copies link with each other and count as links; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +87,39 @@ class Quantizer:
         return np.sqrt(out)
 
 
+class Quantizers:
+    """One quantiser per vector length; lists are numbered through."""
+
+    def __init__(self, sample: list, counts: dict[int, int]):
+        by: dict[int, list] = {}
+        for v in sample:
+            by.setdefault(len(v), []).append(v)
+        self.of, self.start, n = {}, [], 0
+        for d in sorted(by):
+            q = Quantizer(unit(pa.array(by[d])), int(min(MAX_LISTS, max(1, counts[d] // LIST_SIZE))))
+            self.of[d] = q, n
+            self.start.append((n, q))
+            n += len(q.coarse)
+
+    def of_list(self, at: int) -> tuple[Quantizer, int]:
+        """The quantiser that has a list, and the list's number in it."""
+        n, q = self.start[bisect_right(self.start, at, key=lambda x: x[0]) - 1]
+        return q, at - n
+
+    def coded(self, column, probes: int):
+        """(list, codes, length left over, lists to probe) of vectors of any fitted lengths."""
+        sizes = np.array([len(v) for v in column])
+        at, codes, left, near = np.zeros(len(sizes), np.int32), [b""] * len(sizes), np.zeros(len(sizes)), [[]] * len(sizes)
+        for d in np.unique(sizes).tolist():
+            (q, n), rows = self.of[d], np.flatnonzero(sizes == d)
+            x = unit(column.take(pa.array(rows)))
+            own, parts, left[rows] = q.index(x)
+            at[rows] = own + n
+            for i, c, p in zip(rows.tolist(), parts, (q.probes(x, probes) + n).tolist()):
+                codes[i], near[i] = c.tobytes(), p
+        return at, codes, left, near
+
+
 def unit(column) -> np.ndarray:
     x = np.array(column.to_pylist(), np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -114,8 +148,7 @@ def _compare(quantizer, cosine: float):
     def run(key, index: pa.Table, queries: pa.Table) -> pa.Table:
         rows = []
         if index.num_rows and queries.num_rows:
-            q = quantizer.value
-            at = key[0].as_py()
+            q, at = quantizer.value.of_list(key[0].as_py())
             codes = np.array([np.frombuffer(c, np.uint8) for c in index["codes"].to_pylist()])
             left, ids, times = index["left"].to_numpy(), index["id"].to_numpy(), index["times"].to_numpy()
             vectors, asked = unit(index["vector"]), unit(queries["vector"])
@@ -139,11 +172,9 @@ def _compare(quantizer, cosine: float):
 
 
 def valid(df: DataFrame, vec: str = "vector") -> DataFrame:
-    """Rows with an id and a finite, non-zero vector of the most frequent length."""
-    fine = df.where(F.col("id").isNotNull() & F.col(vec).isNotNull()
+    """Rows with an id and a finite, non-zero vector."""
+    return df.where(F.col("id").isNotNull() & F.col(vec).isNotNull()
                     & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vec, lambda x: x != 0))
-    usual = fine.groupBy(F.size(vec).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return fine.where(F.size(vec) == (usual["d"] if usual else -1))
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, probes: int = PROBES) -> DataFrame:
@@ -151,29 +182,32 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     spark = df.sparkSession
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     classes = stored(valid(rows).groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times")), "pq-classes")
-    sample = classes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("vector").toArrow()
-    if sample.num_rows:
-        n = classes.count()
-        q = Quantizer(unit(sample["vector"]), int(min(MAX_LISTS, max(1, n // LIST_SIZE))))
-        shared = spark.sparkContext.broadcast(q)
+    sample = classes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("vector").toArrow()["vector"].to_pylist()
+    if sample:
+        # one row per length
+        counts = {r["d"]: r["n"] for r in classes.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        missing = sorted(set(counts) - {len(v) for v in sample})
+        if missing:
+            first = classes.where(F.size("vector").isin(missing)).groupBy(F.size("vector").alias("d")).agg(F.min("id").alias("id"))
+            sample += [r["vector"] for r in classes.join(first.select("id"), "id", "left_semi").select("vector").collect()]
+        shared = spark.sparkContext.broadcast(Quantizers(sample, counts))
 
         def coded(batches):
             for b in batches:
-                x = unit(b["vector"])
-                at, codes, left = shared.value.index(x)
+                at, codes, left, near = shared.value.coded(b["vector"], probes)
                 yield pa.RecordBatch.from_arrays([b["id"], b["times"], b["vector"], pa.array(at, pa.int32()),
-                                                  pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(left),
-                                                  pa.array(shared.value.probes(x, probes).tolist(), pa.list_(pa.int32()))],
+                                                  pa.array(codes, pa.binary()), pa.array(left), pa.array(near, pa.list_(pa.int32()))],
                                                  names=["id", "times", "vector", "at", "codes", "left", "probes"])
 
         index = stored(classes.select("id", "times", "vector").mapInArrow(
             coded, "id long, times long, vector array<double>, at int, codes binary, left double, probes array<int>"), "pq-index")
         asked = index.select("id", "vector", F.explode("probes").alias("at"))
-        # blocks per list: one small row per list, at most MAX_LISTS
+        # blocks per list: one small row per list, at most MAX_LISTS for each length
         held = {r["at"]: r["n"] for r in index.groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}
         wait = {r["at"]: r["n"] for r in asked.groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect()}
-        table = lambda n, size: F.create_map(*[F.lit(x) for k in range(len(q.coarse)) for x in (k, -(-n.get(k, 0) // size) or 1)])
-        blocks, turns = table(held, BLOCK_ROWS)[F.col("at")], table(wait, BLOCK_QUERIES)[F.col("at")]
+        many = lambda n, size: [F.lit(x) for k, c in sorted(n.items()) if c > size for x in (k, -(-c // size))]
+        table = lambda n, size: F.create_map(F.lit(-1), F.lit(1), *many(n, size))
+        blocks, turns = (F.coalesce(t[F.col("at")], F.lit(1)) for t in (table(held, BLOCK_ROWS), table(wait, BLOCK_QUERIES)))
         part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
         left = index.withColumn("block", part(blocks)).withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1)))
         right = asked.withColumn("turn", part(turns)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
