@@ -1,4 +1,4 @@
-"""Operator 2, n-gram Jaccard join: prefix lists skipped by position, answers derived from a similar set's answers.
+"""Operator 2, n-gram Jaccard join: prefix lists bounded by position, answers derived from a similar set's answers.
 
 A text's set is its distinct five-word shingles. Two sets link when 100 * |a & b| >= 80 * |a | b|. The join is exact:
 
@@ -7,8 +7,8 @@ A text's set is its distinct five-word shingles. Two sets link when 100 * |a & b
 2. All shingles have one global order: rare before frequent, then by hash. The counts behind it are those of step 1
    and, over all texts, those of each set's shingles of lowest hash, which are its prefix as long as none is frequent;
    the table of frequent ones is bounded and only orders. Linked sets share a shingle among the first n - ceil(0.8 n) + 1 of each (the prefix). The
-   prefixes go to inverted lists, dealt by hash. A list is ordered by position and cut into blocks; a set skips the
-   blocks whose positions and sizes leave too few shingles for a link.
+   prefixes go to inverted lists, dealt by hash. Of a long list only one block, that of low positions, is read: a set
+   probes it in two size classes and reads every posting there; further blocks by position are not skipped.
 3. Short lists give all their pairs; a long list first gives the pairs with its centre only, the set that holds the
    shingle at the lowest position. Exact overlaps of these pairs give links and first components.
 4. In long lists only pairs of sets of different components are left. Their overlap is first bounded by the overlaps
