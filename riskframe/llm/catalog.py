@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import bpe, jaccard, langid, license, lm, oracles, packing, pii, pq, quality, toxicity
+from riskframe.llm import audit, bpe, jaccard, langid, license, lm, oracles, packing, pii, pq, quality, resample, sharding, toxicity
 from riskframe.sources.tables import load
 
 QUERIES = {
@@ -16,5 +16,8 @@ QUERIES = {
     "op8_bpe": lambda spark, d: bpe.op8(load(spark, d, "documents")),
     "op10_packing": lambda spark, d: packing.op10(load(spark, d, "documents")),
     "op9_quality_rules": lambda spark, d: quality.op9(load(spark, d, "documents")),
+    "op11_filter_audit": lambda spark, d: audit.op11(load(spark, d, "documents"), load(spark, d, "labels")),
+    "op12_importance_resampling": lambda spark, d: resample.op12(load(spark, d, "documents"), load(spark, d, "benchmark")),
+    "op13_sharding": lambda spark, d: sharding.op13(load(spark, d, "documents")),
 }
 ORACLE: dict[str, str] = oracles.ORACLE

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import pq, quality as Q
+from riskframe.llm import audit, pq, quality as Q, resample, sharding
 
 SPACE = "[\\x20\\x09-\\x0D]"
 NOT_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -88,4 +88,88 @@ FROM m LEFT JOIN far USING (doc_id)
 """
 
 
-ORACLE = {"op2_ngram_jaccard": OP2, "op4_embedding_pq": OP4, "op9_quality_rules": _op9()}
+def _bytes(text: str) -> str:
+    return f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+
+
+#: The CRC-32 table, from its polynomial.
+CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda a, x:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc(text: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295], {_bytes(text)}), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)"
+
+
+def _hex(text: str, digits: int) -> str:
+    return f"CAST('0x' || substr(sha256({text}), 1, {digits}) AS BIGINT)"
+
+
+OP11 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '{NOT_SPACE}+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM w),
+lab AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {{
+      'A': len(ws) < {audit.MIN_WORDS}, 'B': 100 * len(list_distinct(ws)) < {audit.MIN_DISTINCT_PERCENT} * len(ws),
+      'C': 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > {audit.MAX_UPPER_PERCENT} * length(t),
+      'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(u.doc_id > first, false)}} AS f
+  FROM u LEFT JOIN lab ON lab.doc_id = u.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT '' AS o UNION ALL SELECT o || c FROM orders, letters WHERE NOT contains(o, c)),
+steps AS (SELECT o AS filter_order, CAST(k AS INT) AS step, substr(o, k, 1) AS c, substr(o, 1, k - 1) AS before
+          FROM orders, range(1, 6) r(k) WHERE length(o) = 5),
+masks AS (SELECT part, (CASE WHEN f.A THEN 'A' ELSE '' END) || (CASE WHEN f.B THEN 'B' ELSE '' END) || (CASE WHEN f.C THEN 'C' ELSE '' END)
+                 || (CASE WHEN f.D THEN 'D' ELSE '' END) || (CASE WHEN f.E THEN 'E' ELSE '' END) AS m,
+                 count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL),
+x AS (
+  SELECT part, filter_order, step, c,
+         sum(CASE WHEN NOT regexp_matches(m, '[' || before || c || ']') THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN here THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(m, c) AND NOT here THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN m = c THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN here THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN here THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, contains(m, c) AND (before = '' OR NOT regexp_matches(m, '[' || before || '-]')) AS here FROM masks, steps)
+  GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM x
+"""
+
+OP12 = f"""
+WITH {CRC_TABLE},
+texts AS (SELECT doc_id AS id, false AS target, row_number() OVER () AS r, coalesce(text, '') AS x FROM documents
+          UNION ALL SELECT item_id, true, row_number() OVER (), coalesce(text, '') FROM benchmark),
+ws AS (SELECT target, r, unnest(regexp_extract_all(translate(x, '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS w FROM texts),
+words AS (SELECT w, {_crc('w')} % {resample.BUCKETS} AS b FROM (SELECT DISTINCT w FROM ws), crc_table),
+c AS (SELECT target, r, b FROM ws JOIN words USING (w)),
+n AS (SELECT b, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t FROM c GROUP BY b),
+total AS (SELECT count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t FROM c),
+g AS (SELECT n.b, CAST(floor({resample.SCALE} * ln((n.t + 1)::DOUBLE * (total.s + {resample.BUCKETS}) / ((n.s + 1)::DOUBLE * (total.t + {resample.BUCKETS})))) AS BIGINT) AS gain
+      FROM n, total),
+k AS (SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM c JOIN g USING (b) WHERE NOT target GROUP BY r),
+sc AS (SELECT id AS doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(({_hex(f"'{resample.SEED}:' || coalesce(CAST(id AS VARCHAR), '')", 8)} + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+       FROM texts LEFT JOIN k USING (r) WHERE NOT target),
+rk AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.MIN_WORDS} ORDER BY score DESC, doc_id) AS p,
+              count(*) FILTER (n_features >= {resample.MIN_WORDS}) OVER () AS long_enough FROM sc)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= {resample.MIN_WORDS} AND p <= {resample.PERCENT} * long_enough // 100 THEN p END AS rank
+FROM rk
+"""
+
+OP13 = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS stratum, octet_length(encode(coalesce(text, ''))) + 1 AS size, {_crc("coalesce(text, '')")} AS text_crc32,
+             {_hex(f"'{sharding.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')", sharding.HEX_DIGITS)} AS key FROM documents, crc_table),
+r AS (SELECT *, (2 * row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 1) / (2 * count(*) OVER (PARTITION BY stratum)) AS fraction FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY fraction, key, stratum, doc_id, text_crc32, size) - 1 AS p, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p * {sharding.SHARDS} // n AS INTEGER) AS shard,
+       p - (p * {sharding.SHARDS} // n * n + {sharding.SHARDS - 1}) // {sharding.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""
+
+ORACLE = {"op2_ngram_jaccard": OP2, "op4_embedding_pq": OP4, "op9_quality_rules": _op9(),
+          "op11_filter_audit": OP11, "op12_importance_resampling": OP12, "op13_sharding": OP13}
