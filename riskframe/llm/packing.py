@@ -1,6 +1,6 @@
 """Operator 10, packing: order-preserving dynamic programming over document and sentence boundaries.
 
-Documents are dealt into ranges of their id and tokenised in order. The token stream of a range is cut into windows
+Documents are dealt into ranges of their id (and a hash of the text, as many rows may have one id) and tokenised in order. The token stream of a range is cut into windows
 of at most ``MAX_TOKENS``: windows may end at the end of a document (free), after a sentence (``SENTENCE_COST``) or,
 inside sentences longer than ``FORCED_EVERY``, at every such step (``FORCED_COST``). The dynamic programme minimises
 padding plus these truncation penalties. As the padding of a window from i to j is MAX_TOKENS - (T[j] - T[i]), the
@@ -19,6 +19,7 @@ columns are not carried.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from collections import deque
@@ -40,8 +41,12 @@ SENTENCE_COST, FORCED_COST, SEQUENCE_COST = 8, 256, 1
 FORCED_EVERY = 1024
 SMALLEST_POWER = 256
 RUN_TOKENS = 1 << 19
-#: Words that a worker remembers with their ids.
-MEMORY = 800_000
+#: Bytes that a worker's remembered words may take, what a word takes besides its letters and ids, the longest word that stays.
+MEMORY_BYTES, WORD_BYTES, LONG_WORD = 64 << 20, 160, 64
+#: Words of letters that go to the tokenizer in one call.
+TOGETHER = 32
+#: A word that ends in ASCII marks: the part up to its last letter (small, or beyond ASCII), and the marks.
+MARKED = re.compile(rb"([^\x00-\x20<]*[a-z\x80-\xff])([!-&(-;=?-@\[-`{-~]+)")
 #: Stands for the end of a text among its words.
 CLOSE = b""
 #: Characters tokenised at a time.
@@ -49,11 +54,28 @@ SLICE = 1 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class _Codes(dict):
+    """Numbers of words in the order they are first asked for; ``new`` lists those that wait for their ids."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space, from the ids of their space-separated words.
 
     Normalisation and splitting of such a tokenizer never look across white space, so a text's ids are those of its
-    words in order. Each word is given to the tokenizers library once and remembered (at most MEMORY words).
+    words in order. A word's ids are taken from the tokenizers library once and remembered. A letter and the ASCII marks behind it
+    are always split, so a word that ends in marks is put together from its two parts; words of letters alone are
+    one piece each and go to the library many to a call, told apart by their word ends.
+
+    What is remembered is bounded by bytes: beyond MEMORY_BYTES, words used once or longer than LONG_WORD go, and of the
+    others the less used, until half of it is free.
     """
 
     def __init__(self, spec: bytes):
@@ -65,28 +87,83 @@ class WordIds:
         self.batch = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.sentence_end = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.word_end = np.zeros(len(self.sentence_end), bool)
         for t, i in vocab.items():
-            if t.endswith("</w>") and t[-5:-4] in tuple(".!?"):
-                self.sentence_end[i] = True
+            if t.endswith("</w>"):
+                self.word_end[i] = True
+                self.sentence_end[i] = t[-5:-4] in tuple(".!?")
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[bytes, int] = {CLOSE: 0}
+        self.code = _Codes()
+        self.code[CLOSE] = 0
         self.flat, self.n = np.array([END_ID], np.uint32), 1
-        self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def learn(self, words: list[bytes]) -> None:
-        """Remember the ids of new words."""
-        got = [e.ids for e in self.batch([w.decode() for w in words], add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        self.start = np.concatenate([self.start, self.n + np.cumsum(size) - size])
+        self.start, self.size, self.used = np.zeros(1, np.int64), np.ones(1, np.int32), np.zeros(1, np.int64)
+        self.held = 0
+
+    def _encoded(self, words: list[bytes]) -> list[list[int]]:
+        """The library's ids of each word."""
+        out: list = [None] * len(words)
+        texts = [w.decode() for w in words]
+        letters = [k for k, t in enumerate(texts) if t.isalpha()]
+        runs = [letters[k:k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
+        for run, e in zip(runs, self.batch([" ".join([texts[k] for k in run]) for run in runs], add_special_tokens=False)):
+            ids = e.ids
+            ends = np.flatnonzero(self.word_end[ids]).tolist()
+            if len(ends) == len(run) and ends[-1] + 1 == len(ids):
+                at = 0
+                for k, end in zip(run, ends):
+                    out[k], at = ids[at:end + 1], end + 1
+        single = [k for k, x in enumerate(out) if x is None]
+        for k, e in zip(single, self.batch([texts[k] for k in single], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
+    def learn(self) -> None:
+        """Take in the ids of the words that wait for them."""
+        first, new, parts, whole = len(self.start), self.code.new, {}, []
+        for k, w in enumerate(new):  # grows by the parts that are new themselves
+            m = MARKED.fullmatch(w)
+            if m and (m[1][-1] < 128 or m[1].decode()[-1].lower().isalpha()):
+                parts[k] = self.code[m[1]], self.code[m[2]]
+            else:
+                whole.append(k)
+        got: list = [None] * len(new)
+        for k, ids in zip(whole, self._encoded([new[k] for k in whole])):
+            got[k] = ids
+        known = lambda c: self.flat[self.start[c]:self.start[c] + self.size[c]].tolist() if c < first else got[c - first]
+        for k, (a, b) in parts.items():  # parts end in no mark or are marks alone: whole or known
+            got[k] = known(a) + known(b)
+        size = np.fromiter(map(len, got), np.int32, len(got))
+        self.start = np.concatenate([self.start, self.n + np.cumsum(size, dtype=np.int64) - size])
         self.size = np.concatenate([self.size, size])
+        self.used = np.concatenate([self.used, np.zeros(len(got), np.int64)])
         need = self.n + int(size.sum())
         if need > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * need)
+            self.flat = np.resize(self.flat, need + need // 4)
         self.flat[self.n:need] = np.fromiter(chain.from_iterable(got), np.uint32, need - self.n)
         self.n = need
-        self.code.update(zip(words, range(len(self.code), len(self.code) + len(words))))
+        self.held += sum(map(len, new)) + WORD_BYTES * len(new) + 4 * int(size.sum())
+        self.code.new = []
+
+    def shrink(self) -> None:
+        """Forget what is used least, until half of the memory is free."""
+        words = list(self.code)
+        cost = np.fromiter(map(len, words), np.int64, len(words)) + WORD_BYTES + 4 * self.size
+        keep = np.flatnonzero((self.used > 1) & (cost <= LONG_WORD + WORD_BYTES + 4 * self.size))
+        keep = keep[keep > 0]
+        keep = keep[np.argsort(-self.used[keep], kind="stable")]
+        keep = keep[np.cumsum(cost[keep]) <= MEMORY_BYTES // 2]
+        start, size, flat, used = self.start[keep], self.size[keep], self.flat, self.used[keep] // 2
+        self.forget()
+        for k in keep.tolist():
+            self.code[words[k]] = len(self.code)
+        total = np.cumsum(size, dtype=np.int64)
+        n = int(total[-1]) if len(total) else 0
+        self.flat = np.concatenate([self.flat, flat[np.repeat(start - (total - size), size) + np.arange(n)]])
+        self.n, self.held = 1 + n, int(cost[keep].sum())
+        self.start, self.size = np.concatenate([self.start, 1 + total - size]), np.concatenate([self.size, size])
+        self.used = np.concatenate([self.used, used])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by END_ID; ids per text), SLICE characters at a time."""
@@ -100,14 +177,14 @@ class WordIds:
                 words.append(CLOSE)
                 ends.append(len(words))
                 held, i = held + len(raw), i + 1
-            if len(self.code) > MEMORY:
-                self.forget()
-            new = set(words).difference(self.code)
-            if new:
-                self.learn(list(new))
+            if self.held > MEMORY_BYTES:
+                self.shrink()
             code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+            if self.code.new:
+                self.learn()
+            self.used += np.bincount(code, minlength=len(self.used))
             size = self.size[code]
-            total = np.cumsum(size)
+            total = np.cumsum(size, dtype=np.int64)
             ids.append(self.flat[np.repeat(self.start[code] - (total - size), size) + np.arange(total[-1])])
             sizes.append(np.diff(np.concatenate([[0], total[np.array(ends) - 1]])))
         return np.concatenate(ids), np.concatenate(sizes)
@@ -238,8 +315,9 @@ def pack(df: DataFrame, path: str | None = None) -> DataFrame:
         yield from pack_stream(batches, remembered("words", shared.value, WordIds), TaskContext.get().partitionId() << 40)
 
     d = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = d.repartitionByRange(shuffle_parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return ranges.mapInArrow(run, SCHEMA)
+    d = d.withColumn("place", F.xxhash64("text"))  # rows of one id, and those without an id, spread over ranges
+    ranges = d.repartitionByRange(shuffle_parts(spark), "doc_id", "place").sortWithinPartitions("doc_id", "place", "text")
+    return ranges.drop("place").mapInArrow(run, SCHEMA)
 
 
 def op10(documents: DataFrame) -> DataFrame:
