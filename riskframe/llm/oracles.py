@@ -69,21 +69,24 @@ h AS (
   UNION ALL
   SELECT doc_id, lang, 'w', unnest(range(1, len(cw) + 1)), CAST(unnest(cw) AS DOUBLE), n_words >= {Q.MIN_WORDS},
          chars >= {Q.MIN_CHARS} AND n_words >= {Q.MIN_WORDS} FROM m),
-top AS (SELECT lang FROM m WHERE lang IS NOT NULL AND chars >= {Q.MIN_CHARS} AND n_words >= {Q.MIN_WORDS}
-        GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {Q.MAX_LANGS}),
-q0 AS (SELECT lang, kind, i, sum(v) AS v FROM h JOIN top USING (lang) WHERE learn GROUP BY ALL),
+q0 AS (SELECT lang, kind, i, sum(v) AS v FROM h WHERE learn AND lang IS NOT NULL GROUP BY ALL),
 q AS (SELECT lang, kind, i, v / sum(v) OVER (PARTITION BY lang, kind) AS q FROM q0),
 pp AS (SELECT doc_id, kind, i, v / sum(v) OVER (PARTITION BY doc_id, kind) AS p FROM h WHERE fit),
 js AS (
   SELECT doc_id, q.lang, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
          + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS x
   FROM pp JOIN q USING (kind, i) GROUP BY ALL),
+rest AS (SELECT lang, q AS r FROM q WHERE kind = 'w' AND i = {len(Q.BINS) + 1}),
+lim AS (SELECT lang, CASE WHEN r > 0 AND r <= {1 - Q.MIN_COMMON} THEN
+          {Q.WORD_SHARE} * sqrt(greatest((log2(2 / (1 + r)) + r * log2(2 * r / (1 + r)) + (1 - r)) / 2, 0)) END AS lim FROM rest),
+pairs AS (SELECT doc_id, lang, max(x) FILTER (kind = 'c') AS c, max(x) FILTER (kind = 'w') AS w FROM js GROUP BY ALL),
 far AS (
-  SELECT doc_id, min(x) FILTER (kind = 'c') <= {Q.MAX_CLASS_DISTANCE} AS c, min(x) FILTER (kind = 'w') <= {Q.MAX_WORD_DISTANCE} AS w
-  FROM js GROUP BY doc_id)
+  SELECT doc_id, min(coalesce(greatest(c / {Q.MAX_CLASS_DISTANCE}, CASE WHEN lim IS NOT NULL THEN w / lim END), 0)) AS far
+  FROM pairs JOIN lim USING (lang) JOIN (SELECT doc_id, lang AS own FROM m) USING (doc_id)
+  WHERE lim IS NOT NULL OR own = lang GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(c, true) AND coalesce(w, true) AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(far <= 1, true) AS kept
 FROM m LEFT JOIN far USING (doc_id)
 """
 

@@ -2,20 +2,28 @@
 
 Native: DataFrame functions only. One pass over the texts takes the measures and both histograms of every text
 and writes them to the shared folder. From that table come, per language, the summed histograms of all texts of at
-least the minimum length (the references: one row per language) and then every text's Jensen-Shannon distance to the
-nearest reference. Texts below the minimum length are judged by the base rules only.
+least the minimum length (the references: one row per language) and then every text's Jensen-Shannon distances to them.
+Texts below the minimum length are judged by the base rules only.
+
+The common-word histogram has one bin for each set of languages that share a word, so words of one language never stand
+in for another's, and a last bin for all other words. A text without any common word lies at a distance from a reference
+that follows from that reference alone; the limit for words is ``WORD_SHARE`` of it. A reference with less than ``MIN_COMMON``
+common words (a language that the lists don't know) has no limit for words and judges texts of its own language only. Both limits have
+to hold for one and the same reference.
 
 The references of the ``MAX_LANGS`` languages with most texts are part of the plan. Those of all other languages stay a
 table: texts that the first ones do not settle are compared with their own language's by an equi-join, and what is
 still open with all of them, in blocks of about ``MAX_LANGS`` languages.
 
 Cases: null and empty texts have no words and fail; null languages take no part in the references; an empty table
-gives no references and no rows; repeated rows are judged one by one; other input columns are kept as they are
-(the operator's own columns carry the prefix it is given).
+gives no references and no rows; repeated rows are judged one by one; texts of any length are measured whole; other input
+columns are kept as they are (the operator's own columns carry the prefix it is given).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +37,24 @@ COMMON_WORDS = {
     "es": "el la los las de del y en un una que por con para se es".split(),
 }
 WORDS = sorted({w for ws in COMMON_WORDS.values() for w in ws})
-#: The common-word histogram counts groups of four neighbours in the alphabet.
-BINS = [WORDS[i:i + 4] for i in range(0, len(WORDS), 4)]
+
+
+def _bins() -> list[list[str]]:
+    """The common words by the set of languages that list them."""
+    sets: dict[str, list[str]] = {}
+    for w in WORDS:
+        sets.setdefault("+".join(lang for lang, ws in COMMON_WORDS.items() if w in ws), []).append(w)
+    return [sets[k] for k in sorted(sets)]
+
+
+BINS = _bins()
 #: Character classes of the histogram; before them comes white space, after them the rest (mostly small letters).
 CLASSES = ("\\p{Lu}", "0-9", "#*$%&|<>", ".,;:!?'\"()-")
 MIN_CHARS, MIN_WORDS = 200, 40
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.34, 0.34
-#: References held in the plan, and languages in a block of the others (the SQL twin knows the first ones only).
+MAX_CLASS_DISTANCE = 0.34
+#: Limit of the word distance, as a share of the distance of a text without common words; least share of common words in a reference for that.
+WORD_SHARE, MIN_COMMON = 0.85, 0.05
+#: References held in the plan, and languages in a block of the others.
 MAX_LANGS = 64
 WINDOW = 5
 
@@ -113,41 +132,57 @@ def js_distance(counts: str, reference: list[float] | Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def _near(dc: Column, dw: Column) -> Column:
-    """Both distances within their limits (a text below a minimum length has no such distance)."""
-    return F.coalesce(dc <= MAX_CLASS_DISTANCE, F.lit(True)) & F.coalesce(dw <= MAX_WORD_DISTANCE, F.lit(True))
+def word_limit(rest: float | Column) -> float | Column:
+    """The limit of the word distance to a reference in which ``rest`` is the share of words that are not common.
+
+    The distance of a text without common words has a closed form; a float gives a float (null: no limit), a column a column.
+    """
+    if isinstance(rest, Column):
+        half = (F.log2(2 / (1 + rest)) + rest * F.log2(2 * rest / (1 + rest)) + (1 - rest)) / 2
+        return F.when((rest > 0) & (rest <= 1 - MIN_COMMON), F.sqrt(F.greatest(half, F.lit(0.0))) * WORD_SHARE)
+    if not 0 < rest <= 1 - MIN_COMMON:
+        return None
+    return math.sqrt(max((math.log2(2 / (1 + rest)) + rest * math.log2(2 * rest / (1 + rest)) + (1 - rest)) / 2, 0)) * WORD_SHARE
+
+
+def _off(p: dict[str, str], own: Column, lang: Column, classes, words, limit) -> Column:
+    """How far a text is off a reference: the larger of both distances, each as a share of its limit; null if the reference does not judge it."""
+    dc = F.when(F.col(p["chars"]) >= MIN_CHARS, js_distance(p["cc"], classes) / MAX_CLASS_DISTANCE)
+    dw = F.when(F.col(p["n_words"]) >= MIN_WORDS, js_distance(p["cw"], words) / limit)
+    both = F.coalesce(F.greatest(dc, dw), F.lit(0.0))
+    return F.when(limit.isNotNull(), both).when(own == lang, F.coalesce(dc, F.lit(0.0)))
 
 
 def _with_others(d: DataFrame, others: DataFrame, lang: str, p: str) -> DataFrame:
-    """``d`` with the distances of texts that are not yet settled taken to the references of ``others`` too."""
+    """``d`` with ``far`` of the texts that are not yet settled taken to the references of ``others`` too."""
     share = lambda c: F.expr(f"transform({c}, x -> x / greatest(aggregate({c}, 0D, (s, y) -> s + y), 1D))")
-    others = stored(others.select("l", share("classes").alias("classes"), share("words").alias("words")), "quality-others")
-    closer = lambda c, by: F.when(F.col(c).isNotNull(), F.least(c, by)).alias(c)
-    known = lambda x: F.when(F.col("l").isNotNull(), x)
-    still = ~_near(F.col("dc"), F.col("dw"))
+    others = others.select("l", share("classes").alias("classes"), share("words").alias("words"))
+    others = stored(others.withColumn("limit", word_limit(F.element_at("words", -1))), "quality-others")
     d = stored(d.withColumn(f"{p}row", F.monotonically_increasing_id()), "quality-rows")
-    left = (d.where(~F.col(f"{p}base_failed")).select(F.col(f"{p}row").alias("row"), F.col(lang).alias("own"), F.col(f"{p}cc").alias("cc"),
-            F.col(f"{p}cw").alias("cw"), F.col(f"{p}dc").alias("dc"), F.col(f"{p}dw").alias("dw")).where(still))
-    own = stored(left.join(others, F.col("own") == F.col("l"), "left").select(
-        "row", "cc", "cw", closer("dc", known(js_distance("cc", F.col("classes")))), closer("dw", known(js_distance("cw", F.col("words"))))),
-        "quality-own")
+    names = {c: c for c in ("chars", "n_words", "cc", "cw")}
+    still = "far IS NULL OR far > 1"
+    left = (d.where(~F.col(f"{p}base_failed")).select(F.col(f"{p}row").alias("row"), F.col(lang).alias("own"), F.col(f"{p}far").alias("far"),
+            *[F.col(p + c).alias(c) for c in names]).where(still))
+    off = _off(names, F.col("own"), F.col("l"), F.col("classes"), F.col("words"), F.col("limit"))
+    own = stored(left.join(others, F.col("own") == F.col("l"), "left").withColumn("far", F.least("far", F.when(F.col("l").isNotNull(), off)))
+                 .select("row", "own", "far", *names), "quality-own")
     blocks = -(-others.count() // MAX_LANGS)
-    block = others.groupBy(F.pmod(F.xxhash64("l"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("classes", "words")).alias("refs"))
-    least = lambda c, k: F.array_min(F.transform("refs", lambda r: js_distance(c, r[k])))
+    block = others.groupBy(F.pmod(F.xxhash64("l"), F.lit(blocks)).alias("block")).agg(
+        F.collect_list(F.struct("l", "classes", "words", "limit")).alias("refs"))
+    least = F.array_min(F.transform("refs", lambda r: _off(names, F.col("own"), r["l"], r["classes"], r["words"], r["limit"])))
     rest = (own.where(still).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(block, "block")
-            .select("row", closer("dc", least("cc", "classes")), closer("dw", least("cw", "words"))))
-    best = own.select("row", "dc", "dw").unionByName(rest).groupBy("row").agg(F.min("dc").alias("dc"), F.min("dw").alias("dw"))
-    best = best.select(F.col("row").alias(f"{p}row"), F.col("dc").alias(f"{p}dc2"), F.col("dw").alias(f"{p}dw2"))
-    return (d.join(best, f"{p}row", "left").withColumns({f"{p}{c}": F.coalesce(f"{p}{c}2", f"{p}{c}") for c in ("dc", "dw")})
-            .drop(f"{p}row", f"{p}dc2", f"{p}dw2"))
+            .select("row", F.least("far", least).alias("far")))
+    best = own.select("row", "far").unionByName(rest).groupBy("row").agg(F.min("far").alias("far"))
+    best = best.select(F.col("row").alias(f"{p}row"), F.col("far").alias(f"{p}far2"))
+    return d.join(best, f"{p}row", "left").withColumn(f"{p}far", F.coalesce(f"{p}far2", f"{p}far")).drop(f"{p}row", f"{p}far2")
 
 
 def judge(df: DataFrame, text: str = "text", lang: str = "lang", prefix: str = "__q_", drop_text: bool = False) -> DataFrame:
-    """The input plus, under ``prefix``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, dc, dw, kept.
+    """The input plus, under ``prefix``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, far, kept.
 
-    A text is kept when the base rules pass and, from the minimum lengths on, both histograms are within the
-    distance limits (``dc``, ``dw``) of some language's reference. Without references only the base rules decide.
-    ``dc`` and ``dw`` are the distances to the nearest of the references that a text was compared with.
+    A text is kept when the base rules pass and, from the minimum lengths on, both histograms are within their limits of
+    some language's reference: ``far`` is how far off the nearest reference is, 1 at the limit (of those the text was
+    compared with; null where none judges it, and then only the base rules decide).
     """
     p = prefix
     d = _histograms(_measures(df, text, p), p).withColumn(f"{p}chars", F.length(f"{p}t"))
@@ -155,14 +190,14 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang", prefix: str = "
     every = references(d, lang, p)
     first = every.orderBy(F.desc("texts"), "l").limit(MAX_LANGS + 1).collect()
     refs, more = first[:MAX_LANGS], first[MAX_LANGS:]
-    nearest = lambda c, k: F.least(F.lit(1.0), *[js_distance(c, r[k]) for r in refs]) if refs else F.lit(0.0)
-    d = d.withColumns({
-        f"{p}dc": F.when(F.col(f"{p}chars") >= MIN_CHARS, nearest(f"{p}cc", "classes")),
-        f"{p}dw": F.when(F.col(f"{p}n_words") >= MIN_WORDS, nearest(f"{p}cw", "words")),
-    })
+    names = {c: p + c for c in ("chars", "n_words", "cc", "cw")}
+    own = F.col(lang)
+    offs = [_off(names, own, F.lit(r["l"]), r["classes"], r["words"], F.lit(word_limit(r["words"][-1] / (sum(r["words"]) or 1.0))).cast("double"))
+            for r in refs]
+    d = d.withColumn(f"{p}far", F.least(*offs, F.lit(None).cast("double")) if offs else F.lit(None).cast("double"))
     if more:
         d = _with_others(d, every.where(~F.col("l").isin([r["l"] for r in refs])), lang, p)
-    good = _near(F.col(f"{p}dc"), F.col(f"{p}dw"))
+    good = F.coalesce(F.col(f"{p}far") <= 1, F.lit(True))
     return d.withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & good).drop(f"{p}cc", f"{p}cw", f"{p}chars")
 
 
