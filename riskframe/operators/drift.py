@@ -9,10 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.keys import running_totals
+from riskframe.session import cut_lineage
 
 # Fixed values of the reference's PSI.
 PSI_BINS = 10
@@ -21,44 +22,93 @@ PSI_BANDS = ((0.1, "none"), (0.2, "moderate"))
 PSI_TOP = "significant"
 
 
-def to_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Wide numeric columns to ``(feature, x)``; nulls and NaN dropped."""
+def to_long(df: DataFrame, features: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Wide numeric columns to ``(*carry, feature, x)``; nulls and NaN dropped."""
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features])
-    long = df.select(F.inline(cells))
+    long = df.select(*carry, F.inline(cells))
     return long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
+def ranges(reference: DataFrame, bins: int = PSI_BINS) -> DataFrame:
+    """(feature, n_ref, lo, hi, step): the reference's equal-width bins; a single value gets a range of 1 around it."""
+    rng = reference.groupBy("feature").agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"), F.count("x").alias("n_ref"))
+    rng = rng.select("feature", "n_ref",
+                     F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
+                     F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
+    return rng.withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
+
+
+def _bin(bins: int) -> Column:
+    """Bin of ``x`` (``lo + i*step`` edges, last bin closed), null outside the range."""
+    at = sum((F.col("x") >= F.lit(float(i)) * F.col("step") + F.col("lo")).cast("int") for i in range(1, bins))
+    return F.when((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")), at)
+
+
+def _psi(ref: str, n_ref: str, cur: str, n_cur: str) -> Column:
+    """PSI of two arrays of bin counts; empty bins count as PSI_EMPTY, and so do those of a side without rows."""
+    share = lambda c, n: F.when((c == 0) | (F.col(n) == 0), F.lit(PSI_EMPTY)).otherwise(F.try_divide(c, F.col(n)))
+    parts = F.zip_with(ref, cur, lambda r, c: (share(c, n_cur) - share(r, n_ref)) * F.log(share(c, n_cur) / share(r, n_ref)))
+    return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def psi(reference: DataFrame, current: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     """PSI per feature: equal-width bins from the reference range (last bin closed).
 
     Current rows outside the reference range fall in no bin but stay in the
     denominator; empty bins count as 0.0001. Bin edges are ``lo + i*step`` so
-    edge cases fall exactly as with an edge-array histogram.
+    edge cases fall exactly as with an edge-array histogram. One aggregate
+    counts the bins of both sides.
     """
-    rng = reference.groupBy("feature").agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"),
-                                           F.count("x").alias("n_ref"))
-    rng = rng.select("feature", "n_ref",
-                     F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
-                     F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    rng = rng.withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-    n_cur = current.groupBy("feature").agg(F.count("x").alias("n_cur"))
-
-    def binned(df: DataFrame) -> DataFrame:
-        j = df.join(F.broadcast(rng.select("feature", "lo", "hi", "step")), "feature")
-        j = j.where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-        b = sum((F.col("x") >= F.lit(float(i)) * F.col("step") + F.col("lo")).cast("int") for i in range(1, bins))
-        return j.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-
-    grid = rng.select("feature", "n_ref", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    rc = binned(reference).withColumnRenamed("n", "rc")
-    cc = binned(current).withColumnRenamed("n", "cc")
-    g = (grid.join(rc, ["feature", "bin"], "left").join(cc, ["feature", "bin"], "left")
-         .join(F.broadcast(n_cur), "feature", "left"))
-    rp = F.coalesce(F.col("rc"), F.lit(0)) / F.col("n_ref")
-    cp = F.coalesce(F.try_divide(F.col("cc"), F.col("n_cur")), F.lit(0.0))
-    rp = F.when(rp == 0, PSI_EMPTY).otherwise(rp)
-    cp = F.when(cp == 0, PSI_EMPTY).otherwise(cp)
-    return g.groupBy("feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("psi"))
+    both = (reference.select("feature", "x", F.lit(True).alias("ref"))
+            .unionByName(current.select("feature", "x", F.lit(False).alias("ref"))))
+    b = both.join(F.broadcast(ranges(reference, bins)), "feature").withColumn("bin", _bin(bins))
+    g = b.groupBy("feature", "n_ref").agg(
+        F.count_if(~F.col("ref")).alias("n_cur"),
+        F.array(*[F.count_if(F.col("ref") & (F.col("bin") == i)) for i in range(bins)]).alias("rc"),
+        F.array(*[F.count_if(~F.col("ref") & (F.col("bin") == i)) for i in range(bins)]).alias("cc"))
+    return g.select("feature", _psi("rc", "n_ref", "cc", "n_cur").alias("psi"))
+
+
+class Reference:
+    """A reference sample ready for drift checks of many windows.
+
+    Per feature it holds the bins' counts (one row), and per value the number of rows; both are
+    written once, so a check reads no sample row again.
+    """
+
+    def __init__(self, sample: DataFrame, bins: int = PSI_BINS):
+        self.bins = bins
+        self.values = cut_lineage(sample.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("own")))
+        spans = ranges(self.values, bins).drop("n_ref").join(self.values.groupBy("feature").agg(F.sum("own").alias("n_ref")), "feature")
+        b = self.values.join(F.broadcast(spans), "feature").withColumn("bin", _bin(bins))
+        self.spans = cut_lineage(b.groupBy("feature", "n_ref", "lo", "hi", "step").agg(
+            F.array(*[F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("own"))), F.lit(0)) for i in range(bins)]).alias("rc")))
+
+    def drift(self, current: DataFrame, window: str, p_threshold: float = 0.05) -> DataFrame:
+        """(window, feature, n_ref, n_cur, psi, ks_d, p_value, drift_detected) of long rows ``(window, feature, x)``.
+
+        D is the largest gap of the two step functions; it lies at a value of the window or just below one, so only
+        the window's values are looked up in the reference, by a carried count in value order (H1). Features that the reference lacks are left out.
+        """
+        spans = F.broadcast(self.spans)   # one row per feature
+        b = current.join(spans, "feature").withColumn("bin", _bin(self.bins))
+        bins = (b.groupBy(window, "feature", "n_ref", "rc").agg(
+            F.count(F.lit(1)).alias("n_cur"), F.array(*[F.count_if(F.col("bin") == i) for i in range(self.bins)]).alias("cc"))
+            .select(window, "feature", "n_ref", "n_cur", _psi("rc", "n_ref", "cc", "n_cur").alias("psi")))
+        seen = current.groupBy(window, "feature", "x").agg(F.count(F.lit(1)).alias("n"))
+        w = Window.partitionBy(window, "feature")
+        seen = seen.withColumns({"c_upto": F.sum("n").over(w.orderBy("x")), "c_all": F.sum("n").over(w)})
+        asked = seen.select("feature", "x").distinct()
+        ranked = running_totals(self.values.unionByName(asked.withColumn("own", F.lit(0).cast("long"))),
+                                ["x", "own"], {"r_upto": F.col("own")}, groups=["feature"], few_groups=True)
+        # per value: the reference rows up to it, and its own
+        at = ranked.groupBy("feature", "x").agg(F.max("r_upto").alias("r_upto"), F.max("own").alias("r_own"))
+        gap = lambda r, c: F.abs(F.col(r) / F.col("n_ref") - F.col(c) / F.col("c_all"))
+        j = (seen.join(at, ["feature", "x"]).join(spans.select("feature", "n_ref"), "feature")
+             .withColumns({"r_below": F.col("r_upto") - F.col("r_own"), "c_below": F.col("c_upto") - F.col("n")}))
+        d = j.groupBy(window, "feature").agg(F.max(F.greatest(gap("r_upto", "c_upto"), gap("r_below", "c_below"))).alias("ks_d"))
+        out = bins.join(d, [window, "feature"]).withColumn("p_value", ks_pvalue(F.col("ks_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
+        return out.withColumn("drift_detected", F.coalesce(F.col("p_value") < p_threshold, F.lit(False)))
 
 
 def psi_class(p) -> Column:

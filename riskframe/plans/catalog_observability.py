@@ -176,7 +176,7 @@ def jon_05_logs_spans(spark, d):
     """Log lines joined to spans of the same trace with log time within +-1 minute of the span start."""
     # join keys made non-null (a negative key of its own never matches a span): otherwise Catalyst infers
     # isnotnull(key) filters and pushes them into the scan, re-running the whole parse there
-    p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), -1 - F.col("line_no")).alias("trace_id"),
+    p = _logs(spark, d).select("line_no", F.coalesce(F.col("trace_id").try_cast("bigint"), -1 - F.col("line_no"), F.lit(-1)).alias("trace_id"),
                                F.coalesce(F.col("log_us"), F.lit(-1)).alias("log_us"))
     p = p.withColumn("bucket", F.coalesce(F.floor(F.col("log_us") / 60_000_000).cast("bigint"), F.lit(-1).cast("bigint")))
     s = X.spans(spark, d).select("trace_id", "span_id", epoch_micros(F.col("start_ts")).alias("span_us"))

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from riskframe.functions import scalar as S
+from riskframe.operators import boosting as B
 from riskframe.operators import iforest as IF
 from riskframe.operators import metrics as M
 from riskframe.operators.keys import running_totals
@@ -20,8 +17,9 @@ from riskframe.operators.keys import running_totals
 SEED = 42
 TEST_FRACTION = 0.2
 # The reference's model settings.
-GBT_A = dict(maxDepth=6, stepSize=0.1, maxIter=100, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=SEED)
-GBT_B = dict(maxDepth=5, stepSize=0.1, maxIter=100, seed=SEED)   # 31 leaves -> depth 5 (<= 32 leaves)
+GBT_A = dict(max_depth=6, rate=0.1, rounds=100, row_share=0.8, column_share=0.8, regularisation=1.0, min_hessian=1.0, seed=SEED)
+# rows are drawn only every so many trees there, and that is off
+GBT_B = dict(max_depth=None, max_leaves=31, rate=0.1, rounds=100, column_share=0.8, regularisation=0.0, min_hessian=1e-3, min_rows=20, seed=SEED)
 IFOREST = dict(trees=100, sample_size=256, contamination=0.1, seed=SEED)
 
 
@@ -66,19 +64,16 @@ class TrainedModel:
     order: int = 0
 
 
-def fit_gbt(train: DataFrame, features: list[str], label: str, params: dict, name: str) -> TrainedModel:
-    """ML-02 / ML-03: assembler + gradient-boosted trees in one Spark ML pipeline."""
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", **params)
-    return TrainedModel(name, params, Pipeline(stages=[asm, gbt]).fit(train))
+def fit_gbt(train: DataFrame, features: list[str], label: str, id_col: str, params: dict, name: str) -> TrainedModel:
+    """ML-02 / ML-03: second-order boosted trees on histograms, depth-wise or leaf-wise by the settings."""
+    return TrainedModel(name, params, B.fit(train, features, label, id_col, B.Boosting(**params)))
 
 
 def predict(tm: TrainedModel, df: DataFrame, keep: list[str]) -> DataFrame:
     """Class, probability of the positive class, decision and risk tier for every row."""
-    if isinstance(tm.model, PipelineModel):
-        out = tm.model.transform(df)
-        prob = vector_to_array(F.col("probability"))[1]
-        return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
+    if isinstance(tm.model, B.Model):
+        out = B.predict(df, tm.model, keep)
+        return out.select(*keep, (F.col("probability") > 0.5).cast("int").alias("prediction"), "probability")
     forest, features, threshold = tm.model
     s = IF.score(df, forest, features, keep)
     return s.select(*keep, IF_flag(F.col("anomaly_score"), threshold).alias("prediction"),

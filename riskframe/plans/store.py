@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.time import epoch_micros
-from riskframe.operators.asof import asof_join
+from riskframe.operators.asof import AsofTable, asof_join_all
 
 
 @dataclass(frozen=True)
@@ -43,11 +43,16 @@ def source_rows(view: FeatureView, start=None, end=None) -> DataFrame:
 def historical_features(entities: DataFrame, views: Sequence[FeatureView], entity_ts: str = "event_timestamp",
                         on_demand: Mapping[str, Callable[[], Column]] | None = None,
                         bucket_seconds: float = 3600.0) -> DataFrame:
-    """FST-01: point-in-time join of every view (as-of, backward, TTL), then on-demand columns."""
+    """FST-01: point-in-time join of every view (as-of, backward, TTL), then on-demand columns.
+
+    All views of one key column join in one pass, so scans and exchanges grow
+    with the views and key columns, never with their product.
+    """
     out = entities
-    for v in views:
-        out = asof_join(out, v.source, v.key, entity_ts, v.event_ts, v.features, created=v.created_ts,
-                        ttl_seconds=v.ttl_seconds, bucket_seconds=bucket_seconds, prefix=f"{v.name}__")
+    for key in dict.fromkeys(v.key for v in views):
+        out = asof_join_all(out, [AsofTable(v.source, v.event_ts, v.features, v.created_ts, v.ttl_seconds, f"{v.name}__")
+                                  for v in views if v.key == key], key, entity_ts, bucket_seconds)
+    out = out.select(*entities.columns, *[f"{v.name}__{f}" for v in views for f in v.features])
     for name, fn in (on_demand or {}).items():
         out = out.withColumn(name, fn())
     return out

@@ -1,21 +1,26 @@
 """Streaming operators (STR-01 .. STR-07).
 
 The reference kept 100-item buffers inside a web process; here every stream
-is a Structured Streaming query. Stateful parts keep only small state:
-window aggregates (Spark's state store), or at most ``size - 1`` open rows
-plus one offset (count windows).
+is a Structured Streaming query. State lies in Spark's state store, hash-dealt
+by key: window aggregates, join sides within their horizon, the latest row per
+key and the ids counted so far; count windows keep at most ``size - 1`` open
+rows plus one offset.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as S
 from riskframe.functions.logs import parse_log_line
 from riskframe.functions.time import epoch_micros, hours_between
+from riskframe.operators import drift as DR
 from riskframe.operators.keys import row_index
 from riskframe.operators.metrics import PREDICTION_SECONDS, classification_report
+from riskframe.plans.store import latest_per_key
 from riskframe.sources import fixtures as X
 
 LABEL_HORIZON_HOURS = 168
@@ -52,8 +57,30 @@ def labeled_stream(labels: DataFrame, predictions: DataFrame) -> DataFrame:
     return lab.join(predictions.drop("pred_ts"), "transaction_id").withColumnRenamed("label", "ground_truth")
 
 
+def label_metrics(done: DataFrame) -> DataFrame:
+    """The classification report of every complete window of labels."""
+    return classification_report(done, "ground_truth", "prediction", "probability", groups=["window_no"])
+
+
+def drift_against(reference: DataFrame, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """STR-03 over predictions: PSI, KS and the drift flag of every feature in each complete window.
+
+    ``reference`` is the long ``(feature, x)`` training sample; its rows are counted per value
+    once, so a batch joins to that table and never to the sample again.
+    """
+    held = DR.Reference(reference)
+
+    def evaluate(done: DataFrame) -> DataFrame:
+        return held.drift(DR.to_long(done, features, ["window_no"]), "window_no")
+
+    return evaluate
+
+
 class CountWindows:
-    """STR-03: metrics every ``size`` labels in arrival order, as ``foreachBatch``.
+    """STR-03: a report every ``size`` rows in arrival order, as ``foreachBatch``.
+
+    ``evaluate`` maps the rows of complete windows (column ``window_no``) to their report:
+    label metrics, or drift over predictions (``drift_against``).
 
     Per micro-batch: the batch rows get global positions after the stored
     offset (H1 row index, in ``order`` inside the batch), rows of the open
@@ -65,8 +92,8 @@ class CountWindows:
     """
 
     def __init__(self, state_path: str, out_path: str, size: int = 100,
-                 order=("label_ts", "transaction_id")):
-        self.state, self.out, self.size, self.order = state_path, out_path, size, list(order)
+                 order=("label_ts", "transaction_id"), evaluate: Callable[[DataFrame], DataFrame] = label_metrics):
+        self.state, self.out, self.size, self.order, self.evaluate = state_path, out_path, size, list(order), evaluate
 
     def _prev(self, spark: SparkSession, batch_id: int):
         fs = spark._jvm.org.apache.hadoop.fs
@@ -87,103 +114,59 @@ class CountWindows:
         rows = rows.withColumn("window_no", F.floor((F.col("pos") - 1) / self.size))
         full = rows.groupBy("window_no").agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") == self.size)
         done = rows.join(full.select("window_no"), "window_no", "left_semi")
-        rep = classification_report(done, "ground_truth", "prediction", "probability", groups=["window_no"])
-        rep.write.mode("overwrite").parquet(f"{self.out}/b={batch_id}")
+        self.evaluate(done).write.mode("overwrite").parquet(f"{self.out}/b={batch_id}")
         rows.join(full.select("window_no"), "window_no", "left_anti").drop("window_no") \
             .write.mode("overwrite").parquet(f"{self.state}/b={batch_id}/open")
         spark.range(1).select(F.lit(consumed + n).cast("bigint").alias("consumed")) \
             .write.mode("overwrite").parquet(f"{self.state}/b={batch_id}/meta")
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names below ``path`` (empty where there is none), by the path's own file system."""
-    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [x.getPath().getName() for x in fs.listStatus(hp)] if fs.exists(hp) else []
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed manifest versions, ascending (Spark writes ``_SUCCESS`` last, so a half-written one doesn't count)."""
-    names = [n for n in _children(spark, f"{path}/manifest") if n.startswith("b=")]
-    return sorted(int(n[2:]) for n in names if "_SUCCESS" in _children(spark, f"{path}/manifest/{n}"))
-
+class BatchFolders:
+    """Sink of a query in update mode, as ``foreachBatch``: a batch's rows go to its own folder, which a replay overwrites."""
 
-class OnlineTable:
-    """STR-04: latest row per key kept fresh by pushes, as ``foreachBatch``.
-
-    The table is hash-bucketed on the key. A micro-batch reduces its rows to
-    the latest per key and merges them with the buckets it touches; the merged
-    buckets go to a folder of the batch's own (``table_version=<batch>/bucket=<n>``). Then a
-    manifest (one row per bucket: the version that holds it) is written under
-    the batch's number: that is the commit. Nothing that a manifest names is
-    ever overwritten, so a crash before the commit leaves the table as it was,
-    readers see whole versions, and a replay starts from the manifest before.
-    """
-
-    def __init__(self, path: str, key: str, ts: str, created: str, cols, buckets: int = 64):
-        self.path, self.key, self.ts, self.created, self.cols = path, key, ts, created, list(cols)
-        self.buckets = buckets
-
-    def _latest(self, df: DataFrame) -> DataFrame:
-        keep = [*self.cols, self.ts, self.created]
-        order = F.struct(F.col(self.ts), F.col(self.created), F.xxhash64(*keep))   # the hash decides full ties, always alike
-        return df.groupBy(self.key).agg(F.max_by(F.struct(*keep), order).alias("__r")).select(self.key, "__r.*")
+    def __init__(self, path: str):
+        self.path = path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from riskframe.session import cut_lineage
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
-        fresh = cut_lineage(self._latest(batch).withColumn("bucket", bucket))
-        touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]   # <= buckets ints
-        before = [v for v in _versions(spark, self.path) if v < batch_id]
-        held = manifest(spark, self.path, before[-1]) if before else {}
-        merged = fresh
-        old = {b: v for b, v in held.items() if b in set(touched)}
-        if old:
-            merged = self._latest(_buckets(spark, self.path, old).drop("bucket").unionByName(fresh.drop("bucket"))).withColumn("bucket", bucket)
-        if touched:
-            merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/table_version={batch_id}")
-        rows = sorted((held | {b: batch_id for b in touched}).items())
-        spark.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/b={batch_id}")
-
+        batch.write.mode("overwrite").parquet(f"{self.path}/b={batch_id}")
 
-def manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
-    """The version that holds each bucket (at most one row per bucket)."""
-    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{path}/manifest/b={version}").collect()}
 
+def online_rows(pushed: DataFrame, key: str, ts: str, created: str, cols: Sequence[str]) -> DataFrame:
+    """STR-04: the latest row per key as a streaming aggregate.
 
-def _buckets(spark: SparkSession, path: str, held: dict[int, int]) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(*[f"{path}/table_version={v}/bucket={b}" for b, v in sorted(held.items())]).drop("table_version")
+    In update mode a batch emits the keys it changed, so its work follows its own rows; the state
+    holds one row per key. ``current_rows`` reads the table from what was emitted.
+    """
+    return latest_per_key(pushed, key, ts, created, cols)
 
 
-def current_version(spark: SparkSession, path: str) -> DataFrame:
-    """The online table of the last committed manifest (bucket column dropped)."""
-    held = manifest(spark, path, _versions(spark, path)[-1])
-    return _buckets(spark, path, held).drop("bucket")
+def current_rows(spark: SparkSession, path: str, key: str, ts: str, created: str, cols: Sequence[str]) -> DataFrame:
+    """STR-04: the online table as of the last batch: the newest of the rows emitted per key."""
+    return latest_per_key(spark.read.parquet(path), key, ts, created, cols)
 
 
 def label_join(predictions: DataFrame, labels: DataFrame, delay: str = "1 hour",
                horizon_hours: int = LABEL_HORIZON_HOURS) -> DataFrame:
-    """STR-05: stream-stream join of labels to predictions within ``horizon`` hours, latency in hours.
+    """STR-05: stream-stream LEFT OUTER join of labels to predictions made at most ``horizon`` hours before, latency in hours.
 
-    Both sides carry a watermark, so Spark can drop join state older than the
-    horizon; ``reconciled_labels`` adds the labels outside it and those without
-    a prediction.
+    Both sides carry a watermark, so Spark drops join state older than the horizon. A label whose prediction did not come
+    is emitted without a latency once the watermark has passed it: no prediction that it could match can follow.
+    ``reconciled_labels`` tells those without any prediction from those outside the horizon.
     """
-    p = predictions.withColumn("pt", F.col("pred_ts").cast("timestamp")).withWatermark("pt", delay) \
-                   .withColumnRenamed("transaction_id", "pid")
+    p = predictions.select(F.col("transaction_id").alias("pid"), "pred_ts", F.col("pred_ts").cast("timestamp").alias("pt")).withWatermark("pt", delay)
     lab = labels.withColumn("lt", F.col("label_ts").cast("timestamp")).withWatermark("lt", delay)
-    cond = F.expr(f"pid = transaction_id AND lt >= pt AND lt <= pt + INTERVAL {horizon_hours} HOURS")
-    j = lab.join(p, cond, "inner")
+    cond = F.expr(f"transaction_id = pid AND pt <= lt AND pt >= lt - INTERVAL {horizon_hours} HOURS")
+    j = lab.join(p, cond, "leftOuter")
     return j.select("transaction_id", "label", hours_between(F.col("pred_ts"), F.col("label_ts")).alias("latency_h"))
 
 
 def reconciled_labels(joined: DataFrame, predictions: DataFrame, labels: DataFrame) -> DataFrame:
     """STR-05, whole: the stream's joined labels plus, from the stored tables, every label that it left out.
 
-    ``status`` is ``in_time`` for the stream's rows, ``outside_horizon`` for labels that came too late (or before the
+    ``status`` is ``in_time`` for the stream's matches, ``outside_horizon`` for labels that came too late (or before the
     prediction) for the stream's bounded state, and ``unmatched`` for labels without a prediction.
     """
+    joined = joined.where("latency_h IS NOT NULL")
     rest = labels.join(joined.select("transaction_id", "label").distinct(), ["transaction_id", "label"], "left_anti")
     rest = rest.join(predictions.select("transaction_id", "pred_ts"), "transaction_id", "left")
     late = hours_between(F.col("pred_ts"), F.col("label_ts"))
@@ -192,35 +175,35 @@ def reconciled_labels(joined: DataFrame, predictions: DataFrame, labels: DataFra
         F.when(F.col("pred_ts").isNull(), "unmatched").otherwise("outside_horizon").alias("status")))
 
 
-class FirstLabels:
-    """STR-06: each prediction id counted once, however late it is submitted again, as ``foreachBatch``.
+def first_submissions(labels: DataFrame) -> DataFrame:
+    """STR-06: each prediction id once, however often and late it is submitted again.
 
-    The counted ids are the output itself: a batch's new ids are those that no
-    earlier batch's folder has (an anti-join on the id). A replay overwrites its
-    own folder.
+    The ids seen are keyed state, dealt by hash: a batch looks up its own ids only, so its work does not
+    grow with the batches before it. A null id counts as one id.
     """
+    return labels.select("transaction_id").dropDuplicates(["transaction_id"])
 
-    def __init__(self, out_path: str):
-        self.out = out_path
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ids = batch.select("transaction_id").distinct()
-        before = [n for n in _children(spark, self.out) if n.startswith("b=") and int(n[2:]) < batch_id]
-        if before:
-            seen = spark.read.parquet(*[f"{self.out}/{n}" for n in sorted(before)])
-            ids = ids.join(seen, "transaction_id", "left_anti")
-        ids.write.mode("overwrite").parquet(f"{self.out}/b={batch_id}")
-
-
-def log_level_counts(events: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """STR-07: log text stream parsed and counted per level and tumbling window."""
-    p = parse_log_line(X.log_lines_of(events)).withColumn("et", F.col("log_ts").cast("timestamp"))
-    g = p.withWatermark("et", delay).groupBy(F.window("et", window).alias("w"), "level").agg(
+def log_level_counts(lines: DataFrame, window: str = "1 hour", delay: str = "10 minutes", by: Sequence[str] = ()) -> DataFrame:
+    """STR-07: a stream of log lines (``value``) parsed and counted per level, tumbling window and the labels ``by``."""
+    p = parse_log_line(lines).withColumn("et", F.col("log_ts").cast("timestamp"))
+    g = p.withWatermark("et", delay).groupBy(F.window("et", window).alias("w"), "level", *by).agg(
         F.count(F.lit(1)).alias("n"))
     return g.withColumn("window_start_us", F.unix_micros(F.col("w.start"))).drop("w")
 
 
+def tail_logs(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """SRC-08 / STR-07: log files followed as a text stream; new files below ``folder`` arrive as micro-batches.
+
+    ``<folder>/<job>/<file>``: the folder's name is the line's label ``job``, the file's name its label ``filename``.
+    """
+    r = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    at = F.split(F.col("_metadata.file_path"), "/")
+    return r.text(folder).select("value", F.element_at(at, -2).alias("job"), F.element_at(at, -1).alias("filename"))
+
+
 def label_submissions(labels: DataFrame) -> DataFrame:
     """Two submissions per labeled id (an early toxic flag, then the final answer) as a stream."""
     t = F.expr(f"timestampadd(HOUR, doc_id % 200, timestampadd(MINUTE, doc_id, TIMESTAMP_NTZ'{X.PRED_EPOCH}'))")

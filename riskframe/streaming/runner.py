@@ -8,6 +8,8 @@ executor loss replays only the failed tasks.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.session import scratch_path
@@ -23,29 +25,48 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(sf_dir)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def disk_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (on disk, changes only per batch); the session's own setting comes back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def run_available_now(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet",
-                      partition_by: list[str] | None = None) -> str:
-    """Process everything available, write it to a fresh sink folder, return that folder."""
+                      partition_by: list[str] | None = None, out: str | None = None, checkpoint: str | None = None) -> str:
+    """Process everything available, write it to a sink folder, return that folder.
+
+    Sink and checkpoint are fresh folders unless named; with the folders of an earlier run the query goes on where that ended.
+    """
     spark = df.sparkSession
-    out = scratch_path(spark, f"{name}-out")
+    out = out or scratch_path(spark, f"{name}-out")
     w = (df.writeStream.format(fmt).outputMode(mode)
-         .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt"))
          .option("path", out).trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finish(w)
     return out
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append") -> None:
+def run_foreach_batch(df: DataFrame, name: str, fn, mode: str = "append", checkpoint: str | None = None) -> None:
     """``foreachBatch`` with an availableNow trigger; ``fn(batch_df, batch_id)`` does the writes."""
-    spark = df.sparkSession
-    q = (df.writeStream.outputMode(mode).foreachBatch(fn)
-         .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _finish(df.writeStream.outputMode(mode).foreachBatch(fn)
+            .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, f"{name}-ckpt"))
+            .trigger(availableNow=True))
+
+
+def _finish(writer) -> None:
+    with disk_state(SparkSession.active()):
+        q = writer.start()
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
