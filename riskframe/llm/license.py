@@ -5,13 +5,15 @@ part of the text under test are anchors; the longest increasing run of them fixe
 anchors are aligned the same way; a gap without anchors gets its longest common subsequence, whatever its size. The
 coverage is the share of template words that found their place.
 
-Parts under test come from the template's own words: where enough of its less common words stand close together, a
-window of the text around them is cut into one part per copy, and each part is aligned. Texts without such words cost
-one pass over their words. The templates (a small parameter) go to every task; nothing is shuffled.
+A place of a license is a run of words, at most ``SPREAD`` template lengths long, that holds the coverage's share of the
+template in order. What has that share holds, of the template's less common words (each as often as the template has it), all
+but as many as the template may lose; texts with fewer cost one count of their words and are done, and in the others only the
+stretches around enough of them are cut into one part per copy and aligned. So no place is passed over, however its words are chosen.
+The templates (a parameter; the fixed ones are notices and, as package data, whole license texts) go to every task; nothing is shuffled.
 
 Cases: null and empty texts hold no license; a license that occurs several times is reported with every place; of
-licenses with the same coverage the first by name is the text's license; repeated rows are scanned one by one; an
-empty table gives an empty result; other columns are not carried.
+licenses with the same coverage the first by name is the text's license; repeated rows are scanned one by one; texts of
+any length are scanned whole; an empty table gives an empty result; other columns, whatever their names, are not carried.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import re
 import sys
 from bisect import bisect_left
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -32,19 +35,45 @@ from riskframe.llm.common import small_batches
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = re.compile(r"[^\W_]+")
-#: Least coverage of a reported license, and of less common words before a window is aligned.
-COVERAGE, PROMISE = 0.8, 0.6
+#: Least coverage of a reported license, and the longest place in template lengths.
+COVERAGE, SPREAD = 0.8, 3
 #: Larger gaps without an anchor (template words times text words) are aligned by bits, not by a table.
 SMALL_GAP = 4096
 
 # Notices and license texts as published.
-TEMPLATES = {
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
         compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
         required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
         BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
         governing permissions and limitations under the License.""",
+    "AGPL-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
+        and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS
+        SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+        LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+        (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
+        and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the
+        name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission. THIS
+        SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+        LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+        (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+        NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -54,7 +83,14 @@ TEMPLATES = {
         warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
         provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
-        THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+        THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.
+        IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER
+        RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+        OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "LGPL-3.0-header": """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
     "MIT": "Released under the MIT License.",
     "MIT-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
@@ -62,8 +98,20 @@ TEMPLATES = {
         Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
         shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF
         ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
-        AND NONINFRINGEMENT.""",
+        AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+        WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE.""",
+    "MPL-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+        not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }
+
+
+def whole_texts() -> dict[str, str]:
+    """The license texts that are package data, by file name (read on the driver)."""
+    return {f"{f.stem}-text": f.read_text() for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
+
+TEMPLATES = NOTICES | whole_texts()
 # English words too common to point at a license.
 COMMON = frozenset("a all an and any as at be but by do for in is it may no not of on or so that the this to under use with you".split())
 
@@ -178,54 +226,57 @@ class Scanner:
         self.coverage = coverage
         self.words = {k: WORD.findall(t.lower()) for k, t in sorted(templates.items())}
         self.masks = {k: (_masks(w), _masks(w[::-1])) for k, w in self.words.items()}
-        self.rare = {k: set(w) - COMMON for k, w in self.words.items()}
-        self.by_word: dict[str, list[str]] = {}
+        self.rare = {k: Counter(x for x in w if x not in COMMON) for k, w in self.words.items()}
+        #: less common words that a place has at least
+        self.need = {k: self.rare[k].total() - (len(w) - self.least(k)) for k, w in self.words.items()}
+        self.by_word: dict[str, list[tuple[str, int]]] = {}
         for k, ws in self.rare.items():
-            for w in ws:
-                self.by_word.setdefault(w, []).append(k)
-
-    def _windows(self, name: str, hits: list[tuple[int, str]]):
-        """Ranges of word positions where enough different rare words of the template stand close together."""
-        size, need = len(self.words[name]), max(1, int(PROMISE * len(self.rare[name])))
-        span, inside, first, last = size + size // 2 + 4, Counter(), 0, -size
-        for at, w in hits:
-            inside[w] += 1
-            while hits[first][0] <= at - span:
-                x = hits[first][1]
-                inside[x] -= 1
-                if not inside[x]:
-                    del inside[x]
+            for w, n in ws.items():
+                self.by_word.setdefault(w, []).append((k, n))
+
+    def least(self, name: str) -> int:
+        """Template words that a place holds at least."""
+        return max(1, math.ceil(self.coverage * len(self.words[name]) - 1e-9))
+
+    def _stretches(self, name: str, words: list[str]) -> list[list[int]]:
+        """Ranges of word positions that hold every place of a license: those around enough of its less common words."""
+        size, caps, need = (SPREAD + 1) * len(self.words[name]), self.rare[name], self.need[name]
+        if need <= 0:
+            return [[0, len(words)]]
+        hits, inside, first, total = [k for k, w in enumerate(words) if w in caps], Counter(), 0, 0
+        out: list[list[int]] = []
+        for at in hits:
+            inside[words[at]] += 1
+            total += inside[words[at]] <= caps[words[at]]
+            while hits[first] <= at - size:
+                w = words[hits[first]]
+                total -= inside[w] <= caps[w]
+                inside[w] -= 1
                 first += 1
-            if len(inside) >= need:
-                lo, hi = hits[first][0] - size // 2, at + size // 2 + 1
-                if lo < last:  # one window while they overlap
-                    yield None, hi
+            if total >= need:
+                lo, hi = max(0, at - size), min(len(words), at + size)
+                if out and lo <= out[-1][1]:
+                    out[-1][1] = hi
                 else:
-                    yield lo, hi
-                last = hi
+                    out.append([lo, hi])
+        return out
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(license, coverage, start, end) of every place, by license and start; offsets in code points."""
         low = text.lower()
         if len(low) != len(text):  # keep offsets: lower-case letter by letter where the whole changes its length
             low = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
-        spans, words = [], []
-        for m in WORD.finditer(low):
-            words.append(m[0])
-            spans.append(m.span())
-        hits: dict[str, list[tuple[int, str]]] = {}
-        for at, w in enumerate(words):
-            for name in self.by_word.get(w, ()):
-                hits.setdefault(name, []).append((at, w))
-        out = []
-        for name in sorted(hits):
-            windows: list[list[int]] = []
-            for lo, hi in self._windows(name, hits[name]):
-                if lo is None:
-                    windows[-1][1] = hi
-                else:
-                    windows.append([lo, hi])
-            out += [found for lo, hi in windows for found in self._places(name, words, spans, max(0, lo), min(len(words), hi))]
+        words = WORD.findall(low)
+        counts, held = Counter(words), Counter()
+        for w in counts.keys() & self.by_word.keys():
+            for name, cap in self.by_word[w]:
+                held[name] += min(cap, counts[w])
+        out, spans = [], None
+        for name in self.words:
+            if held[name] >= self.need[name]:
+                for lo, hi in self._stretches(name, words):
+                    spans = spans or [m.span() for m in WORD.finditer(low)]
+                    out += self._places(name, words, spans, lo, hi)
         return out
 
     def _tight(self, name: str, words, lo: int, hi: int, need: int) -> tuple[int, int] | None:
@@ -235,11 +286,11 @@ class Scanner:
         return n and (lo + n - _reach(back, size, words[lo:lo + n][::-1], need), lo + n)
 
     def _cores(self, name: str, words, lo: int, hi: int) -> list[tuple[int, int]]:
-        """Most disjoint ranges that reach the coverage, each within four template lengths: one per copy."""
+        """Most disjoint ranges that reach the coverage, all within SPREAD template lengths: one per copy."""
         size, out = len(self.words[name]), []
-        need = max(1, math.ceil(self.coverage * size - 1e-9))
+        need = self.least(name)
         while hi - lo >= need:
-            end = min(hi, lo + 4 * size)
+            end = min(hi, lo + (SPREAD + 1) * size)  # with steps of one length, all places of SPREAD lengths lie in one
             core = self._tight(name, words, lo, end, need)
             if core:
                 out.append(core)
@@ -255,7 +306,7 @@ class Scanner:
         template, out, cores = self.words[name], [], self._cores(name, words, lo, hi)
         size, (masks, _) = len(template), self.masks[name]
         for k, (s, e) in enumerate(cores):
-            a, b = max(lo, e - 4 * size), min(cores[k + 1][0] if k + 1 < len(cores) else hi, s + 4 * size)
+            a, b = max(lo, e - (SPREAD + 1) * size), min(cores[k + 1][0] if k + 1 < len(cores) else hi, s + (SPREAD + 1) * size)
             *_, row = _lcs_rows(masks, size, words[a:b])
             a, b = self._tight(name, words, a, b, size - row.bit_count())
             pairs = align(template, words[a:b])
