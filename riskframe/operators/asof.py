@@ -58,17 +58,19 @@ def asof_join_all(entities: DataFrame, tables: Sequence[AsofTable], key: str, en
     key, not with the rows, so small buckets are cheap.
     """
     width = int(bucket_seconds * 1_000_000)
+    # keys are wrapped in a struct, which is never null: else Catalyst would infer isnotnull(key) for one side of the last
+    # join and push it into that side's scans, and the exchange below could not be shared
     known = F.col(key).isNotNull() & F.col(entity_ts).isNotNull()
     t = epoch_micros(F.col(entity_ts))
     sides = [entities.select(
-        F.when(known, F.col(key)).alias("__k"),
+        F.struct(F.when(known, F.col(key)).alias("k")).alias("__k"),
         F.when(known, F.floor(t / width)).otherwise(F.pmod(F.xxhash64(*entities.columns), F.lit(SPREAD))).alias("__b"),
         t.alias("__t"), F.lit(1).alias("__s"), F.lit(None).cast("bigint").alias("__c"), F.lit(0).cast("bigint").alias("__h"),
         F.struct(*[F.col(c) for c in entities.columns]).alias("__e"))]
     for i, x in enumerate(tables):
         ft = epoch_micros(F.col(x.ts))
         sides.append(x.rows.where(F.col(key).isNotNull() & F.col(x.ts).isNotNull()).select(
-            F.col(key).alias("__k"), F.floor(ft / width).alias("__b"), ft.alias("__t"), F.lit(0).alias("__s"),
+            F.struct(F.col(key).alias("k")).alias("__k"), F.floor(ft / width).alias("__b"), ft.alias("__t"), F.lit(0).alias("__s"),
             epoch_micros(F.col(x.created or x.ts)).alias("__c"), F.xxhash64(*x.values).alias("__h"),
             F.struct(*[F.col(c).alias(c) for c in x.values], ft.alias("__t")).alias(f"__v{i}")))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides).repartition("__k", "__b")

@@ -97,20 +97,6 @@ def test_count_window_replay_and_missing_state(spark):
         J.CountWindows(scratch_path(spark, "lost-state"), out)(rows, 3)
 
 
-def test_online_table_keeps_committed_versions(spark):
-    path = scratch_path(spark, "online-crash")
-    df = spark.createDataFrame([(k, f"2024-01-0{1 + k % 5}", 1.0 * k) for k in range(40)], "user_id long, ts string, v double").withColumn("created", F.col("ts"))
-    ot = J.OnlineTable(path, "user_id", "ts", "created", ["v"], buckets=4)
-    ot(df, 0)
-    whole = sorted(map(tuple, J.current_version(spark, path).collect()))
-    # a batch that died before its commit: bucket folders without a manifest
-    df.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{path}/table_version=1")
-    assert sorted(map(tuple, J.current_version(spark, path).collect())) == whole
-    ot(df.where("user_id < 3").withColumn("ts", F.lit("2024-02-01")).withColumn("v", F.lit(-1.0)), 1)
-    got = {r["user_id"]: r["v"] for r in J.current_version(spark, path).collect()}
-    assert len(got) == 40 and [got[k] for k in range(4)] == [-1.0, -1.0, -1.0, 3.0]
-
-
 def test_late_and_unmatched_labels_are_kept(spark):
     ts = "timestamp_ntz"
     pred = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00")], "transaction_id long, pred_ts string").withColumn("pred_ts", F.col("pred_ts").cast(ts))
@@ -121,17 +107,6 @@ def test_late_and_unmatched_labels_are_kept(spark):
     assert got == {1: ("in_time", 2.0), 2: ("outside_horizon", 1440.0), 9: ("unmatched", None)}
 
 
-def test_first_label_counted_once_after_days(spark):
-    out = scratch_path(spark, "first")
-    f = J.FirstLabels(out)
-    ids = lambda *x: spark.createDataFrame([(k,) for k in x], "transaction_id long")
-    f(ids(1, 2, 2), 0)
-    f(ids(2, 3), 1)
-    f(ids(1, 3, 4), 72)
-    f(ids(2, 3), 1)
-    assert sorted(r["transaction_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
-
-
 def _requests(spark, rows):
     return spark.createDataFrame(rows, "minute int, status int, probability double, duration_s double").withColumn(
         "ts", F.expr("timestampadd(MINUTE, minute, TIMESTAMP_NTZ'2024-01-01 00:00:00')"))
