@@ -121,6 +121,26 @@ def bucket_quantile(hist: DataFrame, q: float, groups: Sequence[str] = (), name:
     return first.select(*groups, F.when(F.col("b.upper").isNull(), F.col("b.lower")).otherwise(inside).alias(name))
 
 
+def bucket_counts(value: Column, bounds: Sequence[float]) -> list[Column]:
+    """The aggregates behind ``quantile_of_counts``: rows up to each bound, then all rows with a value."""
+    return [F.count_if(value <= F.lit(float(b))) for b in bounds] + [F.count(value)]
+
+
+def quantile_of_counts(counts: Sequence[str], bounds: Sequence[float], q: float) -> Column:
+    """OBS-02 on one row: ``counts`` are columns of cumulative bucket counts, the total last; null without rows.
+
+    The same rule as ``bucket_quantile``, as an expression: any number of quantiles costs no further pass.
+    """
+    n = F.col(counts[-1])
+    rank = n * F.lit(q)
+    out = F.lit(float(bounds[-1]))
+    for i in reversed(range(len(bounds))):
+        below, lower = (F.col(counts[i - 1]), float(bounds[i - 1])) if i else (F.lit(0), 0.0)
+        inside = F.lit(lower) + F.lit(float(bounds[i]) - lower) * F.try_divide(rank - below, F.col(counts[i]) - below)
+        out = F.when(F.col(counts[i]) >= rank, inside).otherwise(out)
+    return F.when(n > 0, out)
+
+
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], groups: Sequence[str] = (),
               names: Sequence[str] | None = None, few_groups: bool = False) -> DataFrame:
     """Exact interpolated quantiles (``quantile_cont`` semantics) without a per-group value buffer.

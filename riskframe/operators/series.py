@@ -40,20 +40,69 @@ def window_rate(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int, g
     return g.withColumn("rate", F.col("n") / F.lit(float(size_seconds)))
 
 
+def counter_deltas(samples: DataFrame, series: Sequence[str], ts: str, value: str, bucket: int) -> DataFrame:
+    """Add ``__b`` (time bucket of ``bucket`` units) and ``__d``: what a counter grew by since the sample before.
+
+    After a reset (value went down) the growth is the value itself; a series' first sample has none. A series is cut into
+    time buckets, each a partition of its own; the value before a bucket is the last of the buckets before, from one row
+    per series and bucket. So a series with very many samples is many tasks.
+    """
+    rows = samples.withColumn("__b", F.floor(F.col(ts) / F.lit(bucket)).cast("bigint"))
+    w = Window.partitionBy(*series, "__b").orderBy(ts, value)
+    last = rows.groupBy(*series, "__b").agg(F.max_by(value, F.struct(ts, value)).alias("__v"))
+    before = Window.partitionBy(*series).orderBy("__b")
+    carried = last.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(series)], F.col("__b").alias("__sb"), F.lag("__v").over(before).alias("__before"))
+    own = rows.withColumn("__prev", F.lag(value).over(w))
+    same = [F.col(c).eqNullSafe(F.col(f"__s{i}")) for i, c in enumerate(series)] + [F.col("__b") == F.col("__sb")]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    prev = F.coalesce("__prev", "__before")
+    return own.join(carried, on, "left").select(*samples.columns, "__b", F.when(prev.isNull(), F.lit(0)).when(F.col(value) < prev, F.col(value))
+                                                .otherwise(F.col(value) - prev).alias("__d"))
+
+
+def _with_range_before(deltas: DataFrame) -> DataFrame:
+    """Every row in its own bucket, and once more (``__own`` false) in the next, whose ranges reach back to it."""
+    return deltas.withColumn("__x", F.explode(F.array(F.struct(F.col("__b").alias("at"), F.lit(True).alias("own")),
+                                                      F.struct((F.col("__b") + 1).alias("at"), F.lit(False).alias("own"))))) \
+                 .withColumn("__at", F.col("__x.at")).withColumn("__own", F.col("__x.own")).drop("__x")
+
+
 def counter_increase(samples: DataFrame, series: Sequence[str], ts_us: str, value: str,
-                     range_us: int) -> DataFrame:
+                     range_us: int, bucket_us: int | None = None) -> DataFrame:
     """WIN-03 on counter samples: increase over a trailing range, resets handled.
 
-    Each sample's delta is ``value - previous`` or, after a reset (value went
-    down), the value itself; the increase is the sum of deltas in
-    ``(t - range, t]`` (a RANGE frame, one partition per series).
+    The increase is the sum of the growths (``counter_deltas``) in ``(t - range, t]``. The window works in time buckets of
+    at least the range, together with the bucket before, so no task holds a whole series.
+    """
+    bucket = max(range_us, bucket_us or 64 * range_us)
+    d = _with_range_before(counter_deltas(samples, series, ts_us, value, bucket))
+    wr = Window.partitionBy(*series, "__at").orderBy(ts_us).rangeBetween(-(range_us - 1), 0)
+    return d.withColumn("increase", F.sum("__d").over(wr)).where("__own").select(*samples.columns, "increase")
+
+
+def counter_rate(samples: DataFrame, series: Sequence[str], ts_us: str, value: str, range_us: int, units_per_second: float = 1e6,
+                 bucket_us: int | None = None) -> DataFrame:
+    """WIN-03 as a monitoring query means ``rate(counter[range])``: growth per second at every sample, its edges handled.
+
+    The growth between the first and the last sample of ``(t - range, t]`` is carried on to the ends of the range: on
+    either side by the gap to it, or by half the samples' mean spacing if the gap is more than 1.1 of it, and
+    backwards never beyond where the counter would have been 0. Fewer than two samples give null.
     """
-    w = Window.partitionBy(*series).orderBy(ts_us)
-    prev = F.lag(value).over(w)
-    d = samples.withColumn("__d", F.when(prev.isNull(), F.lit(0))
-                           .when(F.col(value) < prev, F.col(value)).otherwise(F.col(value) - prev))
-    wr = Window.partitionBy(*series).orderBy(ts_us).rangeBetween(-(range_us - 1), 0)
-    return d.withColumn("increase", F.sum("__d").over(wr)).drop("__d")
+    bucket = max(range_us, bucket_us or 64 * range_us)
+    d = _with_range_before(counter_deltas(samples, series, ts_us, value, bucket))
+    wr = Window.partitionBy(*series, "__at").orderBy(ts_us).rangeBetween(-(range_us - 1), 0)
+    d = d.select("*", F.count(F.lit(1)).over(wr).alias("__n"), F.min(ts_us).over(wr).alias("__t0"), F.first("__d").over(wr).alias("__d0"),
+                 F.first(value).over(wr).alias("__v0"), F.sum("__d").over(wr).alias("__sum")).where("__own")
+    span = (F.col(ts_us) - F.col("__t0")).cast("double")
+    grown = (F.col("__sum") - F.col("__d0")).cast("double")
+    spacing = span / (F.col("__n") - 1)
+    gap = (F.col("__t0") - (F.col(ts_us) - F.lit(range_us))).cast("double")
+    to_zero = F.when((grown > 0) & (F.col("__v0") >= 0), span * F.col("__v0") / grown)
+    start = F.least(F.when(gap < spacing * 1.1, gap).otherwise(spacing / 2), to_zero)
+    rate = grown * (span + start) / span / F.lit(range_us / units_per_second)
+    return d.select(*samples.columns, F.when((F.col("__n") > 1) & (span > 0), rate).alias("rate"))
 
 
 def islands(df: DataFrame, groups: Sequence[str], step_col: str, cond: Column, min_steps: int = 1) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskframe.functions import logs as L
@@ -9,10 +10,12 @@ from riskframe.functions import scalar as S
 from riskframe.functions.time import epoch_micros
 from riskframe.operators import metrics as M
 from riskframe.operators import series as SE
+from riskframe.operators import sketches as SKT
 from riskframe.operators import traces as TR
 from riskframe.plans import observability as OB
 from riskframe.plans.catalog_monitoring import _CM_SQL, _RATES_SQL, _hist_sql
 from riskframe.plans.registry import register
+from riskframe.session import scratch_path
 from riskframe.sources import fixtures as X
 
 W = X.with_ctes
@@ -36,6 +39,8 @@ PARSED_SQL = W("logs") + f"""
 """
 SPANS = W("spans")
 REQ = W("req")
+CALLS_SQL = (PARSED_SQL.replace("WITH logs AS (" + X.SQL["logs"] + ")", "WITH logs AS (" + X.SQL["calls"] + ")", 1).replace(
+    f"{_x(2, L.DURATION_PATTERN)} AS unit", f"{_x(2, L.DURATION_PATTERN)} AS unit, {_x(1, L.CLIENT_PATTERN)} AS client, {_x(1, L.PROBABILITY_PATTERN)} AS prob"))
 
 
 def _logs(spark, d):
@@ -168,6 +173,15 @@ def top_03_common_errors(spark, d):
     return g.orderBy(F.col("n").desc(), "error").limit(10)
 
 
+@register("fun_15_call_fields", CALLS_SQL + """
+SELECT line_no, trace_id, kind, method, path, client, status, round(duration_s, 6) AS duration_s,
+       CASE WHEN prob LIKE '%\\%' ESCAPE '\\' THEN TRY_CAST(rtrim(prob, '%') AS DOUBLE) / 100 ELSE TRY_CAST(prob AS DOUBLE) END AS probability FROM pl""")
+def fun_15_call_fields(spark, d):
+    """All fields of request, response and prediction lines, client and probability (in percent) included."""
+    p = OB.parsed_logs(spark, d, X.call_lines(spark, d))
+    return p.select("line_no", "trace_id", "kind", "method", "path", "client", "status", F.round("duration_s", 6).alias("duration_s"), "probability")
+
+
 # ---------------------------------------------------------------- JON-05 .. JON-08
 @register("jon_05_logs_spans", PARSED_SQL.replace("WITH ", "WITH spans AS (" + X.SQL["spans"] + "),\n", 1) + """
 SELECT pl.line_no, s.span_id FROM pl JOIN spans s ON CAST(pl.trace_id AS BIGINT) = s.trace_id
@@ -222,6 +236,20 @@ def jon_07_request_response(spark, d):
         (F.max("log_us") - F.min("log_us")).alias("span_us"))
 
 
+@register("jon_07_paired_calls", CALLS_SQL + """
+, r AS (SELECT *, row_number() OVER (PARTITION BY trace_id, method, path, kind ORDER BY log_us, line_no) AS k FROM pl WHERE kind IS NOT NULL)
+, q AS (SELECT * FROM r WHERE kind = 'Request'), p AS (SELECT * FROM r WHERE kind = 'Response')
+SELECT coalesce(q.trace_id, p.trace_id) AS trace_id, coalesce(q.method, p.method) AS method, coalesce(q.path, p.path) AS path, coalesce(q.k, p.k) AS k,
+       q.line_no AS request_line_no, p.line_no AS response_line_no, p.status, round((p.log_us - q.log_us) / 1e6, 6) AS seconds,
+       CASE WHEN q.k IS NULL THEN 'lost' WHEN p.k IS NULL THEN 'open' ELSE 'paired' END AS status_pair
+FROM q FULL JOIN p ON q.trace_id = p.trace_id AND q.method = p.method AND q.path = p.path AND q.k = p.k""")
+def jon_07_paired_calls(spark, d):
+    """Requests paired with their responses inside a trace, open and lost ones kept, and the seconds between."""
+    pairs = L.pair_requests(OB.parsed_logs(spark, d, X.call_lines(spark, d)))
+    return pairs.select("trace_id", "method", "path", "k", "request_line_no", "response_line_no", "status",
+                        F.round((F.col("response_log_us") - F.col("request_log_us")) / 1e6, 6).alias("seconds"), "status_pair")
+
+
 @register("jon_08_parent_child", SPANS + """
 SELECT c.trace_id, c.parent_span_id, c.span_id AS child_span_id, c.service AS child_service, p.service AS parent_service
 FROM spans c JOIN spans p ON c.trace_id = p.trace_id AND c.parent_span_id = p.span_id""")
@@ -281,6 +309,32 @@ def agg_21_transaction_perf(spark, d):
         F.round((F.sum(sat) + F.sum(tol) / 2.0) / F.count(F.lit(1)), 6).alias("apdex")), "endpoint")
 
 
+SKETCH_FIRST, SKETCH_LAST = 473424, 473760   # hours: two weeks of January 2024
+
+
+@register("agg_21_sketched_range", REQ + f"""
+SELECT endpoint, count(*) AS n, true AS p50_in_bound, true AS p95_in_bound, true AS p99_in_bound, true AS users_in_bound
+FROM req WHERE epoch_us(ts) // 3600000000 BETWEEN {SKETCH_FIRST} AND {SKETCH_LAST} GROUP BY endpoint""")
+def agg_21_sketched_range(spark, d):
+    """Quantiles and distinct users per endpoint over a range of hours from stored sketches, held against the rows' own ranks and counts."""
+    r = X.requests(spark, d)
+    path = scratch_path(spark, "sketches")
+    SKT.build(r, "ts", 3600, ["endpoint"], ["duration_s"], ["user_id"]).write.parquet(path)
+    qs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    est = SKT.read(SKT.merge(spark.read.parquet(path), ["endpoint"], SKETCH_FIRST, SKETCH_LAST), ["endpoint"], {"duration_s": qs.values()})
+    hour = F.floor(epoch_micros(F.col("ts")) / 3_600_000_000)
+    rows = r.where((hour >= SKETCH_FIRST) & (hour <= SKETCH_LAST)).select("endpoint", "duration_s", "user_id").join(est, "endpoint")
+    # the share of rows below and up to an estimate has to hold its quantile, give or take the bound
+    ranks = rows.groupBy("endpoint", "n", "user_id_distinct").agg(
+        F.count_distinct("user_id").alias("users"),
+        *[c.alias(f"{name}_{side}") for name in qs for side, c in (
+            ("below", F.count_if(F.col("duration_s") < F.col(f"duration_s_{name}")) / F.count("duration_s")),
+            ("upto", F.count_if(F.col("duration_s") <= F.col(f"duration_s_{name}")) / F.count("duration_s")))])
+    return ranks.select("endpoint", "n", *[((F.col(f"{name}_below") <= q + SKT.QUANTILE_ERROR) & (F.col(f"{name}_upto") >= q - SKT.QUANTILE_ERROR))
+                                           .alias(f"{name}_in_bound") for name, q in qs.items()],
+                        (F.abs(F.col("user_id_distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * SKT.DISTINCT_ERROR)).alias("users_in_bound"))
+
+
 _RELEASE_CUT = "2024-01-15 00:00:00"
 
 
@@ -358,13 +412,28 @@ FROM d"""
 @register("win_03_counter_increase", _COUNTER_SQL)
 def win_03_counter_increase(spark, d):
     """Counter samples (per-service request counter restarting daily) -> 5-minute increase with resets."""
-    r = X.requests(spark, d)
-    pm = r.groupBy("service", F.floor(epoch_micros(F.col("ts")) / 60_000_000).cast("bigint").alias("minute")) \
+    return SE.counter_increase(_counter_samples(spark, d), ["service"], "minute", "counter", 5)
+
+
+def _counter_samples(spark, d):
+    """Per service and minute, the requests of the day so far."""
+    pm = X.requests(spark, d).groupBy("service", F.floor(epoch_micros(F.col("ts")) / 60_000_000).cast("bigint").alias("minute")) \
           .agg(F.count(F.lit(1)).alias("k"))
-    from pyspark.sql import Window
     w = Window.partitionBy("service", F.floor(F.col("minute") / 1440)).orderBy("minute")
-    samples = pm.select("service", "minute", F.sum("k").over(w).alias("counter"))
-    return SE.counter_increase(samples, ["service"], "minute", "counter", 5)
+    return pm.select("service", "minute", F.sum("k").over(w).alias("counter"))
+
+
+@register("win_03_counter_rate", _COUNTER_SQL[:_COUNTER_SQL.index("SELECT service, minute, counter, CAST(sum(delta)")] + """
+, r AS (SELECT service, minute, counter, count(*) OVER w AS n, min(minute) OVER w AS t0, first(delta) OVER w AS d0, first(counter) OVER w AS v0,
+               sum(delta) OVER w AS total FROM d WINDOW w AS (PARTITION BY service ORDER BY minute RANGE BETWEEN 4 PRECEDING AND CURRENT ROW))
+, e AS (SELECT *, CAST(minute - t0 AS DOUBLE) AS span, CAST(total - d0 AS DOUBLE) AS grown, CAST(t0 - (minute - 5) AS DOUBLE) AS gap FROM r)
+SELECT service, minute, counter, CASE WHEN n > 1 THEN round(grown * (span + least(
+         CASE WHEN gap < span / (n - 1) * 1.1 THEN gap ELSE span / (n - 1) / 2 END, CASE WHEN grown > 0 THEN span * v0 / grown END)) / span / 300.0, 9) END AS rate
+FROM e""")
+def win_03_counter_rate(spark, d):
+    """Counter samples -> growth per second over 5 minutes, resets and the ends of the range handled."""
+    r = SE.counter_rate(_counter_samples(spark, d), ["service"], "minute", "counter", 5, units_per_second=1 / 60)
+    return r.withColumn("rate", F.round("rate", 9))
 
 
 OBS02_SQL = REQ + f"""
@@ -386,16 +455,12 @@ SELECT window_start_us, round(max(v) FILTER (WHERE qq = 0.5), 6) AS p50, round(m
 @register("obs_02_bucket_quantiles", OBS02_SQL)
 def obs_02_bucket_quantiles(spark, d):
     """P50 / P95 / P99 of request duration per 5-minute window, estimated from the fixed buckets."""
-    r = X.requests(spark, d).withColumn(
-        "window_start_us", F.floor(epoch_micros(F.col("ts")) / 300_000_000).cast("bigint") * 300_000_000)
-    h = M.histogram(r, "duration_s", M.PREDICTION_SECONDS, ["window_start_us"])
-    out = None
-    for q in (0.5, 0.95, 0.99):
-        part = M.bucket_quantile(h, q, ["window_start_us"])
-        name = part.columns[-1]
-        part = part.withColumn(name, F.round(name, 6)).withColumnRenamed(name, f"p{int(round(q * 100))}")
-        out = part if out is None else out.join(part, "window_start_us", "full")
-    return out
+    start = F.floor(epoch_micros(F.col("ts")) / 300_000_000).cast("bigint") * 300_000_000
+    bounds = M.PREDICTION_SECONDS
+    names = [f"b{i}" for i in range(len(bounds) + 1)]
+    g = X.requests(spark, d).groupBy(start.alias("window_start_us")).agg(*[c.alias(n) for n, c in zip(names, M.bucket_counts(F.col("duration_s"), bounds))])
+    qs = {f"p{int(round(q * 100))}": F.round(M.quantile_of_counts(names, bounds, q), 6) for q in (0.5, 0.95, 0.99)}
+    return g.where(F.col(names[-1]) > 0).select("window_start_us", *[c.alias(n) for n, c in qs.items()])
 
 
 @register("obs_03_ratios", REQ + """

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +41,58 @@ def source_rows(view: FeatureView, start=None, end=None) -> DataFrame:
     return df
 
 
+@dataclass(frozen=True)
+class OnDemandView:
+    """U1: features computed at request time from views and request columns, by a user's function of a declared schema.
+
+    ``fn`` takes the inputs by their own names (a view's features without the view's prefix, then the request columns). In
+    the expression form it maps a dict of columns to a dict of columns; in the vectorised form (``vectorised``) a pandas
+    frame to a pandas frame, batch by batch. Either way the outputs have to be exactly the names of ``schema``: a wrong name, a missing
+    input or an expression of another type is an error when the view is applied, a wrong value type when it runs.
+    """
+    name: str
+    sources: Sequence[FeatureView]
+    request: Mapping[str, str]
+    schema: Mapping[str, str]
+    fn: Callable
+    vectorised: bool = False
+
+    def inputs(self, df: DataFrame) -> dict[str, Column]:
+        held = {f: f"{v.name}__{f}" for v in self.sources for f in v.features} | {c: c for c in self.request}
+        missing = sorted(c for c in held.values() if c not in df.columns)
+        if missing:
+            raise KeyError(f"on-demand view {self.name} lacks inputs {missing}")
+        return {n: F.col(c).cast(self.request[n]) if n in self.request else F.col(c) for n, c in held.items()}
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """``df`` plus one column ``<view>__<feature>`` for every declared output."""
+        inputs, want = self.inputs(df), ", ".join(f"{c} {t}" for c, t in self.schema.items())
+        if self.vectorised:
+            fn, names, label = self.fn, list(self.schema), self.name
+
+            def run(frame):
+                out = fn(frame)
+                if sorted(out.columns) != sorted(names):
+                    raise ValueError(f"on-demand view {label} gave {sorted(out.columns)}, declared {sorted(names)}")
+                return out[names]
+
+            run.__annotations__ = {"frame": pd.DataFrame, "return": pd.DataFrame}
+            made = F.pandas_udf(run, want)(F.struct(*[c.alias(n) for n, c in inputs.items()]))
+            out = df.withColumn("__od", made)
+            return out.select(*df.columns, *[F.col(f"__od.{c}").alias(f"{self.name}__{c}") for c in self.schema])
+        got = self.fn(inputs)
+        if sorted(got) != sorted(self.schema):
+            raise ValueError(f"on-demand view {self.name} gave {sorted(got)}, declared {sorted(self.schema)}")
+        out = df.select(*df.columns, *[got[c].alias(f"{self.name}__{c}") for c in self.schema])
+        for c, t in self.schema.items():
+            kind = out.schema[f"{self.name}__{c}"].dataType.simpleString()
+            if kind != df.sparkSession.createDataFrame([], f"x {t}").schema[0].dataType.simpleString():
+                raise TypeError(f"on-demand feature {self.name}:{c} is {kind}, declared {t}")
+        return out
+
+
 def historical_features(entities: DataFrame, views: Sequence[FeatureView], entity_ts: str = "event_timestamp",
-                        on_demand: Mapping[str, Callable[[], Column]] | None = None,
+                        on_demand: Mapping[str, Callable[[], Column]] | Sequence[OnDemandView] | None = None,
                         bucket_seconds: float = 3600.0) -> DataFrame:
     """FST-01: point-in-time join of every view (as-of, backward, TTL), then on-demand columns.
 
@@ -53,6 +104,10 @@ def historical_features(entities: DataFrame, views: Sequence[FeatureView], entit
         out = asof_join_all(out, [AsofTable(v.source, v.event_ts, v.features, v.created_ts, v.ttl_seconds, f"{v.name}__")
                                   for v in views if v.key == key], key, entity_ts, bucket_seconds)
     out = out.select(*entities.columns, *[f"{v.name}__{f}" for v in views for f in v.features])
+    if on_demand and not isinstance(on_demand, Mapping):
+        for view in on_demand:
+            out = view.apply(out)
+        return out
     for name, fn in (on_demand or {}).items():
         out = out.withColumn(name, fn())
     return out
@@ -95,6 +150,31 @@ def materialize_incremental(view: FeatureView, previous: DataFrame | None, last_
     return merge_online(previous, fresh, view.key, view.event_ts, view.created_ts)
 
 
+def last_end(spark, path: str, view: str):
+    """FST-03: the stored end of a view's last materialization (None before the first)."""
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hp):
+        return None
+    return spark.read.parquet(path).where(F.col("view") == view).agg(F.max("end")).first()[0]
+
+
+def run_incremental(spark, view: FeatureView, state: str, online: str, end) -> DataFrame:
+    """FST-03: materialize up to ``end`` from the stored end of the last run, then store the new end and table.
+
+    The table of a run goes to a folder of its own, named by its end; its row in the state table is written last, so a run
+    that dies before that leaves the last state and is simply run again.
+    """
+    at = last_end(spark, state, view.name)
+    folder = lambda x: f"{online}/{view.name}-{str(x).replace(':', '').replace(' ', 'T')}"
+    end_ts = spark.range(1).select(F.lit(end).cast("timestamp_ntz")).first()[0]
+    if at is not None and end_ts <= at:
+        return spark.read.parquet(folder(at))
+    rows = materialize_incremental(view, spark.read.parquet(folder(at)) if at is not None else None, at, end_ts)
+    rows.write.mode("overwrite").parquet(folder(end_ts))
+    spark.range(1).select(F.lit(view.name).alias("view"), F.lit(end_ts).cast("timestamp_ntz").alias("end")).write.mode("append").parquet(state)
+    return spark.read.parquet(folder(end_ts))
+
+
 def online_lookup(entities: DataFrame, online: DataFrame, view: FeatureView, now: Column) -> DataFrame:
     """FST-04: LEFT join entity rows to the online table; missing or expired (older than TTL) = null."""
     o = online.select(F.col(view.key).alias("__k"), *[F.col(c).alias(f"{view.name}__{c}") for c in view.features],

@@ -147,6 +147,30 @@ def log_lines_of(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("event_id").alias("line_no"), line.alias("value"))
 
 
+def call_lines(spark: SparkSession, d: str) -> DataFrame:
+    """M5 as the service writes a call: a request line, a response line a duration later (missing for every 11th event), and a prediction line for purchases.
+
+    Of every 13th event the request line is missing. Line numbers are three to an event.
+    """
+    ev = load(spark, d, "events")
+    late = F.expr("timestampadd(MICROSECOND, cast(floor(value * 1000) as bigint), ts)")
+
+    def at(t):
+        return F.concat(F.date_format(t, "yyyy-MM-dd HH:mm:ss"), F.lit(","), F.lpad((F.floor(epoch_micros(t) / 1000) % 1000).cast("string"), 3, "0"))
+
+    call = F.concat(_method(), F.lit(" /"), F.col("event_type"))
+    trace = F.concat(F.lit(" [trace_id="), F.floor(F.col("event_id") / 5).cast("string"), F.lit("]"))
+    head = lambda t, fn: F.concat(at(t), F.lit(" - "), _service(), F.lit(f" - INFO - {fn} - "))
+    asked = F.concat(head(F.col("ts"), "log_requests:94"), F.lit("Request: "), call, F.lit(" from 10.0.0."), (F.col("user_id") % 250).cast("string"), trace)
+    answered = F.concat(head(late, "log_requests:101"), F.lit("Response: "), call, F.lit(" - Status: "), _status().cast("string"),
+                        F.lit(" - Duration: "), F.col("value").cast("string"), F.lit("ms"), trace)
+    share = F.floor(F.least(F.col("value") / 200.0, F.lit(1.0)) * 100)
+    scored = F.concat(head(late, "predict:424"), F.lit("Prediction completed in 0.1s - Fraud: True, Probability: "), share.cast("string"), F.lit(".00%"))
+    line = lambda k, text, keep: F.when(keep, F.struct((F.col("event_id") * 3 + k).alias("line_no"), text.alias("value")))
+    lines = F.array(line(0, asked, F.col("event_id") % 13 > 0), line(1, answered, F.col("event_id") % 11 > 0), line(2, scored, F.col("event_type") == "purchase"))
+    return ev.select(F.inline(F.filter(lines, lambda x: x.isNotNull())))
+
+
 def spans(spark: SparkSession, d: str) -> DataFrame:
     """M6: spans; five events per trace, span k's parent is span (k-1)//2, root has none."""
     ev = load(spark, d, "events")
@@ -248,6 +272,19 @@ SELECT event_id AS line_no,
        || CAST(CASE WHEN event_type = 'error' THEN 500 WHEN event_type = 'signup' AND event_id % 7 = 0 THEN 404 ELSE 200 END AS VARCHAR)
        || ' - Duration: ' || CAST(value AS VARCHAR) || 'ms [trace_id=' || CAST(event_id // 5 AS VARCHAR) || ']' AS value
 FROM events""",
+    "calls": f"""
+SELECT event_id * 3 + k AS line_no,
+       strftime(t, '%Y-%m-%d %H:%M:%S') || ',' || lpad(CAST((epoch_us(t) // 1000) % 1000 AS VARCHAR), 3, '0')
+       || ' - ' || CASE WHEN user_id % 2 = 0 THEN '{SERVICES[0]}' ELSE '{SERVICES[1]}' END || ' - INFO - '
+       || CASE k WHEN 0 THEN 'log_requests:94 - Request: ' || call || ' from 10.0.0.' || CAST(user_id % 250 AS VARCHAR) || trace
+                 WHEN 1 THEN 'log_requests:101 - Response: ' || call || ' - Status: ' || CAST(status AS VARCHAR) || ' - Duration: ' || CAST(value AS VARCHAR) || 'ms' || trace
+                 ELSE 'predict:424 - Prediction completed in 0.1s - Fraud: True, Probability: ' || CAST(CAST(floor(least(value / 200.0, 1.0) * 100) AS BIGINT) AS VARCHAR) || '.00%' END AS value
+FROM (SELECT *, CASE WHEN k = 0 THEN ts ELSE ts + to_microseconds(CAST(floor(value * 1000) AS BIGINT)) END AS t,
+             CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END || ' /' || event_type AS call,
+             ' [trace_id=' || CAST(event_id // 5 AS VARCHAR) || ']' AS trace,
+             CASE WHEN event_type = 'error' THEN 500 WHEN event_type = 'signup' AND event_id % 7 = 0 THEN 404 ELSE 200 END AS status
+      FROM events, range(3) r(k))
+WHERE CASE k WHEN 0 THEN event_id % 13 > 0 WHEN 1 THEN event_id % 11 > 0 ELSE event_type = 'purchase' END""",
     "spans": f"""
 SELECT event_id // 5 AS trace_id,
        event_id AS span_id,

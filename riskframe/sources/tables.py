@@ -33,7 +33,7 @@ def clean_nan(df: DataFrame) -> DataFrame:
 
 def read_collection(spark: SparkSession, path: str, required: list[str] | None = None,
                     limit: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """SRC-02: a stored collection; ``_id`` dropped, required columns asserted.
+    """SRC-02: a stored collection; ``_id`` dropped, required columns asserted; an empty one raises (at most one row is read for that).
 
     ``limit`` is an explicit operator (the reference limited every read to
     1,000 rows; here no limit is applied unless asked for).
@@ -44,6 +44,7 @@ def read_collection(spark: SparkSession, path: str, required: list[str] | None =
     missing = [c for c in (required or []) if c not in df.columns]
     if missing:
         raise KeyError(f"collection {path} lacks required columns {missing}")
+    assert_not_empty(df, f"collection {path}")
     if limit is not None:
         df = df.limit(limit)
     return clean_nan(df)
