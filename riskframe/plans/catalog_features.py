@@ -36,7 +36,7 @@ def _combos(src: str) -> str:
 # ---------------------------------------------------------------- JON-01
 @register("jon_01_identity_join", W("tx") + "SELECT * FROM tx")
 def jon_01_identity_join(spark, d):
-    """Transactions LEFT JOIN identity (orders LEFT JOIN customer); skipped when identity is empty."""
+    """Transactions LEFT JOIN identity (orders LEFT JOIN customer)."""
     return X.transactions(spark, d)
 
 

@@ -61,29 +61,42 @@ def snk_08_reference_overwrite(spark, d):
     return SK.read_reference_sample(spark, path)
 
 
-_PRED_SQL = W("pred") + "SELECT transaction_id, prediction, probability, epoch_us(pred_ts) AS pred_us FROM pred"
+# a record of the prediction log: prediction, time, the features it was made from, and label fields that stay null until a label comes
+_PRED_SQL = W("pred") + """
+SELECT p.transaction_id, p.prediction, p.probability, epoch_us(p.pred_ts) AS pred_us, CAST(d.n_chars AS DOUBLE) AS n_chars,
+       CAST(length(d.lang) AS DOUBLE) AS lang_length, CAST(2 AS BIGINT) AS n_features, CAST(NULL AS INTEGER) AS ground_truth, CAST(NULL AS BIGINT) AS label_us
+FROM pred p JOIN documents d ON d.doc_id = p.transaction_id"""
+
+
+def _records(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "n_chars", "lang")
+    features = docs.select(F.col("doc_id").alias("transaction_id"), F.create_map(
+        F.lit("n_chars"), F.col("n_chars").cast("double"), F.lit("lang_length"), F.length("lang").cast("double")).alias("features"))
+    return SK.prediction_records(X.predictions_only(spark, d).join(features, "transaction_id"))
+
+
+def _record_columns(back):
+    return back.select("transaction_id", "prediction", "probability", epoch_micros(F.col("pred_ts")).alias("pred_us"),
+                       F.col("features")["n_chars"].alias("n_chars"), F.col("features")["lang_length"].alias("lang_length"),
+                       F.size("features").cast("bigint").alias("n_features"), "ground_truth", epoch_micros(F.col("label_ts")).alias("label_us"))
 
 
 @register("src_05_json_log", _PRED_SQL)
 def src_05_json_log(spark, d):
-    """Prediction log as JSON lines, read back with a declared schema."""
-    p = X.predictions_only(spark, d)
+    """Prediction log as JSON lines, features map and label fields included, read back with the declared schema."""
     path = scratch_path(spark, "predlog-json")
-    p.write.json(path)
-    back = spark.read.schema(p.schema).json(path)
-    return back.select("transaction_id", "prediction", "probability", epoch_micros(F.col("pred_ts")).alias("pred_us"))
+    _records(spark, d).write.option("ignoreNullFields", "false").json(path)
+    return _record_columns(SK.read_prediction_log(spark, path))
 
 
 @register("snk_03_append_predictions", _PRED_SQL)
 def snk_03_append_predictions(spark, d):
-    """Predictions appended in two batches (label fields null), read back whole."""
-    p = X.predictions_only(spark, d).withColumn("ground_truth", F.lit(None).cast("int")) \
-        .withColumn("label_ts", F.lit(None).cast("timestamp_ntz"))
+    """Prediction records appended in two batches (label fields null), read back whole."""
+    p = _records(spark, d)
     path = scratch_path(spark, "predlog")
     SK.append(p.where(F.col("transaction_id") % 2 == 0), path)
     SK.append(p.where(F.col("transaction_id") % 2 == 1), path)
-    back = spark.read.parquet(path)
-    return back.select("transaction_id", "prediction", "probability", epoch_micros(F.col("pred_ts")).alias("pred_us"))
+    return _record_columns(spark.read.parquet(path))
 
 
 @register("src_06_records_json", W("tx") + """
@@ -158,7 +171,7 @@ def snk_06_json_safe(spark, d):
 
 @register("snk_09_key_layout", W("tx") + "SELECT * FROM tx")
 def snk_09_key_layout(spark, d):
-    """Rows laid out by TransactionID (hash files, sorted inside) for key lookups; read back whole."""
+    """Rows laid out by TransactionID (key ranges, Bloom filters, short pages) for key lookups; read back whole."""
     path = scratch_path(spark, "by-key")
-    SK.write_key_layout(X.transactions(spark, d), path, "TransactionID", 8)
+    SK.write_key_layout(X.transactions(spark, d), path, "TransactionID")
     return spark.read.parquet(path)

@@ -9,8 +9,11 @@ from riskframe.functions.time import epoch_micros, hours_between
 from riskframe.operators import drift as DR
 from riskframe.operators import metrics as M
 from riskframe.plans import monitoring as MO
+from riskframe.plans.features import EXPECTED_FEATURES, row_vector
 from riskframe.plans.registry import register
+from riskframe.session import scratch_path
 from riskframe.sources import fixtures as X
+from riskframe.sources import sinks as SK
 
 W = X.with_ctes
 LAB = "SELECT * FROM pred WHERE ground_truth IS NOT NULL"
@@ -248,6 +251,23 @@ def agg_17_duration_hist(spark, d):
     return h.withColumn("sum", F.round("sum", 6))
 
 
+@register("agg_17_feature_duration_hist", W("req") + _hist_sql("(SELECT * FROM req WHERE service = 'preprocessing_service')", "duration_s", M.FEATURE_SECONDS)
+          .replace("SELECT s, n AS count", "SELECT s AS sum, n AS count", 1))
+def agg_17_feature_duration_hist(spark, d):
+    """Feature-engineering duration histogram: the preprocessing service's requests in its own fixed buckets."""
+    r = X.requests(spark, d).where(F.col("service") == "preprocessing_service")
+    return M.histogram(r, "duration_s", M.FEATURE_SECONDS).withColumn("sum", F.round("sum", 6))
+
+
+@register("agg_18_features_generated", W("tx") + f"""
+SELECT count(*) AS requests, CAST(count(*) * {len(EXPECTED_FEATURES)} AS BIGINT) AS features_generated FROM tx""")
+def agg_18_features_generated(spark, d):
+    """Counter of generated features: the values in the service vectors of all requests."""
+    v = row_vector(X.transactions(spark, d))
+    made = F.size(F.filter(F.array(*v.columns), lambda x: x.isNotNull()))
+    return v.agg(F.count(F.lit(1)).alias("requests"), F.sum(made).cast("bigint").alias("features_generated"))
+
+
 @register("agg_18_request_counts", W("req") + "SELECT method, endpoint, status, count(*) AS n FROM req GROUP BY ALL")
 def agg_18_request_counts(spark, d):
     """Requests by method, endpoint and status."""
@@ -347,15 +367,12 @@ def drf_04_feature_flags(spark, d):
 SELECT (SELECT count(*) FROM ref WHERE feature = 'TransactionAmt') AS reference_samples,
        (SELECT count(DISTINCT feature) FROM ref) AS reference_features,
        (SELECT count(*) FROM cur WHERE feature = 'TransactionAmt') AS current_samples,
+       (SELECT count(*) % 100 FROM cur WHERE feature = 'TransactionAmt') AS buffer_size, CAST(100 AS BIGINT) AS buffer_capacity,
        'ok' AS status""")
 def drf_05_drift_summary(spark, d):
-    """Drift summary: reference size, features, current size, status."""
+    """Drift summary: reference size, features, current size, rows waiting for the next check and its size, status."""
     ref, cur = MO.drift_samples(spark, d)
-    r = ref.agg(F.count_if(F.col("feature") == "TransactionAmt").alias("reference_samples"),
-                F.count_distinct("feature").alias("reference_features"))
-    c = cur.agg(F.count_if(F.col("feature") == "TransactionAmt")).scalar()
-    return r.withColumn("current_samples", c).withColumn(
-        "status", F.when(F.col("reference_samples") > 0, "ok").otherwise("no_reference_data"))
+    return MO.drift_summary(ref, cur, "TransactionAmt")
 
 
 @register("top_01_drift_top10", _KS_SQL + """
@@ -370,13 +387,11 @@ def top_01_drift_top10(spark, d):
 @register("prj_09_common_columns", W("train", "test") + """
 SELECT TransactionAmt, card1, addr1, C1 FROM test""")
 def prj_09_common_columns(spark, d):
-    """Current sample restricted to the numeric columns it shares with the reference sample."""
+    """Current sample restricted to the columns of the stored reference sample (its schema is read, not its rows)."""
     train, test = X.train_test(spark, d)
-    ref_cols = {"TransactionAmt", "card1", "addr1", "C1", "isFraud"}   # the stored reference sample
-    common = [c for c in test.columns if c in ref_cols]
-    if not common:
-        raise ValueError("no common columns between reference and current data")
-    return test.select(*common)
+    path = scratch_path(spark, "reference-columns")
+    SK.save_reference_sample(train.select("TransactionAmt", "card1", "addr1", "C1", "isFraud"), path)
+    return MO.common_columns(SK.read_reference_sample(spark, path), test)
 
 
 @register("fun_13_latency_hours", W("pred") + """

@@ -116,6 +116,28 @@ def fun_16_on_demand(spark, d):
     return h.select("event_id", F.round("view_plus_amount", 6).alias("view_plus_amount"))
 
 
+def _sums(inputs):
+    return {"plus_amount": inputs["view_value"] + inputs["amount"], "plus_click": inputs["view_value"] + inputs["click_value"]}
+
+
+def _sums_of_frame(frame):
+    import pandas as pd
+    return pd.DataFrame({"plus_click": frame["view_value"] + frame["click_value"], "plus_amount": frame["view_value"] + frame["amount"]})
+
+
+@register("fun_16_user_functions", _FST01_SQL + """
+SELECT event_id, round(user_views__view_value + amount, 6) AS plus_amount, round(user_views__view_value + user_clicks__click_value, 6) AS plus_click,
+       round(user_views__view_value + amount, 6) AS plus_amount_vectorised, round(user_views__view_value + user_clicks__click_value, 6) AS plus_click_vectorised
+FROM h2""")
+def fun_16_user_functions(spark, d):
+    """On-demand features by a user's function of a declared schema: as an expression and vectorised."""
+    views, declared = _views(spark, d), {"plus_amount": "double", "plus_click": "double"}
+    on_demand = [ST.OnDemandView("sums", views, {"amount": "double"}, declared, _sums),
+                 ST.OnDemandView("frames", views, {"amount": "double"}, declared, _sums_of_frame, vectorised=True)]
+    h = ST.historical_features(X.entity_rows(spark, d), views, on_demand=on_demand)
+    return h.select("event_id", *[F.round(f"sums__{c}", 6).alias(c) for c in declared], *[F.round(f"frames__{c}", 6).alias(f"{c}_vectorised") for c in declared])
+
+
 @register("prj_10_feature_service", _FST01_SQL + """
 SELECT event_id, user_views__view_value, user_clicks__click_value FROM h2""")
 def prj_10_feature_service(spark, d):
@@ -148,12 +170,11 @@ def fst_02_materialize(spark, d):
 @register("fst_03_materialize_incremental", _LATEST_SQL.format(
     cond=f"AND ts >= TIMESTAMP '{MAT_END}' - INTERVAL 1 DAY AND ts < TIMESTAMP '{MAT_END2}'"))
 def fst_03_materialize_incremental(spark, d):
-    """First run looks back one TTL from its end; the second run adds [last end, new end) and merges."""
+    """First run looks back one TTL from its end; the second starts at the stored end of the first and merges."""
     v, _ = _views(spark, d)
-    first = ST.materialize_incremental(v, None, None, MAT_END)
-    path = scratch_path(spark, "online-v1")
-    first.write.parquet(path)
-    second = ST.materialize_incremental(v, spark.read.parquet(path), MAT_END, MAT_END2)
+    state, online = scratch_path(spark, "ends"), scratch_path(spark, "online")
+    ST.run_incremental(spark, v, state, online, MAT_END)
+    second = ST.run_incremental(spark, v, state, online, MAT_END2)
     return second.select("user_id", "view_value", epoch_micros(F.col("event_timestamp")).alias("ts_us"))
 
 

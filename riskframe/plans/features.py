@@ -174,7 +174,7 @@ class FraudFeatures:
                               cents_scale=self.cents_scale, fill=self.fill)
 
 
-def row_vector(df: DataFrame, amount: str = "TransactionAmt") -> DataFrame:
+def row_vector(df: DataFrame, amount: str = "TransactionAmt", carry=()) -> DataFrame:
     """FUN-09 + PRJ-02: the 123-column service vector, each row on its own.
 
     Rules (one-row frame semantics): text categories go through the fixed maps
@@ -182,6 +182,7 @@ def row_vector(df: DataFrame, amount: str = "TransactionAmt") -> DataFrame:
     counts 1 when present else 0 (share, count and nunique alike); combined
     keys always exist, so their code is 0 and share 1; amount / mean is 1 for a
     positive amount else 0; cents are x100; absent columns and nulls are 0.
+    ``carry`` names columns kept beside the vector (no feature has such a name then).
     """
     cols = set(df.columns)
 
@@ -212,7 +213,7 @@ def row_vector(df: DataFrame, amount: str = "TransactionAmt") -> DataFrame:
             exprs[name] = F.coalesce(S.cents(a, 100), F.lit(0.0))
         else:
             exprs[name] = value(name)
-    return df.select(*[e.alias(n) for n, e in exprs.items()])
+    return df.select(*carry, *[e.alias(n) for n, e in exprs.items() if n not in carry])
 
 
 def align(df: DataFrame, expected: list[str], fill: float = 0.0) -> DataFrame:

@@ -51,6 +51,23 @@ def drift_samples(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return ref, cur
 
 
+def common_columns(reference: DataFrame | None, current: DataFrame) -> DataFrame:
+    """PRJ-09: the current sample's columns that the reference sample has too, in its own order; none raise."""
+    common = [c for c in current.columns if reference is not None and c in reference.columns]
+    if not common:
+        raise ValueError("no common columns between reference and current data")
+    return current.select(*common)
+
+
+def drift_summary(reference: DataFrame, current: DataFrame, feature: str, capacity: int = 100) -> DataFrame:
+    """DRF-05: one row: sizes of both samples by ``feature``, the rows that wait for the next check of ``capacity`` rows, status."""
+    r = reference.agg(F.count_if(F.col("feature") == feature).alias("reference_samples"), F.count_distinct("feature").alias("reference_features"))
+    n = current.agg(F.count_if(F.col("feature") == feature)).scalar()
+    return r.select("reference_samples", "reference_features", n.alias("current_samples"), (n % capacity).cast("bigint").alias("buffer_size"),
+                    F.lit(capacity).cast("bigint").alias("buffer_capacity"),
+                    F.when(F.col("reference_samples") > 0, "ok").otherwise("no_reference_data").alias("status"))
+
+
 DRIFT_SQL = f"""
 , ref AS (SELECT 'TransactionAmt' AS feature, TransactionAmt AS x FROM train
           UNION ALL SELECT 'l_quantity', l_quantity FROM lineitem WHERE l_shipdate < TIMESTAMP '{DRIFT_CUTOFF}'

@@ -35,6 +35,23 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
+#: SNK-03: one record of the prediction log.
+RECORD_SCHEMA = ("transaction_id long, prediction int, probability double, pred_ts timestamp_ntz, features map<string,double>, "
+                 "ground_truth int, label_ts timestamp_ntz")
+
+
+def prediction_records(df: DataFrame) -> DataFrame:
+    """SNK-03: predictions as records of the log (``features``: name to value); label fields are null until a label comes."""
+    return df.select(F.col("transaction_id").cast("long"), F.col("prediction").cast("int"), F.col("probability").cast("double"),
+                     F.col("pred_ts").cast("timestamp_ntz"), F.col("features").cast("map<string,double>"),
+                     F.lit(None).cast("int").alias("ground_truth"), F.lit(None).cast("timestamp_ntz").alias("label_ts"))
+
+
+def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-05: the prediction log's JSON lines by their declared schema."""
+    return spark.read.schema(RECORD_SCHEMA).json(path)
+
+
 def json_safe(df: DataFrame, order: list[str] | None = None, limit: int | None = None,
               as_json: bool = False) -> DataFrame:
     """SNK-06: NaN to null, timestamps to ISO text; optionally ordered first ``limit`` rows and one JSON string."""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.operators import boosting as B
 from riskframe.operators import drift as DR
+from riskframe.plans import features as FE
 from riskframe.plans import monitoring as MO
 from riskframe.plans.catalog_monitoring import _BIN_SQL, ORACLE_WIN04
 from riskframe.plans.catalog_observability import OBS02_SQL
@@ -30,6 +32,34 @@ def str_01_stream_scoring(spark, d):
     return spark.read.parquet(out)
 
 
+def _stream_transactions(o, c):
+    """Arriving orders as transactions, with the identity columns that the service's request has."""
+    j = X.identity_join(o, c, "o_custkey", "c_custkey")
+    return j.select(F.col("o_orderkey").alias("TransactionID"), F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("TransactionAmt"),
+                    F.col("o_custkey").alias("card1"), F.col("o_orderpriority").alias("card4"), F.col("o_orderstatus").alias("card6"),
+                    F.col("c_nationkey").alias("addr1"), F.col("c_acctbal").alias("C1"))
+
+
+SCORING_ROUNDS = 10
+
+
+def scoring_model(spark, d):
+    """A small model on the service's own feature vector, fitted on the training rows."""
+    train, _ = X.train_test(spark, d)
+    train = train.withColumn("id", F.col("TransactionID"))
+    v = FE.row_vector(train, carry=("id", "isFraud"))
+    features = [c for c in v.columns if c not in ("id", "isFraud", "TransactionID")]
+    return B.fit(v, features, "isFraud", "id", B.Boosting(rounds=SCORING_ROUNDS, max_depth=4, column_share=0.8))
+
+
+@register("str_01_model_scoring")
+def str_01_model_scoring(spark, d):
+    """Arriving transactions scored in the stream: identity join, feature vector, model, decision, tier, code, appended to a log."""
+    model = scoring_model(spark, d)
+    tx = _stream_transactions(stream_table(spark, d, "orders"), load(spark, d, "customer"))
+    return spark.read.parquet(run_available_now(J.score_transactions(tx, model), "model-scoring"))
+
+
 _LE = ", ".join(f"count_if(duration_s <= {b}) AS le_{str(b).replace('.', '_')}" for b in J.PREDICTION_SECONDS)
 
 

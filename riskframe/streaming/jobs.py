@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from riskframe.functions import scalar as S
 from riskframe.functions.logs import parse_log_line
 from riskframe.functions.time import epoch_micros, hours_between
+from riskframe.operators import boosting as B
 from riskframe.operators import drift as DR
 from riskframe.operators.keys import row_index
 from riskframe.operators.metrics import PREDICTION_SECONDS, classification_report
+from riskframe.plans.features import row_vector
 from riskframe.plans.store import latest_per_key
 from riskframe.sources import fixtures as X
 
@@ -34,6 +36,14 @@ def score_stream(events: DataFrame) -> DataFrame:
                     S.transaction_code("ts", "event_id").alias("transaction_code"))
 
 
+def score_transactions(transactions: DataFrame, model: B.Model, id_col: str = "TransactionID", ts: str = "ts") -> DataFrame:
+    """STR-01 whole: arriving transactions get their feature vector (each row on its own), the model's probability, decision, tier and code (no state)."""
+    v = row_vector(transactions, carry=(id_col, ts))
+    p = B.predict(v, model, [id_col, ts])
+    return p.select(id_col, "probability", S.is_fraud("probability").alias("is_fraud"), S.risk_level("probability").alias("risk_level"),
+                    S.transaction_code(ts, id_col).alias("transaction_code"))
+
+
 def request_metrics(events: DataFrame, window: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
     """STR-02: per tumbling window: requests, error rate, fraud rate, duration bucket counts.
 
