@@ -42,9 +42,9 @@ FORCED_EVERY = 1024
 SMALLEST_POWER = 256
 RUN_TOKENS = 1 << 19
 #: Bytes that a worker's remembered words may take, what a word takes besides its letters and ids, the longest word that stays.
-MEMORY_BYTES, WORD_BYTES, LONG_WORD = 64 << 20, 160, 64
+MEMORY_BYTES, WORD_BYTES, LONG_WORD = 112 << 20, 160, 64
 #: Words of letters that go to the tokenizer in one call.
-TOGETHER = 32
+TOGETHER = 64
 #: A word that ends in ASCII marks: the part up to its last letter (small, or beyond ASCII), and the marks.
 MARKED = re.compile(rb"([^\x00-\x20<]*[a-z\x80-\xff])([!-&(-;=?-@\[-`{-~]+)")
 #: Stands for the end of a text among its words.
@@ -101,50 +101,69 @@ class WordIds:
         self.start, self.size, self.used = np.zeros(1, np.int64), np.ones(1, np.int32), np.zeros(1, np.int64)
         self.held = 0
 
-    def _encoded(self, words: list[bytes]) -> list[list[int]]:
-        """The library's ids of each word."""
-        out: list = [None] * len(words)
-        texts = [w.decode() for w in words]
-        letters = [k for k, t in enumerate(texts) if t.isalpha()]
-        runs = [letters[k:k + TOGETHER] for k in range(0, len(letters), TOGETHER)]
-        for run, e in zip(runs, self.batch([" ".join([texts[k] for k in run]) for run in runs], add_special_tokens=False)):
-            ids = e.ids
-            ends = np.flatnonzero(self.word_end[ids]).tolist()
-            if len(ends) == len(run) and ends[-1] + 1 == len(ids):
-                at = 0
-                for k, end in zip(run, ends):
-                    out[k], at = ids[at:end + 1], end + 1
-        single = [k for k, x in enumerate(out) if x is None]
-        for k, e in zip(single, self.batch([texts[k] for k in single], add_special_tokens=False)):
-            out[k] = e.ids
-        return out
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the library's ids of all words in order, ids per word); words of letters alone, where every run keeps its word ends."""
+        runs = [words[k:k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        got = self.batch([b" ".join(r).decode() for r in runs], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32)
+        n = np.fromiter((len(e) for e in got), np.int64, len(got))
+        ends = np.flatnonzero(self.word_end[ids])
+        want = np.cumsum([len(r) for r in runs])
+        if len(ends) == len(words) and (ends[want - 1] + 1 == np.cumsum(n)).all():
+            return ids, np.diff(np.concatenate([[-1], ends]))
+        return self._one_by_one(words)
+
+    def _one_by_one(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.batch([w.decode() for w in words], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
     def learn(self) -> None:
         """Take in the ids of the words that wait for them."""
-        first, new, parts, whole = len(self.start), self.code.new, {}, []
+        first, new = len(self.start), self.code.new
+        letters, single, whole, front, back = [], [], [], [], []
         for k, w in enumerate(new):  # grows by the parts that are new themselves
+            if w.isalpha():
+                letters.append(k)
+                continue
             m = MARKED.fullmatch(w)
             if m and (m[1][-1] < 128 or m[1].decode()[-1].lower().isalpha()):
-                parts[k] = self.code[m[1]], self.code[m[2]]
-            else:
                 whole.append(k)
-        got: list = [None] * len(new)
-        for k, ids in zip(whole, self._encoded([new[k] for k in whole])):
-            got[k] = ids
-        known = lambda c: self.flat[self.start[c]:self.start[c] + self.size[c]].tolist() if c < first else got[c - first]
-        for k, (a, b) in parts.items():  # parts end in no mark or are marks alone: whole or known
-            got[k] = known(a) + known(b)
-        size = np.fromiter(map(len, got), np.int32, len(got))
-        self.start = np.concatenate([self.start, self.n + np.cumsum(size, dtype=np.int64) - size])
-        self.size = np.concatenate([self.size, size])
-        self.used = np.concatenate([self.used, np.zeros(len(got), np.int64)])
-        need = self.n + int(size.sum())
+                front.append(self.code[m[1]])
+                back.append(self.code[m[2]])
+            elif w.decode().isalpha():
+                letters.append(k)
+            else:
+                single.append(k)
+        start, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int32)
+        for some, take in ((letters, self._encoded), (single, self._one_by_one)):
+            if some:
+                ids, n = take([new[k] for k in some])
+                start[some], size[some] = self.n + np.cumsum(n) - n, n
+                self._append(ids)
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        if whole:  # the parts end in no mark or are marks alone, so they are known by now
+            parts = np.array([front, back]).T.ravel()
+            ids = self._gather(parts)
+            n = self.size[parts].reshape(-1, 2).sum(1)
+            at = first + np.array(whole)
+            self.start[at], self.size[at] = self.n + np.cumsum(n) - n, n
+            self._append(ids)
+        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
+        self.held += sum(map(len, new)) + WORD_BYTES * len(new) + 4 * int(self.size[first:].sum())
+        self.code.new = []
+
+    def _append(self, ids: np.ndarray) -> None:
+        need = self.n + len(ids)
         if need > len(self.flat):
             self.flat = np.resize(self.flat, need + need // 4)
-        self.flat[self.n:need] = np.fromiter(chain.from_iterable(got), np.uint32, need - self.n)
+        self.flat[self.n:need] = ids
         self.n = need
-        self.held += sum(map(len, new)) + WORD_BYTES * len(new) + 4 * int(size.sum())
-        self.code.new = []
+
+    def _gather(self, code: np.ndarray) -> np.ndarray:
+        """The ids of words in order."""
+        size = self.size[code]
+        total = np.cumsum(size, dtype=np.int64)
+        return self.flat[np.repeat(self.start[code] - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
 
     def shrink(self) -> None:
         """Forget what is used least, until half of the memory is free."""
@@ -183,21 +202,24 @@ class WordIds:
             if self.code.new:
                 self.learn()
             self.used += np.bincount(code, minlength=len(self.used))
-            size = self.size[code]
-            total = np.cumsum(size, dtype=np.int64)
-            ids.append(self.flat[np.repeat(self.start[code] - (total - size), size) + np.arange(total[-1])])
+            total = np.cumsum(self.size[code], dtype=np.int64)
+            ids.append(self._gather(code))
             sizes.append(np.diff(np.concatenate([[0], total[np.array(ends) - 1]])))
         return np.concatenate(ids), np.concatenate(sizes)
 
 
 def boundaries(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(allowed cuts from 0 to the end, penalty of each)."""
-    cuts = np.flatnonzero(sentence_end[ids]) + 1
-    at = np.union1d(np.union1d(cuts, doc_ends), [0])
+    cut, end = np.zeros(len(ids) + 1, bool), np.zeros(len(ids) + 1, bool)
+    cut[1:] = sentence_end[ids]
+    end[doc_ends] = True
+    cut |= end
+    cut[0] = True
+    at = np.flatnonzero(cut)
     wide = np.flatnonzero(np.diff(at) > FORCED_EVERY)
     forced = np.concatenate([np.arange(at[i] + FORCED_EVERY, at[i + 1], FORCED_EVERY) for i in wide]) if len(wide) else at[:0]
     cost = np.full(len(at), SENTENCE_COST, np.int64)
-    cost[np.isin(at, doc_ends)] = 0
+    cost[end[at]] = 0
     cost[0] = 0
     if len(forced):
         at = np.concatenate([at, forced])
