@@ -45,6 +45,11 @@ RUN_TOKENS = 1 << 19
 MEMORY_BYTES, WORD_BYTES, LONG_WORD = 112 << 20, 160, 64
 #: Words of letters that go to the tokenizer in one call.
 TOGETHER = 64
+#: Small letters of Latin-1 in UTF-8.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: How byte-level vocabularies write a byte: itself where Latin-1 has a printable character, the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_NAMES = dict(zip(_SHOWN, _SHOWN)) | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in set(_SHOWN))}
 #: A word that ends in ASCII marks: the part up to its last letter (small, or beyond ASCII), and the marks.
 MARKED = re.compile(rb"([^\x00-\x20<]*[a-z\x80-\xff])([!-&(-;=?-@\[-`{-~]+)")
 #: Stands for the end of a text among its words.
@@ -117,13 +122,19 @@ class WordIds:
         got = [e.ids for e in self.batch([w.decode() for w in words], add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
+    def _pieces(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for small letters of PLAIN: such a word is one piece that no normalisation changes, so the merges alone make its ids."""
+        piece = self.tok.model.tokenize
+        got = [[t.id for t in piece(w.decode("latin-1").translate(BYTE_NAMES))] for w in words]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
     def learn(self) -> None:
         """Take in the ids of the words that wait for them."""
         first, new = len(self.start), self.code.new
-        letters, single, whole, front, back = [], [], [], [], []
+        plain, letters, single, whole, front, back = [], [], [], [], [], []
         for k, w in enumerate(new):  # grows by the parts that are new themselves
-            if w.isalpha():
-                letters.append(k)
+            if PLAIN.fullmatch(w):
+                plain.append(k)
                 continue
             m = MARKED.fullmatch(w)
             if m and (m[1][-1] < 128 or m[1].decode()[-1].lower().isalpha()):
@@ -135,7 +146,7 @@ class WordIds:
             else:
                 single.append(k)
         start, size = np.zeros(len(new), np.int64), np.zeros(len(new), np.int32)
-        for some, take in ((letters, self._encoded), (single, self._one_by_one)):
+        for some, take in ((plain, self._pieces), (letters, self._encoded), (single, self._one_by_one)):
             if some:
                 ids, n = take([new[k] for k in some])
                 start[some], size[some] = self.n + np.cumsum(n) - n, n
