@@ -62,6 +62,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened by ``_`` while ``df`` has a column of that name (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remembered(kind: str, spec: bytes, make):
     """``make(spec)``, built once per worker process: code sent by value gets new globals with every task, modules stay."""
     held = sys.modules.setdefault("riskframe_worker_memory", types.ModuleType("riskframe_worker_memory")).__dict__

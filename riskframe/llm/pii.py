@@ -5,7 +5,8 @@ The patterns run in time linear in the text: they start only where a run of thei
 possessive quantifiers, which finds the same leftmost matches.
 
 Cases: a null text is searched as an empty one and stays null when redacted; an empty text or table has no spans;
-repeated rows are searched one by one; other columns pass through untouched.
+repeated rows are searched one by one; texts of any length are searched whole; other columns pass through untouched, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import small_batches
+from riskframe.llm.common import free_name, small_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -122,8 +123,9 @@ def redact_text(text: str) -> str:
 
 
 def find(df: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
-    """The input plus ``out``: array of (kind, start, end, score)."""
+    """The input plus ``out``: array of (kind, start, end, score); the name is lengthened by ``_`` while the input has it."""
     small_batches(df)
+    out = free_name(df, out)
     item = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                          T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))

@@ -8,7 +8,8 @@ most ``MAX_FEATURES``) are broadcast, and every whole text is scored in the task
 
 Cases: null and empty texts have no words and get the score of the bias alone; without labels of both classes every
 score is the share of toxic labels (0 without labels); null ids are in fold 0; repeated rows are scored one by one
-and count as often as they occur in the fit; an empty table gives an empty result; other columns pass through.
+and count as often as they occur in the fit; texts of any length are scored whole; an empty table gives an empty result;
+other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import fold, small_batches, stored, unused
+from riskframe.llm.common import fold, free_name, small_batches, stored, unused
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,8 +155,9 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[dict[str, float], fl
 
 
 def score(df: DataFrame, model: tuple[dict[str, float], float], text: str = "text", out: str = "score") -> DataFrame:
-    """The input plus the probability that a text is toxic."""
+    """The input plus the probability that a text is toxic; the name is lengthened by ``_`` while the input has it."""
     small_batches(df)
+    out = free_name(df, out)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
