@@ -22,7 +22,6 @@ import os
 import re
 import sys
 import zlib
-from collections import deque
 from itertools import chain
 
 import numpy as np
@@ -125,7 +124,7 @@ class WordIds:
     def _pieces(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for small letters of PLAIN: such a word is one piece that no normalisation changes, so the merges alone make its ids."""
         piece = self.tok.model.tokenize
-        got = [[t.id for t in piece(w.decode("latin-1").translate(BYTE_NAMES))] for w in words]
+        got = [[t.id for t in piece(w.decode() if w.isascii() else w.decode("latin-1").translate(BYTE_NAMES))] for w in words]
         return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
     def learn(self) -> None:
@@ -133,7 +132,7 @@ class WordIds:
         first, new = len(self.start), self.code.new
         plain, letters, single, whole, front, back = [], [], [], [], [], []
         for k, w in enumerate(new):  # grows by the parts that are new themselves
-            if PLAIN.fullmatch(w):
+            if (w.isalpha() and w.islower()) or (w[-1] > 127 and PLAIN.fullmatch(w)):
                 plain.append(k)
                 continue
             m = MARKED.fullmatch(w)
@@ -243,31 +242,35 @@ def boundaries(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray)
 def cut_windows(at: np.ndarray, cost: np.ndarray, max_tokens: int = MAX_TOKENS) -> np.ndarray:
     """Indices into ``at`` of the best cuts, first and last included."""
     n = len(at)
-    exact: dict[int, list[int]] = {}
+    exact: list[list[int] | None] = [None] * n
     size = SMALLEST_POWER
     while size <= max_tokens:
         i = np.searchsorted(at, at - size)
-        for j in np.flatnonzero(at[np.minimum(i, n - 1)] == at - size).tolist():
-            exact.setdefault(j, []).append(int(i[j]))
+        for j, k in zip(hit := np.flatnonzero(at[np.minimum(i, n - 1)] == at - size).tolist(), i[hit].tolist()):
+            exact[j] = [*(exact[j] or ()), k]
         size *= 2
-    t, pen = at.tolist(), cost.tolist()
+    t, pen = at.tolist(), (cost + SEQUENCE_COST + max_tokens).tolist()
     best, back = [0] * n, [0] * n
-    queue: deque[tuple[int, int]] = deque([(t[0], 0)])  # (best[i] + t[i], i), keys increasing
+    # the queue: keys best[i] + t[i], increasing, and their i, from head to tail
+    keys, where, head, tail = [t[0]] * (n + 1), [0] * (n + 1), 0, 1
     for j in range(1, n):
-        low = t[j] - max_tokens
-        while t[queue[0][1]] < low:
-            queue.popleft()
-        key, i = queue[0]
-        b = key + max_tokens - t[j]
-        for k in exact.get(j, ()):
-            if best[k] < b:
-                b, i = best[k], k
-        b += pen[j] + SEQUENCE_COST
+        end = t[j]
+        low = end - max_tokens
+        while t[where[head]] < low:
+            head += 1
+        i = where[head]
+        b = keys[head] - end
+        if exact[j]:
+            for k in exact[j]:
+                if best[k] - max_tokens < b:
+                    b, i = best[k] - max_tokens, k
+        b += pen[j]
         best[j], back[j] = b, i
-        key = b + t[j]
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, j))
+        key = b + end
+        while tail > head and keys[tail - 1] >= key:
+            tail -= 1
+        keys[tail], where[tail] = key, j
+        tail += 1
     path = [n - 1]
     while path[-1]:
         path.append(back[path[-1]])
