@@ -147,7 +147,8 @@ def ks(reference: DataFrame, current: DataFrame) -> DataFrame:
             .unionByName(current.select("feature", "x", F.lit(0).alias("r"), F.lit(1).alias("c"))))
     g = both.groupBy("feature", "x").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     cum = running_totals(g, ["x"], {"cr": F.col("nr"), "cc": F.col("nc")}, groups=["feature"], few_groups=True)
-    tot = g.groupBy("feature").agg(F.sum("nr").alias("n_ref"), F.sum("nc").alias("n_cur"))
+    # the totals are the last running totals, read from the same checkpoint: the samples are scanned once
+    tot = cum.groupBy("feature").agg(F.max("cr").alias("n_ref"), F.max("cc").alias("n_cur"))
     j = cum.join(F.broadcast(tot), "feature")
     out = j.groupBy("feature", "n_ref", "n_cur").agg(
         F.max(F.abs(F.try_divide("cr", "n_ref") - F.try_divide("cc", "n_cur"))).alias("ks_d"))

@@ -141,8 +141,9 @@ def key_stats(df: DataFrame, cols: Iterable[str], id_col: str | None = None,
 
 
 def stats_sizes(stats: DataFrame) -> dict[str, int]:
-    """Distinct keys per feature (a tiny collect: one row per feature)."""
-    return {r["feature"]: r["n"] for r in stats.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Size of each feature's table in rows of BYTES_PER_STATS_ROW, the keys' own bytes added (a tiny collect: one row per feature)."""
+    size = F.count(F.lit(1)) + F.ceil(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)) / BYTES_PER_STATS_ROW)
+    return {r["feature"]: r["n"] for r in stats.groupBy("feature").agg(size.cast("bigint").alias("n")).collect()}
 
 
 def broadcastable(rows: int | None) -> bool:

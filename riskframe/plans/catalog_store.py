@@ -196,15 +196,16 @@ def fst_04_online_lookup(spark, d):
 SELECT user_id, arg_max(value, ts) AS view_value, epoch_us(max(ts)) AS ts_us
 FROM events WHERE event_type IN ('view', 'signup') GROUP BY user_id""")
 def fst_05_push(spark, d):
-    """Push: 'signup' rows appended to the offline 'view' table; online = latest per key of all rows."""
+    """Push: 'signup' rows appended to the offline 'view' table and merged into the online table: latest per key of all rows."""
     v, _ = _views(spark, d)
     ev = load(spark, d, "events")
     pushed = ev.where(F.col("event_type") == "signup").select(
         "user_id", F.col("ts").alias("event_timestamp"), F.col("ts").alias("created"),
         F.col("value").alias("view_value"))
-    offline = scratch_path(spark, "offline")
+    offline, first = scratch_path(spark, "offline"), scratch_path(spark, "online")
     v.source.write.parquet(offline)
-    online = ST.push(offline, scratch_path(spark, "online"), pushed, v)
+    ST.latest_per_key(v.source, v.key, v.event_ts, v.created_ts, v.features).write.parquet(first)
+    online = ST.push(offline, scratch_path(spark, "online"), pushed, v, previous=spark.read.parquet(first))
     return online.select("user_id", "view_value", epoch_micros(F.col("event_timestamp")).alias("ts_us"))
 
 

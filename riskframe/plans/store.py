@@ -187,16 +187,20 @@ def online_lookup(entities: DataFrame, online: DataFrame, view: FeatureView, now
                     *[F.when(fresh, F.col(f"{view.name}__{c}")).alias(f"{view.name}__{c}") for c in view.features])
 
 
-def push(offline_path: str, online_path: str | None, rows: DataFrame, view: FeatureView) -> DataFrame:
+def push(offline_path: str, online_path: str | None, rows: DataFrame, view: FeatureView, previous: DataFrame | None = None) -> DataFrame:
     """SNK-07 / FST-05: append pushed rows to the offline table; online = latest per key of all rows.
 
-    The online table is written as a fresh version next to the offline one
-    (no in-place rewrite), and the new version is returned.
+    With the ``previous`` online table only that and the pushed rows are read; without one (the first push) the online
+    table comes from the whole offline table. It is written as a fresh version next to the old one (no in-place
+    rewrite), and the new version is returned.
     """
     rows.write.mode("append").parquet(offline_path)
     spark = rows.sparkSession
-    offline = spark.read.parquet(offline_path)
-    online = latest_per_key(offline, view.key, view.event_ts, view.created_ts, view.features)
+    if previous is None:
+        online = latest_per_key(spark.read.parquet(offline_path), view.key, view.event_ts, view.created_ts, view.features)
+    else:
+        fresh = latest_per_key(rows, view.key, view.event_ts, view.created_ts, view.features)
+        online = merge_online(previous, fresh.select(*previous.columns), view.key, view.event_ts, view.created_ts)
     if online_path:
         online.write.mode("overwrite").parquet(online_path)
         return spark.read.parquet(online_path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import boosting as B
 from riskframe.operators import drift as DR
+from riskframe.operators import metrics as M
 from riskframe.plans import features as FE
 from riskframe.plans import monitoring as MO
 from riskframe.plans.catalog_monitoring import _BIN_SQL, ORACLE_WIN04
@@ -239,17 +240,8 @@ def src_09_transaction_stream(spark, d):
 WHERE window_start_us + 300000000 <= (SELECT epoch_us(max(ts)) FROM events) - 600000000""")
 def str_02_window_quantiles(spark, d):
     """P50 / P95 / P99 latency per 5-minute stream window, from the window's bucket counts."""
-    from riskframe.operators import metrics as M
     out = spark.read.parquet(run_available_now(J.request_metrics(stream_table(spark, d, "events")), "req-q"))
-    bounds = list(J.PREDICTION_SECONDS)
-    cells = F.array(*[F.struct(F.lit(M.bound_label(b)).alias("le"), F.lit(float(b)).alias("upper"),
-                               F.col(f"le_{str(b).replace('.', '_')}").alias("cumulative_count")) for b in bounds],
-                    F.struct(F.lit("+Inf").alias("le"), F.lit(None).cast("double").alias("upper"),
-                             F.col("n").alias("cumulative_count")))
-    h = out.select("window_start_us", F.col("n").alias("count"), F.inline(cells))
-    res = None
-    for q in (0.5, 0.95, 0.99):
-        name = f"p{int(round(q * 100))}"
-        part = M.bucket_quantile(h, q, ["window_start_us"], name=name).withColumn(name, F.round(name, 6))
-        res = part if res is None else res.join(part, "window_start_us", "full")
-    return res
+    bounds = J.PREDICTION_SECONDS
+    counts = [f"le_{str(b).replace('.', '_')}" for b in bounds] + ["n"]
+    qs = {f"p{int(round(q * 100))}": F.round(M.quantile_of_counts(counts, bounds, q), 6) for q in (0.5, 0.95, 0.99)}
+    return out.select("window_start_us", *[c.alias(name) for name, c in qs.items()])

@@ -296,3 +296,26 @@ def test_stream_scores_equal_the_batch(spark):
     want = {r.TransactionID: r for r in J.score_transactions(tx, CS.scoring_model(spark, SF_SMALL)).collect()}
     assert got == want and len(got) == 1500
     assert {r.risk_level for r in want.values()} <= {"LOW", "MEDIUM", "HIGH", "CRITICAL"} and len({r.probability for r in want.values()}) > 20
+
+
+def test_push_reads_the_previous_table_only(spark):
+    v = _view(spark)
+    offline = scratch_path(spark, "offline")
+    v.source.write.parquet(offline)
+    first = ST.latest_per_key(v.source, "k", "event_timestamp", "created", ["x"])
+    late = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    pushed = spark.createDataFrame([(2, 9.0), (3, 7.0)], "k long, x double").withColumns({"event_timestamp": late, "created": late})
+    online = ST.push(offline, None, pushed, v, previous=first)
+    assert sorted((r.k, r.x) for r in online.collect()) == [(1, 2.0), (2, 9.0), (3, 7.0)]
+    assert "FileScan" not in online._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.k, r.x) for r in ST.push(offline, None, pushed.limit(0), v).collect()) == [(1, 2.0), (2, 9.0), (3, 7.0)]
+
+
+def test_long_keys_count_towards_the_broadcast_bound(spark):
+    from riskframe.operators import keys as K
+    short = spark.range(1000).select(F.lit("a").alias("feature"), F.col("id").cast("string").alias("key"))
+    long = short.withColumn("key", F.concat("key", F.lit("x" * 960)))
+    a, b = K.stats_sizes(short)["a"], K.stats_sizes(long)["a"]
+    assert 1000 <= a <= 1100 and b > 10 * a
+    per = K.BROADCAST_BYTES // K.BYTES_PER_STATS_ROW
+    assert K.broadcastable(per) and not K.broadcastable(per + 1)
