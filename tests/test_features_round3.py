@@ -105,7 +105,7 @@ def test_counters_over_time_buckets(spark, bucket):
 
 
 def test_a_hot_series_is_many_groups(spark):
-    df = spark.range(20_000).select((F.col("id") * 0).alias("s"), F.col("id").alias("t"), (F.col("id") * 2).alias("v"))
+    df = spark.range(20_000).select((F.col("id") >= 0).cast("string").alias("s"), F.col("id").alias("t"), (F.col("id") * 2).alias("v"))
     d = SE.counter_deltas(df, ["s"], "t", "v", 1000)
     per = [r["n"] for r in d.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(per) == 20 and max(per) == 1000
