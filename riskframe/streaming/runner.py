@@ -1,7 +1,7 @@
 """Running Structured Streaming queries to durable sinks.
 
-Sources are file streams over the table folders (one table picked with
-``pathGlobFilter``); sinks and checkpoints live in fresh folders of the
+Sources are file streams over a table's own folder, or over the folder that
+holds the table as one file (picked with ``pathGlobFilter``); sinks and checkpoints live in fresh folders of the
 shared storage, so a restarted query resumes from its checkpoint and an
 executor loss replays only the failed tasks.
 """
@@ -17,12 +17,17 @@ from riskframe.sources.tables import load
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A table folder read as a file stream (schema from the table; new files arrive as micro-batches)."""
+    """A table, one file or a folder of files, read as a file stream (schema from the table; new files arrive as micro-batches)."""
     schema = load(spark, sf_dir, name).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hp.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hp).isDirectory():
+        return r.parquet(path)
+    # a stream takes folders only
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -189,3 +189,25 @@ print("ROWS", IF.score(df, forest, ["x"], ["id"]).count())
     r = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True, text=True,
                        timeout=600)
     assert "ROWS 500" in r.stdout, r.stderr[-2000:]
+
+
+def _parts(spark, frame, folder, name, files=3):
+    frame.repartition(files).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_a_table_of_several_files_is_streamed_whole(spark):
+    """str_03, str_05, str_06: tables may be folders of part files beside other tables."""
+    from riskframe.streaming import catalog_streams as CS
+
+    d = _folder(spark, "parts")
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"),
+                                   F.lit("web").alias("source"), (F.col("id") * 37 % 211).alias("n_chars"))
+    labels = spark.range(250).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    _parts(spark, docs, d, "documents")
+    _parts(spark, labels, d, "labels")
+    assert sorted(r.transaction_id for r in CS.str_06_first_label_only(spark, d).collect()) == list(range(250))
+    assert sorted(r.window_no for r in CS.str_03_count_windows(spark, d).collect()) == [0, 1]
+    joined = CS.str_05_label_join(spark, d).collect()
+    assert len(joined) == 250 and sum(r.status == "in_time" for r in joined) == sum(i % 200 <= 168 for i in range(250))
+    met = [r for r in CS.str_05_outer_join(spark, d).collect() if r.latency_h is not None]
+    assert len(met) == sum(i % 5 > 0 and i % 200 <= 168 for i in range(250))
