@@ -14,9 +14,12 @@ Gain is ``GL^2/(HL+r) + GR^2/(HR+r) - G^2/(H+r)`` (halved), a leaf's value ``-G/
 hessians are summed as whole numbers (units of ``1/SCALE``), so a sum does not depend on how rows are dealt, a lost
 task counted again gives the same tree, and equal gains are settled alike: smaller feature, then smaller bin.
 
-Rows and columns are drawn per tree, rows by a hash of id, tree and seed. Margins are written to a new block table every
-``REFRESH`` trees; in between a pass applies the trees since. Sums of a pass are combined by feature chunk in
-Spark, unless they are few; what comes to the driver is bounded by leaves x features x bins, or by COLLECT_BYTES.
+A child that can't be split any more needs no pass: its sums stand in its parent's histogram.
+
+Rows and columns are drawn per tree, rows by a hash of id, tree and seed. The first pass of a tree also brings the margins up
+to date and keeps them, so no pass applies earlier trees again; every ``REFRESH`` trees the rows are checkpointed, which
+bounds what a lost task counts again. Sums of a pass are combined by feature chunk in Spark, unless they are few; what
+comes to the driver is bounded by leaves x features x bins, or by COLLECT_BYTES.
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.session import scratch_path
+from riskframe.session import shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,6 +44,8 @@ BLOCK_ROWS = 4096
 REFRESH = 20
 CHUNK = 16
 COLLECT_BYTES = 32 << 20
+#: Rows that a task works on at a time, and that are worth a task of their own.
+HELD_ROWS, TASK_ROWS = 1 << 18, 1 << 15
 #: Accuracy of the quantile sketch: ranks are off by at most rows / SKETCH.
 SKETCH = 10_000
 
@@ -135,13 +140,6 @@ def _blocks(train: DataFrame, model: Model, label: str, id_col: str) -> DataFram
     return rows.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def _read(batch: pa.RecordBatch, width: int):
-    """(ids, codes, labels, margins) of each block of a batch."""
-    for ids, codes, labels, margins in zip(*(batch[c].to_pylist() for c in ("ids", "codes", "labels", "margins"))):
-        yield (np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8).reshape(-1, width), np.frombuffer(labels, np.uint8),
-               np.frombuffer(margins, np.float64))
-
-
 def drawn(ids: np.ndarray, tree: int, seed: int, share: float) -> np.ndarray:
     """Rows that take part in a tree: a hash of id, tree and seed below the share."""
     if share >= 1:
@@ -169,45 +167,76 @@ def histogram(codes: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray,
     return np.stack(out, -1).astype(np.int64).reshape(slots, width, bins, 3)
 
 
-def _counted(blocks: DataFrame, tasks: int, since: list[Tree], base_width: int, columns: np.ndarray, route: Tree, slots: dict[int, int],
-             number: int, s: Boosting) -> np.ndarray:
+def _held(blocks, width: int):
+    """The blocks of a task put together: (ids, codes with a feature's lying together, labels, margins) of up to HELD_ROWS rows or a block more."""
+    parts, n = [], 0
+
+    def together():
+        ids, codes, labels, margins = zip(*parts)
+        return np.concatenate(ids), np.concatenate([c.T for c in codes], axis=1), np.concatenate(labels), np.concatenate(margins)
+
+    for ids, codes, labels, margins in blocks:
+        parts.append((np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8).reshape(-1, width), np.frombuffer(labels, np.uint8), np.frombuffer(margins, np.float64)))
+        n += len(parts[-1][0])
+        if n >= HELD_ROWS:
+            yield together()
+            parts, n = [], 0
+    if parts:
+        yield together()
+
+
+def _leaf_rows(tree: Tree, codes: np.ndarray, rows: np.ndarray):
+    """(leaf, its rows) for the given rows; ``codes`` has a line per feature."""
+    todo = [(0, rows)]
+    while todo:
+        x, rows = todo.pop()
+        if tree.feature[x] < 0:
+            yield x, rows
+        else:
+            go = codes[tree.feature[x]][rows] <= tree.bin[x]
+            todo += [(tree.left[x], rows[go]), (tree.right[x], rows[~go])]
+
+
+def _moved(held: RDD, tree: Tree) -> RDD:
+    """The rows with the margins after one more tree, of the rows not drawn too."""
+    def move(x):
+        ids, codes, labels, margins = x
+        margins = margins.copy()
+        for leaf, rows in _leaf_rows(tree, codes, np.arange(len(ids))):
+            margins[rows] += tree.value[leaf]
+        return ids, codes, labels, margins
+
+    return held.map(move)
+
+
+def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dict[int, int], number: int, s: Boosting) -> np.ndarray:
     """One pass: the histogram of every requested node over the drawn rows and columns.
 
     The sums of ``tasks`` tasks are added up by Spark, or on the driver where all of them are under COLLECT_BYTES.
     """
-    slot_of = np.full(len(route.feature), -1, np.int64)
-    for node, k in slots.items():
-        slot_of[node] = k
     n, bins, chunks = len(slots), s.bins, max(1, -(-len(columns) // CHUNK))
 
-    def run(batches):
+    def run(parts):
         total = np.zeros((n, len(columns), bins, 3), np.int64)
-        for b in batches:
-            for ids, codes, labels, margins in _read(b, base_width):
-                take = drawn(ids, number, s.seed, s.row_share)
-                codes, labels = codes[take], labels[take]
-                m = margins[take] + sum((t.value[t.leaves(codes)] for t in since), np.zeros(len(codes)))
-                g, h = gradients(m, labels)
-                total += histogram(codes[:, columns], slot_of[route.leaves(codes)], g, h, n, bins)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(range(chunks), pa.int32()),
-            pa.array([total[:, c * CHUNK:(c + 1) * CHUNK].tobytes() for c in range(chunks)], pa.binary())], names=["chunk", "sums"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = 0
-        for x in table["sums"]:
-            total = total + np.frombuffer(x.as_buffer(), np.int64)
-        return pa.table({"chunk": table["chunk"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    sums = blocks.mapInArrow(run, "chunk int, sums binary")
+        for ids, codes, labels, margins in parts:
+            g, h = gradients(margins, labels)
+            for leaf, rows in _leaf_rows(route, codes, np.flatnonzero(drawn(ids, number, s.seed, s.row_share))):
+                if leaf in slots:
+                    gr, hr = g[rows], h[rows]
+                    for sums, f in zip(total[slots[leaf]], columns):
+                        c = codes[f][rows].astype(np.intp)
+                        sums[:, 0] += np.bincount(c, gr, bins).astype(np.int64)
+                        sums[:, 1] += np.bincount(c, hr, bins).astype(np.int64)
+                        sums[:, 2] += np.bincount(c, minlength=bins)
+        return [(c, total[:, c * CHUNK:(c + 1) * CHUNK]) for c in range(chunks)]
+
+    sums = held.mapPartitions(run)
     if tasks * n * len(columns) * bins * 24 > COLLECT_BYTES:
-        sums = sums.groupBy("chunk").applyInArrow(add, "chunk int, sums binary")
+        sums = sums.reduceByKey(np.add, min(chunks, tasks))
     parts: dict[int, np.ndarray] = {}
-    for r in sums.collect():
-        parts[r["chunk"]] = parts.get(r["chunk"], 0) + np.frombuffer(bytes(r["sums"]), np.int64)
-    if not parts:
-        return np.zeros((n, len(columns), bins, 3), np.int64)
-    return np.concatenate([parts[c].reshape(n, -1, bins, 3) for c in range(chunks)], axis=1)
+    for c, x in sums.collect():
+        parts[c] = parts.get(c, 0) + x
+    return np.concatenate([parts[c] for c in range(chunks)], axis=1)
 
 
 def best_split(hist: np.ndarray, s: Boosting) -> tuple[float, int, int]:
@@ -236,6 +265,7 @@ class _Growing:
         self.hist: dict[int, np.ndarray] = {}
         self.best: dict[int, tuple[float, int, int]] = {}
         self.kids: dict[int, tuple[int, int]] = {}
+        self.parent: dict[int, int] = {}
         self.depth = {0: 0}
 
     def counted(self, node: int, hist: np.ndarray) -> None:
@@ -265,8 +295,8 @@ class _Growing:
         return t, place
 
     def grow(self, count) -> Tree:
-        """``count(route, nodes)`` gives the histograms of nodes (places in the route)."""
-        self.counted(0, count(self.route()[0], [0])[0])
+        """``count(growing, nodes)`` gives the histograms of nodes."""
+        self.counted(0, count(self, [0])[0])
         limit = self.s.max_leaves or math.inf
         accepted: set[int] = set()
         heap = [(-self.best[0][0], 0)]
@@ -282,19 +312,28 @@ class _Growing:
         return self.route(accepted)[0]
 
     def _count_children(self, leaves: list[int], room: float, count) -> None:
-        """Split the leaves that could be next and count their children in one pass."""
+        """Split the leaves that could be next and count their children in one pass, but those that stay leaves."""
         todo = [x for x in leaves if x not in self.kids and self.best[x][0] > 0]
         todo = todo[:int(min(room, len(todo)))]
         small = {}
         for x in todo:
             a = 1 + 2 * len(self.kids)
             self.kids[x] = (a, a + 1)
+            self.parent[a] = self.parent[a + 1] = x
             self.depth[a] = self.depth[a + 1] = self.depth[x] + 1
             _, f, b = self.best[x]
             n_left = self.hist[x][f, :b + 1, 2].sum()
             small[x] = 0 if 2 * n_left <= self.hist[x][f, :, 2].sum() else 1
-        route, place = self.route()
-        got = count(route, [place[self.kids[x][small[x]]] for x in todo])
+        final = [x for x in todo if room == 1 or self.depth[x] + 1 == self.s.max_depth]
+        for x in final:
+            _, f, b = self.best[x]
+            left, all_ = self.hist[x][f, :b + 1].sum(0), self.hist[x][f].sum(0)
+            for k, sums in zip(self.kids[x], (left, all_ - left)):
+                self.hist[k], self.best[k] = sums.reshape(1, 1, 3), (0.0, 0, 0)
+        todo = [x for x in todo if x not in final]
+        if not todo:
+            return
+        got = count(self, [self.kids[x][small[x]] for x in todo])
         for x, hist in zip(todo, got):
             k = self.kids[x]
             self.counted(k[small[x]], hist)
@@ -320,39 +359,26 @@ def fit(train: DataFrame, features: list[str], label: str, id_col: str, settings
         return Model(list(features), [np.zeros(0)] * width, base)
     model = Model(list(features), quantile_edges(train, features, settings.bins), base)
 
-    def store(frame: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "boosting")
-        frame.write.parquet(path)
-        return spark.read.schema(BLOCK_SCHEMA).parquet(path).cache()
-
-    blocks, since = store(_blocks(train, model, label, id_col)), []
-    tasks = blocks.rdd.getNumPartitions()
+    rows = _blocks(train, model, label, id_col).rdd.map(tuple)
+    tasks = min(rows.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
+    held = rows.coalesce(tasks).mapPartitions(lambda blocks: _held(blocks, width)).persist(StorageLevel.MEMORY_AND_DISK)
     for number in range(settings.rounds):
         columns = columns_of(number, width, settings)
-        trees = list(since)
-
-        def count(route, nodes):
-            return _counted(blocks, tasks, trees, width, columns, route, {x: k for k, x in enumerate(nodes)}, number, settings)
-
-        tree = _Growing(columns, settings).grow(count)
-        model.trees.append(tree)
-        since.append(tree)
-        if len(since) == REFRESH and number + 1 < settings.rounds:
-            done, since = list(since), []
-            fresh = store(blocks.mapInArrow(_refreshed(done, width), BLOCK_SCHEMA))
-            fresh.count()
-            blocks.unpersist()
-            blocks = fresh
-    blocks.unpersist()
-    return model
-
 
-def _refreshed(done: list[Tree], width: int):
-    def run(batches):
-        for b in batches:
-            margins = [(m + sum(t.value[t.leaves(codes)] for t in done)).tobytes() for _, codes, _, m in _read(b, width)]
-            yield pa.RecordBatch.from_arrays([b["ids"], b["codes"], b["labels"], pa.array(margins, pa.binary())], names=["ids", "codes", "labels", "margins"])
-    return run
+        def count(growing, nodes):
+            route, place = growing.route()
+            return _counted(held, tasks, columns, route, {place[x]: k for k, x in enumerate(nodes)}, number, settings)
+
+        before, grown = (None, held) if not model.trees else (held, _moved(held, model.trees[-1]).persist(StorageLevel.MEMORY_AND_DISK))
+        if number and number % REFRESH == 0:
+            shared_dir(spark)
+            grown.checkpoint()
+        held = grown
+        model.trees.append(_Growing(columns, settings).grow(count))
+        if before is not None:
+            before.unpersist()
+    held.unpersist()
+    return model
 
 
 def predict(df: DataFrame, model: Model, keep: list[str], name: str = "probability") -> DataFrame:

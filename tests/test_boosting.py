@@ -110,3 +110,16 @@ def test_learns_and_handles_odd_tables(spark):
     assert B.predict(df.limit(0), empty, ["id"]).collect() == []
     nulls = B.fit(df.withColumn("a", F.expr("if(id % 3 = 0, null, a)")), ["a", "b"], "y", "id", B.Boosting(rounds=2))
     assert B.predict(df.withColumn("a", F.lit(None).cast("double")), nulls, ["id"]).count() == 1500
+
+
+def test_nodes_that_stay_leaves_take_no_pass(spark, monkeypatch):
+    """Their sums stand in the parent's histogram: a tree of depth 3 takes three passes, one of two leaves takes one."""
+    passes, counted = [], B._counted
+    monkeypatch.setattr(B, "_counted", lambda *a: passes.append(a[-2]) or counted(*a))
+    x, y, _ = _data(600, 7)
+    df = _frame(spark, x, y)
+    deep = B.fit(df, ["a", "b", "c"], "y", "id", B.Boosting(rounds=2, max_depth=3, bins=16))
+    assert passes == [0] * 3 + [1] * 3 and all((t.feature < 0).sum() > 4 for t in deep.trees)
+    passes.clear()
+    B.fit(df, ["a", "b", "c"], "y", "id", B.Boosting(rounds=2, max_depth=None, max_leaves=2, bins=16))
+    assert passes == [0, 1]
