@@ -14,11 +14,12 @@ Gain is ``GL^2/(HL+r) + GR^2/(HR+r) - G^2/(H+r)`` (halved), a leaf's value ``-G/
 hessians are summed as whole numbers (units of ``1/SCALE``), so a sum does not depend on how rows are dealt, a lost
 task counted again gives the same tree, and equal gains are settled alike: smaller feature, then smaller bin.
 
-A child that can't be split any more needs no pass: its sums stand in its parent's histogram.
+A child that can't be split any more needs no pass: its sums stand in its parent's histogram. A node whose rows take no more
+bytes than its histogram travels as rows (``few_rows``); the driver counts its children, and nothing below it needs a pass.
 
 Rows and columns are drawn per tree, rows by a hash of id, tree and seed. The first pass of a tree also brings the margins up
-to date and keeps them, so no pass applies earlier trees again; every ``REFRESH`` trees the rows are checkpointed, which
-bounds what a lost task counts again. Sums of a pass are combined by feature chunk in Spark, unless they are few; what
+to date and keeps them, so no pass applies earlier trees again; every ``REFRESH`` trees, and before the first, the rows are checkpointed, which
+bounds what a lost task counts again and what a job carries. Sums of a pass are combined by feature chunk in Spark, unless they are few; what
 comes to the driver is bounded by leaves x features x bins, or by COLLECT_BYTES.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import sys
 from dataclasses import dataclass, field
 
@@ -209,8 +211,19 @@ def _moved(held: RDD, tree: Tree) -> RDD:
     return held.map(move)
 
 
-def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dict[int, int], number: int, s: Boosting) -> np.ndarray:
-    """One pass: the histogram of every requested node over the drawn rows and columns.
+def few_rows(columns: int, s: Boosting) -> int:
+    """Rows that take no more bytes than a histogram: a code per column and two 32-bit sums, against three 64-bit sums per column and bin."""
+    return columns * s.bins * 24 // (columns + 8)
+
+
+def _joined(a, b):
+    """Histograms add up, rows are put together."""
+    return np.add(a, b) if isinstance(a, np.ndarray) else tuple(np.concatenate(x, axis=-1) for x in zip(a, b))
+
+
+def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dict[int, int], whole: dict[int, int], number: int,
+             s: Boosting) -> tuple[np.ndarray, list[tuple]]:
+    """One pass: the histogram of every node in ``slots`` and the rows (codes, gradients, hessians) of every node in ``whole``, over the drawn rows and columns.
 
     The sums of ``tasks`` tasks are added up by Spark, or on the driver where all of them are under COLLECT_BYTES.
     """
@@ -218,6 +231,7 @@ def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dic
 
     def run(parts):
         total = np.zeros((n, len(columns), bins, 3), np.int64)
+        few = []
         for ids, codes, labels, margins in parts:
             g, h = gradients(margins, labels)
             for leaf, rows in _leaf_rows(route, codes, np.flatnonzero(drawn(ids, number, s.seed, s.row_share))):
@@ -228,15 +242,18 @@ def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dic
                         sums[:, 0] += np.bincount(c, gr, bins).astype(np.int64)
                         sums[:, 1] += np.bincount(c, hr, bins).astype(np.int64)
                         sums[:, 2] += np.bincount(c, minlength=bins)
-        return [(c, total[:, c * CHUNK:(c + 1) * CHUNK]) for c in range(chunks)]
+                elif leaf in whole and len(rows):
+                    few.append((~whole[leaf], (codes[np.ix_(columns, rows)], g[rows].astype(np.int32), h[rows].astype(np.int32))))
+        return [(c, total[:, c * CHUNK:(c + 1) * CHUNK]) for c in range(chunks) if n] + few
 
     sums = held.mapPartitions(run)
     if tasks * n * len(columns) * bins * 24 > COLLECT_BYTES:
-        sums = sums.reduceByKey(np.add, min(chunks, tasks))
-    parts: dict[int, np.ndarray] = {}
+        sums = sums.reduceByKey(_joined, min(chunks, tasks))
+    parts: dict = {}
     for c, x in sums.collect():
-        parts[c] = parts.get(c, 0) + x
-    return np.concatenate([parts[c] for c in range(chunks)], axis=1)
+        parts[c] = _joined(parts[c], x) if c in parts else x
+    none = (np.zeros((len(columns), 0), np.uint8), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    return np.concatenate([parts[c] for c in range(chunks)], axis=1) if n else [], [parts.get(~k, none) for k in range(len(whole))]
 
 
 def best_split(hist: np.ndarray, s: Boosting) -> tuple[float, int, int]:
@@ -267,12 +284,18 @@ class _Growing:
         self.kids: dict[int, tuple[int, int]] = {}
         self.parent: dict[int, int] = {}
         self.depth = {0: 0}
+        self.rows: dict[int, tuple] = {}
 
     def counted(self, node: int, hist: np.ndarray) -> None:
         self.hist[node], self.best[node] = hist, best_split(hist, self.s)
         if self.s.max_depth is not None and self.depth[node] >= self.s.max_depth:
             self.best[node] = (0.0, 0, 0)
 
+    def held(self, node: int, rows: tuple) -> None:
+        """A node of which the rows are here."""
+        codes, g, h = self.rows[node] = rows
+        self.counted(node, histogram(codes.T, np.zeros(len(g), np.int64), g, h, 1, self.s.bins)[0])
+
     def route(self, inner: set[int] | None = None) -> tuple[Tree, dict[int, int]]:
         """The tree of the split nodes (all tentative ones, or the accepted), and the places of nodes in it."""
         order, place = [0], {0: 0}
@@ -295,8 +318,8 @@ class _Growing:
         return t, place
 
     def grow(self, count) -> Tree:
-        """``count(growing, nodes)`` gives the histograms of nodes."""
-        self.counted(0, count(self, [0])[0])
+        """``count(growing, nodes, whole)`` gives the histograms of ``nodes`` and the rows of ``whole``."""
+        self.counted(0, count(self, [0], [])[0][0])
         limit = self.s.max_leaves or math.inf
         accepted: set[int] = set()
         heap = [(-self.best[0][0], 0)]
@@ -304,36 +327,55 @@ class _Growing:
             gain, node = heapq.heappop(heap)
             if gain >= 0:
                 break
-            if node not in self.kids or self.kids[node][0] not in self.hist:
-                self._count_children([node, *(x for _, x in sorted(heap))], limit - len(accepted) - 1, count)
+            leaves, room = [node, *(x for _, x in sorted(heap))], limit - len(accepted) - 1
+            if node not in self.kids:
+                self._split(leaves, room)
+            if self.kids[node][0] not in self.hist:
+                self._count_children(leaves, room, count)
             accepted.add(node)
             for k in self.kids[node]:
                 heapq.heappush(heap, (-self.best[k][0], k))
         return self.route(accepted)[0]
 
-    def _count_children(self, leaves: list[int], room: float, count) -> None:
-        """Split the leaves that could be next and count their children in one pass, but those that stay leaves."""
+    def _split(self, leaves: list[int], room: float) -> None:
+        """Split the leaves that could be next, tentatively."""
         todo = [x for x in leaves if x not in self.kids and self.best[x][0] > 0]
-        todo = todo[:int(min(room, len(todo)))]
-        small = {}
-        for x in todo:
+        for x in todo[:int(min(room, len(todo)))]:
             a = 1 + 2 * len(self.kids)
             self.kids[x] = (a, a + 1)
             self.parent[a] = self.parent[a + 1] = x
             self.depth[a] = self.depth[a + 1] = self.depth[x] + 1
-            _, f, b = self.best[x]
-            n_left = self.hist[x][f, :b + 1, 2].sum()
-            small[x] = 0 if 2 * n_left <= self.hist[x][f, :, 2].sum() else 1
-        final = [x for x in todo if room == 1 or self.depth[x] + 1 == self.s.max_depth]
-        for x in final:
-            _, f, b = self.best[x]
+
+    def _count_children(self, leaves: list[int], room: float, count) -> None:
+        """Count the children of the first leaf: from its own histogram or rows, or in a pass, with those of the others that need one."""
+        last = lambda x: room == 1 or self.depth[x] + 1 == self.s.max_depth
+        x = leaves[0]
+        _, f, b = self.best[x]
+        if last(x):
             left, all_ = self.hist[x][f, :b + 1].sum(0), self.hist[x][f].sum(0)
             for k, sums in zip(self.kids[x], (left, all_ - left)):
                 self.hist[k], self.best[k] = sums.reshape(1, 1, 3), (0.0, 0, 0)
-        todo = [x for x in todo if x not in final]
-        if not todo:
             return
-        got = count(self, [self.kids[x][small[x]] for x in todo])
+        if x in self.rows:
+            codes, g, h = self.rows[x]
+            left = codes[f] <= b
+            for k, side in zip(self.kids[x], (left, ~left)):
+                self.held(k, (codes[:, side], g[side], h[side]))
+            return
+        todo = [x for x in leaves if x in self.kids and self.kids[x][0] not in self.hist and x not in self.rows and not last(x)]
+        todo = todo[:int(min(room, len(todo)))]
+        small = {}
+        for x in todo:
+            _, f, b = self.best[x]
+            n_left = self.hist[x][f, :b + 1, 2].sum()
+            small[x] = 0 if 2 * n_left <= self.hist[x][f, :, 2].sum() else 1
+        most = few_rows(len(self.columns), self.s)
+        whole = [x for x in todo if self.hist[x][0, :, 2].sum() <= most]
+        todo = [x for x in todo if x not in whole]
+        kids = [k for x in whole for k in self.kids[x]]
+        got, rows = count(self, [self.kids[x][small[x]] for x in todo], kids)
+        for k, x in zip(kids, rows):
+            self.held(k, x)
         for x, hist in zip(todo, got):
             k = self.kids[x]
             self.counted(k[small[x]], hist)
@@ -362,16 +404,18 @@ def fit(train: DataFrame, features: list[str], label: str, id_col: str, settings
     rows = _blocks(train, model, label, id_col).rdd.map(tuple)
     tasks = min(rows.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
     held = rows.coalesce(tasks).mapPartitions(lambda blocks: _held(blocks, width)).persist(StorageLevel.MEMORY_AND_DISK)
+    shared_dir(spark)
+    held.checkpoint()
     for number in range(settings.rounds):
         columns = columns_of(number, width, settings)
 
-        def count(growing, nodes):
-            route, place = growing.route()
-            return _counted(held, tasks, columns, route, {place[x]: k for k, x in enumerate(nodes)}, number, settings)
+        def count(growing, nodes, whole):
+            route, place = growing.route(set(growing.kids) - set(growing.rows))
+            slots, few = ({place[x]: k for k, x in enumerate(some)} for some in (nodes, whole))
+            return _counted(held, tasks, columns, route, slots, few, number, settings)
 
         before, grown = (None, held) if not model.trees else (held, _moved(held, model.trees[-1]).persist(StorageLevel.MEMORY_AND_DISK))
         if number and number % REFRESH == 0:
-            shared_dir(spark)
             grown.checkpoint()
         held = grown
         model.trees.append(_Growing(columns, settings).grow(count))
@@ -383,11 +427,11 @@ def fit(train: DataFrame, features: list[str], label: str, id_col: str, settings
 
 def predict(df: DataFrame, model: Model, keep: list[str], name: str = "probability") -> DataFrame:
     """The ``keep`` columns plus the probability of label 1 (the model goes to every task: trees x leaves nodes)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # with its class: workers need no installed package
     inner = [f"__x{i}" for i in range(len(model.features))]
 
     def run(batches):
-        m = shared.value
+        m = pickle.loads(shared.value)
         for b in batches:
             p = 1 / (1 + np.exp(-m.margins(m.codes(_matrix(b, inner)))))
             yield pa.RecordBatch.from_arrays([*[b[f"__k{i}"] for i in range(len(keep))], pa.array(p)], names=[*keep, name])

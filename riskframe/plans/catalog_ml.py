@@ -6,6 +6,9 @@ A model is fitted by the first query that needs it and kept for the others of th
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as S
@@ -90,7 +93,11 @@ def _run(spark, d, name):
 
 
 def _runs(spark, d):
-    return _run(spark, d, "gbt_a").unionByName(_run(spark, d, "gbt_b")).unionByName(_run(spark, d, "iforest"))
+    """The runs of all three models, which are fitted at the same time: most passes are short and leave cores idle."""
+    _prepared(spark, d)
+    with ThreadPoolExecutor(3) as pool:
+        a, b, c = pool.map(inheritable_thread_target(spark)(lambda name: _run(spark, d, name)), ("gbt_a", "gbt_b", "iforest"))
+    return a.unionByName(b).unionByName(c)
 
 
 @register("ml_01_stratified_split", W("train") + """

@@ -1,12 +1,18 @@
 """Boosted trees on histograms against a plain one-process version."""
 
 import math
+import os
+import subprocess
+import sys
+import threading
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from riskframe.operators import boosting as B
+from riskframe.plans import catalog_ml as C
 
 SCHEMA = "id long, y int, a double, b double, c double"
 
@@ -123,3 +129,49 @@ def test_nodes_that_stay_leaves_take_no_pass(spark, monkeypatch):
     passes.clear()
     B.fit(df, ["a", "b", "c"], "y", "id", B.Boosting(rounds=2, max_depth=None, max_leaves=2, bins=16))
     assert passes == [0, 1]
+
+
+@pytest.mark.parametrize("collect", [0, 1 << 25])
+def test_small_nodes_travel_as_rows(spark, collect, monkeypatch):
+    """Nothing below them takes a pass, and the trees are those that passes give."""
+    monkeypatch.setattr(B, "COLLECT_BYTES", collect)
+    passes, counted = [], B._counted
+    monkeypatch.setattr(B, "_counted", lambda *a: passes.append(a[-2]) or counted(*a))
+    x, y, _ = _data(400, 11)
+    df = _frame(spark, x, y)
+    s = B.Boosting(rounds=3, max_depth=None, max_leaves=25, regularisation=0.0, min_hessian=1e-3, row_share=0.9)
+    assert B.few_rows(3, s) > 400
+    a = B.fit(df, ["a", "b", "c"], "y", "id", s)
+    assert passes == [0, 0, 1, 1, 2, 2] and all((t.feature < 0).sum() > 12 for t in a.trees)
+    passes.clear()
+    monkeypatch.setattr(B, "few_rows", lambda columns, s: -1)
+    b = B.fit(df, ["a", "b", "c"], "y", "id", s)
+    assert len(passes) > 9 and [_listed(t) for t in a.trees] == [_listed(t) for t in b.trees]
+
+
+def test_a_model_loads_where_the_package_is_not():
+    model = B.Model(["a"], [np.array([0.5])], 0.25)
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer).base)"
+    got = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(model), capture_output=True, cwd="/",
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert got.stdout.strip() == b"0.25", got.stderr
+
+
+def test_prediction_ships_the_class_of_a_model(spark, monkeypatch):
+    sent, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: sent.append(x) or broadcast(x))
+    df = _frame(spark, *_data(20, 2)[:2])
+    assert B.predict(df, B.Model(["a"], [np.zeros(0)], 0.0), ["id"]).where("probability = 0.5").count() == 20
+    assert all(isinstance(x, bytes) for x in sent) and sent
+
+
+def test_the_models_of_the_runs_are_fitted_at_the_same_time(spark, monkeypatch):
+    together = threading.Barrier(3, timeout=20)
+
+    def run(spark, d, name):
+        together.wait()
+        return spark.createDataFrame([(name,)], "model string")
+
+    monkeypatch.setattr(C, "_prepared", lambda spark, d: None)
+    monkeypatch.setattr(C, "_run", run)
+    assert [r[0] for r in C._runs(spark, "").collect()] == ["gbt_a", "gbt_b", "iforest"]
