@@ -27,6 +27,8 @@ SPACE_BYTES = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 20
 #: Rows per Arrow batch handed to Python: bounds a batch by rows times the longest text.
 ARROW_ROWS = 1000
+#: Rows of a few numbers that are worth a file of their own.
+FILE_ROWS = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -55,6 +57,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_files(df: DataFrame, rows: int, most: int = FILE_ROWS) -> DataFrame:
+    """``df`` in a task per ``most`` of its ``rows`` (or whatever measures the work), or in as many as run at a time, where its shuffle has more.
+
+    A small table is not a file for every partition: on local disks each file costs an executor processes to set its permissions.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most)))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` begins with it."""
     while any(c.lower().startswith(name.lower()) for c in df.columns):
@@ -175,13 +185,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``links``: (node, component), the smallest id that links reach.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each is one group-by whose output is no
-    larger than the links, the stars halve the paths, and every round is written to the shared folder. A node
+    larger than the links, the stars halve the paths, and every round is written to the shared folder, in files by its size. A node
     with very many neighbours is a group only in the sense of a ``min`` aggregate and a join on it, both of which
     Spark can split. Empty input gives an empty frame.
     """
     spark = links.sparkSession
     edges = (links.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u <> v").distinct())
-    edges = stored(edges, "cc")
+    n = links.count()
+    edges = stored(few_files(edges, n), "cc")
     state = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -193,7 +204,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (large.join(low, "v").select(F.col("m").alias("p"), "u", "v")
                  .selectExpr("inline(array(struct(p, u as c), struct(p, v as c)))").where("p <> c").distinct()
                  .select(F.col("p").alias("u"), F.col("c").alias("v")))
-        small = stored(small, "cc")
+        small = stored(few_files(small, n), "cc")
         now = tuple(small.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break

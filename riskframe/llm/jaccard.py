@@ -34,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import (components, mix, release, shingle_hashes, shuffle_parts, small_batches, stored, text_slices,
+from riskframe.llm.common import (components, few_files, mix, release, shingle_hashes, shuffle_parts, small_batches, stored, text_slices,
                                   unused, word_hashes)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,6 +44,8 @@ PERCENT = 80
 #: Shingles of a block (memory of a task), and postings of a bucket of lists.
 BLOCK_SHINGLES = 500_000
 BUCKET_POSTINGS = 250_000
+#: Shingles of the sets that a task compares (64 MB of hashes).
+COMPARED_SHINGLES = 8_000_000
 #: Lists up to this length give all their pairs.
 SHORT_LIST = 24
 #: Shingles in at least this many texts are ordered last; a hint that is bounded by MAX_FREQUENT and changes no result.
@@ -227,7 +229,7 @@ def candidates(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], total: int
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(often)
     posted = docs.mapInArrow(_postings(shared, buckets(docs, total)), "bucket int, key binary, sig binary, n binary, pos binary")
-    return posted.groupBy("bucket").applyInArrow(_candidates, PAIR)
+    return few_files(posted.groupBy("bucket").applyInArrow(_candidates, PAIR), total, 5 * BUCKET_POSTINGS)
 
 
 def set_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -252,13 +254,13 @@ def set_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 BROADCAST_IDS = 1_000_000
 
 
-def overlaps(docs: DataFrame, pairs: DataFrame, homes: DataFrame, name: str) -> DataFrame:
-    """(a, b, na, nb, common) of pairs, stored; ``homes`` has one document per signature."""
+def overlaps(docs: DataFrame, pairs: DataFrame, homes: DataFrame, shingles: int, name: str) -> DataFrame:
+    """(a, b, na, nb, common) of pairs, stored; ``homes`` has one document per signature, ``shingles`` is about what the sets of all pairs have."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     sets = set_rows(docs, homes.join(used, "sig").select("sig", "doc_id"))
     left, right = sets.toDF("a", "ga"), sets.toDF("b", "gb")
     out = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("common"))
-    return stored(out, name)
+    return stored(few_files(out, shingles, COMPARED_SHINGLES), name)
 
 
 def linked(df: DataFrame) -> DataFrame:
@@ -309,13 +311,15 @@ def groups(df: DataFrame) -> DataFrame:
     found = stored(candidates(docs, often, total), "jaccard-candidates")
     release(spark)
     pairs = found.where("key IS NULL").groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
-    exact = overlaps(docs, pairs, homes, "jaccard-overlaps")
+    size = F.coalesce(F.sum(F.col("na") + F.col("nb")), F.lit(0))
+    exact = overlaps(docs, pairs, homes, found.where("key IS NULL").select(size).first()[0], "jaccard-overlaps")
     links = linked(exact)
     parts = components(links)
     lists = found.where("key IS NOT NULL")
     if not lists.isEmpty():
         rest = stored(cross_pairs(lists, exact, parts).join(exact.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-rest")
-        more = overlaps(docs, rest.where("NOT settled").select("a", "b", "na", "nb"), homes, "jaccard-overlaps")
+        open_ = rest.where("NOT settled")
+        more = overlaps(docs, open_.select("a", "b", "na", "nb"), homes, open_.select(size).first()[0], "jaccard-overlaps")
         more = linked(more).unionByName(rest.where("settled").select("a", "b"))
         if not more.isEmpty():
             parts = components(links.unionByName(more))
@@ -333,6 +337,8 @@ def keep_one(df: DataFrame) -> DataFrame:
     """
     keep = unused(df, "__keep")
     kept = groups(df).where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
+    kept = stored(few_files(kept, df.count()), "jaccard-kept")
+    kept = F.broadcast(kept) if kept.count() <= BROADCAST_IDS else kept  # then the texts take no shuffle
     return df.join(kept, F.col("doc_id") == F.col(keep), "left").where(F.col("doc_id").isNull() | F.col(keep).isNotNull()).drop(keep)
 
 

@@ -304,3 +304,30 @@ def test_pq_recall_and_bad_vectors(spark):
     assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
     assert got[5004]["component_id"] == 0 and not got[5004]["kept"]
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (5000, 5001, 5002, 5003, 5005, 5006)) and len(got) == len(data)
+
+
+def test_small_tables_are_not_a_file_for_every_partition(spark, texts, monkeypatch):
+    """Rounds of components, overlaps and kept ids are written by as many tasks as run at a time, whatever the shuffle partitions; texts take no shuffle."""
+    from pathlib import Path
+
+    from riskframe.llm import common, jaccard
+
+    paths, scratch = [], common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    near = [(f"{t} {k}") for t in list(texts.values())[:60] for k in range(3)]
+    df = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string").repartition(2)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        kept = jaccard.keep_one(df)
+        n = {p: len([*Path(p.removeprefix("file:")).glob("part-*")]) for p in paths}
+        assert any("llm-cc" in p for p in n) and any("jaccard-overlaps" in p for p in n)
+        assert max(n.values()) <= spark.sparkContext.defaultParallelism, n
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert 0 < kept.count() < len(near)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
