@@ -1,7 +1,9 @@
 """Second-order boosted trees on histograms, depth-wise or leaf-wise (ML-02, ML-03).
 
-Features are cut into quantile bins once, over all rows. Rows travel as blocks: one table row holds the bins, label,
-margin and id hashes of up to ``BLOCK_ROWS`` rows, so a pass over the data is a few array operations per block.
+Features are cut into quantile bins once, over all rows. Rows travel as blocks: one table row holds the bins, labels and
+id hashes of up to ``BLOCK_ROWS`` rows, so a pass over the data is a few array operations per block. The bins of several
+features lie together in one joint code (``Joint``, at most ``JOINT`` values), and a row's hessian and its count in one
+number, so a pass counts two sums per joint code, not three per feature; a feature's own sums follow by adding up.
 
 A tree grows best-first. The driver holds splits only; Spark adds up, for the leaves in question, gradient, hessian and row
 counts per feature and bin. One pass serves all leaves that could be split next: the smaller child of each is counted,
@@ -18,7 +20,8 @@ A child that can't be split any more needs no pass: its sums stand in its parent
 bytes than its histogram travels as rows (``few_rows``); the driver counts its children, and nothing below it needs a pass.
 
 Rows and columns are drawn per tree, rows by a hash of id, tree and seed. The first pass of a tree also brings the margins up
-to date and keeps them, so no pass applies earlier trees again; every ``REFRESH`` trees, and before the first, the rows are checkpointed, which
+to date and keeps them with the gradients, so no pass applies earlier trees or computes gradients again; every ``REFRESH`` trees the margins are
+checkpointed, as the blocks are before the first (``Binned``, which several fits on the same rows share). That
 bounds what a lost task counts again and what a job carries. Sums of a pass are combined by feature chunk in Spark, unless they are few; what
 comes to the driver is bounded by leaves x features x bins, or by COLLECT_BYTES.
 """
@@ -34,6 +37,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel, cloudpickle
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +50,10 @@ BLOCK_ROWS = 4096
 REFRESH = 20
 CHUNK = 16
 COLLECT_BYTES = 32 << 20
-#: Rows that a task works on at a time, and that are worth a task of their own.
-HELD_ROWS, TASK_ROWS = 1 << 18, 1 << 15
+#: Rows that a task works on at a time, that are worth a task of their own, and that a task has at most.
+HELD_ROWS, TASK_ROWS, FULL_ROWS = 1 << 19, 1 << 15, 1 << 22
+#: Values of a joint code. Bit from which a packed sum counts rows; of PACKED_ROWS rows the hessians stay below it, and all of it is exact in a double.
+JOINT, PACK, PACKED_ROWS = 4096, 37, (1 << 15) - 1
 #: Accuracy of the quantile sketch: ranks are off by at most rows / SKETCH.
 SKETCH = 10_000
 
@@ -77,6 +83,9 @@ class Tree:
     right: np.ndarray
     value: np.ndarray
 
+    def arrays(self) -> tuple:
+        return self.feature, self.bin, self.left, self.right, self.value
+
     def leaves(self, codes: np.ndarray) -> np.ndarray:
         """Leaf of each row of bin codes."""
         at = np.zeros(len(codes), np.int64)
@@ -89,6 +98,29 @@ class Tree:
             go = codes[rows, np.maximum(f, 0)] <= self.bin[at]
             at = np.where(inner, np.where(go, self.left[at], self.right[at]), at)
 
+    def leaf_rows(self, goes_left, rows: np.ndarray, wanted=None):
+        """(leaf, its rows) of the wanted leaves, or of all; ``goes_left(node, rows)`` tells which rows do. Nothing is done for branches without rows or wanted leaves."""
+        need = np.ones(len(self.feature), bool)
+        if wanted is not None:
+            need[:] = False
+            need[list(wanted)] = True
+            for x in range(len(need) - 1, -1, -1):    # children stand behind their parents
+                if self.feature[x] >= 0:
+                    need[x] = need[self.left[x]] or need[self.right[x]]
+        todo = [(0, rows)] if need[0] else []
+        while todo:
+            x, rows = todo.pop()
+            if not len(rows):
+                continue
+            if self.feature[x] < 0:
+                yield x, rows
+                continue
+            go = goes_left(x, rows)
+            if need[self.left[x]]:
+                todo.append((self.left[x], rows.take(np.flatnonzero(go))))
+            if need[self.right[x]]:
+                todo.append((self.right[x], rows.take(np.flatnonzero(~go))))
+
 
 @dataclass
 class Model:
@@ -106,7 +138,13 @@ class Model:
         return out
 
     def margins(self, codes: np.ndarray) -> np.ndarray:
-        return self.base + sum((t.value[t.leaves(codes)] for t in self.trees), np.zeros(len(codes)))
+        lines, rows, total = np.ascontiguousarray(codes.T), np.arange(len(codes)), np.zeros(len(codes))
+        for t in self.trees:
+            value = np.zeros(len(codes))
+            for leaf, some in t.leaf_rows(lambda x, r, t=t: lines[t.feature[x]].take(r) <= t.bin[x], rows):
+                value[some] = t.value[leaf]
+            total = total + value
+        return self.base + total
 
 
 def _matrix(batch: pa.RecordBatch, features: list[str]) -> np.ndarray:
@@ -122,21 +160,59 @@ def quantile_edges(train: DataFrame, features: list[str], bins: int) -> list[np.
     return [np.unique(np.array([v for v in (row[i] or []) if v is not None], np.float64)) for i in range(len(features))]
 
 
-BLOCK_SCHEMA = "ids binary, codes binary, labels binary, margins binary"
+class Joint:
+    """Features put together into codes of at most JOINT values: ``groups[k]`` lists the features of code k."""
+
+    def __init__(self, edges: list[np.ndarray]):
+        self.sizes = [len(e) + 1 for e in edges]
+        self.groups, self.values = [], []
+        self.group, self.stride = [0] * len(edges), [1] * len(edges)
+        for f in sorted(range(len(edges)), key=lambda f: -self.sizes[f]):
+            k = next((k for k, v in enumerate(self.values) if v * self.sizes[f] <= JOINT), len(self.values))
+            if k == len(self.values):
+                self.groups.append([])
+                self.values.append(1)
+            self.group[f], self.stride[f] = k, self.values[k]
+            self.groups[k].append(f)
+            self.values[k] *= self.sizes[f]
+
+    def joined(self, codes: np.ndarray) -> np.ndarray:
+        """A line of joint codes per group, from a row of bins per table row."""
+        out = np.zeros((len(self.groups), len(codes)), np.uint16)
+        for f, (k, stride) in enumerate(zip(self.group, self.stride)):
+            out[k] += codes[:, f].astype(np.uint16) * np.uint16(stride)
+        return out
+
+    def bins(self, f: int) -> np.ndarray:
+        """The feature's bin in every value of its code."""
+        return np.arange(self.values[self.group[f]]) // self.stride[f] % self.sizes[f]
+
+    def left(self, tree: Tree, codes: np.ndarray):
+        """For Tree.leaf_rows: which rows go left at a node."""
+        tables: dict = {}
+
+        def go(x, rows):
+            f = tree.feature[x]
+            if x not in tables:
+                tables[x] = self.bins(f) <= tree.bin[x]
+            return tables[x].take(codes[self.group[f]].take(rows))
+        return go
+
 
+BLOCK_SCHEMA = "ids binary, codes binary, labels binary"
 
-def _blocks(train: DataFrame, model: Model, label: str, id_col: str) -> DataFrame:
+
+def _blocks(train: DataFrame, model: Model, joint: Joint, label: str, id_col: str) -> DataFrame:
     features = model.features
 
     def run(batches):
         for b in batches:
             for s in range(0, b.num_rows, BLOCK_ROWS):
                 part = b.slice(s, BLOCK_ROWS)
-                codes = model.codes(_matrix(part, features))
+                codes = joint.joined(model.codes(_matrix(part, features)))
                 ids = part["__id"].to_numpy().astype(np.int64)
                 y = part["__y"].to_numpy(zero_copy_only=False).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (
-                    ids, codes, y, np.full(len(y), model.base))], names=["ids", "codes", "labels", "margins"])
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (ids, codes, y)], names=["ids", "codes", "labels"])
 
     rows = train.select(F.xxhash64(id_col).alias("__id"), F.col(label).cast("int").alias("__y"), *[F.col(f).cast("double").alias(f) for f in features])
     return rows.mapInArrow(run, BLOCK_SCHEMA)
@@ -169,17 +245,17 @@ def histogram(codes: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray,
     return np.stack(out, -1).astype(np.int64).reshape(slots, width, bins, 3)
 
 
-def _held(blocks, width: int):
-    """The blocks of a task put together: (ids, codes with a feature's lying together, labels, margins) of up to HELD_ROWS rows or a block more."""
+def _held(blocks, groups: int):
+    """The blocks of a task put together: (joint codes, ids, labels) of up to HELD_ROWS rows or a block more."""
     parts, n = [], 0
 
     def together():
-        ids, codes, labels, margins = zip(*parts)
-        return np.concatenate(ids), np.concatenate([c.T for c in codes], axis=1), np.concatenate(labels), np.concatenate(margins)
+        codes, ids, labels = zip(*parts)
+        return np.concatenate(codes, axis=1), np.concatenate(ids), np.concatenate(labels)
 
-    for ids, codes, labels, margins in blocks:
-        parts.append((np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8).reshape(-1, width), np.frombuffer(labels, np.uint8), np.frombuffer(margins, np.float64)))
-        n += len(parts[-1][0])
+    for ids, codes, labels in blocks:
+        parts.append((np.frombuffer(codes, np.uint16).reshape(groups, -1), np.frombuffer(ids, np.int64), np.frombuffer(labels, np.uint8)))
+        n += len(parts[-1][1])
         if n >= HELD_ROWS:
             yield together()
             parts, n = [], 0
@@ -187,28 +263,88 @@ def _held(blocks, width: int):
         yield together()
 
 
-def _leaf_rows(tree: Tree, codes: np.ndarray, rows: np.ndarray):
-    """(leaf, its rows) for the given rows; ``codes`` has a line per feature."""
-    todo = [(0, rows)]
-    while todo:
-        x, rows = todo.pop()
-        if tree.feature[x] < 0:
-            yield x, rows
-        else:
-            go = codes[tree.feature[x]][rows] <= tree.bin[x]
-            todo += [(tree.left[x], rows[go]), (tree.right[x], rows[~go])]
+def _remote(code, name: str, *args):
+    """A function of tasks that carries its arguments only: the functions themselves went out once, in the broadcast ``code``.
+
+    With its classes, a function pickled by value takes tens of milliseconds and kilobytes, and a job carries those of all trees since the last checkpoint.
+    """
+    def run(x):
+        if not hasattr(code, "functions"):
+            code.functions = pickle.loads(code.value)
+        return code.functions[name](x, *args)
+
+    return run
+
+
+def _kept(rdd: RDD) -> RDD:
+    """Kept as bytes that need no unpacking, one element to a batch, so that such RDDs can be zipped as they are."""
+    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def _moved(held: RDD, tree: Tree) -> RDD:
-    """The rows with the margins after one more tree, of the rows not drawn too."""
-    def move(x):
-        ids, codes, labels, margins = x
-        margins = margins.copy()
-        for leaf, rows in _leaf_rows(tree, codes, np.arange(len(ids))):
-            margins[rows] += tree.value[leaf]
-        return ids, codes, labels, margins
+def _state(margins: np.ndarray, ids: np.ndarray, labels: np.ndarray, number: int, seed: int, share: float) -> tuple:
+    """(margins, gradients, hessians) before a tree; rows that are not drawn have a hessian of -1."""
+    g, h = gradients(margins, labels)
+    if share < 1:
+        h = np.where(drawn(ids, number, seed, share), h, -1)
+    return margins, g.astype(np.int32), h.astype(np.int32)
 
-    return held.map(move)
+
+def _start(x: tuple, base: float, *draw) -> tuple:
+    return _state(np.full(len(x[0]), base), *x, *draw)
+
+
+def _move(x: tuple, joint: Joint, tree: tuple, *draw) -> tuple:
+    (codes, (ids, labels)), (margins, _, _) = x
+    margins, tree = margins.copy(), Tree(*tree)
+    for leaf, rows in tree.leaf_rows(joint.left(tree, codes), np.arange(len(ids))):
+        margins[rows] += tree.value[leaf]
+    return _state(margins, ids, labels, *draw)
+
+
+class Binned:
+    """The labeled rows of fits with the same bins: edges, base rate, and blocks of joint codes (``codes``), ids and labels (``rest``) in Spark."""
+
+    def __init__(self, train: DataFrame, features: list[str], label: str, id_col: str, bins: int = 64):
+        if not 2 <= bins <= 256:
+            raise ValueError("bins must lie between 2 and 256")
+        spark = train.sparkSession
+        train = train.where(F.col(label).isNotNull())
+        n, positive = train.agg(F.count(F.lit(1)), F.sum(F.col(label).cast("int"))).first()
+        share = min(max((positive or 0) / max(n, 1), 1e-6), 1 - 1e-6)
+        self.bins, self.rows, self.features, self.base = bins, n, list(features), math.log(share / (1 - share))
+        self.edges = [np.zeros(0)] * len(features)
+        if not n or not features:
+            return
+        most = max(spark.sparkContext.defaultParallelism, -(-n // FULL_ROWS))
+        self.edges = quantile_edges(train.coalesce(most), features, bins)   # one task merges the sketches of all
+        self.joint = joint = Joint(self.edges)
+        rows = _blocks(train, self.model(), joint, label, id_col).rdd.map(tuple)
+        self.tasks = min(rows.getNumPartitions(), most, -(-n // TASK_ROWS))
+        groups = len(joint.groups)
+        both = rows.coalesce(self.tasks).mapPartitions(lambda blocks: _held(blocks, groups)).persist(StorageLevel.DISK_ONLY)
+        shared_dir(spark)
+        both.checkpoint()
+        both.count()
+        both.unpersist()
+        self.codes, self.rest = _kept(both.map(lambda x: x[0])), _kept(both.map(lambda x: x[1:]))
+        move, count = (lambda x, *a, f=f: f(x, joint, *a) for f in (_move, _count))
+        self.code = spark.sparkContext.broadcast(cloudpickle.dumps({"start": _start, "move": move, "count": count}))
+
+    def model(self) -> Model:
+        return Model(list(self.features), self.edges, self.base)
+
+    def release(self) -> None:
+        if self.rows and self.features:
+            self.codes.unpersist()
+            self.rest.unpersist()
+            self.code.unpersist()
+
+    def before(self, number: int, s: Boosting, trees: list[Tree], last: RDD | None) -> RDD:
+        """The state of the rows before a tree, from that before the last one; the margins of rows that were not drawn follow too."""
+        draw = number, s.seed, s.row_share
+        if last is None:
+            return _kept(self.rest.map(_remote(self.code, "start", self.base, *draw)))
+        return _kept(self.codes.zip(self.rest).zip(last).map(_remote(self.code, "move", trees[-1].arrays(), *draw)))
 
 
 def few_rows(columns: int, s: Boosting) -> int:
@@ -221,34 +357,49 @@ def _joined(a, b):
     return np.add(a, b) if isinstance(a, np.ndarray) else tuple(np.concatenate(x, axis=-1) for x in zip(a, b))
 
 
-def _counted(held: RDD, tasks: int, columns: np.ndarray, route: Tree, slots: dict[int, int], whole: dict[int, int], number: int,
+def _add(sums: list[tuple], codes: np.ndarray, groups: list[int], rows: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+    """Add rows to the (gradient, hessian, count) sums of every joint code in ``groups``."""
+    for a in range(0, len(rows), PACKED_ROWS):
+        some = rows[a:a + PACKED_ROWS]
+        gs, packed = g.take(some).astype(np.float64), h.take(some) + float(1 << PACK)
+        for k, (sum_g, sum_h, count) in zip(groups, sums):
+            c = codes[k].take(some).astype(np.intp)
+            sum_g += np.bincount(c, gs, len(sum_g))
+            both = np.bincount(c, packed, len(sum_g)).astype(np.int64)
+            sum_h += both & ((1 << PACK) - 1)
+            count += both >> PACK
+
+
+def _count(parts, joint: Joint, columns: list[int], route: tuple, slots: dict[int, int], whole: dict[int, int], bins: int) -> list[tuple]:
+    """What a task of a pass gives: (feature chunk, sums of the nodes in ``slots``), and (its number, rows) of those in ``whole``."""
+    groups, n, route = sorted({joint.group[f] for f in columns}), len(slots), Tree(*route)
+    sums = [[tuple(np.zeros(joint.values[k], t) for t in (np.float64, np.int64, np.int64)) for k in groups] for _ in range(n)]
+    few, of = [], {f: joint.bins(f) for f in columns}
+    for codes, (_, g, h) in parts:
+        for leaf, rows in route.leaf_rows(joint.left(route, codes), np.flatnonzero(h >= 0), {*slots, *whole}):
+            if leaf in slots:
+                _add(sums[slots[leaf]], codes, groups, rows, g, h)
+            else:
+                own = np.array([of[f].take(codes[joint.group[f]].take(rows)) for f in columns], np.uint8).reshape(len(columns), -1)
+                few.append((~whole[leaf], (own, g.take(rows), h.take(rows))))
+    total = np.zeros((n, len(columns), bins, 3), np.int64)
+    for i in range(n):
+        for j, f in enumerate(columns):
+            for t, x in enumerate(sums[i][groups.index(joint.group[f])]):
+                total[i, j, :, t] = np.bincount(of[f], x, bins)
+    return [(c // CHUNK, total[:, c:c + CHUNK]) for c in range(0, max(1, len(columns)), CHUNK) if n] + few
+
+
+def _counted(held: RDD, data: Binned, columns: np.ndarray, route: Tree, slots: dict[int, int], whole: dict[int, int], number: int,
              s: Boosting) -> tuple[np.ndarray, list[tuple]]:
     """One pass: the histogram of every node in ``slots`` and the rows (codes, gradients, hessians) of every node in ``whole``, over the drawn rows and columns.
 
-    The sums of ``tasks`` tasks are added up by Spark, or on the driver where all of them are under COLLECT_BYTES.
+    ``held`` are the rows with their state before tree ``number``. The sums of all tasks are added up by Spark, or on the driver where all of them are under COLLECT_BYTES.
     """
     n, bins, chunks = len(slots), s.bins, max(1, -(-len(columns) // CHUNK))
-
-    def run(parts):
-        total = np.zeros((n, len(columns), bins, 3), np.int64)
-        few = []
-        for ids, codes, labels, margins in parts:
-            g, h = gradients(margins, labels)
-            for leaf, rows in _leaf_rows(route, codes, np.flatnonzero(drawn(ids, number, s.seed, s.row_share))):
-                if leaf in slots:
-                    gr, hr = g[rows], h[rows]
-                    for sums, f in zip(total[slots[leaf]], columns):
-                        c = codes[f][rows].astype(np.intp)
-                        sums[:, 0] += np.bincount(c, gr, bins).astype(np.int64)
-                        sums[:, 1] += np.bincount(c, hr, bins).astype(np.int64)
-                        sums[:, 2] += np.bincount(c, minlength=bins)
-                elif leaf in whole and len(rows):
-                    few.append((~whole[leaf], (codes[np.ix_(columns, rows)], g[rows].astype(np.int32), h[rows].astype(np.int32))))
-        return [(c, total[:, c * CHUNK:(c + 1) * CHUNK]) for c in range(chunks) if n] + few
-
-    sums = held.mapPartitions(run)
-    if tasks * n * len(columns) * bins * 24 > COLLECT_BYTES:
-        sums = sums.reduceByKey(_joined, min(chunks, tasks))
+    sums = held.mapPartitions(_remote(data.code, "count", columns.tolist(), route.arrays(), slots, whole, bins))
+    if data.tasks * n * len(columns) * bins * 24 > COLLECT_BYTES:
+        sums = sums.reduceByKey(_joined, min(chunks, data.tasks))
     parts: dict = {}
     for c, x in sums.collect():
         parts[c] = _joined(parts[c], x) if c in parts else x
@@ -388,40 +539,34 @@ def columns_of(tree: int, width: int, s: Boosting) -> np.ndarray:
     return np.sort(np.random.default_rng([s.seed, tree]).permutation(width)[:n])
 
 
-def fit(train: DataFrame, features: list[str], label: str, id_col: str, settings: Boosting = Boosting()) -> Model:
-    """Boosted trees for a 0/1 label (rows without a label don't take part; without rows or features the model is the base rate)."""
-    if not 2 <= settings.bins <= 256:
-        raise ValueError("bins must lie between 2 and 256")
-    spark = train.sparkSession
-    train = train.where(F.col(label).isNotNull())
-    n, positive = train.agg(F.count(F.lit(1)), F.sum(F.col(label).cast("int"))).first()
-    share = min(max((positive or 0) / max(n, 1), 1e-6), 1 - 1e-6)
-    base, width = math.log(share / (1 - share)), len(features)
-    if not n or not width:
-        return Model(list(features), [np.zeros(0)] * width, base)
-    model = Model(list(features), quantile_edges(train, features, settings.bins), base)
-
-    rows = _blocks(train, model, label, id_col).rdd.map(tuple)
-    tasks = min(rows.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
-    held = rows.coalesce(tasks).mapPartitions(lambda blocks: _held(blocks, width)).persist(StorageLevel.MEMORY_AND_DISK)
-    shared_dir(spark)
-    held.checkpoint()
-    for number in range(settings.rounds):
+def fit(train: DataFrame, features: list[str], label: str, id_col: str, settings: Boosting = Boosting(), binned: Binned | None = None) -> Model:
+    """Boosted trees for a 0/1 label (rows without a label don't take part; without rows or features the model is the base rate).
+
+    ``binned``: the same rows and features, prepared once for several fits; the caller releases it.
+    """
+    data = binned or Binned(train, features, label, id_col, settings.bins)
+    if data.bins != settings.bins or data.features != list(features):
+        raise ValueError("the rows were prepared for other bins or features")
+    model, width, held = data.model(), len(features), None
+    for number in range(settings.rounds if data.rows and width else 0):
         columns = columns_of(number, width, settings)
 
         def count(growing, nodes, whole):
             route, place = growing.route(set(growing.kids) - set(growing.rows))
             slots, few = ({place[x]: k for k, x in enumerate(some)} for some in (nodes, whole))
-            return _counted(held, tasks, columns, route, slots, few, number, settings)
+            return _counted(both, data, columns, route, slots, few, number, settings)
 
-        before, grown = (None, held) if not model.trees else (held, _moved(held, model.trees[-1]).persist(StorageLevel.MEMORY_AND_DISK))
+        last, held = held, data.before(number, settings, model.trees, held)
+        both = data.codes.zip(held)
         if number and number % REFRESH == 0:
-            grown.checkpoint()
-        held = grown
+            held.checkpoint()
         model.trees.append(_Growing(columns, settings).grow(count))
-        if before is not None:
-            before.unpersist()
-    held.unpersist()
+        if last is not None:
+            last.unpersist()
+    if held is not None:
+        held.unpersist()
+    if binned is None:
+        data.release()
     return model
 
 

@@ -7,15 +7,18 @@ A model is fitted by the first query that needs it and kept for the others of th
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Lock
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as S
+from riskframe.operators import boosting as B
 from riskframe.plans import ml as ML
 from riskframe.plans.catalog_features import batch_features
 from riskframe.plans.registry import register
-from riskframe.session import scratch_path
+from riskframe.session import cut_lineage, scratch_path
 from riskframe.sources import fixtures as X
 
 W = X.with_ctes
@@ -41,6 +44,7 @@ class _Learned:
 
 
 _LEARNED = _Learned()
+_BINNING = Lock()
 
 
 def _files(spark, d) -> tuple:
@@ -63,20 +67,39 @@ def _prepared(spark, d):
         cols = ML.matrix_columns(train, test, "isFraud", "TransactionID")
         train = train.select("TransactionID", "isFraud", *cols).na.fill(0)
         test = test.select("TransactionID", *cols).na.fill(0)
-        s = ML.stratified_split(train, "isFraud", "TransactionID").cache()
+        s = ML.stratified_split(train, "isFraud", "TransactionID").persist(StorageLevel.DISK_ONLY)  # memory is left to the fits
         held[key] = (s, test, cols)
     return held[key]
 
 
+@contextmanager
+def _binned(spark, d):
+    """The training rows as boosted trees take them: made by the first fit, shared by those at the same time, let go after the last."""
+    held = _LEARNED.of(spark, d)
+    with _BINNING:
+        if "binned" not in held:
+            s, _, cols = _prepared(spark, d)
+            held["binned"] = [B.Binned(s.where(F.col("split") == "train"), cols, "isFraud", "TransactionID", B.Boosting.bins), 0]
+        shared = held["binned"]
+        shared[1] += 1
+    try:
+        yield shared[0]
+    finally:
+        with _BINNING:
+            shared[1] -= 1
+            if not shared[1]:
+                held.pop("binned")[0].release()
+
+
 def _model(spark, d, name):
     held, key = _LEARNED.of(spark, d), name
     if key not in held:
         s, _, cols = _prepared(spark, d)
         tr = s.where(F.col("split") == "train")
-        if name == "gbt_a":
-            tm = ML.fit_gbt(tr, cols, "isFraud", "TransactionID", ML.GBT_A, "gbt_depthwise")
-        elif name == "gbt_b":
-            tm = ML.fit_gbt(tr, cols, "isFraud", "TransactionID", ML.GBT_B, "gbt_leafwise")
+        if name in ("gbt_a", "gbt_b"):
+            params, title = (ML.GBT_A, "gbt_depthwise") if name == "gbt_a" else (ML.GBT_B, "gbt_leafwise")
+            with _binned(spark, d) as binned:
+                tm = ML.fit_gbt(tr, cols, "isFraud", "TransactionID", params, title, binned)
         else:
             tm = ML.fit_iforest(tr, cols, "TransactionID")
         tm.order = {"gbt_a": 0, "gbt_b": 1, "iforest": 2}[name]
@@ -88,7 +111,7 @@ def _run(spark, d, name):
     s, _, _ = _prepared(spark, d)
     tm = _model(spark, d, name)
     val = s.where(F.col("split") == "validation")
-    pred = ML.predict(tm, val, ["TransactionID", "isFraud"])
+    pred = cut_lineage(ML.predict(tm, val, ["TransactionID", "isFraud"]))   # scored once, for the counts and the AUC
     return ML.evaluate(pred, "isFraud", tm.name, tm.params, tm.order)
 
 

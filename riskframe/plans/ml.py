@@ -64,9 +64,10 @@ class TrainedModel:
     order: int = 0
 
 
-def fit_gbt(train: DataFrame, features: list[str], label: str, id_col: str, params: dict, name: str) -> TrainedModel:
-    """ML-02 / ML-03: second-order boosted trees on histograms, depth-wise or leaf-wise by the settings."""
-    return TrainedModel(name, params, B.fit(train, features, label, id_col, B.Boosting(**params)))
+def fit_gbt(train: DataFrame, features: list[str], label: str, id_col: str, params: dict, name: str,
+            binned: B.Binned | None = None) -> TrainedModel:
+    """ML-02 / ML-03: second-order boosted trees on histograms, depth-wise or leaf-wise by the settings (``binned``: the rows, if prepared before)."""
+    return TrainedModel(name, params, B.fit(train, features, label, id_col, B.Boosting(**params), binned))
 
 
 def predict(tm: TrainedModel, df: DataFrame, keep: list[str]) -> DataFrame:

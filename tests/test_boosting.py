@@ -175,3 +175,44 @@ def test_the_models_of_the_runs_are_fitted_at_the_same_time(spark, monkeypatch):
     monkeypatch.setattr(C, "_prepared", lambda spark, d: None)
     monkeypatch.setattr(C, "_run", run)
     assert [r[0] for r in C._runs(spark, "").collect()] == ["gbt_a", "gbt_b", "iforest"]
+
+
+def test_joint_codes_give_each_feature_its_own_sums():
+    """Sums over joint codes, packed in parts, are the plain ones; no code has more than JOINT values."""
+    rng = np.random.default_rng(4)
+    sizes, n = [64, 3, 64, 26, 1, 6, 256], 3 * B.PACKED_ROWS + 11
+    joint = B.Joint([np.arange(z - 1.0) for z in sizes])
+    assert max(joint.values) <= B.JOINT and len(joint.groups) < len(sizes)
+    raw = np.column_stack([rng.integers(0, z, n) for z in sizes]).astype(np.uint8)
+    codes, columns = joint.joined(raw), [0, 2, 3, 4, 6]
+    g, h = rng.integers(-B.SCALE, B.SCALE, n).astype(np.int32), np.full(n, B.SCALE // 4, np.int32)   # the largest hessians there are
+    h[rng.random(n) < 0.3] = -1   # not drawn
+    tree = B.Tree(np.array([3, -1, -1]), np.array([9, 0, 0]), np.array([1, 0, 0]), np.array([2, 0, 0]), np.zeros(3))
+    got = B._count([(codes, (None, g, h))], joint, columns, tree.arrays(), {1: 0}, {2: 0}, 256)
+    for leaf, side in ((1, raw[:, 3] <= 9), (2, raw[:, 3] > 9)):
+        use = side & (h >= 0)
+        want = B.histogram(raw[use][:, columns], np.zeros(use.sum(), int), g[use], h[use], 1, 256)
+        if leaf == 1:
+            assert np.array_equal(np.concatenate([x for c, x in got if c >= 0], axis=1), want)
+        else:
+            own, gs, hs = next(x for c, x in got if c < 0)
+            assert np.array_equal(B.histogram(own.T, np.zeros(len(gs), int), gs, hs, 1, 256), want)
+
+
+def test_what_a_pass_sends_is_small_and_rows_are_prepared_once(spark, monkeypatch):
+    """Functions go out once, in a broadcast; fits of the same rows share their blocks."""
+    x, y, _ = _data(300, 9)
+    df = _frame(spark, x, y)
+    sent, remote, made, edges = [], B._remote, [], B.quantile_edges
+    monkeypatch.setattr(B, "_remote", lambda *a: sent.append(remote(*a)) or sent[-1])
+    monkeypatch.setattr(B, "quantile_edges", lambda *a: made.append(1) or edges(*a))
+    data = B.Binned(df, ["a", "b", "c"], "y", "id", 16)
+    settings = [B.Boosting(rounds=2, max_depth=3, bins=16, row_share=0.8), B.Boosting(rounds=2, max_depth=None, max_leaves=5, bins=16)]
+    shared = [B.fit(df, ["a", "b", "c"], "y", "id", s, data) for s in settings]
+    assert len(made) == 1 and sent and max(len(cloudpickle.dumps(f)) for f in sent) < 6000
+    data.release()
+    for s, model in zip(settings, shared):
+        own = B.fit(df, ["a", "b", "c"], "y", "id", s)
+        assert [_listed(t) for t in own.trees] == [_listed(t) for t in model.trees]
+    with pytest.raises(ValueError):
+        B.fit(df, ["a", "b"], "y", "id", settings[0], data)
