@@ -93,14 +93,56 @@ def fit(df: DataFrame, features: list[str], id_col: str, trees: int = 100, sampl
     return s.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA)
 
 
+#: Rows whose way through the trees is followed at a time: their numbers stay in the processor's cache.
+SCORED_ROWS = 4096
+
+
+def _padded(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, size: np.ndarray) -> tuple:
+    """A tree with all its leaves on the last level, children of i at 2i + 1 and 2i + 2: (levels, feature, threshold, path length of the leaf).
+
+    A leaf further up passes all its rows on to the right. A path's length is the leaf's depth plus the mean path that its rows would still have.
+    """
+    place, depth = {0: 0}, {0: 0}
+    todo = [0]
+    for x in todo:
+        if feature[x] >= 0:
+            for side, k in enumerate((left[x], right[x])):
+                place[k], depth[k] = 2 * place[x] + 1 + side, depth[x] + 1
+                todo.append(k)
+    levels = max(depth.values())
+    f, t, length = np.zeros((1 << levels) - 1, np.intp), np.full((1 << levels) - 1, -np.inf), np.zeros(1 << levels)
+    for x in todo:
+        if feature[x] >= 0:
+            f[place[x]], t[place[x]] = feature[x], threshold[x]
+        else:
+            last = (place[x] + 2 << levels - depth[x]) - 2      # the rightmost place below it on the last level
+            length[last - (1 << levels) + 1] = depth[x] + c_factor(float(size[x]))
+    return levels, f, t, length
+
+
+def _lengths(x: np.ndarray, trees: list[tuple]) -> np.ndarray:
+    """Sum of the path lengths of every row."""
+    total = np.zeros(len(x))
+    for a in range(0, len(x), SCORED_ROWS):
+        part = np.ascontiguousarray(x[a:a + SCORED_ROWS].T)
+        n, flat, out = part.shape[1], part.ravel(), total[a:a + SCORED_ROWS]
+        rows = np.arange(n)
+        for levels, feature, threshold, length in trees:
+            lines, node = feature * n, np.zeros(n, np.intp)
+            for _ in range(levels):
+                right = ~(flat.take(lines.take(node) + rows) < threshold.take(node))
+                node += node
+                node += 1
+                node += right
+            out += length.take(node - len(feature))
+    return total
+
+
 def score(df: DataFrame, forest: DataFrame, features: list[str], keep: list[str],
           sample_size: int = 256) -> DataFrame:
     """Anomaly score 2^(-E[h(x)] / c(psi)) for every row (higher = more anomalous)."""
     pdf = forest.orderBy("tree_id", "node_id").toPandas()  # bounded: trees * (2 * psi - 1) rows
-    trees = []
-    for _, g in pdf.groupby("tree_id"):
-        arrs = tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size"))
-        trees.append(arrs + (np.array([c_factor(float(v)) for v in arrs[4]]),))  # per-node leaf correction
+    trees = [_padded(*(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size"))) for _, g in pdf.groupby("tree_id")]
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(trees)
     psi = min(sample_size, int(max(pdf["size"].max(), 1)))
@@ -110,19 +152,7 @@ def score(df: DataFrame, forest: DataFrame, features: list[str], keep: list[str]
     def run(batches):
         forest_ = bc.value
         for b in batches:
-            x = b[features].astype(float).fillna(0.0).to_numpy()
-            total = np.zeros(len(x))
-            for feat, thr, left, right, _size, leafc in forest_:
-                node = np.zeros(len(x), dtype=np.int64)
-                depth = np.zeros(len(x))
-                active = feat[node] >= 0
-                while active.any():
-                    f = feat[node[active]]
-                    go_left = x[active, f] < thr[node[active]]
-                    node[active] = np.where(go_left, left[node[active]], right[node[active]])
-                    depth[active] += 1
-                    active = feat[node] >= 0
-                total += depth + leafc[node]
+            total = _lengths(b[features].astype(float).fillna(0.0).to_numpy(), forest_)
             res = b[keep].copy()
             res["anomaly_score"] = np.power(2.0, -(total / len(forest_)) / cn) if cn > 0 else 0.5
             yield res

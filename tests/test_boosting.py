@@ -216,3 +216,21 @@ def test_what_a_pass_sends_is_small_and_rows_are_prepared_once(spark, monkeypatc
         assert [_listed(t) for t in own.trees] == [_listed(t) for t in model.trees]
     with pytest.raises(ValueError):
         B.fit(df, ["a", "b"], "y", "id", settings[0], data)
+
+
+def test_forest_paths_equal_the_plain_ones():
+    """Padded trees give the path lengths of a walk from the root, whatever the block."""
+    from riskframe.operators import iforest as IF
+    rng = np.random.default_rng(6)
+    data = np.column_stack([rng.normal(size=200), rng.integers(0, 3, 200), np.ones(200)])
+    x = np.vstack([data, [[np.inf, 0, 1], [-np.inf, 9, 1]], rng.normal(size=(IF.SCORED_ROWS, 3))])
+    trees, want = [], np.zeros(len(x))
+    for k, rows in enumerate((200, 37, 2, 1)):
+        t = [np.array(c) for c in zip(*IF._grow(data[:rows], np.random.default_rng(k), 8))]
+        trees.append(IF._padded(*t))
+        for i, r in enumerate(x):
+            at = depth = 0
+            while t[0][at] >= 0:
+                at, depth = (t[2] if r[t[0][at]] < t[1][at] else t[3])[at], depth + 1
+            want[i] += depth + IF.c_factor(float(t[4][at]))
+    assert np.array_equal(IF._lengths(x, trees), want)
